@@ -218,12 +218,11 @@ class WarcReader(DataSourceReader):
 
     def pushFilters(self, filters: list[Filter]):
         """Equality and membership of named headers are decided here; the rest is left to Spark."""
-        for f in filters:
-            column = f.attribute[0] if hasattr(f, "attribute") and len(f.attribute) == 1 else None
-            if column in NAMED and isinstance(f, EqualTo | In):
-                self.predicates.append((NAMED[column], frozenset([f.value] if isinstance(f, EqualTo) else f.value)))
-            elif not (isinstance(f, IsNotNull) and any(NAMED.get(column) == name for name, _ in self.predicates)):
-                yield f
+        column = lambda f: f.attribute[0] if hasattr(f, "attribute") and len(f.attribute) == 1 else None
+        decided = [f for f in filters if column(f) in NAMED and isinstance(f, EqualTo | In)]
+        self.predicates = [(NAMED[column(f)], frozenset([f.value] if isinstance(f, EqualTo) else f.value)) for f in decided]
+        known = {column(f) for f in decided}
+        return [f for f in filters if f not in decided and not (isinstance(f, IsNotNull) and column(f) in known)]
 
     def partitions(self) -> list[Files]:
         fs, path = open_fs(self.path)
