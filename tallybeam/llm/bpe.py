@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import json
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -24,10 +25,10 @@ from tallybeam.llm.common import map_batches, texts
 
 #: The split pattern of byte-level BPE.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Pieces remembered per process, each of SHORT bytes at most, so memory stays bounded on any corpus.
-REMEMBERED, SHORT = 1 << 17, 64
-NONE = 1 << 62
-SHIFT = 32
+#: Pieces of SHORT characters at most that a process remembers, in each of two generations, so memory stays bounded on any corpus.
+REMEMBERED, SHORT = 1 << 18, 48
+SHIFT = 28
+POSITION, NONE = (1 << SHIFT) - 1, 1 << 62
 
 
 def byte_alphabet() -> list[str]:
@@ -40,29 +41,23 @@ def byte_alphabet() -> list[str]:
     return [out[b] for b in range(256)]
 
 
-class SegmentTree:
-    """Minimum over a fixed number of leaves, with point updates."""
+class Memo(dict):
+    """Values of a function of a piece. When a generation is full it becomes the older one, whose pieces return when they are asked for."""
 
-    def __init__(self, leaves: list[int]):
-        self.base = base = 1 << max(0, (len(leaves) - 1).bit_length())
-        self.tree = tree = [NONE] * base + leaves + [NONE] * (base - len(leaves))
-        for i in range(base - 1, 0, -1):
-            a, b = tree[2 * i], tree[2 * i + 1]
-            tree[i] = a if a < b else b
-
-    def root(self) -> int:
-        return self.tree[1]
+    def __init__(self, function):
+        super().__init__()
+        self.function, self.older = function, {}
 
-    def update(self, leaf: int, value: int) -> None:
-        tree, i = self.tree, self.base + leaf
-        tree[i] = value
-        while i > 1:
-            a, b = tree[i], tree[i ^ 1]
-            i >>= 1
-            least = a if a < b else b
-            if tree[i] == least:
-                return
-            tree[i] = least
+    def __missing__(self, piece: str) -> list[int]:
+        found = self.older.get(piece)
+        if found is None:
+            found = self.function(piece.encode())
+        if len(piece) <= SHORT:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = found
+        return found
 
 
 class Codec:
@@ -77,65 +72,79 @@ class Codec:
         back = {c: bytes([b]) for b, c in enumerate(alphabet)}
         self.byte_ids = [vocab[c] for c in alphabet]
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        #: A pair of ids, as one number, to its rank above SHIFT bits; a rank to the merged id.
+        self.ranks = {vocab[a] << SHIFT | vocab[b]: rank << SHIFT for rank, (a, b) in enumerate(pairs)}
+        self.merged = [vocab[a + b] for a, b in pairs]
         self.pieces: dict[int, bytes] = {i: b"".join(map(back.__getitem__, t)) for t, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.pieces |= {i: t.encode() for t, i in self.special.items()}
         self.find = regex.compile(SPLIT).findall
         self.cut = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")").split if self.special else None
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = Memo(self.merge)
+        self.text_of = [self.pieces.get(i, b"") for i in range(max(self.pieces) + 1)]
 
     def merge(self, piece: bytes) -> list[int]:
-        """The ids of one piece."""
+        """The ids of one piece.
+
+        tree is a segment tree of minima: leaf base + i holds rank and position of the pair of symbol i with the next
+        living one (or NONE), so tree[1] is the leftmost pair of the lowest rank.
+        """
         ids = [self.byte_ids[b] for b in piece]
-        n, merges = len(ids), self.merges
+        n, ranks, merged = len(ids), self.ranks.get, self.merged
         if n < 2:
             return ids
-        leaf = lambda i, j: (m[0] << SHIFT | i) if (m := merges.get((ids[i], ids[j]))) else NONE
-        tree = SegmentTree([leaf(i, i + 1) for i in range(n - 1)])
+        base = 1 << (n - 2).bit_length()
+        tree = [NONE] * (2 * base)
+        a = ids[0]
+        for i in range(1, n):
+            b = ids[i]
+            if (rank := ranks(a << SHIFT | b)) is not None:
+                tree[base + i - 1] = rank | (i - 1)
+            a = b
+        for i in range(base - 1, 0, -1):
+            a, b = tree[2 * i], tree[2 * i + 1]
+            tree[i] = a if a < b else b
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        while (least := tree.root()) != NONE:
-            i = least & ((1 << SHIFT) - 1)
+        while (least := tree[1]) != NONE:
+            i = least & POSITION
             j = after[i]
-            ids[i] = merges[ids[i], ids[j]][1]
+            ids[i] = new = merged[least >> SHIFT]
             ids[j] = -1
             k = after[i] = after[j]
-            if j < n - 1:
-                tree.update(j, NONE)
+            changed = [(i, NONE)]
             if k < n:
                 before[k] = i
-                tree.update(i, leaf(i, k))
-            else:
-                tree.update(i, NONE)
+                changed = [(j, NONE), (i, NONE if (rank := ranks(new << SHIFT | ids[k])) is None else rank | i)]
             if (h := before[i]) >= 0:
-                tree.update(h, leaf(h, i))
+                changed.append((h, NONE if (rank := ranks(ids[h] << SHIFT | new)) is None else rank | h))
+            for leaf, value in changed:
+                at = base + leaf
+                tree[at] = value
+                while at > 1:
+                    other = tree[at ^ 1]
+                    at >>= 1
+                    if other < value:
+                        value = other
+                    if tree[at] == value:
+                        break
+                    tree[at] = value
         return [x for x in ids if x >= 0]
 
-    def piece(self, text: str) -> tuple[int, ...]:
-        found = self.known.get(text)
-        if found is None:
-            found = tuple(self.merge(text.encode()))
-            if len(text) <= SHORT:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[text] = found
-        return found
-
     def encode(self, text: str) -> list[int]:
+        ids_of = self.known.__getitem__
+        if self.cut is None or not any(t in text for t in self.special):
+            return [*chain.from_iterable(map(ids_of, self.find(text)))]
         out: list[int] = []
-        known = self.known
-        for k, part in enumerate(self.cut(text) if self.cut else [text]):
-            if k % 2:
-                out.append(self.special[part])
-                continue
-            for piece in self.find(part):
-                out += known.get(piece) or self.piece(piece)
+        for k, part in enumerate(self.cut(text)):
+            out += [self.special[part]] if k % 2 else chain.from_iterable(map(ids_of, self.find(part)))
         return out
 
     def decode(self, ids: list[int]) -> str:
         """Special tokens are kept as their strings."""
-        get = self.pieces.get
-        return b"".join([get(i, b"") for i in ids]).decode("utf-8", errors="replace")
+        try:
+            return b"".join(map(self.text_of.__getitem__, ids)).decode("utf-8", errors="replace")
+        except IndexError:
+            return b"".join([self.pieces.get(i, b"") for i in ids]).decode("utf-8", errors="replace")
 
 
 @lru_cache(maxsize=4)
