@@ -16,6 +16,7 @@ import json
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,8 @@ from tallybeam.llm.common import map_batches, texts
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pieces of SHORT characters at most that a process remembers, in each of two generations, so memory stays bounded on any corpus.
 REMEMBERED, SHORT = 1 << 18, 48
+#: Pieces that are merged in lockstep.
+LOCKSTEP = 1 << 12
 SHIFT = 28
 POSITION, NONE = (1 << SHIFT) - 1, 1 << 62
 
@@ -54,11 +57,14 @@ class Memo(dict):
             found = self.function(piece.encode())
         if len(piece) <= SHORT:
             if len(self) >= REMEMBERED:
-                self.older = dict(self)
-                self.clear()
+                self.turn()
             self[piece] = found
         return found
 
+    def turn(self) -> None:
+        self.older = dict(self)
+        self.clear()
+
 
 class Codec:
     """Encoder and decoder of one vocabulary, given as the JSON text of a tokenizers file."""
@@ -75,12 +81,16 @@ class Codec:
         #: A pair of ids, as one number, to its rank above SHIFT bits; a rank to the merged id.
         self.ranks = {vocab[a] << SHIFT | vocab[b]: rank << SHIFT for rank, (a, b) in enumerate(pairs)}
         self.merged = [vocab[a + b] for a, b in pairs]
+        self.byte_array, self.merged_array = np.array(self.byte_ids, np.int64), np.array([*self.merged, 0], np.int64)
+        self.keys = np.array(sorted(self.ranks) or [-1], np.int64)
+        self.key_ranks = np.array([self.ranks.get(k, NONE) for k in self.keys.tolist()], np.int64)
         self.pieces: dict[int, bytes] = {i: b"".join(map(back.__getitem__, t)) for t, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.pieces |= {i: t.encode() for t, i in self.special.items()}
         self.find = regex.compile(SPLIT).findall
         self.cut = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")").split if self.special else None
         self.known = Memo(self.merge)
+        self.decimal = [b"%d" % i for i in range(max(self.pieces) + 1)]
         self.text_of = [self.pieces.get(i, b"") for i in range(max(self.pieces) + 1)]
 
     def merge(self, piece: bytes) -> list[int]:
@@ -130,14 +140,78 @@ class Codec:
                     tree[at] = value
         return [x for x in ids if x >= 0]
 
-    def encode(self, text: str) -> list[int]:
+    def merge_all(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """The ids of many pieces: merge() in lockstep, with one column of numpy arrays a piece.
+
+        tree is as in merge(), with an axis of pieces: each round takes every root, merges there, sets the three
+        changed leaves and repairs the paths above them, until no piece has a pair left.
+        """
+        if not pieces:
+            return []
+        n = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        width = max(2, int(n.max()))
+        base = 1 << (width - 1).bit_length()
+        flat = np.frombuffer(b"".join([p.ljust(width, b"\0") for p in pieces]), np.uint8).reshape(-1, width)
+        ids = np.ascontiguousarray(self.byte_array[flat].T)
+        ids[np.arange(width)[:, None] >= n] = -1
+        rows = np.arange(width)[:, None]
+        tree = np.full((2 * base, len(pieces)), NONE)
+        tree[base : base + width - 1] = self.leaves(ids[:-1], ids[1:], rows[:-1])
+        for i in range(base - 1, 0, -1):
+            np.minimum(tree[2 * i], tree[2 * i + 1], out=tree[i])
+        after, before = (np.repeat(x, len(pieces), axis=1) for x in (rows + 1, np.arange(-1, width)[:, None]))
+        piece = np.flatnonzero(tree[1] != NONE)
+        while len(piece):
+            least = tree[1, piece]
+            i = least & POSITION
+            new = self.merged_array[least >> SHIFT]
+            j = after[i, piece]
+            k = after[j, piece]
+            ids[i, piece], ids[j, piece], after[i, piece], before[k, piece] = new, -1, k, i
+            h = before[i, piece]
+            left = np.maximum(h, 0)
+            tree[base + j, piece] = NONE
+            tree[base + i, piece] = np.where(k < n[piece], self.leaves(new, ids[np.minimum(k, width - 1), piece], i), NONE)
+            tree[base + np.where(h < 0, j, h), piece] = np.where(h < 0, NONE, self.leaves(ids[left, piece], new, h))
+            at = base + np.stack([i, j, left])
+            while at[0, 0] > 1:
+                at >>= 1
+                tree[at, piece] = np.minimum(tree[2 * at, piece], tree[2 * at + 1, piece])
+            piece = piece[tree[1, piece] != NONE]
+        living = ids.T >= 0
+        ends = np.cumsum(living.sum(axis=1)).tolist()
+        flat_ids = tuple(ids.T[living].tolist())
+        return [flat_ids[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+    def leaves(self, left: np.ndarray, right: np.ndarray, position: np.ndarray) -> np.ndarray:
+        """Rank and position of each pair of ids, or NONE."""
+        key = left << SHIFT | right
+        found = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((self.keys[found] == key) & (left >= 0) & (right >= 0), self.key_ranks[found] | position, NONE)
+
+    def learn(self, pieces: set[str]) -> None:
+        """Remember the ids of the short ones among the pieces."""
+        new = [p for p in pieces.difference(self.known, self.known.older) if len(p) <= SHORT]
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.turn()
+        raw = [*map(str.encode, new)]
+        order = np.argsort(np.fromiter(map(len, raw), np.int64, len(raw)), kind="stable").tolist()
+        for i in range(0, len(order), LOCKSTEP):
+            part = order[i : i + LOCKSTEP]
+            self.known.update(zip(map(new.__getitem__, part), self.merge_all([*map(raw.__getitem__, part)]), strict=True))
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """The ids of many texts; the pieces that they have in common are merged once and together."""
         ids_of = self.known.__getitem__
-        if self.cut is None or not any(t in text for t in self.special):
-            return [*chain.from_iterable(map(ids_of, self.find(text)))]
-        out: list[int] = []
-        for k, part in enumerate(self.cut(text)):
-            out += [self.special[part]] if k % 2 else chain.from_iterable(map(ids_of, self.find(part)))
-        return out
+        parts = [[p if k % 2 else self.find(p) for k, p in enumerate(self.cut(x))] if self.cut and any(t in x for t in self.special) else [self.find(x)] for x in texts]
+        seen: set[str] = set()
+        for part in parts:
+            seen.update(*part[::2])
+        self.learn(seen)
+        return [[*chain.from_iterable(map(ids_of, part[0]))] if len(part) == 1 else [*chain.from_iterable([self.special[x]] if k % 2 else chain.from_iterable(map(ids_of, x)) for k, x in enumerate(part))] for part in parts]
+
+    def encode(self, text: str) -> list[int]:
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> str:
         """Special tokens are kept as their strings."""
@@ -171,7 +245,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None, text: str = "text", k
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         c = codec()
-        ids = [c.encode(x.decode()) for x in texts(batch.column(1))]
+        ids = c.encode_all([x.decode() for x in texts(batch.column(1))])
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], [key, "ids"])
 
     return map_batches(docs.select(key, text), work, f"`{key}` {kind}, ids array<int>", text)
@@ -197,7 +271,7 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None) -> DataFram
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         c = codec()
         whole = [x.decode() for x in texts(batch.column(2))]
-        ids = [c.encode(x) for x in whole]
+        ids = c.encode_all(whole)
         same = [c.decode(i) == x for i, x in zip(ids, whole, strict=True)]
         return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(map(len, ids), pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())],
@@ -217,10 +291,9 @@ def digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         c, counts, ids_sha, decoded_sha = codec(), [], [], []
-        for x in texts(batch.column(1)):
-            ids = c.encode(x.decode())
+        for ids in c.encode_all([x.decode() for x in texts(batch.column(1))]):
             counts.append(len(ids))
-            ids_sha.append(sha(",".join(map(str, ids)).encode()))
+            ids_sha.append(sha(b",".join(map(c.decimal.__getitem__, ids))))
             decoded_sha.append(sha(c.decode(ids).encode()))
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())],
