@@ -4,12 +4,576 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from tallybeam.functions import scalars as S
+from tallybeam.operators import arrays, background, bank, candidates, coincidence, ranking, signal
+from tallybeam.operators.intervals import clip, nearest, range_join, within_segments
+from tallybeam.plans import views as V
+from tallybeam.sources import frames, state
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+SAME_TEMPLATE, ANY_TEMPLATE = V.HOUR, 10 * V.MINUTE
+WINDOWS = {("H1", "L1"): V.HOUR, ("H1", "V1"): 90 * V.MINUTE, ("L1", "V1"): 90 * V.MINUTE}
+SLIDES, SPACING = 10, 2 * V.HOUR
+TRIALS_S = 2.0 * SLIDES * 30 * 86_400
+DEDUP, TOLERANCE = V.MINUTE, 10 * V.MINUTE
+
+
+def query(sql: str | None = None, views: bool = True) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            body = sql.strip()
+            SQL[f.__name__] = (f"WITH RECURSIVE {V.SQL}, {body[5:]}" if body.startswith("WITH ") else f"WITH RECURSIVE {V.SQL} {body}") if views else body
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
+
+
+def r6(c, name: str):
+    return F.round(c, 6).alias(name)
+
+
+def _coincidences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coincidence.pairs(V.triggers(spark, sf_dir), "H1", "L1", SAME_TEMPLATE)
+
+
+def _slid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return background.slid_pairs(V.triggers(spark, sf_dir), "H1", "L1", background.offsets(spark, SLIDES, SPACING), SAME_TEMPLATE)
+
+
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.with_far(_coincidences(spark, sf_dir), _slid(spark, sf_dir), TRIALS_S)
+
+
+# --- the flagship ---
+
+
+@query("""SELECT event_id_a, event_id_b, gps_us, template_id, round(network_stat, 6) AS network_stat, n_louder, round(far_hz * 1e6, 6) AS far_uhz, round(1 / far_hz / 86400, 6) AS ifar_days,
+    m.name AS known_event, round(network_stat / (1 + (rchisq_a + rchisq_b) / 2), 6) AS detchar_rank
+    FROM cand LEFT JOIN LATERAL (SELECT name FROM v_catalogue WHERE abs(cat_us - gps_us) <= 600000000 ORDER BY abs(cat_us - gps_us), cat_us, name LIMIT 1) m ON true""")
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coincidences of two sensors with false-alarm rate, catalogue match and data-quality rank (J01, J08, A01, F11, F12, J12, F18, F19)."""
+    found = nearest(_candidates(spark, sf_dir).withColumn("row", F.concat_ws("-", "event_id_a", "event_id_b")), V.catalogue(spark, sf_dir), "row", "gps_us", "cat_us", "name", TOLERANCE)
+    rank = S.detchar_rank(F.col("network_stat"), (F.col("rchisq_a") + F.col("rchisq_b")) / 2)
+    return found.select("event_id_a", "event_id_b", "gps_us", "template_id", r6("network_stat", "network_stat"), "n_louder", r6(F.col("far_hz") * 1e6, "far_uhz"), r6("ifar_days", "ifar_days"), F.col("name").alias("known_event"), r6(rank, "detchar_rank"))
+
+
+# --- joins ---
+
+_PAIR = "event_id_a, event_id_b, gps_us, dt_us, template_id, round(network_stat, 6) AS network_stat"
+
+
+def _pair_columns(df: DataFrame) -> DataFrame:
+    return df.select("event_id_a", "event_id_b", "gps_us", "dt_us", "template_id", r6("network_stat", "network_stat"))
+
+
+@query(f"SELECT {_PAIR} FROM coinc")
+def j01_pairs_same_template(spark, sf_dir):
+    return _pair_columns(_coincidences(spark, sf_dir))
+
+
+@query("""SELECT a.event_id AS event_id_a, b.event_id AS event_id_b, (a.gps_us + b.gps_us) // 2 AS gps_us, a.gps_us - b.gps_us AS dt_us, a.template_id, round(sqrt(a.new_snr * a.new_snr + b.new_snr * b.new_snr), 6) AS network_stat
+    FROM v_triggers a JOIN v_triggers b ON a.ifo = 'H1' AND b.ifo = 'L1' AND abs(a.gps_us - b.gps_us) <= 600000000""")
+def j02_pairs_any_template(spark, sf_dir):
+    return _pair_columns(coincidence.pairs(V.triggers(spark, sf_dir), "H1", "L1", ANY_TEMPLATE, same_template=False))
+
+
+@query("""SELECT a.ifo || ',' || b.ifo AS ifos, a.event_id AS event_id_a, b.event_id AS event_id_b, a.gps_us - b.gps_us AS dt_us, round(sqrt(a.new_snr * a.new_snr + b.new_snr * b.new_snr), 6) AS network_stat
+    FROM v_triggers a JOIN v_triggers b ON a.ifo < b.ifo AND a.template_id = b.template_id AND abs(a.gps_us - b.gps_us) <= CASE WHEN a.ifo = 'H1' AND b.ifo = 'L1' THEN 3600000000 ELSE 5400000000 END
+    AND isfinite(a.new_snr) AND isfinite(b.new_snr)""")
+def j03_pairs_of_all_sensors(spark, sf_dir):
+    return coincidence.all_pairs(V.triggers(spark, sf_dir), ["H1", "L1", "V1"], WINDOWS, drop_broken=True).select("ifos", "event_id_a", "event_id_b", "dt_us", r6("network_stat", "network_stat"))
+
+
+@query("""SELECT a.event_id AS event_id_a, b.event_id AS event_id_b, c.event_id AS event_id_c, (a.gps_us + b.gps_us + c.gps_us) // 3 AS gps_us, a.gps_us - b.gps_us AS dt_01, a.gps_us - c.gps_us AS dt_02, b.gps_us - c.gps_us AS dt_12,
+    a.template_id, round(sqrt(a.new_snr * a.new_snr + b.new_snr * b.new_snr + c.new_snr * c.new_snr), 6) AS network_stat
+    FROM v_triggers a JOIN v_triggers b ON a.ifo = 'H1' AND b.ifo = 'L1' AND a.template_id = b.template_id AND abs(a.gps_us - b.gps_us) <= 3600000000
+    JOIN v_triggers c ON c.ifo = 'V1' AND c.template_id = a.template_id AND abs(a.gps_us - c.gps_us) <= 5400000000 AND abs(b.gps_us - c.gps_us) <= 5400000000""")
+def j04_triples(spark, sf_dir):
+    found = coincidence.triples(V.triggers(spark, sf_dir), ("H1", "L1", "V1"), tuple(WINDOWS.values()))
+    return found.withColumn("network_stat", F.round("network_stat", 6))
+
+
+@query("""SELECT a.ifo || ',' || b.ifo AS ifos, count(*) AS n FROM v_triggers a JOIN v_triggers b ON a.ifo < b.ifo AND a.template_id = b.template_id AND abs(a.gps_us - b.gps_us) <= 1800000000 GROUP BY 1""")
+def j07_pairs_uniform_window(spark, sf_dir):
+    windows = dict.fromkeys(WINDOWS, 30 * V.MINUTE)
+    return coincidence.all_pairs(V.triggers(spark, sf_dir), ["H1", "L1", "V1"], windows).groupBy("ifos").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT slide, event_id_a, event_id_b, template_id, round(network_stat, 6) AS network_stat FROM bg")
+def j08_slides_same_template(spark, sf_dir):
+    return _slid(spark, sf_dir).select("slide", "event_id_a", "event_id_b", "template_id", r6("network_stat", "network_stat"))
+
+
+@query("""SELECT slide, count(*) AS n, round(max(sqrt(a.new_snr * a.new_snr + b.new_snr * b.new_snr)), 6) AS loudest
+    FROM slides JOIN v_triggers a ON a.ifo = 'H1' JOIN v_triggers b ON b.ifo = 'L1' AND abs(a.gps_us - b.gps_us - offset_us) < 600000000 GROUP BY slide""")
+def j09_slides_any_template(spark, sf_dir):
+    found = background.slid_pairs(V.triggers(spark, sf_dir), "H1", "L1", background.offsets(spark, SLIDES, SPACING), ANY_TEMPLATE, same_template=False)
+    return found.groupBy("slide").agg(F.count(F.lit(1)).alias("n"), r6(F.max("network_stat"), "loudest"))
+
+
+_SUBSET = """o AS (SELECT ((i // 2 + 1) * CASE WHEN i % 2 = 0 THEN 1 ELSE -1 END * 1800000000)::BIGINT AS offset_us FROM (SELECT floor(k * 95.0::DOUBLE / 19)::BIGINT AS i FROM range(20) r(k))),
+    s AS (SELECT row_number() OVER (ORDER BY offset_us) - 1 AS slide, offset_us FROM o)"""
+
+
+@query(f"WITH {_SUBSET} SELECT slide, s.offset_us, a.event_id AS event_id_a, b.event_id AS event_id_b FROM s JOIN v_triggers a ON a.ifo = 'H1' JOIN v_triggers b ON b.ifo = 'L1' AND a.template_id = b.template_id AND abs(a.gps_us - b.gps_us - s.offset_us) <= 3600000000")
+def j10_slides_inclusive(spark, sf_dir):
+    slides = background.offsets_subset(spark, 30 * V.MINUTE, 24 * V.HOUR, 20)
+    return background.slid_pairs(V.triggers(spark, sf_dir), "H1", "L1", slides, SAME_TEMPLATE, strict=False).select("slide", "offset_us", "event_id_a", "event_id_b")
+
+
+@query("""WITH o AS (SELECT s * 7200000000 AS o FROM range(-2, 3) r(s) WHERE s <> 0)
+    SELECT p.o AS offset_1, q.o AS offset_2, count(*) AS n, round(max(sqrt(a.new_snr * a.new_snr + b.new_snr * b.new_snr + c.new_snr * c.new_snr)), 6) AS loudest
+    FROM o p, o q, v_triggers a, v_triggers b, v_triggers c WHERE a.ifo = 'H1' AND b.ifo = 'L1' AND c.ifo = 'V1' AND a.template_id = b.template_id AND a.template_id = c.template_id
+    AND abs(a.gps_us - b.gps_us - p.o) <= 3600000000 AND abs(a.gps_us - c.gps_us - q.o) <= 5400000000 AND abs(b.gps_us + p.o - c.gps_us - q.o) <= 5400000000 GROUP BY 1, 2""")
+def j11_slides_of_three(spark, sf_dir):
+    pairs = background.offset_pairs(background.offsets(spark, 2, SPACING), "full_grid")
+    found = background.slid_triples(V.triggers(spark, sf_dir), ("H1", "L1", "V1"), pairs, tuple(WINDOWS.values()))
+    return found.groupBy("offset_1", "offset_2").agg(F.count(F.lit(1)).alias("n"), r6(F.max("network_stat"), "loudest"))
+
+
+@query("""SELECT event_id, gps_us, m.name, m.gap AS match_gap FROM v_triggers LEFT JOIN LATERAL (SELECT name, abs(cat_us - gps_us) AS gap FROM v_catalogue WHERE abs(cat_us - gps_us) <= 600000000 ORDER BY gap, cat_us, name LIMIT 1) m ON true""")
+def j12_nearest_catalogue_event(spark, sf_dir):
+    return nearest(V.triggers(spark, sf_dir).select("event_id", "gps_us"), V.catalogue(spark, sf_dir), "event_id", "gps_us", "cat_us", "name", TOLERANCE)
+
+
+@query("""SELECT t.event_id FROM v_triggers t WHERE ifo = 'H1' AND EXISTS (SELECT 1 FROM v_triggers o WHERE o.ifo = 'L1' AND abs(o.gps_us - t.gps_us) < 600000000) AND EXISTS (SELECT 1 FROM v_triggers o WHERE o.ifo = 'V1' AND abs(o.gps_us - t.gps_us) < 600000000)""")
+def j14_near_all_other_sensors(spark, sf_dir):
+    t = V.triggers(spark, sf_dir).select("ifo", "event_id", "gps_us")
+    out = t.filter("ifo = 'H1'").select("event_id", "gps_us")
+    for other in ("L1", "V1"):
+        out = range_join(out, t.filter(F.col("ifo") == other).select(F.col("gps_us").alias("other_us")), "gps_us", "other_us", TOLERANCE, strict=True, how="left_semi")
+    return out.select("event_id")
+
+
+_LO, _HI = V.MONTH_START + 5 * 24 * V.HOUR, V.MONTH_START + 12 * 24 * V.HOUR
+
+
+@query(f"SELECT seg_id, ifo, greatest(seg_start_us, {_LO}) AS seg_start_us, least(seg_end_us, {_HI}) AS seg_end_us FROM v_segments WHERE greatest(seg_start_us, {_LO}) < least(seg_end_us, {_HI})")
+def j15_clipped_segments(spark, sf_dir):
+    return clip(V.segments(spark, sf_dir), "seg_start_us", "seg_end_us", F.lit(_LO), F.lit(_HI)).select("seg_id", "ifo", "seg_start_us", "seg_end_us")
+
+
+_RUNS_SQL = ", ".join(f"('{n}', {a:.0f}.0::DOUBLE, {b:.0f}.0::DOUBLE)" for n, a, b in frames.RUNS)
+
+
+@query(f"""WITH r(run, run_start, run_end) AS (VALUES {_RUNS_SQL}), b AS (SELECT 1126000000 + i * 10000000 AS block_start, 1126000000 + i * 10000000 + 5000000 AS block_end FROM range(30) r(i))
+    SELECT block_start, block_end, run FROM b JOIN r ON run_start < block_end AND run_end > block_start""", views=False)
+def j17_runs_of_blocks(spark, sf_dir):
+    runs = spark.createDataFrame(frames.RUNS, "run string, run_start double, run_end double")
+    blocks = spark.range(30).select((F.lit(1_126_000_000) + F.col("id") * 10_000_000).alias("block_start")).withColumn("block_end", F.col("block_start") + 5_000_000)
+    return frames.overlapping_runs(blocks, runs).select("block_start", "block_end", "run")
+
+
+# --- filters ---
+
+
+@query("""SELECT event_id FROM v_triggers t WHERE ifo IN ('H1', 'L1') AND NOT EXISTS (SELECT 1 FROM coinc WHERE network_stat > 150 AND abs(coinc.gps_us - t.gps_us) < 60000000)""")
+def p08_excised_triggers(spark, sf_dir):
+    loud = _coincidences(spark, sf_dir).filter("network_stat > 150").select(F.col("gps_us").alias("loud_us"))
+    return background.excise(V.triggers(spark, sf_dir).filter("ifo in ('H1', 'L1')"), loud, V.MINUTE).select("event_id")
+
+
+@query("SELECT event_id, CASE WHEN snr >= 50 THEN chisq ELSE 30.0 END AS chisq, CASE WHEN snr >= 50 THEN rchisq ELSE 1.0 END AS rchisq FROM v_triggers WHERE isfinite(snr) AND snr >= 30")
+def p03_p04_two_stage_thresholds(spark, sf_dir):
+    t = V.triggers(spark, sf_dir).filter(S.finite(F.col("snr")) & (F.col("snr") >= 30))
+    loud = F.col("snr") >= 50
+    return t.select("event_id", F.when(loud, F.col("chisq")).otherwise(30.0).alias("chisq"), F.when(loud, F.col("rchisq")).otherwise(1.0).alias("rchisq"))
+
+
+@query("SELECT event_id FROM v_triggers t WHERE EXISTS (SELECT 1 FROM v_segments s WHERE s.ifo = 'H1' AND t.gps_us BETWEEN seg_start_us AND seg_end_us)")
+def p14_in_science_time(spark, sf_dir):
+    return within_segments(V.triggers(spark, sf_dir).select("event_id", "gps_us"), V.segments(spark, sf_dir).filter("ifo = 'H1'"), "gps_us", "seg_start_us", "seg_end_us", 2 * V.HOUR).select("event_id")
+
+
+@query("""SELECT item_id, CASE WHEN contains(lower(text), 'data gap') OR contains(lower(text), 'detector was off') OR contains(lower(text), 'rms') THEN 'gap' ELSE 'error' END AS kind FROM benchmark""", views=False)
+def p13_error_kinds(spark, sf_dir):
+    return V.read(spark, sf_dir, "benchmark").select("item_id", S.error_kind(F.col("text")).alias("kind"))
+
+
+@query("SELECT p_partkey, p_retailprice / 20 AS mass1, (p_size + 1)::DOUBLE AS mass2 FROM part WHERE p_retailprice / 20 >= p_size + 1 AND p_retailprice / 20 BETWEEN 5 AND 90 AND p_size + 1 BETWEEN 2 AND 50 AND p_retailprice / 20 + p_size + 1 BETWEEN 2 AND 100 AND (p_size + 1) / (p_retailprice / 20) >= 0.05", views=False)
+def p01_physical_templates(spark, sf_dir):
+    rows = V.read(spark, sf_dir, "part").select("p_partkey", (F.col("p_retailprice") / 20).alias("mass1"), (F.col("p_size") + 1).cast("double").alias("mass2"))
+    return bank.physical(rows, 5, 90, 2, 50)
+
+
+# --- aggregates and ranks ---
+
+
+@query("SELECT event_id_a, event_id_b, n_louder, (SELECT count(*) FROM bg) AS n_background FROM far")
+def a01_count_louder(spark, sf_dir):
+    return background.count_louder(_coincidences(spark, sf_dir), _slid(spark, sf_dir)).select("event_id_a", "event_id_b", "n_louder", "n_background")
+
+
+@query("SELECT count(*) AS n, 51840000.0::DOUBLE AS trials_s, round(count(*) / 51840000.0::DOUBLE * 1e6, 6) AS far_uhz, round(1 / (count(*) / 51840000.0::DOUBLE) / 86400, 6) AS ifar_days FROM bg")
+def a02_background_rate(spark, sf_dir):
+    r = ranking.rate(_slid(spark, sf_dir), SLIDES, 30 * 86_400.0)
+    return r.select("n", "trials_s", r6(F.col("far_hz") * 1e6, "far_uhz"), r6("ifar_days", "ifar_days"))
+
+
+@query("SELECT count(*) AS n, round(coalesce(max(network_stat), 0), 6) AS loudest, round(median(network_stat), 6) AS median FROM bg")
+def a03_a04_background_summary(spark, sf_dir):
+    return ranking.summary(_slid(spark, sf_dir)).select("n", r6("loudest", "loudest"), r6("median", "median"))
+
+
+@query("SELECT CASE WHEN count(*) < 2 THEN 0.0 ELSE round((max(gps_us) - min(gps_us)) / 1e6, 6) END AS seconds FROM v_triggers")
+def a05_observing_time(spark, sf_dir):
+    return ranking.observing_time(V.triggers(spark, sf_dir), False).select(r6("seconds", "seconds"))
+
+
+@query("SELECT round(coalesce(min(span), 0), 6) AS seconds FROM (SELECT (max(gps_us) - min(gps_us)) / 1e6 AS span FROM v_triggers GROUP BY ifo HAVING count(*) >= 2)")
+def a06_least_observing_time(spark, sf_dir):
+    return ranking.observing_time(V.triggers(spark, sf_dir), True).select(r6("seconds", "seconds"))
+
+
+@query("SELECT round(coalesce(min(network_stat), 0), 6) AS threshold FROM (SELECT network_stat FROM bg ORDER BY network_stat DESC LIMIT 16)")
+def a07_threshold_for_rate(spark, sf_dir):
+    return ranking.threshold_for(_slid(spark, sf_dir), 10.0, TRIALS_S / S.YEAR_S).select(r6("threshold", "threshold"))
+
+
+_RANKED = "event_id_a, event_id_b, n_louder, round(far_hz * 1e6, 6) AS far_uhz, round(1 / (far_hz * 31557600), 6) AS ifar_years"
+
+
+def _ranked(spark, sf_dir, kind):
+    r = ranking.ranked(_coincidences(spark, sf_dir), _slid(spark, sf_dir), TRIALS_S, 2 * SLIDES, kind)
+    return r.select("event_id_a", "event_id_b", "n_louder", r6(F.col("far_hz") * 1e6, "far_uhz"), r6("ifar_years", "ifar_years"), r6("p_value", "p_value"))
+
+
+@query(f"SELECT {_RANKED}, round((n_louder + 1) / ((SELECT count(*) FROM bg) + 1), 6) AS p_value FROM cand")
+def a08_rank_empirical(spark, sf_dir):
+    return _ranked(spark, sf_dir, "empirical")
+
+
+@query(f"SELECT {_RANKED}, round(1 - exp(-(51840000.0::DOUBLE / 20) * far_hz), 6) AS p_value FROM cand")
+def a09_rank_poisson(spark, sf_dir):
+    return _ranked(spark, sf_dir, "poisson")
+
+
+@query(f"SELECT {_RANKED}, round(1 - exp(-(51840000.0::DOUBLE / (SELECT count(*) FROM bg)) * far_hz), 6) AS p_value FROM cand")
+def a10_rank_search(spark, sf_dir):
+    return _ranked(spark, sf_dir, "search")
+
+
+@query()
+def f17_significance(spark, sf_dir):
+    """Inverse normal; SQL has none, so the tests hold it against the standard library."""
+    r = ranking.ranked(_coincidences(spark, sf_dir), _slid(spark, sf_dir), TRIALS_S, 2 * SLIDES, "empirical")
+    return r.select("event_id_a", "event_id_b", "p_value", "sigma")
+
+
+@query("SELECT greatest(1, (SELECT count(*) FROM bg) // greatest(1, count(*)))::BIGINT AS n_slides FROM v_triggers WHERE ifo IN ('H1', 'L1')")
+def a11_slide_count_estimate(spark, sf_dir):
+    n = V.triggers(spark, sf_dir).filter("ifo in ('H1', 'L1')").agg(F.count(F.lit(1)).alias("t"))
+    b = _slid(spark, sf_dir).agg(F.count(F.lit(1)).alias("b"))
+    return n.crossJoin(b).select(F.greatest(F.lit(1), F.floor(F.col("b") / F.greatest(F.lit(1), F.col("t")))).cast("long").alias("n_slides"))  # one row each
+
+
+@query("""SELECT b.block_start_us, ifo, round(sum(greatest(0, least(seg_end_us, block_end_us) - greatest(seg_start_us, block_start_us))) / 1e6, 3) AS overlap_s,
+    round(sum(greatest(0, least(seg_end_us, block_end_us) - greatest(seg_start_us, block_start_us))) / 21600000000, 6) AS duty_cycle
+    FROM v_blocks b JOIN v_segments s ON seg_start_us < block_end_us AND seg_end_us > block_start_us GROUP BY 1, 2""")
+def a12_a13_overlap_and_duty_cycle(spark, sf_dir):
+    """Blocks tile time evenly, so a segment meets exactly the block numbers between its ends: an equality join, no range join."""
+    size = 6 * V.HOUR
+    number = lambda c: F.floor((c - V.MONTH_START) / size)
+    s = V.segments(spark, sf_dir).withColumn("block", F.explode(F.sequence(number(F.col("seg_start_us")), number(F.col("seg_end_us") - 1))))
+    b = V.blocks(spark).withColumn("block", number(F.col("block_start_us")))
+    cut = F.greatest(F.lit(0), F.least("seg_end_us", "block_end_us") - F.greatest("seg_start_us", "block_start_us"))
+    return s.join(b, "block").groupBy("block_start_us", "ifo").agg(F.round(F.sum(cut) / 1e6, 3).alias("overlap_s"), r6(F.sum(cut) / size, "duty_cycle"))
+
+
+@query("""SELECT ifo, seg_id, round((seg_start_us + seg_end_us) / 2e6, 6) AS centre_s FROM (SELECT *, row_number() OVER (PARTITION BY ifo ORDER BY seg_end_us - seg_start_us DESC, seg_start_us, seg_id) AS n FROM v_segments WHERE seg_end_us - seg_start_us >= 3600000000) WHERE n = 1""")
+def a14_longest_segment(spark, sf_dir):
+    s = V.segments(spark, sf_dir).filter(F.col("seg_end_us") - F.col("seg_start_us") >= V.HOUR)
+    best = s.groupBy("ifo").agg(F.max(F.struct((F.col("seg_end_us") - F.col("seg_start_us")).alias("n"), (-F.col("seg_start_us")).alias("o"), (-F.col("seg_id")).alias("i"), "seg_start_us", "seg_end_us", "seg_id")).alias("b"))
+    return best.select("ifo", "b.seg_id", r6((F.col("b.seg_start_us") + F.col("b.seg_end_us")) / 2e6, "centre_s"))
+
+
+@query("SELECT (SELECT max(gps_end) FROM v_state) AS last_end, (SELECT max(gps_end) FROM v_state WHERE run_id = 3) AS last_end_of_run, (SELECT min(gps_start) FROM v_state WHERE status IN ('done', 'gap')) AS first_start")
+def a15_a16_resume_points(spark, sf_dir):
+    b = V.state_blocks(spark, sf_dir)
+    return b.agg(F.max("gps_end").alias("last_end"), F.max(F.when(F.col("run_id") == 3, F.col("gps_end"))).alias("last_end_of_run"), F.min(F.when(F.col("status").isin("done", "gap"), F.col("gps_start"))).alias("first_start"))
+
+
+@query("SELECT count(*) AS n_blocks, count(*) FILTER (status = 'done') AS n_done, count(*) FILTER (status = 'gap') AS n_gap, count(*) FILTER (status = 'processing') AS n_processing, count(*) FILTER (status = 'error') AS n_error, count(*) FILTER (status = 'skipped') AS n_skipped, max(created_at) AS last_created FROM v_state")
+def a17_status(spark, sf_dir):
+    return state.status_counts(V.state_blocks(spark, sf_dir))
+
+
+@query("SELECT id, run_id, status, created_at FROM v_state ORDER BY created_at DESC, id DESC LIMIT 50")
+def a18_a20_recent_blocks(spark, sf_dir):
+    return state.recent(V.state_blocks(spark, sf_dir), 50).select("id", "run_id", "status", "created_at")
+
+
+@query("SELECT run_id, gps_start, arg_max(status, id) AS status FROM v_state GROUP BY 1, 2")
+def r10_current_status(spark, sf_dir):
+    return state.current_blocks(V.state_blocks(spark, sf_dir))
+
+
+@query("SELECT event_id_a, event_id_b, (row_number() OVER (ORDER BY far_hz, network_stat DESC, gps_us, template_id, event_id_a, event_id_b))::INT AS place FROM cand QUALIFY place <= 100")
+def a21_best_candidates(spark, sf_dir):
+    """The hundred best of the total order, a top-k report."""
+    top = candidates.ordered(_candidates(spark, sf_dir)).limit(100)
+    w = Window.orderBy(F.coalesce("far_hz", F.lit(1e9)), F.desc("network_stat"), "gps_us", "template_id", "event_id_a", "event_id_b")
+    return top.select("event_id_a", "event_id_b", F.row_number().over(w).alias("place"))
+
+
+@query("""WITH o AS (SELECT *, row_number() OVER (ORDER BY far_hz, network_stat DESC, gps_us, template_id, event_id_a, event_id_b) AS n FROM cand),
+    k AS (SELECT n, gps_us, [gps_us] AS kept, true AS keep, event_id_a, event_id_b FROM o WHERE n = 1 UNION ALL
+          SELECT o.n, o.gps_us, CASE WHEN len(list_filter(k.kept, lambda t: abs(t - o.gps_us) < 60000000)) > 0 THEN k.kept ELSE list_append(k.kept, o.gps_us) END,
+                 len(list_filter(k.kept, lambda t: abs(t - o.gps_us) < 60000000)) = 0, o.event_id_a, o.event_id_b FROM k JOIN o ON o.n = k.n + 1)
+    SELECT event_id_a, event_id_b FROM k WHERE keep""")
+def a22_deduplicated_candidates(spark, sf_dir):
+    return candidates.deduplicate(_candidates(spark, sf_dir), DEDUP).select("event_id_a", "event_id_b")
+
+
+@query("SELECT max(gps_us) + 4096000000 AS joint_end FROM v_triggers t WHERE ifo = 'H1' AND EXISTS (SELECT 1 FROM v_triggers o WHERE o.ifo = 'L1' AND abs(o.gps_us - t.gps_us) < 4096000000)")
+def a23_joint_end(spark, sf_dir):
+    t = V.triggers(spark, sf_dir).select("ifo", "gps_us")
+    near = range_join(t.filter("ifo = 'H1'"), t.filter("ifo = 'L1'").select(F.col("gps_us").alias("o")), "gps_us", "o", 4_096_000_000, strict=True, how="left_semi")
+    return near.agg((F.max("gps_us") + 4_096_000_000).alias("joint_end"))
+
+
+@query(f"""WITH r(run, run_start, run_end) AS (VALUES {_RUNS_SQL}) SELECT max(run_end) AS latest, max(run_end) FILTER (run_end < 1389456018.0) AS previous FROM r""", views=False)
+def s10_a25_run_ends(spark, sf_dir):
+    runs = spark.createDataFrame(frames.RUNS, "run string, run_start double, run_end double")
+    return runs.agg(F.max("run_end").alias("latest"), F.max(F.when(F.col("run_end") < 1389456018.0, F.col("run_end"))).alias("previous"))
+
+
+@query("""WITH w(days) AS (VALUES (1), (7), (30)), h AS (SELECT days, count(*) FILTER (snr > 400) AS n FROM w JOIN v_triggers ON gps_us >= 1706659200000000 - days * 86400000000 GROUP BY days)
+    SELECT days::INT AS days, n FROM h WHERE n > 0 ORDER BY days LIMIT 1""")
+def a24_widening_search(spark, sf_dir):
+    """The first window that finds anything, all windows counted in one pass."""
+    t = V.triggers(spark, sf_dir).filter("snr > 400")
+    counts = t.agg(*[F.count_if(F.col("gps_us") >= V.MONTH_END - d * 24 * V.HOUR).alias(f"d{d}") for d in (1, 7, 30)])
+    found = counts.select(F.explode(F.array(*[F.struct(F.lit(d).alias("days"), F.col(f"d{d}").alias("n")) for d in (1, 7, 30)])).alias("x")).select("x.days", "x.n")
+    return found.filter("n > 0").orderBy("days").limit(1)
+
+
+@query("SELECT ifo, count(*) AS n, count(DISTINCT template_id) AS n_templates, round(avg(new_snr), 6) AS mean_snr FROM v_triggers GROUP BY ifo")
+def a26_a27_triggers_by_sensor(spark, sf_dir):
+    return V.triggers(spark, sf_dir).groupBy("ifo").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("template_id").alias("n_templates"), r6(F.avg("new_snr"), "mean_snr"))
+
+
+# --- scalars ---
+
+
+@query("SELECT event_id, round(new_snr, 6) AS new_snr, round(rchisq, 6) AS rchisq, template_id::INT AS template_number FROM v_triggers")
+def f01_f02_f26_trigger_values(spark, sf_dir):
+    return V.triggers(spark, sf_dir).select("event_id", r6("new_snr", "new_snr"), r6("rchisq", "rchisq"), S.template_number(F.col("template_id")).alias("template_number"))
+
+
+@query("""SELECT p_partkey, round((a + b) * pow(a * b / ((a + b) * (a + b)), 0.6::DOUBLE), 6) AS chirp_mass, round(a * b / ((a + b) * (a + b)), 6) AS eta FROM (SELECT p_partkey, p_retailprice AS a, p_size::DOUBLE AS b FROM part)""", views=False)
+def f05_f06_masses(spark, sf_dir):
+    a, b = F.col("p_retailprice"), F.col("p_size").cast("double")
+    return V.read(spark, sf_dir, "part").select("p_partkey", r6(S.chirp_mass(a, b), "chirp_mass"), r6(S.mass_ratio_symmetric(a, b), "eta"))
+
+
+_DETECTORS_SQL = ", ".join(f"('{n}', {a}::DOUBLE, {b}::DOUBLE)" for n, a, b, _ in frames.DETECTORS)
+
+
+@query(f"""WITH d(name, lat, lon) AS (VALUES {_DETECTORS_SQL}), g AS (SELECT p.name AS a, q.name AS b, 2 * 6371000.0 * asin(sqrt(pow(sin(radians(q.lat - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(q.lat)) * pow(sin(radians(q.lon - p.lon) / 2), 2))) AS m FROM d p JOIN d q ON p.name < q.name)
+    SELECT a, b, round(m / 1000, 3) AS km, round(m / 299792458.0 * 1000, 6) AS light_ms FROM g""", views=False)
+def f08_f09_detector_distances(spark, sf_dir):
+    d = spark.createDataFrame(frames.DETECTORS, "name string, lat double, lon double, elevation double")
+    p, q = d.select(F.col("name").alias("a"), F.col("lat").alias("la"), F.col("lon").alias("lo")), d.select(F.col("name").alias("b"), F.col("lat").alias("lb"), F.col("lon").alias("ob"))
+    m = S.great_circle_m(F.col("la"), F.col("lo"), F.col("lb"), F.col("ob"))
+    return p.join(F.broadcast(q), F.col("a") < F.col("b")).select("a", "b", F.round(m / 1000, 3).alias("km"), r6(m / S.LIGHT_M_S * 1000, "light_ms"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN d > 365 THEN printf('%.1f yr', d / 365) WHEN d > 30 THEN printf('%.1f days', d) WHEN d > 1 THEN printf('%.2f days', d) ELSE printf('%.2f hr', d * 24) END AS ifar_text,
+    CASE WHEN d > 36500 THEN 'confident' WHEN d > 365 THEN 'marginal' ELSE 'noise' END AS assessment FROM (SELECT o_orderkey, o_orderkey * 0.3137::DOUBLE AS d FROM orders)""", views=False)
+def f22_f23_report_texts(spark, sf_dir):
+    d = F.col("o_orderkey") * 0.3137  # exact halves are rounded up here and to even in the SQL engine
+    return V.read(spark, sf_dir, "orders").select("o_orderkey", S.ifar_text(d).alias("ifar_text"), S.assessment(d).alias("assessment"))
+
+
+@query(f"""WITH r(run, run_start, run_end) AS (VALUES {_RUNS_SQL}), g AS (SELECT o_orderkey, 1126000000 + o_orderkey * 20000 AS gps FROM orders)
+    SELECT o_orderkey, strftime(make_timestamp((gps + 315964782) * 1000000), '%Y-%m-%d %H:%M:%S') || ' UTC' AS utc, coalesce(run, '?') AS run FROM g LEFT JOIN r ON gps >= run_start AND gps < run_end""", views=False)
+def f20_f21_gps_labels(spark, sf_dir):
+    gps = F.lit(1_126_000_000) + F.col("o_orderkey") * 20_000
+    rows = V.read(spark, sf_dir, "orders").select("o_orderkey", gps.alias("gps"))
+    runs = F.broadcast(spark.createDataFrame(frames.RUNS, "run string, run_start double, run_end double"))
+    return rows.join(runs, (F.col("gps") >= F.col("run_start")) & (F.col("gps") < F.col("run_end")), "left").select("o_orderkey", S.gps_to_utc(F.col("gps")).alias("utc"), F.coalesce("run", F.lit("?")).alias("run"))
+
+
+@query("""SELECT page_id, replace(replace(replace(substr(html, 1, 200), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS escaped, right(html, 4000) AS tail, array_to_string(string_split(html, '<')[-3:], '|') AS last_parts FROM pages""", views=False)
+def f24_f25_s30_texts(spark, sf_dir):
+    p = V.read(spark, sf_dir, "pages")
+    return p.select("page_id", S.escape_html(F.substring("html", 1, 200)).alias("escaped"), F.right("html", F.lit(4000)).alias("tail"), F.array_join(F.slice(F.split("html", "<"), -3, 3), "|").alias("last_parts"))
+
+
+# --- sources ---
+
+
+@query("""WITH f AS (SELECT o_orderkey, 'H-H1_X-' || (o_orderkey * 1000) || '-' || (100 + o_custkey % 9) || CASE WHEN o_orderkey % 7 = 0 THEN '.txt' ELSE '.hdf5' END AS file FROM orders),
+    c AS (SELECT *, nullif(regexp_extract(file, '-([0-9]+)-([0-9]+)\\.(gwf|hdf5)$', 1), '')::BIGINT AS s, nullif(regexp_extract(file, '-([0-9]+)-([0-9]+)\\.(gwf|hdf5)$', 2), '')::BIGINT AS d FROM f),
+    r AS (SELECT o_orderkey, s AS file_start, s + d AS file_end, greatest(greatest(s + 10 - 32, 0), s) AS read_start, least(s + 90 + 32, s + d) AS read_end FROM c)
+    SELECT * FROM r WHERE read_end - read_start BETWEEN 64 AND 6000""", views=False)
+def s03_s04_s05_file_ranges(spark, sf_dir):
+    o = V.read(spark, sf_dir, "orders")
+    name = F.concat(F.lit("H-H1_X-"), (F.col("o_orderkey") * 1000).cast("string"), F.lit("-"), (F.lit(100) + F.col("o_custkey") % 9).cast("string"), F.when(F.col("o_orderkey") % 7 == 0, ".txt").otherwise(".hdf5"))
+    start, end = frames.coverage(name)
+    rows = o.select("o_orderkey", start.alias("file_start"), end.alias("file_end")).withColumn("block_start", F.col("file_start") + 10).withColumn("block_end", F.col("file_start") + 90)
+    return frames.requests(rows).select("o_orderkey", "file_start", "file_end", "read_start", "read_end")
+
+
+@query("""WITH f AS (SELECT 'f' || o_orderkey AS file, o_orderkey * 4096 AS file_start, o_orderkey * 4096 + 4096 - o_custkey % 2 * 512 AS file_end FROM orders), b AS (SELECT i * 512 AS block_start, i * 512 + 512 AS block_end FROM range(5000) r(i))
+    SELECT block_start, block_end, min(file) AS file FROM b JOIN f ON file_start <= block_start AND block_end <= file_end GROUP BY 1, 2""", views=False)
+def s06_containing_file(spark, sf_dir):
+    o = V.read(spark, sf_dir, "orders")
+    files = o.select(F.concat(F.lit("f"), F.col("o_orderkey").cast("string")).alias("file"), (F.col("o_orderkey") * 4096).alias("file_start"), (F.col("o_orderkey") * 4096 + 4096 - F.col("o_custkey") % 2 * 512).alias("file_end"))
+    blocks = spark.range(5000).select((F.col("id") * 512).alias("block_start"), (F.col("id") * 512 + 512).alias("block_end"))
+    return frames.containing(blocks, files)
+
+
+@query("SELECT name, arg_max(cat_us, (page, cat_us)) AS gps FROM (SELECT 'EV' || (event_id % 97) AS name, epoch_us(ts) AS cat_us, event_id // 1000 AS page FROM events) GROUP BY name", views=False)
+def s17_paged_catalogue(spark, sf_dir):
+    e = V.read(spark, sf_dir, "events")
+    return frames.resolve_pages(e.select(F.concat(F.lit("EV"), (F.col("event_id") % 97).cast("string")).alias("name"), V.micros(F.col("ts")).alias("gps"), F.floor(F.col("event_id") / 1000).alias("page")))
+
+
+@query("SELECT event_type AS k, arg_max(props, event_id) AS v FROM events GROUP BY 1", views=False)
+def s26_s27_latest_values(spark, sf_dir):
+    return state.latest_values(V.read(spark, sf_dir, "events").select(F.col("event_type").alias("k"), F.col("props").alias("v"), F.col("event_id").alias("seq")))
+
+
+@query("SELECT block_start_us, block_end_us FROM v_blocks")
+def g16_blocks(spark, sf_dir):
+    return V.blocks(spark)
+
+
+# --- banks ---
+
+
+@query("""WITH m AS (SELECT i, round(2 + i * 0.8660254037844386::DOUBLE, 3) AS m FROM range(21) r(i)), s(i, s) AS (VALUES (0, -0.5::DOUBLE), (1, 0.0::DOUBLE), (2, 0.5::DOUBLE))
+    SELECT ((a.i * 1000000 + b.i) * 9 + p.i * 3 + q.i)::BIGINT AS gen, greatest(a.m, b.m) AS mass1, least(a.m, b.m) AS mass2, p.s AS spin1z, q.s AS spin2z, 'SEOBNRv4' AS approximant, 30.0::DOUBLE AS f_lower
+    FROM m a, m b, s p, s q WHERE greatest(a.m, b.m) + least(a.m, b.m) >= 4""", views=False)
+def g01_g02_g03_grid_bank(spark, sf_dir):
+    return bank.grid_bank(spark, 2, 20, 2, 20, spins=[-0.5, 0.0, 0.5])
+
+
+def _square_sql(events, n):
+    return f"""WITH e(centre, c1, c2) AS (VALUES {", ".join(f"({i}, {a}::DOUBLE, {b}::DOUBLE)" for i, (a, b) in enumerate(events))}),
+    g AS (SELECT centre, c1 * 0.8::DOUBLE + i * ((c1 * 1.2::DOUBLE - c1 * 0.8::DOUBLE) / {n - 1}) AS mass1, c2 * 0.8::DOUBLE + j * ((c2 * 1.2::DOUBLE - c2 * 0.8::DOUBLE) / {n - 1}) AS mass2 FROM e, range({n}) p(i), range({n}) q(j))"""
+
+
+@query(_square_sql([(36.2, 29.1)], 15) + " SELECT round(mass1, 6) AS mass1, round(mass2, 6) AS mass2, 'IMRPhenomD' AS approximant, 15.0::DOUBLE AS f_lower FROM g WHERE mass1 >= mass2", views=False)
+def g04_targeted_bank(spark, sf_dir):
+    return bank.targeted_bank(spark, 15).select(r6("mass1", "mass1"), r6("mass2", "mass2"), "approximant", "f_lower")
+
+
+@query("SELECT round(a, 6) AS mass1, round(b, 6) AS mass2 FROM (SELECT 5.0::DOUBLE + i * ((80.0::DOUBLE - 5.0) / 30) AS a, 5.0::DOUBLE + j * ((80.0::DOUBLE - 5.0) / 30) AS b FROM range(31) p(i), range(31) q(j)) WHERE a >= b", views=False)
+def g05_moderate_bank(spark, sf_dir):
+    return bank.moderate_bank(spark, 5.0, 80.0, 500).select(r6("mass1", "mass1"), r6("mass2", "mass2"))
+
+
+@query(_square_sql(bank.EVENT_MASSES, 10) + " SELECT centre, round(mass1, 6) AS mass1, round(mass2, 6) AS mass2, CASE WHEN mass1 + mass2 < 3.0 THEN 'TaylorF2' ELSE 'IMRPhenomD' END AS approximant, CASE WHEN mass1 + mass2 > 3.0 THEN 15.0::DOUBLE ELSE 20.0::DOUBLE END AS f_lower FROM g WHERE mass1 >= mass2", views=False)
+def g06_multi_event_bank(spark, sf_dir):
+    return bank.multi_event_bank(spark).select("centre", r6("mass1", "mass1"), r6("mass2", "mass2"), "approximant", "f_lower")
+
+
+@query()
+def g07_stochastic_bank(spark, sf_dir):
+    return bank.stochastic_bank(spark, 10, 80, 10, 80)
+
+
+@query("SELECT slide, offset_us FROM slides")
+def g11_slide_offsets(spark, sf_dir):
+    return background.offsets(spark, SLIDES, SPACING)
+
+
+@query(f"WITH {_SUBSET} SELECT slide, offset_us FROM s")
+def g12_slide_subset(spark, sf_dir):
+    return background.offsets_subset(spark, 30 * V.MINUTE, 24 * V.HOUR, 20)
+
+
+@query("SELECT a.offset_us AS offset_1, b.offset_us AS offset_2 FROM slides a, slides b")
+def g13_slide_grid(spark, sf_dir):
+    return background.offset_pairs(background.offsets(spark, SLIDES, SPACING), "full_grid")
+
+
+# --- arrays and windows ---
+
+
+@query("""SELECT series_id, round(sqrt(list_sum(list_transform(arr, lambda x: x * x)) / len(arr)), 6) AS rms, round(len(list_filter(arr, lambda x: x = 0)) / len(arr), 6) AS zero_fraction, round(list_median(arr), 9) AS median FROM v_series""")
+def v01_v02_v03_series_checks(spark, sf_dir):
+    s = V.series(spark, sf_dir).withColumn("arr", arrays.sanitise(F.col("arr")))
+    return s.select("series_id", r6(arrays.rms(F.col("arr")), "rms"), r6(arrays.fraction(F.col("arr"), lambda x: x == 0), "zero_fraction"), F.round(arrays.median(F.col("arr")), 9).alias("median"))
+
+
+@query("""WITH c AS (SELECT series_id, list_transform(arr, lambda x: greatest(x, 1e-40::DOUBLE)) AS a FROM v_series), m AS (SELECT series_id, a, 0.5 * list_median(list_filter(a, lambda x: x > 0)) AS f FROM c)
+    SELECT series_id, round(list_sum(list_transform(a, lambda x: greatest(x, f))), 6) AS total FROM m""")
+def v10_v11_spectrum_floor(spark, sf_dir):
+    s = V.series(spark, sf_dir).withColumn("arr", arrays.floor_spectrum(F.col("arr"), share=0.5))
+    return s.select("series_id", r6(arrays.total(F.col("arr")), "total"))
+
+
+@query("""SELECT a.series_id, t.series_id AS template_id, round(greatest(-1, least(1, list_cosine_similarity(a.arr, t.arr))), 6) AS match FROM v_series a JOIN v_series t ON t.series_id < 10""")
+def v20_j13_template_matches(spark, sf_dir):
+    """Each template against each series; the template bank is a parameter of ten rows."""
+    s = V.series(spark, sf_dir)
+    t = s.filter("series_id < 10").select(F.col("series_id").alias("template_id"), F.col("arr").alias("template"))
+    return s.crossJoin(F.broadcast(t)).select("series_id", "template_id", r6(arrays.match(F.col("arr"), F.col("template")), "match"))
+
+
+_PEAKS = "p AS (SELECT series_id, unnest(range(len(arr))) AS i, abs(unnest(arr)) AS v FROM v_series), t AS (SELECT * FROM p WHERE v >= 0.15)"
+
+
+@query(f"WITH {_PEAKS} SELECT series_id, i::INT AS i, round(v, 9) AS v FROM t a WHERE NOT EXISTS (SELECT 1 FROM t b WHERE b.series_id = a.series_id AND abs(b.i - a.i) <= 5 AND (b.v > a.v OR (b.v = a.v AND b.i < a.i)))")
+def w01_clustered_peaks(spark, sf_dir):
+    """Samples below the threshold are dropped inside the array, before anything is exploded."""
+    s = V.series(spark, sf_dir)
+    marked = F.filter(F.transform("arr", lambda x, i: F.struct(i.alias("i"), F.abs(x).alias("v"))), lambda p: p["v"] >= 0.15)
+    peaks = s.select("series_id", F.explode(marked).alias("p")).select("series_id", "p.i", "p.v")
+    return arrays.cluster(peaks, ["series_id"], "i", "v", 5).select("series_id", "i", F.round("v", 9).alias("v"))
+
+
+_GATES = """x AS (SELECT series_id, len(arr) AS n, unnest(range(len(arr))) AS i, unnest(arr) AS v, 1.5 * sqrt(list_var_pop(arr)) AS thr FROM v_series), h AS (SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY series_id ORDER BY i) <= 3 THEN 0 ELSE 1 END AS brk FROM x WHERE abs(v) > thr),
+    u AS (SELECT *, sum(brk) OVER (PARTITION BY series_id ORDER BY i) AS run FROM h), g AS (SELECT series_id, greatest(min(i) - 3, 0) AS s, least(max(i) + 3, max(n) - 1) AS e FROM u GROUP BY series_id, run)"""
+
+
+@query(f"WITH {_GATES} SELECT series_id, s::INT AS s, least(s + 12, e)::INT AS e FROM g")
+def w02_gates(spark, sf_dir):
+    return arrays.gates(V.series(spark, sf_dir), "series_id", "arr", 1.5, 3, 12)
+
+
+@query("SELECT series_id, len(arr[c + 1 : len(arr) - c])::INT AS n, round(list_sum(arr[c + 1 : len(arr) - c]), 6) AS total, ceil(len(arr) / 10.0)::INT AS n_chunks FROM (SELECT *, least(8, len(arr) // 8) AS c FROM v_series)")
+def w05_g17_crops_and_chunks(spark, sf_dir):
+    a = arrays.crop(F.col("arr"), 2.0)
+    return V.series(spark, sf_dir).select("series_id", F.size(a).alias("n"), r6(arrays.total(a), "total"), F.size(arrays.chunks(F.col("arr"), 10)).alias("n_chunks"))
+
+
+@query()
+def v17_w01_v18_matched_filter(spark, sf_dir):
+    """Triggers of every series against a bank of waveforms, by one numpy kernel."""
+    return signal.triggers(V.series(spark, sf_dir).select("series_id", "ifo", "arr"), signal.demo_bank(), rate=64.0, threshold=1.5, chisq_from=2.0)
+
+
+@query()
+def v05_v07_conditioned_series(spark, sf_dir):
+    """High-passed series and their power spectra."""
+    return signal.condition(V.series(spark, sf_dir), rate=64.0, cut=2.0, segment=32)
+
+
+# --- streaming ---
+
+
+@query("SELECT epoch_us(ts) // 21600000000 * 21600000000 AS block_start_us, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2", views=False)
+def r04_event_blocks(spark, sf_dir):
+    """Tumbling blocks, batch form; the tests hold the streaming form against it."""
+    e = V.read(spark, sf_dir, "events").withColumn("t", F.col("ts").cast("timestamp"))
+    b = e.groupBy(F.window("t", "6 hours"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    return b.select(F.unix_micros("window.start").alias("block_start_us"), "event_type", "n", "total")
