@@ -66,7 +66,7 @@ def moderate_bank(spark: SparkSession, lo: float, hi: float, templates: int = 50
     return a.crossJoin(F.broadcast(b)).filter("mass1 >= mass2")
 
 
-def multi_event_bank(spark: SparkSession, events: list[tuple[float, float]] | None = None, margin: float = 0.2, points: int = 100) -> DataFrame:
+def multi_event_bank(spark: SparkSession, events: list[tuple[float, float]] | None = None, margin: float = 0.15, points: int = 64) -> DataFrame:
     total = F.col("mass1") + F.col("mass2")
     grid = square_bank(spark, events or EVENT_MASSES, margin, int(math.sqrt(points)))
     return grid.select("centre", "mass1", "mass2", F.when(total < 3.0, "TaylorF2").otherwise("IMRPhenomD").alias("approximant"), F.when(total > 3.0, 15.0).otherwise(20.0).alias("f_lower"))

@@ -394,9 +394,9 @@ def f08_f09_detector_distances(spark, sf_dir):
 
 
 @query("""SELECT o_orderkey, CASE WHEN d > 365 THEN printf('%.1f yr', d / 365) WHEN d > 30 THEN printf('%.1f days', d) WHEN d > 1 THEN printf('%.2f days', d) ELSE printf('%.2f hr', d * 24) END AS ifar_text,
-    CASE WHEN d > 36500 THEN 'confident' WHEN d > 365 THEN 'marginal' ELSE 'noise' END AS assessment FROM (SELECT o_orderkey, o_orderkey * 0.3137::DOUBLE AS d FROM orders)""", views=False)
+    CASE WHEN d > 36500 THEN 'confident' WHEN d > 365 THEN 'marginal' ELSE 'noise' END AS assessment FROM (SELECT o_orderkey, o_orderkey * 0.31371::DOUBLE AS d FROM orders)""", views=False)
 def f22_f23_report_texts(spark, sf_dir):
-    d = F.col("o_orderkey") * 0.3137  # exact halves are rounded up here and to even in the SQL engine
+    d = F.col("o_orderkey") * 0.31371  # exact halves are rounded up here and to even in the SQL engine
     return V.read(spark, sf_dir, "orders").select("o_orderkey", S.ifar_text(d).alias("ifar_text"), S.assessment(d).alias("assessment"))
 
 
@@ -465,12 +465,12 @@ def g01_g02_g03_grid_bank(spark, sf_dir):
     return bank.grid_bank(spark, 2, 20, 2, 20, spins=[-0.5, 0.0, 0.5])
 
 
-def _square_sql(events, n):
+def _square_sql(events, n, margin):
     return f"""WITH e(centre, c1, c2) AS (VALUES {", ".join(f"({i}, {a}::DOUBLE, {b}::DOUBLE)" for i, (a, b) in enumerate(events))}),
-    g AS (SELECT centre, c1 * 0.8::DOUBLE + i * ((c1 * 1.2::DOUBLE - c1 * 0.8::DOUBLE) / {n - 1}) AS mass1, c2 * 0.8::DOUBLE + j * ((c2 * 1.2::DOUBLE - c2 * 0.8::DOUBLE) / {n - 1}) AS mass2 FROM e, range({n}) p(i), range({n}) q(j))"""
+    g AS (SELECT centre, c1 * {1 - margin}::DOUBLE + i * ((c1 * {1 + margin}::DOUBLE - c1 * {1 - margin}::DOUBLE) / {n - 1}) AS mass1, c2 * {1 - margin}::DOUBLE + j * ((c2 * {1 + margin}::DOUBLE - c2 * {1 - margin}::DOUBLE) / {n - 1}) AS mass2 FROM e, range({n}) p(i), range({n}) q(j))"""
 
 
-@query(_square_sql([(36.2, 29.1)], 15) + " SELECT round(mass1, 6) AS mass1, round(mass2, 6) AS mass2, 'IMRPhenomD' AS approximant, 15.0::DOUBLE AS f_lower FROM g WHERE mass1 >= mass2", views=False)
+@query(_square_sql([(36.2, 29.1)], 15, 0.2) + " SELECT round(mass1, 6) AS mass1, round(mass2, 6) AS mass2, 'IMRPhenomD' AS approximant, 15.0::DOUBLE AS f_lower FROM g WHERE mass1 >= mass2", views=False)
 def g04_targeted_bank(spark, sf_dir):
     return bank.targeted_bank(spark, 15).select(r6("mass1", "mass1"), r6("mass2", "mass2"), "approximant", "f_lower")
 
@@ -480,7 +480,7 @@ def g05_moderate_bank(spark, sf_dir):
     return bank.moderate_bank(spark, 5.0, 80.0, 500).select(r6("mass1", "mass1"), r6("mass2", "mass2"))
 
 
-@query(_square_sql(bank.EVENT_MASSES, 10) + " SELECT centre, round(mass1, 6) AS mass1, round(mass2, 6) AS mass2, CASE WHEN mass1 + mass2 < 3.0 THEN 'TaylorF2' ELSE 'IMRPhenomD' END AS approximant, CASE WHEN mass1 + mass2 > 3.0 THEN 15.0::DOUBLE ELSE 20.0::DOUBLE END AS f_lower FROM g WHERE mass1 >= mass2", views=False)
+@query(_square_sql(bank.EVENT_MASSES, 8, 0.15) + " SELECT centre, round(mass1, 6) AS mass1, round(mass2, 6) AS mass2, CASE WHEN mass1 + mass2 < 3.0 THEN 'TaylorF2' ELSE 'IMRPhenomD' END AS approximant, CASE WHEN mass1 + mass2 > 3.0 THEN 15.0::DOUBLE ELSE 20.0::DOUBLE END AS f_lower FROM g WHERE mass1 >= mass2", views=False)
 def g06_multi_event_bank(spark, sf_dir):
     return bank.multi_event_bank(spark).select("centre", r6("mass1", "mass1"), r6("mass2", "mass2"), "approximant", "f_lower")
 
