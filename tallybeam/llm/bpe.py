@@ -27,7 +27,7 @@ from tallybeam.llm.common import map_batches, texts
 #: The split pattern of byte-level BPE.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pieces of SHORT characters at most that a process remembers, in each of two generations, so memory stays bounded on any corpus.
-REMEMBERED, SHORT = 1 << 18, 48
+REMEMBERED, SHORT = 1 << 18, 40
 #: Pieces that are merged in lockstep.
 LOCKSTEP = 1 << 12
 SHIFT = 28
@@ -65,6 +65,10 @@ class Memo(dict):
         self.older = dict(self)
         self.clear()
 
+    def forget(self) -> None:
+        self.older = {}
+        self.clear()
+
 
 class Codec:
     """Encoder and decoder of one vocabulary, given as the JSON text of a tokenizers file."""
@@ -82,6 +86,7 @@ class Codec:
         self.ranks = {vocab[a] << SHIFT | vocab[b]: rank << SHIFT for rank, (a, b) in enumerate(pairs)}
         self.merged = [vocab[a + b] for a, b in pairs]
         self.byte_array, self.merged_array = np.array(self.byte_ids, np.int64), np.array([*self.merged, 0], np.int64)
+        self.numbers = np.array(range(max(vocab.values(), default=0) + 1), object)  # one int object for each id, shared by all remembered pieces
         self.keys = np.array(sorted(self.ranks) or [-1], np.int64)
         self.key_ranks = np.array([self.ranks.get(k, NONE) for k in self.keys.tolist()], np.int64)
         self.pieces: dict[int, bytes] = {i: b"".join(map(back.__getitem__, t)) for t, i in vocab.items()}
@@ -180,7 +185,7 @@ class Codec:
             piece = piece[tree[1, piece] != NONE]
         living = ids.T >= 0
         ends = np.cumsum(living.sum(axis=1)).tolist()
-        flat_ids = tuple(ids.T[living].tolist())
+        flat_ids = tuple(self.numbers[ids.T[living]].tolist())
         return [flat_ids[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
     def leaves(self, left: np.ndarray, right: np.ndarray, position: np.ndarray) -> np.ndarray:
@@ -248,7 +253,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None, text: str = "text", k
         ids = c.encode_all([x.decode() for x in texts(batch.column(1))])
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], [key, "ids"])
 
-    return map_batches(docs.select(key, text), work, f"`{key}` {kind}, ids array<int>", text)
+    return map_batches(docs.select(key, text), work, f"`{key}` {kind}, ids array<int>", text, lambda: codec().known.forget())
 
 
 def decode(encoded: DataFrame, vocabulary: str | None = None, key: str = "doc_id") -> DataFrame:
@@ -278,7 +283,7 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None) -> DataFram
             ["doc_id", "source", "n_tokens", "ids", "round_trip"],
         )
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), "source", "text"), work, "doc_id long, source string, n_tokens long, ids array<int>, round_trip boolean", "text")
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "source", "text"), work, "doc_id long, source string, n_tokens long, ids array<int>, round_trip boolean", "text", lambda: codec().known.forget())
 
 
 def digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
@@ -300,4 +305,4 @@ def digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
         )
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", "text")
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", "text", lambda: codec().known.forget())

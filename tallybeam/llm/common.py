@@ -87,16 +87,28 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
             yield batch.slice(start)
 
 
-def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, column: str) -> DataFrame:
-    """work on small batches of df by mapInArrow, cut by the bytes of a text column."""
+def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, column: str, done: Callable[[], None] | None = None) -> DataFrame:
+    """work on small batches of df by mapInArrow, cut by the bytes of a text column; done() ends each task, as processes outlive tasks."""
+    bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, column):
-            yield work(batch)
+        try:
+            for batch in slices(batches, column):
+                yield work(batch)
+        finally:
+            if done:
+                done()
 
     return df.mapInArrow(run, schema)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound what Spark sends to Python at once to twice SLICE_BYTES, if the session still has Spark's default of 64 MB."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) in ("67108864b", "67108864", "64MB"):
+        spark.conf.set(name, str(2 * SLICE_BYTES))
+
+
 def texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; null counts as empty."""
     return [x or b"" for x in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()]

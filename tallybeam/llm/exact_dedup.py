@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybeam.llm.common import LOWER_ASCII, map_batches, materialise, slices, texts
+from tallybeam.llm.common import LOWER_ASCII, bound_batches, map_batches, materialise, slices, texts
 
 #: Counters of a Misra-Gries summary: digests with two parts in K + 1 of all rows or more are found for certain.
 K = 1024
@@ -106,6 +106,7 @@ def drop_copies(docs: DataFrame, k: int = K) -> DataFrame:
     """
     winners = F.broadcast(verified(materialise(with_digests(docs), "digests"), k).select(F.col("digest").alias("_tb_digest"), F.col("keep_id").alias("_tb_keep")))
     schema = docs.schema
+    bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):

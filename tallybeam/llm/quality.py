@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybeam.llm.common import LOWER_ASCII, map_batches, slices, texts
+from tallybeam.llm.common import LOWER_ASCII, bound_batches, map_batches, slices, texts
 
 SAMPLE, THRESHOLD, FOLDS = 20_000, 0.3, 5
 ROUNDS, RATE, BINS, PAIRS, PAIR_BINS, RIDGE, LEAST_ROWS = 120, 0.15, 48, 8, 8, 5.0, 8
@@ -204,6 +204,7 @@ def _scores(column: pa.Array, model: Additive) -> np.ndarray:
 def drop_rejected(docs: DataFrame, model: Additive, threshold: float = THRESHOLD) -> DataFrame:
     """docs that the model accepts, all columns kept; filtered where the rows are, without a shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    bound_batches(docs.sparkSession)
 
     def run(batches):
         for batch in slices(batches, "text"):
