@@ -88,7 +88,7 @@ def detchar_rank(stat: Column, mean_rchisq: Column) -> Column:
 
 def gps_to_utc(gps_s: Column, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     """UTC text; a dash for null or 0."""
-    when = F.timestamp_micros(((gps_s + GPS_TO_UNIX_S) * 1_000_000).cast("long"))
+    when = F.timestamp_micros(((gps_s.cast("double") + GPS_TO_UNIX_S) * 1e6).cast("long"))
     return F.when(gps_s.isNull() | (gps_s == 0), "-").otherwise(F.concat(F.date_format(when, pattern), F.lit(" UTC")))
 
 

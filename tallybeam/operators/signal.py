@@ -132,7 +132,10 @@ def filtered(x: np.ndarray, h: np.ndarray, psd: np.ndarray, rate: float, f_lower
 
 
 def power_chisq(x: np.ndarray, h: np.ndarray, psd: np.ndarray, rate: float, f_lower: float, at: np.ndarray, bins: int = 16) -> np.ndarray:
-    """Chi-square of `bins` bands of equal template power at the given samples; 2 * bins - 2 degrees of freedom."""
+    """Chi-square of `bins` bands of about equal template power at the given samples; 2 * bins - 2 degrees of freedom.
+
+    Bands end at frequency samples, so each band's own share of the power is used.
+    """
     f, df = np.fft.rfftfreq(len(x), 1 / rate), rate / len(x)
     band = (f >= f_lower) & (f > 0)
     power = np.where(band, np.abs(h) ** 2 / psd, 0)
@@ -143,7 +146,8 @@ def power_chisq(x: np.ndarray, h: np.ndarray, psd: np.ndarray, rate: float, f_lo
     integrand = np.where(band, np.fft.rfft(x) / rate * np.conj(h) / psd, 0)
     waves = np.exp(2j * np.pi * np.outer(at, np.arange(len(f))) / len(x))
     parts = np.stack([4 * df * (waves[:, share == b] @ integrand[share == b]) / whole for b in range(bins)])
-    return bins * (np.abs(parts - parts.sum(axis=0) / bins) ** 2).sum(axis=0)
+    own = (np.bincount(share, power, bins) / power.sum())[:, None]
+    return (np.abs(parts - own * parts.sum(axis=0)) ** 2 / np.maximum(own, 1e-12)).sum(axis=0, where=own > 0)
 
 
 def peaks(a: np.ndarray, threshold: float, window: int) -> np.ndarray:
