@@ -6,7 +6,7 @@ so there is no loop over slides and every slide is spread over the cluster.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybeam.functions.scalars import network_stat
@@ -74,6 +74,14 @@ def excise(triggers: DataFrame, loud: DataFrame, half_width_us: int) -> DataFram
     return range_join(triggers, loud.select("loud_us").distinct(), "gps_us", "loud_us", half_width_us, strict=True, how="left_anti")
 
 
+def _place(x: Column, limits: list[float], base: int) -> Column:
+    """base plus the number of limits below x, as a balanced tree of comparisons in generated code."""
+    if not limits:
+        return F.lit(base)
+    m = len(limits) // 2
+    return F.when(x > F.lit(limits[m]), _place(x, limits[m + 1 :], base + m + 1)).otherwise(_place(x, limits[:m], base))
+
+
 def count_louder(foreground: DataFrame, background: DataFrame, stat: str = "network_stat", parts: int = 64) -> DataFrame:
     """foreground with n_louder (background rows of a statistic >= its own) and n_background.
 
@@ -83,8 +91,7 @@ def count_louder(foreground: DataFrame, background: DataFrame, stat: str = "netw
     fg = foreground.withColumn("_id", F.monotonically_increasing_id())
     line = fg.select(F.col(stat).alias("_s"), F.lit(0).alias("_bg"), "_id").unionByName(background.select(F.col(stat).alias("_s"), F.lit(1).alias("_bg"), F.lit(None).cast("long").alias("_id")))
     cuts = background.approxQuantile(stat, [i / parts for i in range(1, parts)], 0.01)
-    limits = F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else F.array(F.lit(0.0))
-    part = F.size(F.filter(limits, lambda c: F.col("_s") > c))
+    part = _place(F.col("_s"), sorted(set(cuts)), 0)
     line = line.withColumn("_part", part)
     totals = line.groupBy("_part").agg(F.sum("_bg").alias("n"))
     above = totals.withColumn("_above", F.coalesce(F.sum("n").over(Window.orderBy(F.col("_part").desc()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("n_background", F.coalesce(F.sum("n").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), F.lit(0)))
