@@ -1,0 +1,45 @@
+"""The whole search on two sensors with a signal in both."""
+
+import numpy as np
+import pytest
+
+from tallybeam.config import Config
+from tallybeam.operators import signal
+from tallybeam.search import resume_from, run_search
+from tallybeam.sources.state import State
+
+
+def test_config():
+    c = Config.from_text('{"runtime": {"ifos": ["H1"], "threshold": 0}, "bank": {"quick": true}}')
+    assert c.runtime.ifos == ("H1",) and c.runtime.threshold == 0 and c.bank.quick
+    assert c.hash() != Config().hash() and Config.from_text(c.to_json()).hash() == c.hash()
+    with pytest.raises(ValueError):
+        Config.of({"runtime": {"nothing": 1}})
+
+
+def test_search_finds_the_common_signal(spark, tmp_path):
+    rate, n, at = 256.0, 4096, 2000
+    h = signal.taylor_f2(120.0, 100.0, n, rate, 10.0)
+    wave = np.fft.irfft(h * np.exp(-2j * np.pi * np.fft.rfftfreq(n, 1 / rate) * at / rate), n)
+    rows = []
+    for k, block in enumerate((0, 16_000_000)):
+        for i, ifo in enumerate(("H1", "L1")):
+            noise = np.random.default_rng(10 * k + i).normal(size=n)
+            rows.append((2 * k + i, ifo, block, (noise + (k == 0) * 6 * wave / np.abs(wave).max()).tolist()))
+    rows.append((99, "L1", 32_000_000, [0.0] * n))
+    series = spark.createDataFrame(rows, "series_id long, ifo string, t0_us long, arr array<double>")
+    cfg = Config.of({
+        "conditioning": {"rate": rate, "highpass": 8.0, "segment_s": 2.0}, "bank": {"method": "grid", "mass1": [118.0, 122.0], "mass2": [98.0, 102.0], "mismatch": 0.2, "f_lower": 10.0},
+        "background": {"slides": 5, "spacing_s": 0.5, "window_s": 0.05, "excise_above": 14.0}, "runtime": {"threshold": 4.0, "chisq_from": 5.0, "cluster_s": 0.5, "block_s": 16.0},
+    })
+    root = f"file://{tmp_path}"
+    catalogue = spark.createDataFrame([("known", int(at / rate * 1e6))], "name string, cat_us long")
+    found = run_search(spark, series, cfg, root, catalogue).orderBy("far_hz", "network_stat").collect()
+    best = max(found, key=lambda r: r.network_stat)
+    assert abs(best.gps_us - at / rate * 1e6) < 50_000 and best.known_event == "known" and best.ifar_days > 0
+    state = State(spark, f"{root}/state")
+    assert state.read("candidates").count() == len(found)
+    assert sorted(r.status for r in state.read("blocks").collect()) == ["done"] * 3 + ["processing"] * 3
+    assert resume_from(state, 1000.0, 10.0, "resume") == 48.0
+    assert resume_from(state, 1000.0, 10.0) == 990.0 and resume_from(state, 1000.0, 10.0, "gps", 5.0) == 5.0
+    assert spark.read.json(f"{root}/output/candidates.jsonl").count() == len(found)
