@@ -88,8 +88,9 @@ def count_louder(foreground: DataFrame, background: DataFrame, stat: str = "netw
     Both are laid on one line and counted by a range-partitioned running sum: parts by quantile, a running sum inside each, and the
     parts' totals added, so neither side is broadcast or gathered in one task.
     """
-    fg = foreground.withColumn("_id", F.monotonically_increasing_id())
-    line = fg.select(F.col(stat).alias("_s"), F.lit(0).alias("_bg"), "_id").unionByName(background.select(F.col(stat).alias("_s"), F.lit(1).alias("_bg"), F.lit(None).cast("long").alias("_id")))
+    row = F.struct(*[F.col(f"`{c}`") for c in foreground.columns])
+    line = foreground.select(F.col(stat).alias("_s"), F.lit(0).alias("_bg"), row.alias("_row"))
+    line = line.unionByName(background.select(F.col(stat).alias("_s"), F.lit(1).alias("_bg")), allowMissingColumns=True)
     cuts = background.approxQuantile(stat, [i / parts for i in range(1, parts)], 0.01)
     part = _place(F.col("_s"), sorted(set(cuts)), 0)
     line = line.withColumn("_part", part)
@@ -97,4 +98,4 @@ def count_louder(foreground: DataFrame, background: DataFrame, stat: str = "netw
     above = totals.withColumn("_above", F.coalesce(F.sum("n").over(Window.orderBy(F.col("_part").desc()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("n_background", F.coalesce(F.sum("n").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), F.lit(0)))
     running = F.sum("_bg").over(Window.partitionBy("_part").orderBy(F.col("_s").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow))
     counted = line.withColumn("_run", running).filter("_bg = 0").join(F.broadcast(above), "_part")  # `parts` rows
-    return fg.join(counted.select("_id", (F.col("_run") + F.col("_above")).alias("n_louder"), "n_background"), "_id").drop("_id")
+    return counted.select("_row.*", (F.col("_run") + F.col("_above")).alias("n_louder"), "n_background")

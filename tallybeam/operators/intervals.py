@@ -19,7 +19,7 @@ def time_bin(t: Column, width: int) -> Column:
 def range_join(left: DataFrame, right: DataFrame, left_time: str, right_time: str, window: int, on: list[tuple[str, str]] = (), strict: bool = False, how: str = "inner") -> DataFrame:
     """Rows with |left - right| <= window (< if strict) and equal `on` columns; names of both sides must differ.
 
-    how: inner, left_semi or left_anti. Null times or keys never match.
+    how: inner, left, left_semi or left_anti. Null times or keys never match.
     """
     width = max(1, int(window))
     a = left.withColumn("_bin_a", time_bin(F.col(left_time), width))
@@ -32,10 +32,15 @@ def range_join(left: DataFrame, right: DataFrame, left_time: str, right_time: st
 
 
 def nearest(left: DataFrame, right: DataFrame, left_key: str, left_time: str, right_time: str, name: str, tolerance: int) -> DataFrame:
-    """Each left row with `name` of the right row nearest in time within the tolerance (ties: earlier, then smaller name), else null."""
-    hits = range_join(left.select(left_key, left_time), right.select(F.col(right_time).alias("_rt"), F.col(name).alias("_name")), left_time, "_rt", tolerance)
-    best = hits.groupBy(left_key).agg(F.min(F.struct(F.abs(F.col(left_time) - F.col("_rt")).alias("gap"), F.col("_rt").alias("t"), F.col("_name").alias("name"))).alias("_best"))
-    return left.join(best, left_key, "left").select(*left.columns, F.col("_best.name").alias(name), F.col("_best.gap").alias("match_gap"))
+    """Each left row (left_key identifies it) with `name` of the right row nearest in time within the tolerance (ties: earlier, then smaller name), else null.
+
+    One outer range join and one aggregation, so the left side is evaluated once.
+    """
+    hits = range_join(left, right.select(F.col(right_time).alias("_rt"), F.col(name).alias("_name")), left_time, "_rt", tolerance, how="left")
+    gap = F.abs(F.col(left_time) - F.col("_rt"))
+    best = F.min(F.when(F.col("_rt").isNotNull(), F.struct(gap.alias("gap"), F.col("_rt").alias("t"), F.col("_name").alias("name")))).alias("_best")
+    rows = hits.groupBy(left_key).agg(F.first(F.struct(*[F.col(f"`{c}`") for c in left.columns])).alias("_row"), best)
+    return rows.select("_row.*", F.col("_best.name").alias(name), F.col("_best.gap").alias("match_gap"))
 
 
 def within_segments(points: DataFrame, segments: DataFrame, time: str, start: str, end: str, width: int, how: str = "left_semi") -> DataFrame:

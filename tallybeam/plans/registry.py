@@ -145,9 +145,9 @@ def j11_slides_of_three(spark, sf_dir):
     return found.groupBy("offset_1", "offset_2").agg(F.count(F.lit(1)).alias("n"), r6(F.max("network_stat"), "loudest"))
 
 
-@query("""SELECT event_id, gps_us, m.name, m.gap AS match_gap FROM v_triggers LEFT JOIN LATERAL (SELECT name, abs(cat_us - gps_us) AS gap FROM v_catalogue WHERE abs(cat_us - gps_us) <= 600000000 ORDER BY gap, cat_us, name LIMIT 1) m ON true""")
+@query("""SELECT event_id, gps_us, m.name, coalesce(m.gap, -1) AS match_gap FROM v_triggers LEFT JOIN LATERAL (SELECT name, abs(cat_us - gps_us) AS gap FROM v_catalogue WHERE abs(cat_us - gps_us) <= 600000000 ORDER BY gap, cat_us, name LIMIT 1) m ON true""")
 def j12_nearest_catalogue_event(spark, sf_dir):
-    return nearest(V.triggers(spark, sf_dir).select("event_id", "gps_us"), V.catalogue(spark, sf_dir), "event_id", "gps_us", "cat_us", "name", TOLERANCE)
+    return nearest(V.triggers(spark, sf_dir).select("event_id", "gps_us"), V.catalogue(spark, sf_dir), "event_id", "gps_us", "cat_us", "name", TOLERANCE).withColumn("match_gap", F.coalesce("match_gap", F.lit(-1)))
 
 
 @query("""SELECT t.event_id FROM v_triggers t WHERE ifo = 'H1' AND EXISTS (SELECT 1 FROM v_triggers o WHERE o.ifo = 'L1' AND abs(o.gps_us - t.gps_us) < 600000000) AND EXISTS (SELECT 1 FROM v_triggers o WHERE o.ifo = 'V1' AND abs(o.gps_us - t.gps_us) < 600000000)""")
