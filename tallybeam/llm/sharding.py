@@ -86,16 +86,16 @@ def assign(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame
     )
     rows = rows.select("*", descend(F.col("key"), tree(shards), seed).alias("shard"), descend(F.col("key"), tree(shards + 1), seed).alias("grown_shard"), F.xxhash64("key", F.lit(seed + 1)).alias("place")).drop("key")
     rows = materialise(rows, "shards")
-    return number(rows).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+    return number(rows, shards).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
-def number(rows: DataFrame) -> DataFrame:
+def number(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
     """rows with slot: 0, 1, 2 ... in each shard, by place.
 
     Each shard is cut into bins by place, each bin numbered by itself and moved by the rows of the bins before, so no task
     holds a shard. The table of bins is small (a row for SLOT_ROWS rows) and is joined, not broadcast by force.
     """
-    bins = max(1, rows.count() // (SHARDS * SLOT_ROWS))
+    bins = max(1, rows.count() // (shards * SLOT_ROWS))
     bin_ = F.floor((F.col("place").cast("double") / float(1 << 63) + 1) / 2 * bins).cast("long")
     rows = rows.withColumn("bin", F.least(F.greatest(bin_, F.lit(0)), F.lit(bins - 1)))
     before = Window.partitionBy("shard").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
