@@ -2,8 +2,8 @@
 
 A text is lower-cased (A-Z) and cut into words of letters, digits and non-ASCII characters; the words, joined and surrounded by single
 spaces, pass one Aho-Corasick automaton of all phrases, each between spaces, so a hit is a run of whole
-consecutive words. Phrases are base phrases, further notice phrases, and identifier tags. After a tag the rest of the line of the original text is read as
-a licence expression: the shunting-yard parser turns it into postfix order (WITH binds tightest, then AND, then OR) and
+consecutive words. Phrases are base phrases, further notice phrases, and identifier tags. After a tag the line of the original text is read as
+a licence expression, as far as one goes, so the work stays linear in texts of many tags and no line ends: the shunting-yard parser turns it into postfix order (WITH binds tightest, then AND, then OR) and
 evaluates it to the licences named and to how freely the work may be used: OR takes the freest choice, AND the most restrictive part,
 WITH an exception moves a licence a step towards free.
 
@@ -16,8 +16,10 @@ licences read so far without a verdict. Overlapping and repeated phrases all cou
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import accumulate
 
 import ahocorasick
 import pyarrow as pa
@@ -50,7 +52,7 @@ FREEDOM = [
 ]
 #: ASCII bytes that are no word characters become spaces; A-Z become a-z.
 WORD_TABLE = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 0x30 or 0x3A <= c <= 0x60 or 0x7B <= c <= 0x7F else c for c in range(256))
-RAW_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+RAW_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 EXPRESSION_TOKEN = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.+:-]*")
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
@@ -62,24 +64,26 @@ def freedom(label: str) -> float:
     return UNKNOWN
 
 
-def postfix(expression: str) -> tuple[list[str], bool]:
-    """The expression in postfix order by the shunting-yard algorithm, and whether it is well formed.
+def postfix(text: str, start: int = 0, stop: int | None = None) -> tuple[list[str], bool, int]:
+    """The expression at text[start:stop] in postfix order by the shunting-yard algorithm, whether it is well formed, and where it ends.
 
     Reading stops where two operands meet, as there the expression ends and prose begins.
     """
     out: list[str] = []
     stack: list[str] = []
-    operand_next, whole = True, True
-    for token in EXPRESSION_TOKEN.findall(expression):
-        word = token.lower()
+    operand_next, whole, depth, end = True, True, 0, start
+    for token in EXPRESSION_TOKEN.finditer(text, start, len(text) if stop is None else stop):
+        word = token[0].lower()
         if word == "(":
             if not operand_next:
                 break
             stack.append(word)
+            depth += 1
         elif word == ")":
-            if operand_next or "(" not in stack:
+            if operand_next or not depth:
                 whole = False
                 break
+            depth -= 1
             while (top := stack.pop()) != "(":
                 out.append(top)
         elif word in PRECEDENCE:
@@ -95,8 +99,9 @@ def postfix(expression: str) -> tuple[list[str], bool]:
                 break
             out.append(word.rstrip(".:"))
             operand_next = False
-    whole &= "(" not in stack and not operand_next
-    return out + [t for t in reversed(stack) if t != "("], whole
+        end = token.end()
+    whole &= not depth and not operand_next
+    return out + [t for t in reversed(stack) if t != "("], whole, end
 
 
 def evaluate(tokens: list[str]) -> tuple[set[str], float] | None:
@@ -114,11 +119,13 @@ def evaluate(tokens: list[str]) -> tuple[set[str], float] | None:
     return stack[0] if len(stack) == 1 else None
 
 
-def read_expression(expression: str) -> tuple[set[str], float | None]:
-    tokens, whole = postfix(expression)
+def read_expression(text: str, start: int = 0, stop: int | None = None) -> tuple[set[str], float | None, str]:
+    """Licences named, freedom (None if the expression is broken), and the expression itself."""
+    tokens, whole, end = postfix(text, start, stop)
+    own = text[start:end].strip(" :\t\r")
     if whole and tokens and (found := evaluate(tokens)):
-        return found
-    return {t for t in tokens if t not in PRECEDENCE}, None
+        return *found, own
+    return {t for t in tokens if t not in PRECEDENCE}, None, own
 
 
 @lru_cache(maxsize=1)
@@ -155,28 +162,36 @@ def scan(raw: bytes) -> Scan:
     words = raw.translate(WORD_TABLE).split()
     joined = b" ".join([b"", *words, b""]).decode()
     starts, base, labels, expressions, scores = [], set(), set(), [], []
-    n_base, spans = 0, None
+    spaces: list[int] = []  # where the space before each word stands
+    text, ends, line_end = "", [], -1
+
+    def position(at: int) -> int:
+        if not spaces:
+            spaces.extend(accumulate((len(w) + 1 for w in joined[1:-1].split(" ")), initial=0))
+        return bisect_left(spaces, at)
+
     for end, (length, base_label, own, tag) in automaton().iter(joined):
-        at = end - length  # the space before the phrase
         if base_label:
-            n_base += 1
-            starts.append(at)
+            starts.append(end - length)  # the space before the phrase
             base.add(base_label)
         for label in (base_label, own):
             if label:
                 labels.add(label)
                 scores.append(freedom(label))
         if tag:
-            if spans is None:
-                spans = [m.end() for m in RAW_WORD.finditer(raw)]
-            last = joined.count(" ", 0, end) - 1
-            line = raw[spans[last] :].split(b"\n", 1)[0].decode(errors="replace")
-            found, value = read_expression(line)
-            expressions.append(line.strip(" :\t\r"))
+            if not ends:
+                text = raw.decode()
+                ends = [m.end() for m in RAW_WORD.finditer(text)]
+            start = ends[position(end) - 1]
+            if start > line_end:
+                found_end = text.find("\n", start)
+                line_end = len(text) if found_end < 0 else found_end
+            found, value, expression = read_expression(text, start, line_end)
+            expressions.append(expression)
             labels |= found
             scores += [value] if value is not None else [freedom(x) for x in found]
-    position = lambda at: joined.count(" ", 0, at)
-    return Scan(len(words), n_base, position(min(starts)) if starts else None, position(max(starts)) if starts else None, base, labels, expressions, min(scores, default=UNKNOWN))
+    first, last = (position(f(starts)) if starts else None for f in (min, max))
+    return Scan(len(words), len(starts), first, last, base, labels, expressions, min(scores, default=UNKNOWN))
 
 
 def scan_documents(docs: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -63,10 +64,20 @@ def test_licences_equal_brute_force(spark, sf):
     ],
 )
 def test_licence_expressions(text, names, value):
-    found, freedom = licenses.read_expression(text)
+    found, freedom, _ = licenses.read_expression(text)
     assert found == names and (freedom is None if value is None else freedom == pytest.approx(value))
 
 
+def test_many_tags_in_one_long_line():
+    tag = "É SPDX-License-Identifier: (MIT OR GPL-2.0-only) prose and\tmore cc by, "
+    began = time.process_time()
+    found = licenses.scan((tag * 20_000).encode())
+    assert time.process_time() - began < 10  # linear in the text, though no line ends
+    assert set(found.expressions) == {"(MIT OR GPL-2.0-only)"} and len(found.expressions) == 20_000 == found.n_base
+    assert (found.first_word, found.last_word) == (13, 15 * 19_999 + 13) and found.labels == {"mit", "gpl-2.0-only", "cc-by"}
+    assert licenses.scan(b"SPDX-License-Identifier: MIT\nAND GPL-3.0").expressions == ["MIT"]
+
+
 # --- 2 ---
 
 
