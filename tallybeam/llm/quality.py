@@ -4,7 +4,8 @@ Features are cheap counts of the whole text. Each feature is cut into quantile b
 shallow tree (two splits) on one feature after the other to that feature's lookup table, then does the same for the pairs of
 features that lower the loss most. A score is the logistic of an intercept plus one table entry a feature and a pair: vectorised bin additions.
 
-Fitting uses a bounded, documented sample: SAMPLE labelled rows at most, chosen by hash, from rows outside the held-out fold.
+Fitting uses a bounded, documented sample: SAMPLE labelled documents at most, chosen by hash, from rows outside the held-out fold;
+of rows that repeat a doc_id the one with the smallest features counts, so the driver's share stays bounded.
 Everything else covers all rows. labels, lang, source and doc_id are never inputs of a score.
 
 Defined results: null counts as empty, and empty texts get a score like any other. With labels of one kind or none the score is the
@@ -166,22 +167,23 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> DataFrame:
-    """text and label y of `rows` labelled documents at most, chosen by hash, outside the held-out fold."""
+    """text, label y and id of the rows of `rows` labelled documents at most, chosen by hash, outside the held-out fold."""
     known = labels.filter("quality is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("_tb_id")).agg((F.avg("quality") >= 0.5).cast("int").alias("_tb_y"))
     known = known.orderBy(F.xxhash64("_tb_id"), "_tb_id").limit(rows)
-    return docs.join(F.broadcast(known), docs["doc_id"] == F.col("_tb_id")).select("text", F.col("_tb_y").alias("y"))
+    return docs.join(F.broadcast(known), docs["doc_id"] == F.col("_tb_id")).select("text", F.col("_tb_y").alias("y"), F.col("_tb_id").alias("id"))
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Additive:
-    """Features are computed where the rows are; the driver gets numbers of at most about `rows` rows."""
+    """Features are computed where the rows are; the driver gets the numbers of `rows` documents at most, one row for each."""
     names = [f"f{i}" for i in range(len(FEATURES))]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = np.array([features(t) for t in texts(batch.column(0))], np.float64).reshape(-1, len(FEATURES))
-        return pa.RecordBatch.from_arrays([batch.column(1), *(pa.array(v) for v in x.T)], ["y", *names])
+        return pa.RecordBatch.from_arrays([batch.column(2), batch.column(1), *(pa.array(v) for v in x.T)], ["id", "y", *names])
 
-    found = map_batches(sample(docs, labels, rows), work, ", ".join(["y int", *(f"{n} double" for n in names)]), "text").toPandas()
+    found = map_batches(sample(docs, labels, rows), work, ", ".join(["id long, y int", *(f"{n} double" for n in names)]), "text")
+    found = found.groupBy("id").agg(F.min(F.struct("y", *names)).alias("row")).select("row.*").toPandas()
     found = found.sort_values(list(found.columns), kind="stable")  # the order of tasks doesn't matter
     return fit(found[names].to_numpy(float), found["y"].to_numpy(float))
 
