@@ -9,7 +9,8 @@ raises the weights above it and may move rows within that region alone.
 Only DataFrame functions are used. The number of draws is the sum of the fan-outs on the way, not the number of shards.
 
 Defined results: null texts have 8 bytes and the checksum of no bytes; rows with a null doc_id share one key. Repeated rows get the same shard
-and slots of their own. Slots are gapless in each shard, ordered by a hash of doc_id.
+and slots of their own. Slots are gapless in each shard, ordered by a hash of doc_id and the text's checksum, so rows that share a doc_id
+do not meet in one bin.
 """
 
 from __future__ import annotations
@@ -84,7 +85,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
         key.alias("key"),
     )
-    rows = rows.select("*", descend(F.col("key"), tree(shards), seed).alias("shard"), descend(F.col("key"), tree(shards + 1), seed).alias("grown_shard"), F.xxhash64("key", F.lit(seed + 1)).alias("place")).drop("key")
+    rows = rows.select("*", descend(F.col("key"), tree(shards), seed).alias("shard"), descend(F.col("key"), tree(shards + 1), seed).alias("grown_shard"), F.xxhash64("key", "text_crc32", F.lit(seed + 1)).alias("place")).drop("key")
     rows = materialise(rows, "shards")
     return number(rows, shards).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
