@@ -16,7 +16,8 @@ a join, written to the shared folder between rounds; nothing is collected.
 
 Defined results: null text counts as empty; fewer than three words are one shingle; no words give fingerprint
 zero, linked like any other. Null doc_ids count as larger than all others: a group of only such rows has a null
-component_id. Repeated rows share one component; extra columns are ignored.
+component_id. Repeated rows share one component; extra columns are ignored. drop_near_duplicates() keeps the row with the smallest
+doc_id of each component (then the smallest hash of the text); rows equal in doc_id and text are one document there.
 """
 
 from __future__ import annotations
@@ -56,13 +57,13 @@ def fingerprint(text: bytes, words: int = WORDS, seed: int = SEED) -> int:
 
 
 def with_fingerprints(docs: DataFrame, words: int = WORDS, seed: int = SEED) -> DataFrame:
-    """doc_id, fp long (the fingerprint's 64 bits)."""
+    """doc_id, fp long (the fingerprint's 64 bits), digest long (of the text; with doc_id it tells rows apart)."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = np.array([fingerprint(x, words, seed) for x in texts(batch.column(1))], np.uint64)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), batch.column(2)], ["doc_id", "fp", "digest"])
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), work, "doc_id long, fp long", "text")
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("digest")), work, "doc_id long, fp long, digest long", "text")
 
 
 def quarter_counts(fps: np.ndarray) -> np.ndarray:
@@ -217,19 +218,27 @@ def components(pairs: DataFrame) -> DataFrame:
         seen = now
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, words: int = WORDS, seed: int = SEED, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id: one row per document."""
+def grouped(docs: DataFrame, radius: int = RADIUS, words: int = WORDS, seed: int = SEED, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """doc_id, digest, fp, first (no_id, doc_id, digest of the component's first row): one row per document."""
     prints = materialise(with_fingerprints(docs, words, seed), "fingerprints")
-    distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest"))
+    distinct = materialise(prints.groupBy("fp").agg(least.alias("least")), "distinct-fingerprints")
     roots = components(edges(distinct.select("fp"), radius, tile_rows))
     placed = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     placed = materialise(placed, "placed")
-    groups = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = materialise(placed.join(groups, "root").select("fp", "component_id"), "named")
-    return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    groups = placed.groupBy("root").agg(F.min("least").alias("first"))
+    named = materialise(placed.join(groups, "root").select("fp", "first"), "named")
+    return prints.join(named, "fp").select("doc_id", "digest", "fp", "first")
+
+
+def near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id: one row per document. Options are those of grouped()."""
+    return grouped(docs, **options).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first.doc_id").alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """docs without all but the smallest doc_id of each component; all columns kept."""
-    dropped = near_duplicates(docs, **options).filter("doc_id <> component_id").select(F.col("doc_id").alias("_tb_dropped"))
-    return docs.join(materialise(dropped, "near-copies"), docs["doc_id"] == F.col("_tb_dropped"), "left_anti")
+    """docs without all but the first row of each component; all columns kept."""
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("digest") == F.col("first.digest"))
+    dropped = grouped(docs, **options).filter(~stays).select(F.col("doc_id").alias("_tb_dropped"), F.col("digest").alias("_tb_digest"))
+    same = (F.xxhash64(docs["text"]) == F.col("_tb_digest")) & docs["doc_id"].cast("long").eqNullSafe(F.col("_tb_dropped"))
+    return docs.join(materialise(dropped, "near-copies"), same, "left_anti")

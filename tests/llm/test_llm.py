@@ -177,6 +177,9 @@ def test_slots_over_many_bins(spark, monkeypatch):
     for r in rows:
         slots.setdefault(r.shard, []).append(r.slot)
     assert len(rows) == 2_002 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    shared_id = spark.range(500).select(F.lit(5).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    rows = sharding.assign(shared_id).collect()
+    assert len({r.shard for r in rows}) == 1 and sorted(r.slot for r in rows) == list(range(500))
 
 
 # --- 4 ---
@@ -242,6 +245,18 @@ def test_quality_on_held_out_rows(spark):
     assert ((found["score"] >= 0.3) == (found["predicted"] == 1)).all()
 
 
+def test_rows_that_share_an_id_are_learnt_from_once(spark, monkeypatch):
+    docs = spark.range(3_000).select(F.lit(1).cast("long").alias("doc_id"), F.repeat(F.lit("word "), (F.col("id") % 50).cast("int")).alias("text"))
+    docs = docs.union(spark.createDataFrame([(2, "other text"), (3, "x")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, y: seen.append((x, y)))
+    quality.train(docs, labels)
+    x, y = seen[0]
+    learnt = [i for i in (1, 2, 3) if zlib.crc32(str(i).encode()) % 5]
+    assert len(x) == len(y) == len(learnt) and sorted(y) == sorted(i % 2 for i in learnt)
+
+
 def test_additive_model_learns_an_interaction():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(4000, 3))
@@ -469,6 +484,12 @@ def test_near_copies_are_dropped(spark, sf):
     kept = simhash.drop_near_duplicates(docs)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted({r.component_id for r in decided})
     assert simhash.near_duplicates(nothing(spark, "fp")).count() == 0
+    words = "one two three four five six seven eight"
+    rows = [(None, words), (None, words + " "), (7, words.upper()), (7, words), (8, words), (None, "alone in its group"), (None, "alone  in its group"), (None, None), (None, "")]
+    few = spark.createDataFrame(rows, "doc_id long, text string")
+    first = {r.component_id for r in simhash.near_duplicates(few).collect()}
+    left = [(r.doc_id, (r.text or "").lower().split()) for r in simhash.drop_near_duplicates(few).collect()]
+    assert first == {7, None} and sorted(left, key=repr) == sorted([(7, words.split()), (None, "alone in its group".split()), (None, [])], key=repr)
 
 
 # --- 10 ---
