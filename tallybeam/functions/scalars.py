@@ -86,6 +86,30 @@ def detchar_rank(stat: Column, mean_rchisq: Column) -> Column:
     return stat / (1.0 + F.coalesce(mean_rchisq, F.lit(1.0)))
 
 
+def pair_window_us(a: Column, b: Column, windows: dict[tuple[str, str], int]) -> Column:
+    """The window of two sensors in either order; the widest of all for a pair without one."""
+    low, high = F.least(a, b), F.greatest(a, b)
+    out = F.lit(max(windows.values()))
+    for (x, y), w in windows.items():
+        out = F.when((low == min(x, y)) & (high == max(x, y)), w).otherwise(out)
+    return out.cast("long")
+
+
+def best_stat(new_snr: Column, snr: Column) -> Column:
+    """The re-weighted ratio, else the plain one, else 0."""
+    return F.coalesce(new_snr, snr, F.lit(0.0))
+
+
+def template_duration_s(f_lower: Column) -> Column:
+    """An upper estimate of how long a template lasts."""
+    return F.try_divide(F.lit(100.0), f_lower)
+
+
+def progress(share: Column) -> Column:
+    """Overall progress while a share of the templates is done: from 0.2 to 0.7."""
+    return 0.2 + 0.5 * F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0))
+
+
 def gps_to_utc(gps_s: Column, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     """UTC text; a dash for null or 0."""
     when = F.timestamp_micros(((gps_s.cast("double") + GPS_TO_UNIX_S) * 1e6).cast("long"))

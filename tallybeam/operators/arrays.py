@@ -90,6 +90,33 @@ def apply_gates(a: Column, gates: Column) -> Column:
     return F.transform(a, lambda x, i: F.aggregate(gates, x, lambda acc, g: acc * ramp(i, g)))
 
 
+def gated(series: DataFrame, found: DataFrame, key: str, a: str, least_share: float = 0.01) -> DataFrame:
+    """series with its gates applied, n_gates and rolled_back: where less than least_share of the RMS is left, the array stays and has no gates."""
+    listed = found.groupBy(F.col(key).alias("_key")).agg(F.collect_list(F.struct("s", "e")).alias("_gates"))
+    joined = series.join(listed, F.col(key) == F.col("_key"), "left")
+    none = F.slice(F.array(F.struct(F.lit(0).alias("s"), F.lit(0).alias("e"))), 1, 0)
+    done = joined.withColumn("_gates", F.coalesce("_gates", none)).withColumn("_gated", apply_gates(F.col(a), F.col("_gates")))
+    back = F.coalesce(rms(F.col("_gated")) < least_share * rms(F.col(a)), F.lit(False))
+    done = done.withColumn("rolled_back", back).withColumn("n_gates", F.when(F.col("rolled_back"), 0).otherwise(F.size("_gates")))
+    return done.withColumn(a, F.when(F.col("rolled_back"), F.col(a)).otherwise(F.col("_gated"))).drop("_key", "_gates", "_gated")
+
+
+def gap_kind(a: Column, least_rms: float = 1e-21, least_finite: float = 0.8, most_zero: float = 0.99) -> Column:
+    """Why a series is no data: quiet, broken or zero; null where it is usable. An empty or null series is quiet."""
+    level = rms(sanitise(a))
+    return (
+        F.when(F.coalesce(fraction(a, finite), F.lit(1.0)) < least_finite, "broken")
+        .when(fraction(a, lambda x: x == 0) > most_zero, "zero")
+        .when(level.isNull() | (level < least_rms), "quiet")
+    )
+
+
+def diagnostics(a: Column) -> dict[str, Column]:
+    """Largest, mean, median and population deviation of the absolute values."""
+    size = F.transform(a, lambda x: F.abs(x))
+    return {"largest": F.array_max(size), "mean": F.try_divide(total(size), F.size(size)), "median": median(size), "deviation": std_pop(size)}
+
+
 def cluster(peaks: DataFrame, keys: list[str], index: str, value: str, window: int) -> DataFrame:
     """Rows that are the largest within +-window of their index (earliest wins ties); filter by the threshold before."""
     w = Window.partitionBy(*keys).orderBy(index).rangeBetween(-window, window)

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 #: Solar mass in seconds.
 MSUN_S = 4.925491025543576e-06
 LEAST_PSD = 1e-40
+#: Series quieter than this after the high-pass hold no data.
+LEAST_HIGHPASSED = 1e-22
 
 
 def sanitise(x: np.ndarray) -> np.ndarray:
@@ -220,6 +222,9 @@ def condition(series: DataFrame, rate: float, cut: float, segment: int, notches:
                     out.append((series_id, ifo, None, None, None, True))
                     continue
                 y = highpass(sanitise(x), rate, cut)
+                if np.sqrt(np.mean(y**2)) < LEAST_HIGHPASSED:
+                    out.append((series_id, ifo, None, None, None, True))
+                    continue
                 y = notch(y, rate, list(notches)) if notches else y
                 y = resample(y, rate, target) if target else y
                 final = target or rate
@@ -228,3 +233,24 @@ def condition(series: DataFrame, rate: float, cut: float, segment: int, notches:
             yield pd.DataFrame(out, columns=["series_id", "ifo", "arr", "psd", "df", "is_gap"])
 
     return series.mapInPandas(run, "series_id long, ifo string, arr array<double>, psd array<double>, df double, is_gap boolean")
+
+
+def whitened(conditioned: DataFrame, cutoff: float) -> DataFrame:
+    """series_id, ifo, arr, power: the series of condition() over their own spectra, and the mean power of the middle half.
+
+    power is near 1 where the spectrum fits the series. Gaps have none of both.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for series_id, ifo, arr, psd, df in zip(*(batch[c] for c in ("series_id", "ifo", "arr", "psd", "df")), strict=True):
+                if arr is None:
+                    out.append((series_id, ifo, None, None))
+                    continue
+                x, rate = np.asarray(arr, float), df * len(arr)
+                y = whiten(x, np.asarray(psd, float), rate, cutoff) * np.sqrt(2 / rate)
+                out.append((series_id, ifo, y.tolist(), float(np.mean(y[len(y) // 4 : len(y) - len(y) // 4] ** 2))))
+            yield pd.DataFrame(out, columns=["series_id", "ifo", "arr", "power"])
+
+    return conditioned.select("series_id", "ifo", "arr", "psd", "df").mapInPandas(run, "series_id long, ifo string, arr array<double>, power double")

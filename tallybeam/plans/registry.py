@@ -367,9 +367,52 @@ def a26_a27_triggers_by_sensor(spark, sf_dir):
     return V.triggers(spark, sf_dir).groupBy("ifo").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("template_id").alias("n_templates"), r6(F.avg("new_snr"), "mean_snr"))
 
 
+@query("""WITH kept AS (SELECT event_id FROM v_triggers t WHERE ifo IN ('H1', 'L1') AND NOT EXISTS (SELECT 1 FROM coinc WHERE network_stat > 150 AND abs(coinc.gps_us - t.gps_us) < 60000000))
+    SELECT ifo, count(*) AS n, count(*) - count(kept.event_id) AS n_excised FROM v_triggers t LEFT JOIN kept USING (event_id) WHERE ifo IN ('H1', 'L1') GROUP BY ifo""")
+def a28_excised_by_sensor(spark, sf_dir):
+    rows = V.triggers(spark, sf_dir).filter("ifo in ('H1', 'L1')")
+    loud = _coincidences(spark, sf_dir).filter("network_stat > 150").select(F.col("gps_us").alias("loud_us"))
+    left = background.excise(rows, loud, V.MINUTE).groupBy("ifo").agg(F.count(F.lit(1)).alias("n_left"))
+    whole = rows.groupBy("ifo").agg(F.count(F.lit(1)).alias("n"))
+    return whole.join(left, "ifo", "left").select("ifo", "n", (F.col("n") - F.coalesce("n_left", F.lit(0))).alias("n_excised"))
+
+
+@query("""WITH k AS (SELECT network_stat, EXISTS (SELECT 1 FROM v_catalogue v WHERE abs(v.cat_us - coinc.gps_us) <= 600000000) AS known FROM coinc WHERE isfinite(network_stat))
+    SELECT known, count(*) AS n, count(*) FILTER (network_stat > 150) AS n_loud, round(max(network_stat), 6) AS loudest FROM k GROUP BY known""")
+def p07_p09_p12_known_and_new(spark, sf_dir):
+    c = _coincidences(spark, sf_dir).withColumn("id", F.xxhash64("event_id_a", "event_id_b"))
+    found = nearest(c, V.catalogue(spark, sf_dir), "id", "gps_us", "cat_us", "name", TOLERANCE).withColumnRenamed("name", "known_event")
+    known, new = candidates.known_and_new(found)
+    both = known.withColumn("known", F.lit(True)).unionByName(new.withColumn("known", F.lit(False)))
+    return both.groupBy("known").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("network_stat") > 150).alias("n_loud"), r6(F.max("network_stat"), "loudest"))
+
+
+@query("SELECT event_id_a, event_id_b, round(network_stat, 6) AS network_stat FROM coinc ORDER BY coinc.network_stat DESC, event_id_a, event_id_b LIMIT 5")
+def a31_loudest_five(spark, sf_dir):
+    top = _coincidences(spark, sf_dir).orderBy(F.desc("network_stat"), "event_id_a", "event_id_b").limit(5)
+    return top.select("event_id_a", "event_id_b", r6("network_stat", "network_stat"))
+
+
+@query("""WITH p AS (SELECT a.ifo AS ifo_a, b.ifo AS ifo_b FROM (SELECT DISTINCT ifo FROM v_triggers UNION ALL SELECT 'K1') a, (SELECT DISTINCT ifo FROM v_triggers UNION ALL SELECT 'K1') b WHERE a.ifo <> b.ifo)
+    SELECT ifo_a, ifo_b, CASE WHEN least(ifo_a, ifo_b) || greatest(ifo_a, ifo_b) = 'H1L1' THEN 15000 WHEN least(ifo_a, ifo_b) || greatest(ifo_a, ifo_b) = 'L1V1' THEN 31000 ELSE 32000 END::BIGINT AS window_us FROM p""")
+def f10_pair_windows(spark, sf_dir):
+    ifos = V.triggers(spark, sf_dir).select("ifo").distinct().unionByName(spark.createDataFrame([("K1",)], "ifo string"))  # four names
+    found = ifos.select(F.col("ifo").alias("ifo_a")).join(F.broadcast(ifos.select(F.col("ifo").alias("ifo_b"))), F.col("ifo_a") != F.col("ifo_b"))
+    window = S.pair_window_us(F.col("ifo_a"), F.col("ifo_b"), {("H1", "L1"): 15_000, ("H1", "V1"): 32_000, ("L1", "V1"): 31_000})
+    return found.select("ifo_a", "ifo_b", window.alias("window_us"))
+
+
 # --- scalars ---
 
 
+@query("""SELECT event_id, round(coalesce(CASE WHEN event_id % 3 > 0 THEN new_snr END, CASE WHEN event_id % 3 > 1 OR event_id % 2 = 0 THEN snr END, 0.0), 6) AS stat, round(100.0::DOUBLE / nullif(floor(chisq), 0), 6) AS duration_s,
+    round(0.2::DOUBLE + 0.5::DOUBLE * least(greatest(snr / 100.0::DOUBLE, 0), 1), 6) AS progress FROM v_triggers""")
+def f27_f29_f30_trigger_values(spark, sf_dir):
+    t, n = V.triggers(spark, sf_dir), F.col("event_id") % 3
+    stat = S.best_stat(F.when(n > 0, F.col("new_snr")), F.when((n > 1) | (F.col("event_id") % 2 == 0), F.col("snr")))
+    return t.select("event_id", r6(stat, "stat"), r6(S.template_duration_s(F.floor("chisq").cast("double")), "duration_s"), r6(S.progress(F.col("snr") / 100.0), "progress"))
+
+
 @query("SELECT event_id, round(new_snr, 6) AS new_snr, round(rchisq, 6) AS rchisq, template_id::INT AS template_number FROM v_triggers")
 def f01_f02_f26_trigger_values(spark, sf_dir):
     return V.triggers(spark, sf_dir).select("event_id", r6("new_snr", "new_snr"), r6("rchisq", "rchisq"), S.template_number(F.col("template_id")).alias("template_number"))
@@ -568,6 +611,44 @@ def v05_v07_conditioned_series(spark, sf_dir):
     return signal.condition(V.series(spark, sf_dir), rate=64.0, cut=2.0, segment=32)
 
 
+@query()
+def v13_v12_whitened_series(spark, sf_dir):
+    """Conditioned series over their own spectra, and how well those fit."""
+    return signal.whitened(signal.condition(V.series(spark, sf_dir), rate=64.0, cut=2.0, segment=32), 2.0)
+
+
+@query(f"""WITH {_GATES}, w AS (SELECT series_id, s, least(s + 12, e) AS e FROM g), y AS (SELECT x.series_id, x.i, x.v, x.v * coalesce(product(CASE WHEN w.e > w.s THEN 1.0 - (x.i - w.s) / (w.e - w.s)::DOUBLE WHEN w.s IS NOT NULL THEN 1.0 END), 1.0) AS gv
+    FROM x LEFT JOIN w ON w.series_id = x.series_id AND x.i BETWEEN w.s AND w.e GROUP BY 1, 2, 3), r AS (SELECT series_id, sqrt(avg(v * v)) AS before, sqrt(avg(gv * gv)) AS after FROM y GROUP BY 1), c AS (SELECT series_id, count(*) AS n FROM w GROUP BY 1)
+    SELECT r.series_id, after < 0.75 * before AS rolled_back, CASE WHEN after < 0.75 * before THEN 0 ELSE coalesce(n, 0) END AS n_gates, round(CASE WHEN after < 0.75 * before THEN before ELSE after END, 6) AS rms FROM r LEFT JOIN c USING (series_id)""")
+def w03_w04_gated_series(spark, sf_dir):
+    s = V.series(spark, sf_dir)
+    done = arrays.gated(s, arrays.gates(s, "series_id", "arr", 1.5, 3, 12), "series_id", "arr", least_share=0.75)
+    return done.select("series_id", "rolled_back", "n_gates", r6(arrays.rms(F.col("arr")), "rms"))
+
+
+@query("""WITH a AS (SELECT series_id, list_transform(arr, lambda x: abs(x)) AS a FROM v_series)
+    SELECT series_id, round(list_max(a), 6) AS largest, round(list_avg(a), 6) AS mean, round(list_median(a), 6) AS median, round(list_stddev_pop(a), 6) AS deviation FROM a""")
+def w06_series_diagnostics(spark, sf_dir):
+    return V.series(spark, sf_dir).select("series_id", *(r6(c, name) for name, c in arrays.diagnostics(F.col("arr")).items()))
+
+
+@query("""WITH d AS (SELECT series_id, CASE WHEN series_id % 7 = 0 THEN list_transform(arr, lambda x: 0.0) WHEN series_id % 7 = 1 THEN list_transform(arr, lambda x: CASE WHEN x > 0 THEN 'nan'::DOUBLE ELSE x END)
+        WHEN series_id % 7 = 2 THEN list_transform(arr, lambda x: x * 1e-24) WHEN series_id % 7 = 3 THEN list_transform(arr, lambda x: x * 1e8) ELSE arr END AS a FROM v_series),
+    k AS (SELECT series_id, a, CASE WHEN len(list_filter(a, lambda x: isfinite(x))) / len(a) < 0.8 THEN 'broken' WHEN len(list_filter(a, lambda x: x = 0)) / len(a) > 0.99 THEN 'zero'
+        WHEN sqrt(list_sum(list_transform(a, lambda x: CASE WHEN isfinite(x) THEN x * x ELSE 0 END)) / len(a)) < 1e-21 THEN 'quiet' END AS gap_kind FROM d)
+    SELECT series_id, coalesce(gap_kind, 'none') AS gap_kind, gap_kind IS NULL AND len(list_filter(a, lambda x: NOT isfinite(x))) = 0 AND list_max(list_transform(a, lambda x: abs(x))) <= 1e6 AS usable FROM k""")
+def p05_p06_p10_p11_usable_series(spark, sf_dir):
+    """Gaps by kind, and series without gaps, broken samples or values beyond 10^6; three in seven are spoilt on purpose, one in seven is far too loud."""
+    n, a = F.col("series_id") % 7, F.col("arr")
+    spoilt = (
+        F.when(n == 0, F.transform(a, lambda x: F.lit(0.0))).when(n == 1, F.transform(a, lambda x: F.when(x > 0, float("nan")).otherwise(x)))
+        .when(n == 2, F.transform(a, lambda x: x * 1e-24)).when(n == 3, F.transform(a, lambda x: x * 1e8)).otherwise(a)
+    )
+    s = V.series(spark, sf_dir).withColumn("arr", spoilt).withColumn("kind", arrays.gap_kind(a))
+    usable = F.col("kind").isNull() & F.forall(a, S.finite) & (F.array_max(F.transform(a, F.abs)) <= 1e6)
+    return s.select("series_id", F.coalesce("kind", F.lit("none")).alias("gap_kind"), usable.alias("usable"))
+
+
 # --- streaming ---
 
 

@@ -41,6 +41,13 @@ def containing(blocks: DataFrame, files: DataFrame) -> DataFrame:
     return hit.groupBy("block_start", "block_end").agg(F.min("file").alias("file"))
 
 
+def cached(blocks: DataFrame, files: DataFrame, least_bytes: int = 1024) -> DataFrame:
+    """containing() over whole cached files (file, size, with the range in the name); stubs of least_bytes or less don't count."""
+    start, end = coverage(F.col("file"))
+    ranged = files.filter(F.col("size") > least_bytes).select("file", start.alias("file_start"), end.alias("file_end"))
+    return containing(blocks, ranged.filter("file_end is not null"))
+
+
 def overlapping_runs(blocks: DataFrame, runs: DataFrame) -> DataFrame:
     """block_start with the names of runs that it overlaps; `runs` is a literal relation."""
     return blocks.join(F.broadcast(runs), (F.col("run_start") < F.col("block_end")) & (F.col("run_end") > F.col("block_start")))

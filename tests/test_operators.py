@@ -268,3 +268,27 @@ def test_failed_batches_are_recorded(spark, tmp_path):
 def test_blocks_forward_and_backward(spark):
     assert [tuple(r) for r in loop.block_times(spark, 0, 25, 10).collect()] == [(0, 10), (10, 20), (20, 30)]
     assert [tuple(r) for r in loop.block_times(spark, 0, 25, 10, backward=True).collect()] == [(15, 25), (5, 15)]
+
+
+def test_gates_that_take_nearly_all_are_rolled_back(spark):
+    s = spark.createDataFrame([(1, [0.0] * 20 + [100.0, 100.0] + [0.0] * 20), (2, [1.0, -1.0] * 20 + [50.0]), (3, [])], "series_id long, arr array<double>")
+    found = spark.createDataFrame([(1, 19, 22), (2, 38, 40)], "series_id long, s int, e int")
+    rows = {r.series_id: r for r in arrays.gated(s, found, "series_id", "arr", least_share=0.6).collect()}
+    assert rows[1].rolled_back and rows[1].n_gates == 0 and max(rows[1].arr) == 100.0
+    assert rows[2].rolled_back and rows[3].n_gates == 0 and rows[3].arr == [] and not rows[3].rolled_back
+    kept = {r.series_id: r for r in arrays.gated(s, found, "series_id", "arr").collect()}
+    assert kept[2].n_gates == 1 and kept[2].arr[-1] == 0.0 and kept[2].arr[38] == 1.0
+
+
+def test_whitened_noise_has_unit_power(spark):
+    rng = np.random.default_rng(1)
+    colour = np.convolve(rng.normal(size=4_200), np.ones(5) / 5, "valid")[:4_096] * 1e-3
+    s = spark.createDataFrame([(1, "H1", colour.tolist()), (2, "L1", [0.0] * 64), (3, "L1", None)], "series_id long, ifo string, arr array<double>")
+    rows = {r.series_id: r for r in signal.whitened(signal.condition(s, rate=256.0, cut=2.0, segment=256), 4.0).collect()}
+    assert 0.7 < rows[1].power < 1.3 and rows[2].power is None and rows[3].arr is None
+
+
+def test_cached_files(spark):
+    blocks = spark.createDataFrame([(1_000, 1_100), (5_000, 5_100)], "block_start long, block_end long")
+    files = spark.createDataFrame([("H-a-900-4096.gwf", 10), ("H-b-900-4096.gwf", 5_000), ("H-c-904-4096.hdf5", 5_000), ("notes.txt", 9_000)], "file string, size long")
+    assert [r.file for r in frames.cached(blocks, files).collect()] == ["H-b-900-4096.gwf"]
