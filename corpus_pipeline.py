@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybeam.llm import bpe, exact_dedup, mixing, quality, simhash
+from tallybeam.llm import bpe, exact_dedup, mixing, quality, similar
 from tallybeam.llm.common import materialise, table
 
 
@@ -25,8 +25,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each component of near copies."""
-    return simhash.drop_near_duplicates(docs)
+    """The document with the smallest doc_id of each component of texts whose five-word shingles have a Jaccard similarity of 0.8 or more."""
+    return similar.drop_similar(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tallybeam.llm import bpe, common, entries, exact_dedup, licenses, mixing, quality, sharding, simhash, topk, urls, warc
+from tallybeam.llm import bpe, common, entries, exact_dedup, licenses, mixing, quality, sharding, simhash, similar, topk, urls, warc
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: Ties, repeated rows, nulls, empty and long texts, and columns whose names clash with those of the operators.
@@ -548,3 +548,42 @@ def test_pipeline_stages_keep_the_columns(spark, sf):
         docs = common.materialise(stage(spark, docs, sf), name)
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "fp"]
     assert corpus_pipeline.run(spark, sf).count() == corpus_pipeline.STAGES[-1][1](spark, docs, sf).count()
+
+
+# --- near-dedup stage of the pipeline ---
+
+
+def edited(words, places):
+    return " ".join(f"new{i}" if i in places else w for i, w in enumerate(words))
+
+
+@pytest.mark.parametrize("tile_rows", [5, similar.TILE_ROWS])
+def test_similar_texts_are_dropped(spark, sf, tile_rows):
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows, base = [], [word() for _ in range(200)]
+    rows += [(i, edited(base, {3 * i % 200})) for i in range(100_000, 100_030)]  # one large group of near copies
+    for i in range(100_100, 100_140, 2):
+        base = [word() for _ in range(rng.choice([40, 120, 300]))]
+        rows += [(i, " ".join(base)), (i + 1, edited(base, rng.sample(range(len(base)), len(base) // 40)))]  # some similar enough, some not
+    rows += [(None, "a b c d e f"), (None, "A B  c d e f"), (None, None), (None, " "), (100_200, "one two"), (100_201, "One  two"), (100_202, "one three")]
+    docs = documents(spark, sf).select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    sets = []
+    for _, t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER))
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set()))
+    root = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if root[i] != root[j] and 4 * max(len(sets[i]), len(sets[j])) <= 5 * min(len(sets[i]), len(sets[j])) and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                root = [root[j] if r == root[i] else r for r in root]
+    least = {}
+    for i, (d, _) in enumerate(texts):
+        least[root[i]] = min(least.get(root[i], (True, 0)), (d is None, d or 0))
+    assert len(set(root)) < len(sets)
+    stage = corpus_pipeline.near_copies(spark, docs, sf) if tile_rows == similar.TILE_ROWS else similar.drop_similar(docs, tile_rows=tile_rows)
+    assert sorted(str(r.doc_id) for r in stage.collect()) == sorted(str(None if none else d) for none, d in least.values())
+    assert similar.drop_similar(nothing(spark, "fp")).count() == 0
