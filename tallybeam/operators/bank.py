@@ -72,7 +72,7 @@ def multi_event_bank(spark: SparkSession, events: list[tuple[float, float]] | No
     return grid.select("centre", "mass1", "mass2", F.when(total < 3.0, "TaylorF2").otherwise("IMRPhenomD").alias("approximant"), F.when(total > 3.0, 15.0).otherwise(20.0).alias("f_lower"))
 
 
-def stochastic_bank(spark: SparkSession, lo1: float, hi1: float, lo2: float, hi2: float, min_match: float = 0.97, iterations: int = 20_000, least_total: float = 2.0, most_total: float = 100.0, least_ratio: float = 0.05, seed: int = 42) -> DataFrame:
+def stochastic_bank(spark: SparkSession, lo1: float, hi1: float, lo2: float, hi2: float, min_match: float = 0.97, iterations: int = 100_000, least_total: float = 2.0, most_total: float = 100.0, least_ratio: float = 0.05, seed: int = 42) -> DataFrame:
     """Sequential placement: a proposal is accepted if it is far enough from all that were accepted.
 
     The choice depends on the proposals before, so a bank (a parameter list of some hundred rows) is placed on the driver.

@@ -292,3 +292,10 @@ def test_cached_files(spark):
     blocks = spark.createDataFrame([(1_000, 1_100), (5_000, 5_100)], "block_start long, block_end long")
     files = spark.createDataFrame([("H-a-900-4096.gwf", 10), ("H-b-900-4096.gwf", 5_000), ("H-c-904-4096.hdf5", 5_000), ("notes.txt", 9_000)], "file string, size long")
     assert [r.file for r in frames.cached(blocks, files).collect()] == ["H-b-900-4096.gwf"]
+
+
+def test_stochastic_bank_takes_all_proposals(spark):
+    from tallybeam.operators import bank
+
+    assert bank.stochastic_bank(spark, 10, 80, 10, 80, iterations=20_000).count() == 116
+    assert bank.stochastic_bank(spark, 10, 80, 10, 80).count() == 122
