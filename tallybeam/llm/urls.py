@@ -3,8 +3,8 @@
 Rules name a host (with all its subdomains) and the start of a path; the longest that fits decides. URLs that rules allow or block
 train an accepted and a rejected model: smoothed variable-order Markov models over the URL's bytes. Counts of
 (context, next byte) for all orders up to ORDER are gathered from every such URL by a map-side combined aggregation.
-A context belongs to a model if it makes up one part in CONTEXT_SHARE of its order's positions or more, so a model has at most
-CONTEXT_SHARE contexts an order at any size of the corpus, and the tables that are broadcast have that proven bound.
+All counted contexts belong to the models, which stay tables: the different runs of bytes of all URLs are joined with the counts of each order.
+Only the scores of runs that make up one part in HOT of all positions or more (HOT at most) are broadcast; other URL positions are shuffled.
 Probabilities are smoothed by Witten-Bell interpolation down the orders; a missing context falls back to the next shorter one.
 
 score = (log P_accepted - log P_rejected) / length. A fifth of the ruled URLs (by hash) takes no part in the counts;
@@ -18,7 +18,6 @@ both models are uniform and every other URL is allowed. Repeated URLs count as o
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,12 @@ from tallybeam.llm.common import map_batches, materialise, texts
 
 #: Fixed values: (verdict, host, path) of the rules.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
-ORDER, CONTEXT_SHARE = 5, 4_000
+ORDER = 5
+#: No context is too rare for a model.
+CONTEXT_SHARE = float("inf")
+HOT = 4_096
+#: Scores are summed as whole numbers of this part, so that the order of rows doesn't matter.
+PART = float(1 << 36)
 #: Score bins of the calibration.
 BIN, BINS = 0.01, 1_000
 
@@ -84,56 +88,49 @@ def count_ngrams(urls: DataFrame, order: int = ORDER) -> DataFrame:
     return counted.groupBy("kind", "k", "context", "next").agg(F.sum("n").alias("n"))
 
 
-@dataclass
-class Model:
-    """Per order: sorted contexts with their count and number of distinct followers, and sorted (context, next) with counts."""
-
-    orders: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
-
-    @staticmethod
-    def of(rows: dict[str, np.ndarray], order: int) -> Model:
-        out = []
-        for k in range(order + 1):
-            at = rows["k"] == k
-            pairs, n = rows["context"][at] << 8 | rows["next"][at], rows["n"][at]
-            by = np.argsort(pairs)
-            pairs, n = pairs[by], n[by]
-            contexts, first = np.unique(pairs >> 8, return_index=True)
-            totals = np.add.reduceat(n, first) if len(first) else n
-            out.append((contexts, totals, np.diff(np.append(first, len(pairs))), pairs, n))
-        return Model(out)
-
-    def log_probability(self, byte: np.ndarray, context: np.ndarray) -> np.ndarray:
-        """Natural logarithm of the smoothed probability of each byte after its context."""
-        p = np.full(len(byte), 1 / 256)
-        for k, (contexts, totals, followers, pairs, n) in enumerate(self.orders):
-            if not len(contexts):
-                continue
-            here = context & ((1 << 8 * k) - 1)
-            i = np.minimum(np.searchsorted(contexts, here), len(contexts) - 1)
-            j = np.minimum(np.searchsorted(pairs, here << 8 | byte), len(pairs) - 1)
-            known = contexts[i] == here
-            count = np.where(pairs[j] == (here << 8 | byte), n[j], 0)
-            p = np.where(known, (count + followers[i] * p) / (totals[i] + followers[i]), p)
-        return np.log(p)
-
-
-def fit(ngrams: DataFrame, order: int = ORDER, share: int = CONTEXT_SHARE) -> tuple[Model, Model]:
-    """The accepted and the rejected model of the counts; only kept contexts reach the driver, share * 256 rows an order and kind at most."""
-    ngrams = materialise(ngrams, "url-ngrams")
-    totals = F.broadcast(ngrams.groupBy("kind", "k").agg(F.sum("n").alias("total")))  # 2 * (order + 1) rows
-    contexts = ngrams.groupBy("kind", "k", "context").agg(F.sum("n").alias("c")).join(totals, ["kind", "k"]).filter(F.col("c") * share >= F.col("total"))
-    kept = ngrams.join(contexts.select("kind", "k", "context"), ["kind", "k", "context"], "left_semi").toArrow()
-    kinds = np.array(kept.column("kind").to_pylist(), object)
-    rows = {c: kept.column(c).to_numpy().astype(np.int64) for c in ("k", "context", "next", "n")}
-    return tuple(Model.of({c: v[kinds == kind] for c, v in rows.items()}, order) for kind in ("allow", "block"))
-
-
-def score_urls(urls: list[bytes], accepted: Model, rejected: Model, order: int = ORDER) -> np.ndarray:
-    """Length-normalised log-likelihood difference of each URL; 0 for an empty one."""
-    owner, byte, context = _pack(urls, order)
-    difference = accepted.log_probability(byte, context) - rejected.log_probability(byte, context)
-    return np.bincount(owner, difference, len(urls)) / np.maximum(1, np.fromiter(map(len, urls), np.int64, len(urls)))
+def positions(rows: DataFrame, order: int = ORDER) -> DataFrame:
+    """row, gram: for each byte of the urls of `rows` (row, url) it and the `order` bytes before it as one integer."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        owner, byte, context = _pack(texts(batch.column(1)), order)
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(context << 8 | byte)], ["row", "gram"])
+
+    return map_batches(rows.select("row", "url"), work, "row long, gram long", "url")
+
+
+def gram_scores(grams: DataFrame, ngrams: DataFrame, order: int = ORDER) -> DataFrame:
+    """gram, d: log P_accepted - log P_rejected of the last byte after those before it, in PARTs, for different grams.
+
+    Each order's runs are joined with their counts, their context's counts and the next lower order's probabilities; a key has 256 rows at most.
+    """
+    lower = None
+    n = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("n")).otherwise(0))
+    for k in range(order + 1):
+        pairs = ngrams.filter(F.col("k") == k).groupBy("context", "next").agg(n("allow").alias("na"), n("block").alias("nb"))
+        totals = pairs.groupBy("context").agg(F.sum("na").alias("ca"), F.sum("nb").alias("cb"), F.count_if(F.col("na") > 0).alias("fa"), F.count_if(F.col("nb") > 0).alias("fb"))
+        pairs = pairs.select((F.shiftleft("context", 8) + F.col("next")).alias("gram"), "na", "nb")
+        rows = grams.select(F.col("gram").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("gram")).distinct()
+        rows = rows.join(pairs, "gram", "left").withColumn("context", F.shiftright("gram", 8)).join(totals, "context", "left")
+        if lower is None:
+            rows = rows.withColumn("la", F.lit(1 / 256)).withColumn("lb", F.lit(1 / 256))
+        else:
+            rows = rows.withColumn("low", F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1))).join(lower.toDF("low", "la", "lb"), "low")
+        p = lambda x: F.when(F.col(f"c{x}") > 0, (F.coalesce(f"n{x}", F.lit(0)) + F.col(f"f{x}") * F.col(f"l{x}")) / (F.col(f"c{x}") + F.col(f"f{x}"))).otherwise(F.col(f"l{x}"))
+        lower = materialise(rows.select("gram", p("a").alias("pa"), p("b").alias("pb")), "url-probabilities")
+    return lower.select("gram", F.round((F.log("pa") - F.log("pb")) * PART).cast("long").alias("d"))
+
+
+def scored(rows: DataFrame, ngrams: DataFrame, order: int = ORDER) -> DataFrame:
+    """rows (row, url, ...) with score: length-normalised log-likelihood difference of each URL; 0 for an empty one."""
+    at = positions(rows, order)
+    grams = materialise(at.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "url-grams")
+    total = grams.agg(F.sum("n")).first()[0] or 0
+    found = materialise(gram_scores(grams, ngrams, order).join(grams, "gram"), "url-gram-scores")
+    hot = F.broadcast(found.filter(F.col("n") * HOT >= total).select("gram", "d"))
+    rest = at.join(hot, "gram", "left_anti").join(found.filter(F.col("n") * HOT < total).select("gram", "d"), "gram")
+    sums = at.join(hot, "gram").select("row", "d").unionByName(rest.select("row", "d")).groupBy("row").agg(F.sum("d").alias("d"))
+    length = F.greatest(F.lit(1), F.octet_length(F.coalesce("url", F.lit(""))))
+    return rows.join(sums, "row", "left").withColumn("score", F.coalesce("d", F.lit(0)) / PART / length).drop("d")
 
 
 def calibrate(x: np.ndarray, good: np.ndarray, bad: np.ndarray) -> tuple[float, float]:
@@ -152,27 +149,20 @@ def calibrate(x: np.ndarray, good: np.ndarray, bad: np.ndarray) -> tuple[float,
     return float(max(t[0], 1e-6)), float(t[1])
 
 
-def judge(pages: DataFrame, rules=RULES, order: int = ORDER, share: int = CONTEXT_SHARE) -> DataFrame:
+def judge(pages: DataFrame, rules=RULES, order: int = ORDER) -> DataFrame:
     """page_id, host, path, rule, verdict, score, probability (of being accepted) for every url."""
-    spark = pages.sparkSession
     host, path = host_and_path(F.col("url"))
     rows = pages.select(F.col("page_id").cast("long"), "url", host.alias("host"), path.alias("path"))
     name, verdict = rule(F.col("host"), F.col("path"), rules)
-    rows = rows.select("*", name.alias("rule"), verdict.alias("kind"))
-    ruled = rows.filter("kind is not null").select("kind", "url", (F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(5)) == 0).alias("held_out"))
-    shared = spark.sparkContext.broadcast(fit(count_ngrams(ruled.filter("not held_out"), order), order, share))
-
-    def score(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = pa.array(score_urls(texts(batch.column("url")), *shared.value, order))
-        return pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "score"])
+    held_out = F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(5)) == 0
+    rows = materialise(rows.select(F.monotonically_increasing_id().alias("row"), "*", name.alias("rule"), verdict.alias("kind"), held_out.alias("held_out")), "urls")
+    ngrams = materialise(count_ngrams(rows.filter("kind is not null and not held_out"), order), "url-ngrams")
+    rows = materialise(scored(rows, ngrams, order), "scored-urls")
 
-    held = map_batches(ruled.filter("held_out").select("kind", "url"), score, "kind string, url string, score double", "url")
-    bins = held.groupBy("kind", F.least(F.greatest(F.round(F.col("score") / BIN), F.lit(-BINS)), F.lit(BINS)).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    bins = rows.filter("kind is not null and held_out").groupBy("kind", F.least(F.greatest(F.round(F.col("score") / BIN), F.lit(-BINS)), F.lit(BINS)).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     counts = bins.groupBy("bin").pivot("kind", ["allow", "block"]).agg(F.sum("n")).na.fill(0).toPandas().sort_values("bin")  # 2 * BINS + 1 rows at most
     slope, offset = calibrate(counts["bin"].to_numpy(float) * BIN, counts["allow"].to_numpy(float), counts["block"].to_numpy(float))
 
-    scored = map_batches(rows, score, "page_id long, url string, host string, path string, rule string, kind string, score double", "url")
-    probability = 1 / (1 + F.exp(-(F.col("score") * slope + offset)))
-    scored = scored.withColumn("probability", probability)
+    rows = rows.withColumn("probability", 1 / (1 + F.exp(-(F.col("score") * slope + offset))))
     verdict = F.coalesce("kind", F.when(F.col("probability") >= 0.5, "allow").otherwise("block"))
-    return scored.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score", "probability")
+    return rows.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score", "probability")

@@ -587,3 +587,18 @@ def test_similar_texts_are_dropped(spark, sf, tile_rows):
     stage = corpus_pipeline.near_copies(spark, docs, sf) if tile_rows == similar.TILE_ROWS else similar.drop_similar(docs, tile_rows=tile_rows)
     assert sorted(str(r.doc_id) for r in stage.collect()) == sorted(str(None if none else d) for none, d in least.values())
     assert similar.drop_similar(nothing(spark, "fp")).count() == 0
+
+
+# --- 2, models of many URLs ---
+
+
+def test_rare_contexts_stay_in_the_url_models(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(8))
+    known = [f"http://{word()}.com/{word()}" for _ in range(400)] + [f"http://{word()}.net/es/{word()}" for _ in range(410)] + [f"http://{word()}.org/{word()}" for _ in range(30)]
+    rows = {r.page_id: r for r in urls.judge(spark.createDataFrame(list(enumerate(known)), "page_id long, url string")).collect()}
+    train = [(u.encode(), naive_rule(u)[2]) for u in known if zlib.crc32(u.encode()) % 5]
+    for i in [*range(5), *range(400, 405), *range(810, 840)]:
+        u = known[i].encode()
+        accepted, rejected = (naive_model([x for x, k in train if k == kind], u, share=float("inf")) for kind in ("allow", "block"))
+        assert rows[i].score == pytest.approx((accepted - rejected) / len(u), abs=1e-9)
