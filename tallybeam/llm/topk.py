@@ -9,8 +9,8 @@ All queries meet all candidates. Queries travel in chunks of QUERY_CHUNK rows at
 broadcast with one pass over the candidates, so the broadcast has a fixed size whatever the number of queries.
 
 Defined results: vectors that are null or hold a null or non-finite component take no part; an empty vector has score 0 with all.
-Missing components count as 0. Weights beyond 2^31 are clamped there, and scores are 64-bit integers. Ties go to the smaller vec_id, null vec_ids last;
-a null vec_id is never a query. Rows that repeat a query's vec_id count as its own; repeated candidates are all returned.
+Missing components count as 0. Weights beyond 2^62 are clamped there, and scores are 64-bit integers; those that don't fit are clamped. Ties go to the smaller vec_id, null vec_ids last;
+a null vec_id is never a query. Rows that share a query's vec_id are each a query: the k best of all their pairs are ranked together, none of them with a row of that vec_id. Repeated candidates are all returned.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ QUERY_CHUNK = 20_000
 #: Scores held at once by a task.
 SCORES = 1 << 21
 NO_ID = np.iinfo(np.int64).max
-LARGEST = float(1 << 31)
+LARGEST = float(1 << 62)
 
 
 def usable(vector: Column) -> Column:
@@ -53,8 +53,12 @@ def matrix(column: pa.ListArray) -> np.ndarray:
 
 def accumulate(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     """Scores of all queries against all candidates of a block, term at a time."""
+    terms = min(queries.shape[1], candidates.shape[1])
+    if terms * float(np.abs(queries).max(initial=0)) * float(np.abs(candidates).max(initial=0)) >= 2.0**63:  # sums may not fit: exact, then clamped
+        exact = queries[:, :terms].astype(object) @ candidates[:, :terms].T.astype(object)
+        return np.clip(exact, -(2**63 - 1), 2**63 - 1).astype(np.int64)
     scores = np.zeros((len(queries), len(candidates)), np.int64)
-    for term in range(min(queries.shape[1], candidates.shape[1])):
+    for term in range(terms):
         rows, posting = np.flatnonzero(queries[:, term]), np.flatnonzero(candidates[:, term])
         if not len(rows) or not len(posting):
             continue
@@ -106,12 +110,12 @@ def _search(query_ids: np.ndarray, queries: np.ndarray, k: int):
 
 
 def top_k(candidates: DataFrame, queries: DataFrame, k: int = K, query_chunk: int = QUERY_CHUNK) -> DataFrame:
-    """query_id, rank, vec_id, score: for each query the k best candidates but itself. Both have id, weights; query ids are distinct."""
+    """query_id, rank, vec_id, score: for each query the k best candidates but itself. Both have id, weights; rows that share a query id are searched each and ranked together."""
     spark = candidates.sparkSession
     chunks = max(1, -(-queries.count() // query_chunk))
     parts = []
     for chunk in range(chunks):
-        held = queries.filter(F.pmod(F.xxhash64("id"), F.lit(chunks)) == chunk).toArrow().combine_chunks()
+        held = queries.filter(F.pmod(F.xxhash64("id", "weights"), F.lit(chunks)) == chunk).toArrow().combine_chunks()
         shared = spark.sparkContext.broadcast((held.column("id").to_numpy(), matrix(held.column("weights").combine_chunks())) if held.num_rows else (np.array([], np.int64), np.zeros((0, 0), np.int64)))
         parts.append(candidates.mapInArrow(lambda batches, shared=shared: _search(*shared.value, k)(batches), "query_id long, vec_id long, score long"))
     merged = parts[0]
@@ -124,4 +128,4 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = K, query_chunk: in
 def search_embeddings(embeddings: DataFrame, every: int = EVERY, k: int = K, scale: int = SCALE) -> DataFrame:
     """The rows whose vec_id is divisible by `every` against all rows."""
     rows = weights(embeddings, scale)
-    return top_k(rows, rows.filter(F.col("id") % every == 0).dropDuplicates(["id"]), k)
+    return top_k(rows, rows.filter(F.col("id") % every == 0), k)

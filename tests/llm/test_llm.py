@@ -602,3 +602,13 @@ def test_rare_contexts_stay_in_the_url_models(spark):
         u = known[i].encode()
         accepted, rejected = (naive_model([x for x, k in train if k == kind], u, share=float("inf")) for kind in ("allow", "block"))
         assert rows[i].score == pytest.approx((accepted - rejected) / len(u), abs=1e-9)
+
+
+# --- 10, shared ids and large components ---
+
+
+def test_top_k_of_shared_query_ids_and_large_components(spark):
+    rows = [(0, [2.2e6, 1.0]), (0, [-2.3e6, 1.0]), (1, [2.4e6, 0.0]), (2, [2.5e6, 0.0]), (3, [-2.6e6, 0.0])]
+    found = [tuple(r) for r in topk.search_embeddings(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()]
+    pairs = [(sum(int(1024 * x) * int(1024 * y) for x, y in zip(q, c, strict=True)), i) for _, q in rows[:2] for i, c in rows[2:]]
+    assert sorted(found) == [(0, rank, i, score) for rank, (score, i) in enumerate(sorted(pairs, key=lambda p: (-p[0], p[1])), 1)]
