@@ -9,7 +9,8 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 #: A-Z to a-z on bytes; all other bytes stay.
 LOWER_ASCII = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -25,9 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or the driver's own only where it is unset."""
+    """The folder that all executors share: spark.checkpoint.dir. Where it is unset, a folder of this machine does for a local master; any other needs the setting."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tallybeam-")
         spark.sparkContext.setCheckpointDir(found)
         found = spark.sparkContext.getCheckpointDir()
@@ -73,6 +76,21 @@ def release(df: DataFrame) -> None:
     delete(df.sparkSession, df._tallybeam_path)
 
 
+def running(rows: DataFrame, order: list[Column], sums: dict[str, str], by: list[str] = ()) -> DataFrame:
+    """rows with, for each name: column of `sums`, the column's sum over all rows before in a total order, for each group of `by` columns (not null) apart.
+
+    Ranges of the order are summed by themselves and moved by the sums of the ranges before, so a range is all that a task holds, and a large
+    group is as many ranges as its rows need. Only one row a range and group passes a window over all ranges.
+    """
+    dealt = materialise(rows.repartitionByRange(*map(F.col, by), *order).withColumn("_part", F.spark_partition_id()), "ranges")
+    parts = dealt.groupBy("_part", *by).agg(*(F.sum(c).alias(f"_{name}") for name, c in sums.items()))
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("_part", *by, *(F.coalesce(F.sum(f"_{name}").over(before), F.lit(0)).alias(f"_{name}") for name in sums))
+    inside = Window.partitionBy("_part", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    counted = dealt.select("*", *(F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"_in_{name}") for name, c in sums.items()))
+    return counted.join(parts, ["_part", *by]).select(*rows.columns, *((F.col(f"_in_{name}") + F.col(f"_{name}")).alias(name) for name in sums))
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about SLICE_BYTES of the column's bytes at most (one row at least)."""
     for batch in batches:

@@ -58,8 +58,33 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in QUERIES}
 
 
+def shard_sql(shards: int = sharding.SHARDS) -> str:
+    """Draws at every node, then the way from the top; CRC-32 byte by byte from a table made by its polynomial."""
+
+    def rows(top: sharding.Node) -> list[str]:
+        return [f"('{top.name}', '{c.name}', {c.weight}::DOUBLE, {'NULL' if c.shard is None else c.shard})" for c in top.children] + [r for c in top.children for r in rows(c)]
+
+    def way(name: str, top: sharding.Node) -> str:
+        return f"""
+            {name}_t(parent, child, weight, shard) AS (VALUES {", ".join(rows(top))}),
+            {name}_w AS (SELECT key, parent, arg_max((child, shard), (ln((('0x' || substr(md5('{sharding.SEED}|' || child || '|' || key), 1, 13))::BIGINT + 1)::DOUBLE / 4503599627370496.0) / weight, child)) AS w
+                         FROM keys, {name}_t GROUP BY key, parent),
+            {name} AS (SELECT a.key, c.w[2]::INT AS shard FROM {name}_w a JOIN {name}_w b ON a.parent = '' AND b.key = a.key AND b.parent = a.w[1] JOIN {name}_w c ON c.key = b.key AND c.parent = b.w[1])"""
+
+    return f"""
+            WITH t AS (SELECT list_transform(range(256), lambda b: list_reduce([b] || range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+            b AS (SELECT doc_id, coalesce(doc_id::VARCHAR, 'null') AS key, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT) AS b FROM documents),
+            d AS (SELECT doc_id, key, len(b)::BIGINT + 8 AS size, xor(list_reduce([4294967295] || b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295)::BIGINT AS text_crc32 FROM b, t),
+            keys AS (SELECT DISTINCT key FROM d),{way("now", sharding.tree(shards))},{way("grown", sharding.tree(shards + 1))}
+            SELECT doc_id, size, text_crc32, 'key' AS law, now.shard,
+                   row_number() OVER (PARTITION BY now.shard ORDER BY ('0x' || substr(md5('{sharding.SEED}-slot|' || d.key || '|' || text_crc32), 1, 13))::BIGINT, doc_id, text_crc32, size) - 1 AS slot,
+                   grown.shard AS grown_shard
+            FROM d JOIN now ON now.key = d.key JOIN grown ON grown.key = d.key"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_sharding": shard_sql(),
         "op4_exact_dedup": """
             WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents)
             SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, text_sha256
@@ -73,7 +98,7 @@ def oracle_sql() -> dict[str, str]:
             FROM g""",
         "op8_source_mix": """
             WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+'))::BIGINT AS size,
-                              ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT AS place FROM documents),
+                              ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))), 1, 13))::BIGINT AS place FROM documents),
             s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
             r AS (SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS w, 3 * source_size AS cap FROM s),
             f AS (SELECT *, sum(source_size) OVER () - coalesce(sum(cap) OVER b, 0) AS left_words, sum(w) OVER () - coalesce(sum(w) OVER b, 0) AS left_weight
@@ -84,7 +109,7 @@ def oracle_sql() -> dict[str, str]:
                         / (SELECT sum(w) FROM c WHERE NOT clamped)::DOUBLE), cap::DOUBLE) END AS target FROM c),
             e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM t),
             o AS (SELECT d.doc_id, d.size, e.source_size, e.target, e.whole, e.target - (e.whole * e.source_size)::DOUBLE AS rest,
-                         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place) AS upto
+                         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place, d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
                   FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
             SELECT doc_id, size, source_size, target,
                    (size * (whole + CASE WHEN rest > 0 AND upto - size / 2.0 <= rest THEN 1 ELSE 0 END))::BIGINT AS taken FROM o""",

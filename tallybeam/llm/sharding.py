@@ -6,26 +6,28 @@ weight moves rows only into or out of the subtree whose weight changed. A shard
 changes no other subtree, so it takes rows only into itself: the law `key`. A shard added inside a rack also
 raises the weights above it and may move rows within that region alone.
 
-Only DataFrame functions are used. The number of draws is the sum of the fan-outs on the way, not the number of shards.
+Only DataFrame functions are used. The number of draws is the sum of the fan-outs on the way, not the number of shards. Hashes are MD5, so SQL can draw alike.
+
+Slots number the rows of a shard in order of a hash of doc_id and the text's checksum, by ranges of that order with row numbers last (running()), so no task holds
+a shard and equal rows are spread too.
 
 Defined results: null texts have 8 bytes and the checksum of no bytes; rows with a null doc_id share one key. Repeated rows get the same shard
-and slots of their own. Slots are gapless in each shard, ordered by a hash of doc_id and the text's checksum, so rows that share a doc_id
-do not meet in one bin.
+and slots of their own, gapless in each shard.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybeam.llm.common import materialise
+from tallybeam.llm.common import materialise, running
 
 SEED = 20_011
 SHARDS = 24
-#: Rows that one task numbers at a time.
-SLOT_ROWS = 1 << 14
+#: Hexadecimal digits of a hash that make a number.
+DIGITS = 13
 
 
 @dataclass(frozen=True)
@@ -54,53 +56,51 @@ def tree(shards: int = SHARDS, layout: tuple[int, int, int] = (2, 3, 4)) -> Node
     return Node("", tuple(top))
 
 
+def number(*parts: Column) -> Column:
+    """0 to 16^DIGITS - 1 from the MD5 of the parts, joined by bars."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, DIGITS), 16, 10).cast("long")
+
+
 def draw(key: Column, child: Node, seed: int) -> Column:
     """ln(u) / weight; a weight of 0 never wins."""
     if child.weight <= 0:
         return F.lit(float("-inf"))
-    u = (F.shiftrightunsigned(F.xxhash64(key, F.lit(child.name), F.lit(seed)), 11) + 1).cast("double") / float(1 << 53)
+    u = (number(F.lit(str(seed)), F.lit(child.name), key) + 1).cast("double") / float(16**DIGITS)
     return F.log(u) / F.lit(float(child.weight))
 
 
-def descend(key: Column, node: Node, seed: int = SEED) -> Column:
-    """The shard of the key as a Column."""
-    if node.shard is not None:
-        return F.lit(node.shard)
-    if len(node.children) == 1:
-        return descend(key, node.children[0], seed)
-    draws = [draw(key, c, seed) for c in node.children]
-    out = descend(key, node.children[-1], seed)
-    best = F.greatest(*draws)
-    for c, d in reversed([*zip(node.children[:-1], draws[:-1], strict=True)]):
-        out = F.when(d == best, descend(key, c, seed)).otherwise(out)
-    return out
+def winner(key: Column, children: tuple[Node, ...], seed: int) -> Column:
+    """The name of the child with the largest draw (of equal ones the last name)."""
+    if len(children) == 1:
+        return F.lit(children[0].name)
+    return F.array_max(F.array(*(F.struct(draw(key, c, seed).alias("draw"), F.lit(c.name).alias("name")) for c in children)))["name"]
+
+
+def descend(rows: DataFrame, key: str, top: Node, out: str, seed: int = SEED) -> DataFrame:
+    """rows with the shard of the key as column `out`, level by level, so each row draws for the children on its way only."""
+    level: list[Node] = [top]
+    rows = rows.withColumn(out, F.lit(top.name))
+    while any(n.children for n in level):
+        step = F.col(out)
+        for n in level:
+            if n.children:
+                step = F.when(F.col(out) == n.name, winner(F.col(key), n.children, seed)).otherwise(step)
+        rows = rows.withColumn(out, step)
+        level = [c for n in level for c in (n.children or (n,))]
+    shards = F.create_map(*(F.lit(x) for n in level for x in (n.name, n.shard)))
+    return rows.withColumn(out, F.element_at(shards, F.col(out)))
 
 
 def assign(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard (with one more shard)."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
-        key.alias("key"),
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("key"),
     )
-    rows = rows.select("*", descend(F.col("key"), tree(shards), seed).alias("shard"), descend(F.col("key"), tree(shards + 1), seed).alias("grown_shard"), F.xxhash64("key", "text_crc32", F.lit(seed + 1)).alias("place")).drop("key")
-    rows = materialise(rows, "shards")
-    return number(rows, shards).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
-
-
-def number(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """rows with slot: 0, 1, 2 ... in each shard, by place.
-
-    Each shard is cut into bins by place, each bin numbered by itself and moved by the rows of the bins before, so no task
-    holds a shard. The table of bins is small (a row for SLOT_ROWS rows) and is joined, not broadcast by force.
-    """
-    bins = max(1, rows.count() // (shards * SLOT_ROWS))
-    bin_ = F.floor((F.col("place").cast("double") / float(1 << 63) + 1) / 2 * bins).cast("long")
-    rows = rows.withColumn("bin", F.least(F.greatest(bin_, F.lit(0)), F.lit(bins - 1)))
-    before = Window.partitionBy("shard").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    starts = rows.groupBy("shard", "bin").agg(F.count(F.lit(1)).alias("n"))
-    starts = materialise(starts.select("shard", "bin", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")), "slot-starts")
-    inside = F.row_number().over(Window.partitionBy("shard", "bin").orderBy("place", "doc_id", "text_crc32", "size"))
-    return rows.withColumn("_n", inside).join(starts, ["shard", "bin"]).withColumn("slot", (F.col("first") + F.col("_n") - 1).cast("long"))
+    rows = descend(descend(rows, "key", tree(shards), "shard", seed), "key", tree(shards + 1), "grown_shard", seed)
+    place = number(F.lit(f"{seed}-slot"), F.col("key"), F.col("text_crc32").cast("string"))
+    rows = materialise(rows.select("*", place.alias("place"), F.lit(1).alias("one"), F.monotonically_increasing_id().alias("row")).drop("key"), "shards")
+    order = [F.col(c) for c in ("place", "doc_id", "text_crc32", "size", "row")]
+    return running(rows, order, {"slot": "one"}, ["shard"]).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), "grown_shard")
