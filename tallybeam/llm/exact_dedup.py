@@ -10,7 +10,8 @@
 
 Defined results: null text counts as empty; texts are equal when identical after lower-casing A-Z. Of equal
 texts the row with the largest doc_id stays (null doc_ids lose to any other); if rows repeat a doc_id, exactly
-one of them stays. Extra columns are ignored by decisions() and kept by drop_copies().
+one of them stays: that with the largest hash of the text as it is, then the one with the least other columns, so reruns agree.
+Extra columns are ignored by decisions() and kept by drop_copies().
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,14 +35,19 @@ def digest(text: bytes) -> bytes:
     return hashlib.sha256(text.translate(LOWER_ASCII)).digest()
 
 
+def raw_hash() -> Column:
+    """A number of the text as it is; null is not empty here."""
+    return F.xxhash64("text")
+
+
 def with_digests(docs: DataFrame) -> DataFrame:
-    """doc_id, digest binary, row long: a number of the row that is fixed once this has been written."""
+    """doc_id, digest binary, raw long (of the text as it is), row long: a number of the row that is fixed once this has been written."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = pa.array([digest(x) for x in texts(batch.column(1))], pa.binary())
-        return pa.RecordBatch.from_arrays([batch.column(0), found], ["doc_id", "digest"])
+        return pa.RecordBatch.from_arrays([batch.column(0), found, batch.column(2)], ["doc_id", "digest", "raw"])
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), work, "doc_id long, digest binary", "text").withColumn("row", F.monotonically_increasing_id())
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text", raw_hash().alias("raw")), work, "doc_id long, digest binary, raw long", "text").withColumn("row", F.monotonically_increasing_id())
 
 
 class MisraGries:
@@ -78,34 +84,46 @@ def frequent(digests: DataFrame, k: int = K) -> DataFrame:
 
 
 def verified(digests: DataFrame, k: int = K) -> DataFrame:
-    """digest, group_size, keep_id, keep_row of the heavy groups: k + 1 rows at most, so it may be broadcast."""
+    """digest, group_size, keep_id, keep_raw, keep_row of the heavy groups: k + 1 rows at most, so it may be broadcast."""
     heavy = F.broadcast(frequent(digests, k))
     return materialise(_groups(digests.join(heavy, "digest", "left_semi")), "winners")
 
 
 def _groups(digests: DataFrame) -> DataFrame:
-    best = F.max(F.struct("doc_id", "row"))
-    return digests.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best")).select("digest", "group_size", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"))
+    best = F.max(F.struct("doc_id", "raw", "row"))
+    return digests.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best")).select("digest", "group_size", *(F.col(f"best.{c}").alias(f"keep_{n}") for c, n in (("doc_id", "id"), ("raw", "raw"), ("row", "row"))))
 
 
-def decisions(docs: DataFrame, k: int = K) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256: one row per document, dropped ones too."""
-    digests = materialise(with_digests(docs), "digests")
+def _with_groups(digests: DataFrame, k: int) -> DataFrame:
+    """The rows of with_digests() with those of their group: heavy groups map-side, the others by a shuffle of digests."""
     winners = verified(digests, k)
     settled = digests.join(F.broadcast(winners), "digest")
     rest = digests.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
-    ordinary = rest.join(_groups(rest), "digest")
-    out = settled.unionByName(ordinary)
+    return settled.unionByName(rest.join(_groups(rest), "digest"))
+
+
+def decisions(docs: DataFrame, k: int = K) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256: one row per document, dropped ones too."""
+    out = _with_groups(materialise(with_digests(docs), "digests"), k)
     return out.select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def drop_copies(docs: DataFrame, k: int = K) -> DataFrame:
     """docs without the copies, all columns kept.
 
-    Losers of heavy groups go map-side; only the other rows are shuffled, once, by digest.
+    Decisions are made on digests alone and written as marks (doc_id, digest, raw) of the rows that go. Losers of heavy groups go map-side,
+    the others by an anti join with the marks, which Spark broadcasts only if they are few. Rows equal to their group's
+    winner in doc_id and text can't be told apart by marks: a map-side combined aggregation leaves one of them.
     """
-    winners = F.broadcast(verified(materialise(with_digests(docs), "digests"), k).select(F.col("digest").alias("_tb_digest"), F.col("keep_id").alias("_tb_keep")))
-    schema = docs.schema
+    digests = materialise(with_digests(docs), "digests")
+    winners = verified(digests, k)
+    rest = digests.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
+    wins = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("raw") == F.col("keep_raw"))
+    lost = materialise(rest.join(_groups(rest).filter("group_size > 1"), "digest").filter(~wins).select("doc_id", "digest", "raw").distinct(), "copies")
+    twins = digests.groupBy("doc_id", "digest", "raw").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id", "digest", "raw")
+    twins = materialise(twins, "twins")
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("_tb_digest", T.BinaryType())])
     bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,8 +131,14 @@ def drop_copies(docs: DataFrame, k: int = K) -> DataFrame:
             found = pa.array([digest(x) for x in texts(batch.column("text"))], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "_tb_digest"])
 
-    rows = docs.mapInArrow(run, T.StructType([*schema.fields, T.StructField("_tb_digest", T.BinaryType())])).join(winners, "_tb_digest", "left")
-    rows = rows.filter(F.col("_tb_keep").isNull() | (F.col("doc_id") == F.col("_tb_keep")))
-    first = Window.partitionBy("_tb_digest").orderBy(F.col("doc_id").desc_nulls_last())
-    return rows.withColumn("_tb_rank", F.row_number().over(first)).filter("_tb_rank = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
-
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    row = docs.mapInArrow(run, schema).select(F.struct(*own).alias("_tb_row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("_tb_digest").alias("digest"), raw_hash().alias("raw"))
+    heavy = winners.select(F.col("digest").alias("_tb_heavy"), "keep_id", "keep_raw")
+    row = row.join(F.broadcast(heavy), F.col("digest") == F.col("_tb_heavy"), "left").filter(F.col("_tb_heavy").isNull() | wins)
+    marked = lambda marks, how: row.join(marks.toDF("_tb_id", "_tb_digest", "_tb_raw"), (F.col("digest") == F.col("_tb_digest")) & (F.col("raw") == F.col("_tb_raw")) & F.col("doc_id").eqNullSafe(F.col("_tb_id")), how)
+    row = marked(lost, "left_anti")
+    if not twins.isEmpty():
+        order = F.struct(*[F.col(f"_tb_row.`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, T.MapType | T.VariantType)])
+        one = marked(twins, "left_semi").groupBy("doc_id", "digest", "raw").agg(F.min_by("_tb_row", order).alias("_tb_row"))
+        row = marked(twins, "left_anti").select("_tb_row").unionByName(one.select("_tb_row"))
+    return row.select(*[F.col(f"_tb_row.`{c}`") for c in docs.columns])
