@@ -5,8 +5,8 @@ headers are parsed first, and the payload of a record that the predicates reject
 neither inflated nor decoded: the reader seeks past it, by Content-Length in plain archives and by the skip
 length that the writer leaves in each gzip member ("sl" extra field); members without one are inflated and discarded.
 
-Writing: one gzip member per record, files of FILE_BYTES at most. Tasks write under hidden names, and the driver renames the files of the
-attempts that succeeded when it commits, so retries and lost executors leave no records behind.
+Writing: one gzip member per record, files of FILE_BYTES at most. Tasks write under hidden names that carry the write's number, and on commit the driver renames the
+files of the attempts that succeeded, several at a time, and deletes the write's other ones, so retries and lost executors leave no records behind.
 Files are reached by pyarrow.fs, so any store that has a URI there can hold archives.
 
 archive() writes a response record per page, or a revisit record where an equal payload of LEAST_BYTES or more belongs to
@@ -21,6 +21,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -34,6 +35,8 @@ from tallybeam.llm.common import materialise, new_path
 
 LEAST_BYTES = 100
 FILE_BYTES, SPLIT_BYTES, WINDOW, BATCH_BYTES = 256 << 20, 64 << 20, 1 << 20, 4 << 20
+#: Files that the driver renames at once.
+MOVES = 32
 SCHEMA = "record_type string, record_id string, date string, target_uri string, payload_digest string, refers_to string, content_type string, content_length long, headers map<string,string>, payload binary"
 #: Columns that are a named header each.
 NAMED = {"record_type": "warc-type", "record_id": "warc-record-id", "date": "warc-date", "target_uri": "warc-target-uri", "payload_digest": "warc-payload-digest", "refers_to": "warc-refers-to", "content_type": "content-type"}
@@ -272,7 +275,7 @@ class WarcWriter(DataSourceArrowWriter):
     """Rows (record_type, record_id, date, target_uri, payload_digest, refers_to, headers, payload); revisits have no block."""
 
     def __init__(self, path: str, file_bytes: int = FILE_BYTES):
-        self.path, self.file_bytes = path, file_bytes
+        self.path, self.file_bytes, self.number = path, file_bytes, uuid.uuid4().hex
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, root = open_fs(self.path)
@@ -285,7 +288,7 @@ class WarcWriter(DataSourceArrowWriter):
                     if stream is None or size >= self.file_bytes:
                         if stream:
                             stream.close()
-                        files.append(f"{uuid.uuid4().hex}.warc.gz")
+                        files.append(f"{self.number}-{uuid.uuid4().hex}.warc.gz")
                         stream, size = fs.open_output_stream(f"{root}/.{files[-1]}", compression=None), 0
                     data = member(self.record(row))
                     stream.write(data)
@@ -309,13 +312,19 @@ class WarcWriter(DataSourceArrowWriter):
 
     def commit(self, messages: list[Written | None]) -> None:
         fs, root = open_fs(self.path)
-        for name in (f for m in messages if m for f in m.files):
-            fs.move(f"{root}/.{name}", f"{root}/{name}")
+        with ThreadPoolExecutor(MOVES) as pool:
+            list(pool.map(lambda name: fs.move(f"{root}/.{name}", f"{root}/{name}"), (f for m in messages if m for f in m.files)))
+        self.clean()
 
     def abort(self, messages: list[Written | None]) -> None:
+        self.clean()
+
+    def clean(self) -> None:
+        """Delete this write's hidden files."""
         fs, root = open_fs(self.path)
-        for name in (f for m in messages if m for f in m.files):
-            fs.delete_file(f"{root}/.{name}")
+        for info in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
+            if info.base_name.startswith(f".{self.number}-"):
+                fs.delete_file(info.path)
 
 
 class WarcSource(DataSource):
@@ -338,7 +347,7 @@ class WarcSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    """Make the format known and let Spark hand predicates to Python data sources."""
+    """Make the format known and let Spark hand predicates to Python data sources: without spark.sql.python.filterPushdown.enabled, which is set here, they are filtered after decoding."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
 
@@ -383,16 +392,16 @@ def read(spark: SparkSession, path: str, schema: str = SCHEMA) -> DataFrame:
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of the archives that hold the pages, as read back."""
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of the archives that hold the pages, as read back.
+
+    Responses and revisits are two scans with their record type pushed down; the scan of revisits asks for no payload, so none is inflated.
+    """
     path = new_path(pages.sparkSession, "warc")
     archive(pages, path)
-    found = read(pages.sparkSession, path, "record_type string, payload_digest string, refers_to string, headers map<string,string>, payload binary")
-    page = lambda c: F.regexp_extract(c, "<urn:x-page:(-?[0-9]+)>", 1)
-    response = F.col("record_type") == "response"
-    return found.select(
-        F.element_at("headers", "x-page-id").cast("long").alias("page_id"),
-        F.when(response, F.octet_length("payload").cast("long")).otherwise(F.element_at("headers", "x-payload-length").cast("long")).alias("payload_bytes"),
-        F.when(response, F.sha2("payload", 256)).otherwise(F.substring("payload_digest", 8, 64)).alias("payload_digest"),
-        "record_type",
-        F.when(F.col("refers_to").isNotNull(), page(F.col("refers_to")).cast("long")).alias("refers_to"),
-    )
+    page = F.element_at("headers", "x-page-id").cast("long").alias("page_id")
+    first = F.regexp_extract("refers_to", "<urn:x-page:(-?[0-9]+)>", 1).cast("long").alias("refers_to")
+    responses = read(pages.sparkSession, path, "record_type string, headers map<string,string>, payload binary").filter("record_type = 'response'")
+    responses = responses.select(page, F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"), "record_type", F.lit(None).cast("long").alias("refers_to"))
+    revisits = read(pages.sparkSession, path, "record_type string, payload_digest string, refers_to string, headers map<string,string>").filter("record_type = 'revisit'")
+    revisits = revisits.select(page, F.element_at("headers", "x-payload-length").cast("long").alias("payload_bytes"), F.substring("payload_digest", 8, 64).alias("payload_digest"), "record_type", first)
+    return responses.unionByName(revisits)
