@@ -4,7 +4,7 @@ Rules name a host (with all its subdomains) and the start of a path; the longest
 train an accepted and a rejected model: smoothed variable-order Markov models over the URL's bytes. Counts of
 (context, next byte) for all orders up to ORDER are gathered from every such URL by a map-side combined aggregation.
 All counted contexts belong to the models, which stay tables: the different runs of bytes of all URLs are joined with the counts of each order.
-Only the scores of runs that make up one part in HOT of all positions or more (HOT at most) are broadcast; other URL positions are shuffled.
+Only the scores of runs that make up one part in HOT of all rows or more (HOT at most) are broadcast; other rows (URL, run, times) are shuffled.
 Probabilities are smoothed by Witten-Bell interpolation down the orders; a missing context falls back to the next shorter one.
 
 score = (log P_accepted - log P_rejected) / length. A fifth of the ruled URLs (by hash) takes no part in the counts;
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybeam.llm.common import map_batches, materialise, texts
+from tallybeam.llm.common import bound_batches, materialise, slices, texts
 
 #: Fixed values: (verdict, host, path) of the rules.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
@@ -32,6 +32,8 @@ ORDER = 5
 #: No context is too rare for a model.
 CONTEXT_SHARE = float("inf")
 HOT = 4_096
+#: Bytes of URLs that are cut into runs at once; each takes about a hundred bytes of memory.
+PIECE = 1 << 20
 #: Scores are summed as whole numbers of this part, so that the order of rows doesn't matter.
 PART = float(1 << 36)
 #: Score bins of the calibration.
@@ -56,46 +58,73 @@ def rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return (name, verdict) if name is not None else (F.lit(None).cast("string"), F.lit(None).cast("string"))
 
 
-def _pack(urls: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each byte of the URLs: the number of its URL, the byte, and the `order` bytes before it as one integer (0 bytes pad the start)."""
-    lengths = np.fromiter(map(len, urls), np.int64, len(urls))
-    flat = np.frombuffer(b"".join(bytes(order) + u for u in urls), np.uint8).astype(np.int64)
-    starts = np.cumsum(lengths + order) - lengths
-    owner = np.repeat(np.arange(len(urls)), lengths)
-    at = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths) + starts[owner]
+def _packed(urls: list[bytes], order: int, piece: int = PIECE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each byte of the URLs: the number of its URL, the byte, and the `order` bytes before it as one integer (0 bytes pad the start).
+
+    Yields about `piece` bytes at once; longer URLs are cut, each part with the bytes before it.
+    """
+    owners: list[int] = []
+    parts: list[bytes] = []
+    size = 0
+    for i, u in enumerate(urls):
+        padded = bytes(order) + u
+        for start in range(0, len(u), piece):
+            owners.append(i)
+            parts.append(padded[start : start + piece + order])
+            size += len(parts[-1])
+            if size >= piece:
+                yield _pack(owners, parts, order)
+                owners, parts, size = [], [], 0
+    if parts:
+        yield _pack(owners, parts, order)
+
+
+def _pack(owners: list[int], parts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same of parts that start with the `order` bytes before them."""
+    lengths = np.fromiter(map(len, parts), np.int64, len(parts)) - order
+    flat = np.frombuffer(b"".join(parts), np.uint8)
+    at = np.arange(lengths.sum()) + np.repeat(np.arange(1, len(parts) + 1) * order, lengths)
     context = np.zeros(len(at), np.int64)
     for i in range(order, 0, -1):
         context = context << 8 | flat[at - i]
-    return owner, flat[at], context
+    return np.repeat(np.array(owners, np.int64), lengths), flat[at].astype(np.int64), context
 
 
 def count_ngrams(urls: DataFrame, order: int = ORDER) -> DataFrame:
     """kind, k, context, next, n of `urls` (kind, url): occurrences of each next byte after each context of k bytes."""
+    bound_batches(urls.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "url"):
             kinds, all_urls = np.array(batch.column(0).to_pylist(), object), texts(batch.column(1))
-            for kind in set(kinds):
-                _, byte, context = _pack([u for u, q in zip(all_urls, kinds, strict=True) if q == kind], order)
-                for k in range(order + 1):
-                    keys, n = np.unique((context & ((1 << 8 * k) - 1)) << 8 | byte, return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([kind] * len(keys), pa.string()), pa.array(np.full(len(keys), k, np.int32)), pa.array(keys >> 8), pa.array((keys & 255).astype(np.int32)), pa.array(n)],
-                        ["kind", "k", "context", "next", "n"],
-                    )
+            for kind in sorted(set(kinds)):
+                for _, byte, context in _packed([u for u, q in zip(all_urls, kinds, strict=True) if q == kind], order):
+                    for k in range(order + 1):
+                        keys, n = np.unique((context & ((1 << 8 * k) - 1)) << 8 | byte, return_counts=True)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([kind] * len(keys), pa.string()), pa.array(np.full(len(keys), k, np.int32)), pa.array(keys >> 8), pa.array((keys & 255).astype(np.int32)), pa.array(n)],
+                            ["kind", "k", "context", "next", "n"],
+                        )
 
     counted = urls.select("kind", "url").mapInArrow(run, "kind string, k int, context long, next int, n long")
     return counted.groupBy("kind", "k", "context", "next").agg(F.sum("n").alias("n"))
 
 
 def positions(rows: DataFrame, order: int = ORDER) -> DataFrame:
-    """row, gram: for each byte of the urls of `rows` (row, url) it and the `order` bytes before it as one integer."""
+    """row, gram, n: for each url of `rows` (row, url), the different bytes with the `order` bytes before them as one integer, and how often each occurs (in parts of a long url)."""
+    bound_batches(rows.sparkSession)
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        owner, byte, context = _pack(texts(batch.column(1)), order)
-        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(context << 8 | byte)], ["row", "gram"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "url"):
+            row = batch.column(0).to_numpy()
+            for owner, byte, context in _packed(texts(batch.column(1)), order):
+                gram = context << 8 | byte
+                by = np.lexsort((gram, owner))
+                owner, gram = owner[by], gram[by]
+                new = np.flatnonzero(np.append(True, (np.diff(owner) != 0) | (np.diff(gram) != 0)))
+                yield pa.RecordBatch.from_arrays([pa.array(row[owner[new]]), pa.array(gram[new]), pa.array(np.diff(np.append(new, len(gram))))], ["row", "gram", "n"])
 
-    return map_batches(rows.select("row", "url"), work, "row long, gram long", "url")
+    return rows.select("row", "url").mapInArrow(run, "row long, gram long, n long")
 
 
 def gram_scores(grams: DataFrame, ngrams: DataFrame, order: int = ORDER) -> DataFrame:
@@ -123,14 +152,14 @@ def gram_scores(grams: DataFrame, ngrams: DataFrame, order: int = ORDER) -> Data
 def scored(rows: DataFrame, ngrams: DataFrame, order: int = ORDER) -> DataFrame:
     """rows (row, url, ...) with score: length-normalised log-likelihood difference of each URL; 0 for an empty one."""
     at = positions(rows, order)
-    grams = materialise(at.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "url-grams")
-    total = grams.agg(F.sum("n")).first()[0] or 0
+    grams = materialise(at.groupBy("gram").agg(F.count(F.lit(1)).alias("rows")), "url-grams")
+    total = grams.agg(F.sum("rows")).first()[0] or 0
     found = materialise(gram_scores(grams, ngrams, order).join(grams, "gram"), "url-gram-scores")
-    hot = F.broadcast(found.filter(F.col("n") * HOT >= total).select("gram", "d"))
-    rest = at.join(hot, "gram", "left_anti").join(found.filter(F.col("n") * HOT < total).select("gram", "d"), "gram")
-    sums = at.join(hot, "gram").select("row", "d").unionByName(rest.select("row", "d")).groupBy("row").agg(F.sum("d").alias("d"))
+    hot = F.broadcast(found.filter(F.col("rows") * HOT >= total).select("gram", "d"))
+    rest = at.join(hot, "gram", "left_anti").join(found.filter(F.col("rows") * HOT < total).select("gram", "d"), "gram")
+    sums = at.join(hot, "gram").select("row", "n", "d").unionByName(rest.select("row", "n", "d")).groupBy("row").agg(F.sum((F.col("n") * F.col("d")).cast("decimal(38,0)")).cast("double").alias("d"))
     length = F.greatest(F.lit(1), F.octet_length(F.coalesce("url", F.lit(""))))
-    return rows.join(sums, "row", "left").withColumn("score", F.coalesce("d", F.lit(0)) / PART / length).drop("d")
+    return rows.join(sums, "row", "left").withColumn("score", F.coalesce("d", F.lit(0.0)) / PART / length).drop("d")
 
 
 def calibrate(x: np.ndarray, good: np.ndarray, bad: np.ndarray) -> tuple[float, float]:
