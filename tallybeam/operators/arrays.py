@@ -52,10 +52,20 @@ def inner(a: Column, b: Column) -> Column:
     return total(F.zip_with(a, b, lambda x, y: x * y))
 
 
-def match(a: Column, b: Column) -> Column:
-    """Normalised inner product, 1 at most in absolute value; 0 for a zero norm."""
+def match(a: Column, b: Column, psd: Column | None = None, kmin: int = 0) -> Column:
+    """Absolute normalised inner product, weighted by 1 / psd and from bin kmin on: 0 to 1; 0 for a zero norm."""
+    cut = lambda x: F.slice(x, kmin + 1, F.greatest(F.lit(0), F.size(x) - kmin)) if kmin else x
+    a, b = cut(a), cut(b)
+    if psd is not None:
+        a, b = (F.zip_with(x, cut(psd), lambda v, p: v / F.sqrt(p)) for x in (a, b))
     norm = F.sqrt(inner(a, a) * inner(b, b))
-    return F.when(norm == 0, 0.0).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.try_divide(inner(a, b), norm))))
+    return F.when(norm == 0, 0.0).otherwise(F.least(F.lit(1.0), F.abs(F.try_divide(inner(a, b), norm))))
+
+
+def against(series: DataFrame, bank: DataFrame, blocks: int = 8) -> DataFrame:
+    """Each series row with each row of the bank, in blocks: the bank is dealt to `blocks` keys, series are repeated to each, and an equality join on the key meets them, so the bank is broadcast only if Spark finds it small."""
+    keyed = series.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    return keyed.join(bank.withColumn("_block", F.pmod(F.xxhash64(bank.columns[0]), F.lit(blocks)).cast("int")), "_block").drop("_block")
 
 
 def crop(a: Column, rate: float, seconds: float = 4.0) -> Column:

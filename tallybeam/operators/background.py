@@ -6,12 +6,17 @@ so there is no loop over slides and every slide is spread over the cluster.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybeam.functions.scalars import network_stat
 from tallybeam.operators.coincidence import side
 from tallybeam.operators.intervals import range_join
+from tallybeam.scratch import running
+
+
+#: Pairs of a subset at least.
+LEAST_PAIRS = 100
 
 
 def offsets(spark: SparkSession, slides: int, spacing_us: int) -> DataFrame:
@@ -30,14 +35,21 @@ def offsets_subset(spark: SparkSession, step_us: int, most_us: int, slides: int)
     return found.select((F.row_number().over(Window.orderBy("offset_us")) - 1).cast("long").alias("slide"), "offset_us")
 
 
-def offset_pairs(single: DataFrame, strategy: str) -> DataFrame:
-    """offset_1, offset_2 of a list of offsets: full_grid or diagonal."""
+def offset_pairs(single: DataFrame, strategy: str, fraction: float = 0.1, seed: int = 42) -> DataFrame:
+    """offset_1, offset_2 of a list of offsets: full_grid, diagonal, or subset (a seeded draw of a fraction of the grid without repeats, 100 at least)."""
     a = single.select(F.col("offset_us").alias("offset_1"))
     if strategy == "diagonal":
         return a.withColumn("offset_2", F.col("offset_1"))
     if strategy == "full_grid":
         listed = single.agg(F.sort_array(F.collect_list("offset_us")).alias("all"))  # a parameter list, not data
         return listed.select(F.explode("all").alias("offset_1"), "all").select("offset_1", F.explode("all").alias("offset_2"))
+    if strategy == "subset":
+        import numpy as np
+
+        listed = sorted(r[0] for r in single.select("offset_us").collect())  # a parameter list, not data
+        total = len(listed) ** 2
+        drawn = np.random.RandomState(seed).choice(total, size=min(total, max(LEAST_PAIRS, int(total * fraction))), replace=False)
+        return single.sparkSession.createDataFrame([(listed[i // len(listed)], listed[i % len(listed)]) for i in drawn.tolist()], "offset_1 long, offset_2 long")
     raise ValueError(f"unknown strategy: {strategy}")
 
 
@@ -74,28 +86,19 @@ def excise(triggers: DataFrame, loud: DataFrame, half_width_us: int) -> DataFram
     return range_join(triggers, loud.select("loud_us").distinct(), "gps_us", "loud_us", half_width_us, strict=True, how="left_anti")
 
 
-def _place(x: Column, limits: list[float], base: int) -> Column:
-    """base plus the number of limits below x, as a balanced tree of comparisons in generated code."""
-    if not limits:
-        return F.lit(base)
-    m = len(limits) // 2
-    return F.when(x > F.lit(limits[m]), _place(x, limits[m + 1 :], base + m + 1)).otherwise(_place(x, limits[:m], base))
-
-
-def count_louder(foreground: DataFrame, background: DataFrame, stat: str = "network_stat", parts: int = 64) -> DataFrame:
+def count_louder(foreground: DataFrame, background: DataFrame, stat: str = "network_stat") -> DataFrame:
     """foreground with n_louder (background rows of a statistic >= its own) and n_background.
 
-    Both are laid on one line and counted by a range-partitioned running sum: parts by quantile, a running sum inside each, and the
-    parts' totals added, so neither side is broadcast or gathered in one task.
+    Equal background values count once with their number. Both sides are laid on one line of falling statistics and summed by
+    ranges of it (running()), so neither is broadcast or gathered in one task, and each is evaluated once. Null and NaN background values are louder than
+    nothing but belong to n_background; a null or NaN foreground value has n_louder 0.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in foreground.columns])
-    line = foreground.select(F.col(stat).alias("_s"), F.lit(0).alias("_bg"), row.alias("_row"))
-    line = line.unionByName(background.select(F.col(stat).alias("_s"), F.lit(1).alias("_bg")), allowMissingColumns=True)
-    cuts = background.approxQuantile(stat, [i / parts for i in range(1, parts)], 0.01)
-    part = _place(F.col("_s"), sorted(set(cuts)), 0)
-    line = line.withColumn("_part", part)
-    totals = line.groupBy("_part").agg(F.sum("_bg").alias("n"))
-    above = totals.withColumn("_above", F.coalesce(F.sum("n").over(Window.orderBy(F.col("_part").desc()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("n_background", F.coalesce(F.sum("n").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), F.lit(0)))
-    running = F.sum("_bg").over(Window.partitionBy("_part").orderBy(F.col("_s").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    counted = line.withColumn("_run", running).filter("_bg = 0").join(F.broadcast(above), "_part")  # `parts` rows
-    return counted.select("_row.*", (F.col("_run") + F.col("_above")).alias("n_louder"), "n_background")
+    value = F.when(F.isnan(stat), None).otherwise(F.col(stat)).cast("double")
+    line = background.select(value.alias("_s")).groupBy("_s").agg(F.count(F.lit(1)).alias("_n")).withColumn("_fg", F.lit(0))
+    line = line.unionByName(foreground.select(value.alias("_s"), F.lit(0).cast("long").alias("_n"), F.lit(1).alias("_fg"), row.alias("_row")), allowMissingColumns=True)
+    # At equal values background comes first; foreground rows of one value spread by their hash.
+    line = running(line, [F.col("_s").desc_nulls_last(), F.col("_fg"), F.xxhash64("_row")], {"_louder": "_n"})
+    total = line.agg(F.sum("_n")).first()[0] or 0
+    counted = line.filter("_fg = 1")
+    return counted.select("_row.*", F.when(F.col("_s").isNull(), 0).otherwise(F.col("_louder")).cast("long").alias("n_louder"), F.lit(total).cast("long").alias("n_background"))

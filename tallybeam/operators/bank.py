@@ -93,12 +93,12 @@ def stochastic_bank(spark: SparkSession, lo1: float, hi1: float, lo2: float, hi2
         a, b = max(x, y), min(x, y)
         inside = lo1 <= a <= hi1 and lo2 <= b <= hi2 and least_total <= a + b <= most_total and b / a >= least_ratio
         m, e = point(a, b)
-        if inside and np.hypot((m - mc) / mc, 10 * (e - eta)).min() >= limit:
-            kept.append((a, b))
-            mc, eta = np.append(mc, m), np.append(eta, e)
+        if not inside or np.hypot((m - mc) / mc, 10 * (e - eta)).min() < limit:
+            refused += 1
             continue
-        refused += 1
-        if refused > 1000 and len(kept) < 6:
+        kept.append((a, b))
+        mc, eta = np.append(mc, m), np.append(eta, e)
+        if refused > 1000 and len(kept) < 6:  # looked at after an acceptance only
             break
     return spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(kept)], "template_id int, mass1 double, mass2 double")
 

@@ -31,16 +31,28 @@ def range_join(left: DataFrame, right: DataFrame, left_time: str, right_time: st
     return a.join(b, condition, how).drop("_bin_a", "_bin_b")
 
 
-def nearest(left: DataFrame, right: DataFrame, left_key: str, left_time: str, right_time: str, name: str, tolerance: int) -> DataFrame:
-    """Each left row (left_key identifies it) with `name` of the right row nearest in time within the tolerance (ties: earlier, then smaller name), else null.
+def nearest(left: DataFrame, right: DataFrame, left_time: str, right_time: str, name: str, tolerance: int) -> DataFrame:
+    """Each left row with `name` of the right row nearest in time within the tolerance and match_gap (ties: earlier, then smaller name), else null in both.
 
-    One outer range join and one aggregation, so the left side is evaluated once.
+    Both sides are laid on one line of time, in bins some tolerances wide; right rows near an edge are repeated into the bin beyond.
+    Windows over a bin carry the last right row before and the first one after each left row, so left rows are evaluated once, none is
+    repeated or merged whatever its keys, and a dense right side costs its size only. Left rows without a time have no match.
     """
-    hits = range_join(left, right.select(F.col(right_time).alias("_rt"), F.col(name).alias("_name")), left_time, "_rt", tolerance, how="left")
-    gap = F.abs(F.col(left_time) - F.col("_rt"))
-    best = F.min(F.when(F.col("_rt").isNotNull(), F.struct(gap.alias("gap"), F.col("_rt").alias("t"), F.col("_name").alias("name")))).alias("_best")
-    rows = hits.groupBy(left_key).agg(F.first(F.struct(*[F.col(f"`{c}`") for c in left.columns])).alias("_row"), best)
-    return rows.select("_row.*", F.col("_best.name").alias(name), F.col("_best.gap").alias("match_gap"))
+    width = 16 * max(1, int(tolerance))
+    row = F.struct(*[F.col(f"`{c}`") for c in left.columns])
+    a = left.select(row.alias("_row"), F.col(left_time).cast("long").alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast("string").alias("_name"))
+    a = a.withColumn("_bin", F.coalesce(time_bin(F.col("_t"), width), F.spark_partition_id().cast("long")))
+    b = right.select(F.col(right_time).cast("long").alias("_t"), F.col(name).cast("string").alias("_name")).filter("_t is not null").groupBy("_t").agg(F.min("_name").alias("_name"))
+    bins = F.array_distinct(F.array(*(time_bin(F.col("_t") + d, width) for d in (-tolerance, 0, tolerance))))
+    line = a.unionByName(b.select("_t", F.lit(0).alias("_side"), "_name", F.explode(bins).alias("_bin")), allowMissingColumns=True)
+    order = Window.partitionBy("_bin").orderBy("_t", "_side")
+    hit = F.when(F.col("_side") == 0, F.struct(F.col("_t").alias("t"), F.col("_name").alias("name")))
+    before = F.last(hit, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    after = F.first(hit, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    met = line.withColumn("_before", before).withColumn("_after", after).filter("_side = 1")
+    near = lambda x: F.when(F.abs(F.col("_t") - F.col(x)["t"]) <= tolerance, F.struct(F.abs(F.col("_t") - F.col(x)["t"]).alias("gap"), F.col(x)["t"].alias("t"), F.col(x)["name"].alias("name")))
+    found = met.withColumn("_best", F.least(near("_before"), near("_after")))  # skips nulls
+    return found.select("_row.*", F.col("_best.name").alias(name), F.col("_best.gap").alias("match_gap"))
 
 
 def within_segments(points: DataFrame, segments: DataFrame, time: str, start: str, end: str, width: int, how: str = "left_semi") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallybeam.functions import scalars as S
 from tallybeam.operators.background import count_louder
+from tallybeam.scratch import running
 
 
 def summary(background: DataFrame, stat: str = "network_stat") -> DataFrame:
@@ -14,6 +15,12 @@ def summary(background: DataFrame, stat: str = "network_stat") -> DataFrame:
     return background.agg(F.count(stat).alias("n"), F.coalesce(F.max(stat), F.lit(0.0)).alias("loudest"), F.median(stat).alias("median"))
 
 
+def distribution(background: DataFrame, stat: str = "network_stat") -> DataFrame:
+    """stat, place: all finite statistics, loudest first, numbered from 0."""
+    values = background.filter(S.finite(F.col(stat))).select(F.col(stat), F.lit(1).alias("_one"), F.monotonically_increasing_id().alias("_row"))
+    return running(values, [F.col(stat).desc(), F.col("_row")], {"place": "_one"}).select(stat, F.col("place").cast("long").alias("place"))
+
+
 def rate(background: DataFrame, slides: int, duration_s: float) -> DataFrame:
     """One row: n, trials_s, far_hz = n / trials (null without samples), ifar_days."""
     trials = float(2 * slides * duration_s)
@@ -31,12 +38,12 @@ def with_far(candidates: DataFrame, background: DataFrame, trials_s: float) -> D
 
 
 def ranked(candidates: DataFrame, background: DataFrame, trials_s: float, slides: int = 1, p_value: str = "empirical") -> DataFrame:
-    """candidates with n_louder, far_hz, ifar_years, p_value, sigma.
+    """Candidates of a finite statistic with n_louder, far_hz, ifar_years, p_value, sigma.
 
     p_value: empirical, (louder + 1) / (n + 1); poisson, 1 - exp(-rate * trials / slides); or search, with trials / n for the time.
     Without trials (or, but for empirical, without samples) the rate is infinite, its inverse 0 and the p-value 1.
     """
-    c = count_louder(candidates, background)
+    c = count_louder(candidates.filter(S.finite(F.col("network_stat"))), background)
     n = F.col("n_background")
     none = (F.lit(trials_s) == 0) if p_value == "empirical" else (F.lit(trials_s) == 0) | (n == 0)
     c = c.withColumn("far_hz", F.when(none, float("inf")).otherwise(S.far_hz(F.col("n_louder"), F.lit(float(trials_s)))))

@@ -66,7 +66,7 @@ def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM cand LEFT JOIN LATERAL (SELECT name FROM v_catalogue WHERE abs(cat_us - gps_us) <= 600000000 ORDER BY abs(cat_us - gps_us), cat_us, name LIMIT 1) m ON true""")
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coincidences of two sensors with false-alarm rate, catalogue match and data-quality rank (J01, J08, A01, F11, F12, J12, F18, F19)."""
-    found = nearest(_candidates(spark, sf_dir).withColumn("row", F.concat_ws("-", "event_id_a", "event_id_b")), V.catalogue(spark, sf_dir), "row", "gps_us", "cat_us", "name", TOLERANCE)
+    found = nearest(_candidates(spark, sf_dir), V.catalogue(spark, sf_dir), "gps_us", "cat_us", "name", TOLERANCE)
     rank = S.detchar_rank(F.col("network_stat"), (F.col("rchisq_a") + F.col("rchisq_b")) / 2)
     return found.select("event_id_a", "event_id_b", "gps_us", "template_id", r6("network_stat", "network_stat"), "n_louder", r6(F.col("far_hz") * 1e6, "far_uhz"), r6("ifar_days", "ifar_days"), F.col("name").alias("known_event"), r6(rank, "detchar_rank"))
 
@@ -147,7 +147,7 @@ def j11_slides_of_three(spark, sf_dir):
 
 @query("""SELECT event_id, gps_us, m.name, coalesce(m.gap, -1) AS match_gap FROM v_triggers LEFT JOIN LATERAL (SELECT name, abs(cat_us - gps_us) AS gap FROM v_catalogue WHERE abs(cat_us - gps_us) <= 600000000 ORDER BY gap, cat_us, name LIMIT 1) m ON true""")
 def j12_nearest_catalogue_event(spark, sf_dir):
-    return nearest(V.triggers(spark, sf_dir).select("event_id", "gps_us"), V.catalogue(spark, sf_dir), "event_id", "gps_us", "cat_us", "name", TOLERANCE).withColumn("match_gap", F.coalesce("match_gap", F.lit(-1)))
+    return nearest(V.triggers(spark, sf_dir).select("event_id", "gps_us"), V.catalogue(spark, sf_dir), "gps_us", "cat_us", "name", TOLERANCE).withColumn("match_gap", F.coalesce("match_gap", F.lit(-1)))
 
 
 @query("""SELECT t.event_id FROM v_triggers t WHERE ifo = 'H1' AND EXISTS (SELECT 1 FROM v_triggers o WHERE o.ifo = 'L1' AND abs(o.gps_us - t.gps_us) < 600000000) AND EXISTS (SELECT 1 FROM v_triggers o WHERE o.ifo = 'V1' AND abs(o.gps_us - t.gps_us) < 600000000)""")
@@ -322,12 +322,10 @@ def r10_current_status(spark, sf_dir):
     return state.current_blocks(V.state_blocks(spark, sf_dir))
 
 
-@query("SELECT event_id_a, event_id_b, (row_number() OVER (ORDER BY far_hz, network_stat DESC, gps_us, template_id, event_id_a, event_id_b))::INT AS place FROM cand QUALIFY place <= 100")
-def a21_best_candidates(spark, sf_dir):
-    """The hundred best of the total order, a top-k report."""
-    top = candidates.ordered(_candidates(spark, sf_dir)).limit(100)
-    w = Window.orderBy(F.coalesce("far_hz", F.lit(1e9)), F.desc("network_stat"), "gps_us", "template_id", "event_id_a", "event_id_b")
-    return top.select("event_id_a", "event_id_b", F.row_number().over(w).alias("place"))
+@query("SELECT event_id_a, event_id_b, row_number() OVER (ORDER BY far_hz, network_stat DESC, gps_us, template_id, event_id_a, event_id_b) AS place FROM cand")
+def a21_ordered_candidates(spark, sf_dir):
+    """All candidates with their places in the total order, numbered by ranges of it."""
+    return candidates.placed(_candidates(spark, sf_dir)).select("event_id_a", "event_id_b", "place")
 
 
 @query("""WITH o AS (SELECT *, row_number() OVER (ORDER BY far_hz, network_stat DESC, gps_us, template_id, event_id_a, event_id_b) AS n FROM cand),
@@ -352,14 +350,24 @@ def s10_a25_run_ends(spark, sf_dir):
     return runs.agg(F.max("run_end").alias("latest"), F.max(F.when(F.col("run_end") < 1389456018.0, F.col("run_end"))).alias("previous"))
 
 
-@query("""WITH w(days) AS (VALUES (1), (7), (30)), h AS (SELECT days, count(*) FILTER (snr > 400) AS n FROM w JOIN v_triggers ON gps_us >= 1706659200000000 - days * 86400000000 GROUP BY days)
-    SELECT days::INT AS days, n FROM h WHERE n > 0 ORDER BY days LIMIT 1""")
-def a24_widening_search(spark, sf_dir):
-    """The first window that finds anything, all windows counted in one pass."""
-    t = V.triggers(spark, sf_dir).filter("snr > 400")
-    counts = t.agg(*[F.count_if(F.col("gps_us") >= V.MONTH_END - d * 24 * V.HOUR).alias(f"d{d}") for d in (1, 7, 30)])
-    found = counts.select(F.explode(F.array(*[F.struct(F.lit(d).alias("days"), F.col(f"d{d}").alias("n")) for d in (1, 7, 30)])).alias("x")).select("x.days", "x.n")
-    return found.filter("n > 0").orderBy("days").limit(1)
+_DAY = 24 * V.HOUR
+_SHORT_RUNS = [("R1", V.MONTH_START, V.MONTH_START + 9 * _DAY), ("R2", V.MONTH_START + 11 * _DAY, V.MONTH_START + 18 * _DAY), ("R3", V.MONTH_START + 21 * _DAY, V.MONTH_END)]
+_SHORT_RUNS_SQL = ", ".join(f"('{n}', {a}, {b}, {i})" for i, (n, a, b) in enumerate(_SHORT_RUNS))
+
+
+@query(f"""WITH r(run, run_start, run_end, n) AS (VALUES {_SHORT_RUNS_SQL}), q AS (SELECT {V.MONTH_START} + i * {_DAY // 2} AS before_us FROM range(60) g(i)), w(days) AS (VALUES (1), (7), (30), (90)),
+    f AS (SELECT * FROM v_triggers WHERE snr > 150),
+    t AS (SELECT before_us, run, n, days, greatest(run_start, before_us - days * {_DAY}) AS lo, least(run_end, before_us) AS hi FROM q, r, w WHERE run_end >= before_us - {5 * 365 * _DAY}),
+    h AS (SELECT before_us, run, n, days, max(a.gps_us) + 4096000000 AS end_us FROM t JOIN f a ON a.ifo = 'H1' AND a.gps_us >= lo AND a.gps_us < hi
+        AND EXISTS (SELECT 1 FROM f b WHERE b.ifo = 'L1' AND b.gps_us >= lo AND b.gps_us < hi AND abs(a.gps_us - b.gps_us) < 4096000000)
+        AND EXISTS (SELECT 1 FROM f b WHERE b.ifo = 'V1' AND b.gps_us >= lo AND b.gps_us < hi AND abs(a.gps_us - b.gps_us) < 4096000000) GROUP BY 1, 2, 3, 4)
+    SELECT before_us, run, days::INT AS days, end_us FROM h QUALIFY row_number() OVER (PARTITION BY before_us ORDER BY n DESC, days) = 1""")
+def a24_previous_available_end(spark, sf_dir):
+    """For each of 60 times the end of the latest data of all sensors before it: runs newest first, windows of 1, 7, 30 and 90 days in each."""
+    starts = V.triggers(spark, sf_dir).filter("snr > 150").select("ifo", F.col("gps_us").alias("start_us"))
+    asked = spark.range(60).select((F.lit(V.MONTH_START) + F.col("id") * (_DAY // 2)).alias("before_us"))
+    runs = spark.createDataFrame(_SHORT_RUNS, "run string, run_start long, run_end long")
+    return frames.previous_available_end(asked, starts, runs, ["H1", "L1", "V1"])
 
 
 @query("SELECT ifo, count(*) AS n, count(DISTINCT template_id) AS n_templates, round(avg(new_snr), 6) AS mean_snr FROM v_triggers GROUP BY ifo")
@@ -380,8 +388,7 @@ def a28_excised_by_sensor(spark, sf_dir):
 @query("""WITH k AS (SELECT network_stat, EXISTS (SELECT 1 FROM v_catalogue v WHERE abs(v.cat_us - coinc.gps_us) <= 600000000) AS known FROM coinc WHERE isfinite(network_stat))
     SELECT known, count(*) AS n, count(*) FILTER (network_stat > 150) AS n_loud, round(max(network_stat), 6) AS loudest FROM k GROUP BY known""")
 def p07_p09_p12_known_and_new(spark, sf_dir):
-    c = _coincidences(spark, sf_dir).withColumn("id", F.xxhash64("event_id_a", "event_id_b"))
-    found = nearest(c, V.catalogue(spark, sf_dir), "id", "gps_us", "cat_us", "name", TOLERANCE).withColumnRenamed("name", "known_event")
+    found = nearest(_coincidences(spark, sf_dir), V.catalogue(spark, sf_dir), "gps_us", "cat_us", "name", TOLERANCE).withColumnRenamed("name", "known_event")
     known, new = candidates.known_and_new(found)
     both = known.withColumn("known", F.lit(True)).unionByName(new.withColumn("known", F.lit(False)))
     return both.groupBy("known").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("network_stat") > 150).alias("n_loud"), r6(F.max("network_stat"), "loudest"))
@@ -452,10 +459,10 @@ def f20_f21_gps_labels(spark, sf_dir):
     return rows.join(runs, (F.col("gps") >= F.col("run_start")) & (F.col("gps") < F.col("run_end")), "left").select("o_orderkey", S.gps_to_utc(F.col("gps")).alias("utc"), F.coalesce("run", F.lit("?")).alias("run"))
 
 
-@query("""SELECT page_id, replace(replace(replace(substr(html, 1, 200), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS escaped, right(html, 4000) AS tail, array_to_string(string_split(html, '<')[-3:], '|') AS last_parts FROM pages""", views=False)
+@query("""SELECT page_id, replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS escaped, right(html, 4000) AS tail, array_to_string(string_split(html, '<')[-3:], '|') AS last_parts FROM pages""", views=False)
 def f24_f25_s30_texts(spark, sf_dir):
     p = V.read(spark, sf_dir, "pages")
-    return p.select("page_id", S.escape_html(F.substring("html", 1, 200)).alias("escaped"), F.right("html", F.lit(4000)).alias("tail"), F.array_join(F.slice(F.split("html", "<"), -3, 3), "|").alias("last_parts"))
+    return p.select("page_id", S.escape_html(F.col("html")).alias("escaped"), F.right("html", F.lit(4000)).alias("tail"), F.array_join(F.slice(F.split("html", "<"), -3, 3), "|").alias("last_parts"))
 
 
 # --- sources ---
@@ -473,12 +480,16 @@ def s03_s04_s05_file_ranges(spark, sf_dir):
     return frames.requests(rows).select("o_orderkey", "file_start", "file_end", "read_start", "read_end")
 
 
-@query("""WITH f AS (SELECT 'f' || o_orderkey AS file, o_orderkey * 4096 AS file_start, o_orderkey * 4096 + 4096 - o_custkey % 2 * 512 AS file_end FROM orders), b AS (SELECT i * 512 AS block_start, i * 512 + 512 AS block_end FROM range(5000) r(i))
+@query("""WITH f AS (SELECT 'f' || o_orderkey AS file, o_orderkey * 4096 AS file_start, o_orderkey * 4096 + CASE WHEN o_custkey % 50 = 0 THEN 20000 ELSE 4096 - o_custkey % 2 * 512 END AS file_end FROM orders),
+    b AS (SELECT i * 512 AS block_start, i * 512 + 512 AS block_end FROM (SELECT unnest(range((SELECT max(file_end) // 512 FROM f))) AS i))
     SELECT block_start, block_end, min(file) AS file FROM b JOIN f ON file_start <= block_start AND block_end <= file_end GROUP BY 1, 2""", views=False)
 def s06_containing_file(spark, sf_dir):
+    """Blocks over the whole range of the files; one file in fifty is five times as long as the others."""
     o = V.read(spark, sf_dir, "orders")
-    files = o.select(F.concat(F.lit("f"), F.col("o_orderkey").cast("string")).alias("file"), (F.col("o_orderkey") * 4096).alias("file_start"), (F.col("o_orderkey") * 4096 + 4096 - F.col("o_custkey") % 2 * 512).alias("file_end"))
-    blocks = spark.range(5000).select((F.col("id") * 512).alias("block_start"), (F.col("id") * 512 + 512).alias("block_end"))
+    start = F.col("o_orderkey") * 4096
+    end = start + F.when(F.col("o_custkey") % 50 == 0, 20_000).otherwise(4096 - F.col("o_custkey") % 2 * 512)
+    files = o.select(F.concat(F.lit("f"), F.col("o_orderkey").cast("string")).alias("file"), start.alias("file_start"), end.alias("file_end"))
+    blocks = spark.range((files.agg(F.max("file_end")).first()[0] or 0) // 512).select((F.col("id") * 512).alias("block_start"), (F.col("id") * 512 + 512).alias("block_end"))
     return frames.containing(blocks, files)
 
 
@@ -564,12 +575,17 @@ def v10_v11_spectrum_floor(spark, sf_dir):
     return s.select("series_id", r6(arrays.total(F.col("arr")), "total"))
 
 
-@query("""SELECT a.series_id, t.series_id AS template_id, round(greatest(-1, least(1, list_cosine_similarity(a.arr, t.arr))), 6) AS match FROM v_series a JOIN v_series t ON t.series_id < 10""")
+_KMIN = 4
+
+
+@query(f"""WITH w AS (SELECT series_id, list_transform(range({_KMIN}, 64), lambda k: arr[k + 1] / sqrt(1 + k / 16.0::DOUBLE)) AS a FROM v_series)
+    SELECT w.series_id, t.series_id AS template_id, round(least(1, abs(list_cosine_similarity(w.a, t.a))), 6) AS match FROM w JOIN w t ON t.series_id % 100 = 0""")
 def v20_j13_template_matches(spark, sf_dir):
-    """Each template against each series; the template bank is a parameter of ten rows."""
+    """Each series against the query set (ids divisible by 100), weighted by a spectrum that rises with frequency, above a lower cut-off."""
     s = V.series(spark, sf_dir)
-    t = s.filter("series_id < 10").select(F.col("series_id").alias("template_id"), F.col("arr").alias("template"))
-    return s.crossJoin(F.broadcast(t)).select("series_id", "template_id", r6(arrays.match(F.col("arr"), F.col("template")), "match"))
+    bank_rows = s.filter("series_id % 100 = 0").select(F.col("series_id").alias("template_id"), F.col("arr").alias("template"))
+    psd = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda k: 1 + k / 16.0)
+    return arrays.against(s, bank_rows).select("series_id", "template_id", r6(arrays.match(F.col("arr"), F.col("template"), psd, _KMIN), "match"))
 
 
 _PEAKS = "p AS (SELECT series_id, unnest(range(len(arr))) AS i, abs(unnest(arr)) AS v FROM v_series), t AS (SELECT * FROM p WHERE v >= 0.15)"

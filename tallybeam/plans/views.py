@@ -31,7 +31,7 @@ def triggers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read(spark, sf_dir, "events").filter((F.col("event_type") == "signup") & (F.col("event_id") % 5 == 0))
+    e = read(spark, sf_dir, "events").filter("event_type = 'signup'")
     return e.select(F.concat(F.lit("EV"), F.col("event_id").cast("string")).alias("name"), micros(F.col("ts")).alias("cat_us"))
 
 
@@ -62,7 +62,7 @@ t0 AS (SELECT CASE event_type WHEN 'click' THEN 'H1' WHEN 'view' THEN 'L1' ELSE
     value AS snr, regexp_extract(props, '([0-9]+)', 1)::DOUBLE AS chisq, event_id FROM events WHERE event_type IN ('click', 'view', 'purchase')),
 v_triggers AS (SELECT ifo, gps_us, template_id, snr, chisq, greatest(0.0, chisq) / 30.0 AS rchisq, CASE WHEN NOT isfinite(snr) OR snr <= 0 THEN 0.0 WHEN NOT isfinite(chisq) OR chisq < 0 THEN snr
     ELSE snr / pow((1.0 + least(chisq / 30.0, 1000.0) * least(chisq / 30.0, 1000.0) * least(chisq / 30.0, 1000.0)) / 2.0, 1.0 / 6.0::DOUBLE) END AS new_snr, event_id FROM t0),
-v_catalogue AS (SELECT 'EV' || event_id AS name, epoch_us(ts) AS cat_us FROM events WHERE event_type = 'signup' AND event_id % 5 = 0),
+v_catalogue AS (SELECT 'EV' || event_id AS name, epoch_us(ts) AS cat_us FROM events WHERE event_type = 'signup'),
 v_segments AS (SELECT CASE WHEN user_id % 2 = 0 THEN 'H1' ELSE 'L1' END AS ifo, epoch_us(ts) AS seg_start_us, (epoch_us(ts) + floor(value * 60000000))::BIGINT AS seg_end_us, event_id AS seg_id FROM events WHERE event_type = 'error'),
 v_blocks AS (SELECT 1704067200000000 + i * 21600000000 AS block_start_us, 1704067200000000 + (i + 1) * 21600000000 AS block_end_us FROM range(120) r(i)),
 v_series AS (SELECT vec_id AS series_id, CASE WHEN label % 2 = 0 THEN 'H1' ELSE 'L1' END AS ifo, embedding::DOUBLE[] AS arr FROM embeddings),

@@ -75,7 +75,7 @@ def run_search(spark: SparkSession, series: DataFrame, cfg: Config, root: str, c
     found = ranking.with_far(pairs, slid, 2.0 * b.slides * span_s)
     best = candidates.deduplicate(found, micros(r.dedup_s)).withColumn("id", F.xxhash64("event_id_a", "event_id_b"))
     if catalogue is not None:
-        best = nearest(best, catalogue, "id", "gps_us", "cat_us", "name", micros(r.tolerance_s)).withColumnRenamed("name", "known_event").drop("match_gap")
+        best = nearest(best, catalogue, "gps_us", "cat_us", "name", micros(r.tolerance_s)).withColumnRenamed("name", "known_event").drop("match_gap")
     else:
         best = best.withColumn("known_event", F.lit(None).cast("string"))
     best = best.withColumn("detchar_rank", S.detchar_rank(F.col("network_stat"), (F.col("rchisq_a") + F.col("rchisq_b")) / 2)).withColumn("config_hash", F.lit(cfg.hash()))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallybeam.operators.intervals import range_join
+
 PAD_S, LEAST_S, MOST_S, FILE_S = 32, 64, 6000, 4096
 NAME = r"-([0-9]+)-([0-9]+)\.(gwf|hdf5)$"
 #: Observing runs (name, start, end) in GPS seconds.
@@ -33,10 +35,10 @@ def requests(rows: DataFrame) -> DataFrame:
 def containing(blocks: DataFrame, files: DataFrame) -> DataFrame:
     """For each block (block_start, block_end) the first file (by name) that holds it whole.
 
-    Files have a fixed length at most, so a block meets the files of its own bin and the one before.
+    A file lies in every bin that it touches, so a block meets all files that hold its start, however long they are.
     """
     a = blocks.withColumn("_bin", F.floor(F.col("block_start") / FILE_S))
-    b = files.withColumn("_bin", F.explode(F.array(F.floor(F.col("file_start") / FILE_S), F.floor(F.col("file_start") / FILE_S) + 1)))
+    b = files.filter("file_end > file_start").withColumn("_bin", F.explode(F.sequence(F.floor(F.col("file_start") / FILE_S), F.floor((F.col("file_end") - 1) / FILE_S))))
     hit = a.join(b, "_bin").filter("file_start <= block_start and block_end <= file_end")
     return hit.groupBy("block_start", "block_end").agg(F.min("file").alias("file"))
 
@@ -56,3 +58,25 @@ def overlapping_runs(blocks: DataFrame, runs: DataFrame) -> DataFrame:
 def resolve_pages(pages: DataFrame) -> DataFrame:
     """name, gps of a paged listing (page, name, gps): of repeated names the last page wins."""
     return pages.groupBy("name").agg(F.max_by("gps", F.struct("page", "gps")).alias("gps"))
+
+
+def previous_available_end(asked: DataFrame, starts: DataFrame, runs: DataFrame, ifos: list[str], file_us: int = FILE_S * 1_000_000, days: tuple[int, ...] = (1, 7, 30, 90), years: int = 5) -> DataFrame:
+    """before_us, run, days, end_us of `asked` (before_us): the end of the latest file before that time whose like exists for all sensors.
+
+    Runs (run, run_start, run_end) are searched newest first, each in windows that widen; the first window that finds one decides. `starts` has (ifo, start_us); a file
+    of the first sensor counts if one of every other sensor in the same run and window starts less than a file's length away. Neighbours are found once for each
+    file by a range join (a file has few), whatever is asked; asked, runs and windows are literal relations.
+    """
+    day = 86_400_000_000
+    listed = runs.select("run", "run_start", "run_end", F.row_number().over(Window.orderBy(F.desc("run_start"))).alias("turn"))  # a literal relation
+    tries = asked.crossJoin(F.broadcast(listed)).filter(F.col("run_end") >= F.col("before_us") - years * 365 * day)
+    tries = tries.withColumn("days", F.explode(F.array(*map(F.lit, days)))).withColumn("lo", F.greatest("run_start", F.col("before_us") - F.col("days") * day)).withColumn("hi", F.least("run_end", "before_us"))
+    ranges = tries.filter("lo < hi")
+    of = lambda ifo, name: starts.filter(F.col("ifo") == ifo).select(F.col("start_us").alias(name)).distinct()
+    found = of(ifos[0], "start_us").join(F.broadcast(ranges), (F.col("start_us") >= F.col("lo")) & (F.col("start_us") < F.col("hi")))
+    for other in ifos[1:]:
+        near = range_join(of(ifos[0], "s"), of(other, "o"), "s", "o", file_us, strict=True).groupBy("s").agg(F.sort_array(F.collect_set("o")).alias("near"))
+        found = found.join(near, F.col("start_us") == F.col("s")).filter(F.exists("near", lambda o: (o >= F.col("lo")) & (o < F.col("hi")))).drop("s", "near")
+    best = found.groupBy("before_us", "turn", "run", "days").agg((F.max("start_us") + file_us).alias("end_us"))
+    first = F.min(F.struct("turn", "days", "run", "end_us")).alias("first")
+    return best.groupBy("before_us").agg(first).select("before_us", "first.run", "first.days", "first.end_us")

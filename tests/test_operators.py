@@ -65,7 +65,7 @@ def test_range_join_equals_nested_loops(spark):
 def test_nearest_ties_and_misses(spark):
     left = spark.createDataFrame([(1, 100), (2, 500)], "id int, t long")
     right = spark.createDataFrame([(90, "b"), (110, "a"), (400, "c")], "u long, name string")
-    rows = {r.id: (r.name, r.match_gap) for r in nearest(left, right, "id", "t", "u", "name", 20).collect()}
+    rows = {r.id: (r.name, r.match_gap) for r in nearest(left, right, "t", "u", "name", 20).collect()}
     assert rows == {1: ("b", 10), 2: (None, None)}
 
 
