@@ -365,3 +365,50 @@ def test_scratch_needs_a_shared_folder_off_local_masters():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         common.shared_dir(Session())
     assert similar.WORDS == 5 and similar.LEAST == 80
+
+
+# --- near-dedup stage ---
+
+
+@pytest.mark.parametrize("common_from", [1, 3, 10**9])
+def test_shared_elements_equal_set_intersections(common_from):
+    import pyarrow as pa
+
+    rng = random.Random(18)
+    make = lambda n: [sorted(rng.sample(range(-60, 60), rng.randint(0, 50))) for _ in range(n)]
+    a, b = make(23), make(17)
+    sets = [similar.Sets([pa.array(x[:9], pa.list_(pa.int64())), pa.array(x[9:], pa.list_(pa.int64()))]) for x in (a, b)]
+    assert similar.shared(*sets, common_from).tolist() == [[len({*x} & {*y}) for y in b] for x in a]
+    same = similar.shared(sets[0], sets[0], common_from)
+    assert all(same[i, j] == len({*x} & {*y}) for i, x in enumerate(a) for j, y in enumerate(a) if i != j)
+
+
+def test_forest_roots():
+    rng = np.random.default_rng(19)
+    for n in (1, 5, 200):
+        pairs = [(rng.integers(0, n, 7), rng.integers(0, n, 7)) for _ in range(n // 20 + 1)]
+        want = list(range(n))
+        for x, y in ((x, y) for xs, ys in pairs for x, y in zip(xs.tolist(), ys.tolist(), strict=True)):
+            want = [min(want[x], want[y]) if r in (want[x], want[y]) else r for r in want]
+        assert similar.roots(n, pairs).tolist() == want
+
+
+def test_a_large_class_of_half_alike_texts(spark):
+    """A chain of texts, each like the next only, and a crowd below the limit: many candidates, few links."""
+    rng = random.Random(20)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
+    base = [word() for _ in range(150)]
+    docs, words = [], list(base)
+    for i in range(60):
+        docs.append((i, " ".join(words)))
+        words[rng.randrange(150)] = word()
+        words[rng.randrange(150)] = word()
+    for i in range(60, 140):
+        words = list(base)
+        for j in range(3, 150, 38):
+            words[j] = word()
+        docs.append((i, " ".join(words)))
+    rng.shuffle(docs)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    for options in ({}, {"block_rows": 9, "tile_rows": 11}):
+        assert sorted(str(r.doc_id) for r in similar.drop_similar(frame, **options).collect()) == naive_similar(docs)

@@ -582,7 +582,7 @@ def test_similar_texts_are_dropped(spark, sf, tile_rows):
     for i, (d, _) in enumerate(texts):
         least[root[i]] = min(least.get(root[i], (True, 0)), (d is None, d or 0))
     assert len(set(root)) < len(sets)
-    stage = corpus_pipeline.near_copies(spark, docs, sf) if tile_rows == similar.TILE_ROWS else similar.drop_similar(docs, tile_rows=tile_rows)
+    stage = corpus_pipeline.near_copies(spark, docs, sf) if tile_rows == similar.TILE_ROWS else similar.drop_similar(docs, tile_rows=tile_rows, block_rows=6)
     assert sorted(str(r.doc_id) for r in stage.collect()) == sorted(str(None if none else d) for none, d in least.values())
     assert similar.drop_similar(nothing(spark, "fp")).count() == 0
 
