@@ -1,94 +1,58 @@
-"""Shared helpers: table access, scratch tables in the cluster's shared folder, and Arrow batches."""
+"""Shared helpers: table access, Arrow batches, and removal of marked rows. Scratch tables are those of tallybeam.scratch."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybeam.scratch import delete, materialise, new_path, release, running, shared_dir  # noqa: F401
+
 #: A-Z to a-z on bytes; all other bytes stay.
 LOWER_ASCII = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Text bytes that Python code holds as separate objects at once.
 SLICE_BYTES = 4 << 20
-
-_scratch: set[tuple[SparkSession, str]] = set()
-
+#: Bits of a broadcast map of hashes at most: 4 MB.
+MOST_BITS = 1 << 25
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet table of that name; the path may be in any store that Spark reads."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir. Where it is unset, a folder of this machine does for a local master; any other needs the setting."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="tallybeam-")
-        spark.sparkContext.setCheckpointDir(found)
-        found = spark.sparkContext.getCheckpointDir()
-    return found.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses; it is deleted when the driver ends."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    if not _scratch:
-        atexit.register(_delete_all)
-    _scratch.add((spark, path))
-    return path
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    """Delete a path of new_path()."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-    _scratch.discard((spark, path))
-
-
-def _delete_all() -> None:
-    for spark, path in list(_scratch):
-        try:
-            delete(spark, path)
-        except Exception:  # the JVM may have ended already
-            return
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: cuts the lineage and survives lost executors."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out._tallybeam_path = path
-    return out
-
-
-def release(df: DataFrame) -> None:
-    """Delete what materialise() wrote for this very DataFrame, once nothing reads it any more."""
-    delete(df.sparkSession, df._tallybeam_path)
-
-
-def running(rows: DataFrame, order: list[Column], sums: dict[str, str], by: list[str] = ()) -> DataFrame:
-    """rows with, for each name: column of `sums`, the column's sum over all rows before in a total order, for each group of `by` columns (not null) apart.
+def split(docs: DataFrame, hashes: DataFrame, key: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """docs whose key (text_hash() if not given) is surely not among `hashes` (one long column), and the others: few more than there are such, as long as their number is well below MOST_BITS.
 
-    Ranges of the order are summed by themselves and moved by the sums of the ranges before, so a range is all that a task holds, and a large
-    group is as many ranges as its rows need. Only one row a range and group passes a window over all ranges.
+    A map of bits, sixteen for each hash but MOST_BITS at most, is built by an aggregation and broadcast, so only the second part needs a shuffle
+    for what follows, whatever the table's size. Beyond MOST_BITS hashes nearly all rows are in the second part; nothing is lost.
     """
-    dealt = materialise(rows.repartitionByRange(*map(F.col, by), *order).withColumn("_part", F.spark_partition_id()), "ranges")
-    parts = dealt.groupBy("_part", *by).agg(*(F.sum(c).alias(f"_{name}") for name, c in sums.items()))
-    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("_part", *by, *(F.coalesce(F.sum(f"_{name}").over(before), F.lit(0)).alias(f"_{name}") for name in sums))
-    inside = Window.partitionBy("_part", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    counted = dealt.select("*", *(F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"_in_{name}") for name, c in sums.items()))
-    return counted.join(parts, ["_part", *by]).select(*rows.columns, *((F.col(f"_in_{name}") + F.col(f"_{name}")).alias(name) for name in sums))
+    n = hashes.count()
+    bits = min(MOST_BITS, max(1 << 12, 1 << (16 * n).bit_length()))
+    place = F.col(hashes.columns[0]).bitwiseAND(F.lit(bits - 1))
+    words = hashes.select(F.shiftright(place, 6).alias("_tb_word"), place.bitwiseAND(F.lit(63)).cast("int").alias("_tb_at"))
+    words = words.groupBy("_tb_word").agg(F.bit_or(F.expr("shiftleft(1L, _tb_at)")).alias("_tb_bits"))
+    words = F.broadcast(materialise(words, "bits"))  # MOST_BITS / 64 rows at most
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_tb_row"), (text_hash() if key is None else key).bitwiseAND(F.lit(bits - 1)).alias("_tb_place"))
+    rows = rows.join(words, F.shiftright("_tb_place", 6) == F.col("_tb_word"), "left")
+    maybe = F.coalesce(F.expr("shiftright(_tb_bits, cast(_tb_place & 63 as int)) & 1") == 1, F.lit(False))
+    own = [F.col(f"_tb_row.`{c}`") for c in docs.columns]
+    return rows.filter(~maybe).select(*own), rows.filter(maybe).select(*own)
+
+
+def text_hash() -> Column:
+    """A number of the text as it is; null is not empty here."""
+    return F.xxhash64("text")
+
+
+def drop_marked(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """docs without the rows that `marks` (doc_id, text_hash()) names, all columns kept. Texts of marked rows and a few others alone are shuffled."""
+    stay, maybe = split(docs, marks.select(F.col(marks.columns[1]).alias("h")))
+    marks = marks.toDF("_tb_id", "_tb_hash").hint("merge")  # the same plan at every size
+    same = (F.xxhash64(maybe["text"]) == F.col("_tb_hash")) & maybe["doc_id"].cast("long").eqNullSafe(F.col("_tb_id"))
+    return stay.unionByName(maybe.join(marks, same, "left_anti"))
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybeam.llm.common import LOWER_ASCII, bound_batches, map_batches, materialise, slices, texts
+from tallybeam.llm.common import LOWER_ASCII, bound_batches, map_batches, materialise, slices, split, text_hash, texts
 
 #: Counters of a Misra-Gries summary: digests with two parts in K + 1 of all rows or more are found for certain.
 K = 1024
@@ -35,11 +35,6 @@ def digest(text: bytes) -> bytes:
     return hashlib.sha256(text.translate(LOWER_ASCII)).digest()
 
 
-def raw_hash() -> Column:
-    """A number of the text as it is; null is not empty here."""
-    return F.xxhash64("text")
-
-
 def with_digests(docs: DataFrame) -> DataFrame:
     """doc_id, digest binary, raw long (of the text as it is), row long: a number of the row that is fixed once this has been written."""
 
@@ -47,7 +42,7 @@ def with_digests(docs: DataFrame) -> DataFrame:
         found = pa.array([digest(x) for x in texts(batch.column(1))], pa.binary())
         return pa.RecordBatch.from_arrays([batch.column(0), found, batch.column(2)], ["doc_id", "digest", "raw"])
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), "text", raw_hash().alias("raw")), work, "doc_id long, digest binary, raw long", "text").withColumn("row", F.monotonically_increasing_id())
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text", text_hash().alias("raw")), work, "doc_id long, digest binary, raw long", "text").withColumn("row", F.monotonically_increasing_id())
 
 
 class MisraGries:
@@ -111,19 +106,21 @@ def decisions(docs: DataFrame, k: int = K) -> DataFrame:
 def drop_copies(docs: DataFrame, k: int = K) -> DataFrame:
     """docs without the copies, all columns kept.
 
-    Decisions are made on digests alone and written as marks (doc_id, digest, raw) of the rows that go. Losers of heavy groups go map-side,
-    the others by an anti join with the marks, which Spark broadcasts only if they are few. Rows equal to their group's
-    winner in doc_id and text can't be told apart by marks: a map-side combined aggregation leaves one of them.
+    Decisions are made on digests alone. Texts that may belong to a group of two or more are told by a broadcast map of their hashes; all
+    others stay without a shuffle. Of the first, losers of heavy groups go map-side by the broadcast winners, the others by an anti join with marks (doc_id,
+    digest, raw). Rows equal to their group's winner in doc_id and text can't be told apart by marks: a map-side combined aggregation leaves one of them.
     """
     digests = materialise(with_digests(docs), "digests")
     winners = verified(digests, k)
     rest = digests.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
     wins = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("raw") == F.col("keep_raw"))
-    lost = materialise(rest.join(_groups(rest).filter("group_size > 1"), "digest").filter(~wins).select("doc_id", "digest", "raw").distinct(), "copies")
+    copied = materialise(rest.join(_groups(rest).filter("group_size > 1"), "digest").select("doc_id", "digest", "raw", wins.alias("wins")), "copied")
+    lost = copied.filter("not wins").select("doc_id", "digest", "raw").distinct()
     twins = digests.groupBy("doc_id", "digest", "raw").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id", "digest", "raw")
     twins = materialise(twins, "twins")
+    stay, maybe = split(docs, copied.select("raw").unionByName(digests.join(F.broadcast(winners.select("digest")), "digest", "left_semi").select("raw")).distinct())
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("_tb_digest", T.BinaryType())])
+    schema = T.StructType([*maybe.schema.fields, T.StructField("_tb_digest", T.BinaryType())])
     bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,13 +129,14 @@ def drop_copies(docs: DataFrame, k: int = K) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "_tb_digest"])
 
     own = [F.col(f"`{c}`") for c in docs.columns]
-    row = docs.mapInArrow(run, schema).select(F.struct(*own).alias("_tb_row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("_tb_digest").alias("digest"), raw_hash().alias("raw"))
+    row = maybe.mapInArrow(run, schema).select(F.struct(*own).alias("_tb_row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("_tb_digest").alias("digest"), text_hash().alias("raw"))
     heavy = winners.select(F.col("digest").alias("_tb_heavy"), "keep_id", "keep_raw")
     row = row.join(F.broadcast(heavy), F.col("digest") == F.col("_tb_heavy"), "left").filter(F.col("_tb_heavy").isNull() | wins)
-    marked = lambda marks, how: row.join(marks.toDF("_tb_id", "_tb_digest", "_tb_raw"), (F.col("digest") == F.col("_tb_digest")) & (F.col("raw") == F.col("_tb_raw")) & F.col("doc_id").eqNullSafe(F.col("_tb_id")), how)
-    row = marked(lost, "left_anti")
+    same = (F.col("digest") == F.col("_tb_digest")) & (F.col("raw") == F.col("_tb_raw")) & F.col("doc_id").eqNullSafe(F.col("_tb_id"))
+    marked = lambda rows, marks, how: rows.join(marks.toDF("_tb_id", "_tb_digest", "_tb_raw").hint("merge"), same, how)  # noqa: E731  the same plan at every size
+    row = marked(row, lost, "left_anti")
     if not twins.isEmpty():
         order = F.struct(*[F.col(f"_tb_row.`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, T.MapType | T.VariantType)])
-        one = marked(twins, "left_semi").groupBy("doc_id", "digest", "raw").agg(F.min_by("_tb_row", order).alias("_tb_row"))
-        row = marked(twins, "left_anti").select("_tb_row").unionByName(one.select("_tb_row"))
-    return row.select(*[F.col(f"_tb_row.`{c}`") for c in docs.columns])
+        one = marked(row, twins, "left_semi").groupBy("doc_id", "digest", "raw").agg(F.min_by("_tb_row", order).alias("_tb_row"))
+        row = marked(row, twins, "left_anti").select("_tb_row").unionByName(one.select("_tb_row"))
+    return stay.unionByName(row.select(*[F.col(f"_tb_row.`{c}`") for c in docs.columns]))

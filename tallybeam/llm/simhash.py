@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybeam.llm.common import LOWER_ASCII, map_batches, materialise, release, texts
+from tallybeam.llm.common import LOWER_ASCII, drop_marked, map_batches, materialise, release, texts
 
 WORDS, SEED, RADIUS = 3, 42, 3
 #: Fingerprints in a tile (8 bytes each; a task holds two tiles) and in a block of the comparison.
@@ -239,6 +239,4 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """docs without all but the first row of each component; all columns kept."""
     stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("digest") == F.col("first.digest"))
-    dropped = grouped(docs, **options).filter(~stays).select(F.col("doc_id").alias("_tb_dropped"), F.col("digest").alias("_tb_digest"))
-    same = (F.xxhash64(docs["text"]) == F.col("_tb_digest")) & docs["doc_id"].cast("long").eqNullSafe(F.col("_tb_dropped"))
-    return docs.join(materialise(dropped, "near-copies"), same, "left_anti")
+    return drop_marked(docs, materialise(grouped(docs, **options).filter(~stays).select("doc_id", "digest").distinct(), "near-copies"))

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybeam.llm.common import LOWER_ASCII, bound_batches, map_batches, materialise, texts
+from tallybeam.llm.common import LOWER_ASCII, bound_batches, drop_marked, map_batches, materialise, split, texts
 from tallybeam.llm.simhash import SEED, components
 
 #: Words of a shingle, percent of similarity.
@@ -301,14 +301,15 @@ def grouped(docs: DataFrame, words: int = WORDS, least: int = LEAST, radius: int
     nodes = materialise(sketches.groupBy("node").agg(*(F.first(c).alias(c) for c in ("size", *FPS)), row), "nodes")
     classes = components(compared(nodes, radius, least, tile_rows))
     classes = classes.unionByName(classes.select(F.col("root").alias("node"), "root").distinct())
-    needed = nodes.join(classes, "node").select("node", "size", F.col("root").alias("class"), F.col("least.doc_id").alias("_tb_id"), F.col("least.digest").alias("_tb_digest"))
-    same = (F.xxhash64(docs["text"]) == F.col("_tb_digest")) & docs["doc_id"].cast("long").eqNullSafe(F.col("_tb_id"))
+    needed = materialise(nodes.join(classes, "node").select("node", "size", F.col("root").alias("class"), F.col("least.doc_id").alias("_tb_id"), F.col("least.digest").alias("_tb_digest")), "class-nodes")
+    maybe = split(docs.select("doc_id", "text"), needed.select("_tb_digest"))[1]
+    same = (F.xxhash64(maybe["text"]) == F.col("_tb_digest")) & maybe["doc_id"].cast("long").eqNullSafe(F.col("_tb_id"))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [shingle_hashes(x, words).view(np.int64) for x in texts(batch.column(3))]
         return pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, pa.list_(pa.int64()))], ["class", "node", "size", "hashes"])
 
-    held = map_batches(docs.join(needed, same).select("class", "node", "size", "text"), work, "class long, node long, size long, hashes array<long>", "text")
+    held = map_batches(maybe.join(needed.hint("merge"), same).select("class", "node", "size", "text"), work, "class long, node long, size long, hashes array<long>", "text")
     held = materialise(held.dropDuplicates(["node"]), "shingles")
     roots = materialise(verified(held, least, block_rows).toDF("r_node", "root"), "similar")
     placed = nodes.join(roots, F.col("node") == F.col("r_node"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))
@@ -319,6 +320,4 @@ def grouped(docs: DataFrame, words: int = WORDS, least: int = LEAST, radius: int
 def drop_similar(docs: DataFrame, **options) -> DataFrame:
     """docs without all but the first row of each component of similar texts; all columns kept. Options are those of grouped()."""
     stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("digest") == F.col("first.digest"))
-    dropped = grouped(docs, **options).filter(~stays).select(F.col("doc_id").alias("_tb_dropped"), F.col("digest").alias("_tb_digest"))
-    same = (F.xxhash64(docs["text"]) == F.col("_tb_digest")) & docs["doc_id"].cast("long").eqNullSafe(F.col("_tb_dropped"))
-    return docs.join(materialise(dropped, "near-copies"), same, "left_anti")
+    return drop_marked(docs, materialise(grouped(docs, **options).filter(~stays).select("doc_id", "digest").distinct(), "near-copies"))

@@ -412,3 +412,18 @@ def test_a_large_class_of_half_alike_texts(spark):
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     for options in ({}, {"block_rows": 9, "tile_rows": 11}):
         assert sorted(str(r.doc_id) for r in similar.drop_similar(frame, **options).collect()) == naive_similar(docs)
+
+
+def test_split_by_a_map_of_bits(spark, monkeypatch):
+    docs = spark.range(3_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"), F.lit("x").alias("_tb_word"))
+    docs = docs.unionByName(spark.createDataFrame([(None, None, "x"), (7, "", "x")], "doc_id long, text string, _tb_word string"))
+    hashes = docs.filter("doc_id < 300 or text is null").select(common.text_hash().alias("h"))
+    for most in (common.MOST_BITS, 1 << 13):
+        monkeypatch.setattr(common, "MOST_BITS", most)
+        stay, maybe = common.split(docs, hashes)
+        rows = [{(r.doc_id, r.text) for r in part.collect()} for part in (stay, maybe)]
+        assert not rows[0] & rows[1] and len(rows[0]) + len(rows[1]) == 3_002
+        assert {(i, f"text {i}") for i in range(300)} | {(None, None)} <= rows[1] and len(rows[1]) < 700
+        assert stay.columns == docs.columns
+    marks = spark.createDataFrame([(5, "text 5"), (6, "text 9"), (None, None)], "doc_id long, text string").select("doc_id", common.text_hash().alias("h"))
+    assert common.drop_marked(docs, marks).count() == 3_000
