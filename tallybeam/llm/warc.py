@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from tallybeam.llm.common import materialise, new_path
+from tallybeam.llm.common import materialise, new_path, split
 
 LEAST_BYTES = 100
 FILE_BYTES, SPLIT_BYTES, WINDOW, BATCH_BYTES = 256 << 20, 64 << 20, 1 << 20, 4 << 20
@@ -358,16 +358,21 @@ def register(spark: SparkSession) -> None:
 def page_records(pages: DataFrame, least_bytes: int = LEAST_BYTES, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """A record per page, ready for the writer.
 
-    Only (digest, page_id) is gathered to find the first page of equal payloads; what is joined back are the groups of two or more.
+    Only (digest, page_id) is gathered to find the first page of equal payloads. Pages whose payload surely is no other's, told by a broadcast map of hashes,
+    need no join; the others are joined with the groups of two or more.
     """
-    body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select(F.col("page_id").cast("long"), "url", body.alias("payload"), F.sha2(body, 256).alias("digest"), F.octet_length(body).cast("long").alias("bytes"))
-    groups = rows.filter(F.col("bytes") >= least_bytes).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1 and first is not null")
-    rows = rows.join(materialise(groups.select("digest", "first"), "payload-groups"), "digest", "left")
+    text = F.coalesce(F.col("html"), F.lit(""))
+    body = text.cast("binary")
+    known = [F.sha2(body, 256).alias("digest"), F.octet_length(body).cast("long").alias("bytes")]
+    sized = pages.select(F.col("page_id").cast("long"), F.xxhash64(text).alias("hash"), *known).filter(F.col("bytes") >= least_bytes)
+    groups = sized.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"), F.min("hash").alias("hash")).filter("n > 1 and first is not null")
+    groups = materialise(groups.select("digest", "first", "hash"), "payload-groups")
+    single, several = (p.select(F.col("page_id").cast("long"), "url", body.alias("payload"), *known) for p in split(pages, groups.select("hash"), F.xxhash64(text)))
+    rows = single.withColumn("first", F.lit(None).cast("long")).unionByName(several.join(groups.drop("hash"), "digest", "left"))
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     urn = lambda c: F.concat(F.lit("<urn:x-page:"), c.cast("string"), F.lit(">"))
     encoded = F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20")
-    known = lambda k, v: F.when(v.isNotNull(), F.struct(F.lit(k).alias("k"), v.cast("string").alias("v")))
+    named = lambda k, v: F.when(v.isNotNull(), F.struct(F.lit(k).alias("k"), v.cast("string").alias("v")))
     return rows.select(
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
         F.coalesce(urn(F.col("page_id")), F.concat(F.lit("<urn:sha256:"), "digest", F.lit(">"))).alias("record_id"),
@@ -375,7 +380,7 @@ def page_records(pages: DataFrame, least_bytes: int = LEAST_BYTES, date: str = "
         encoded.alias("target_uri"),
         F.concat(F.lit("sha256:"), "digest").alias("payload_digest"),
         F.when(revisit, urn(F.col("first"))).alias("refers_to"),
-        F.map_from_entries(F.array_compact(F.array(known("X-Page-Id", F.col("page_id")), known("X-Payload-Length", F.col("bytes"))))).alias("headers"),
+        F.map_from_entries(F.array_compact(F.array(named("X-Page-Id", F.col("page_id")), named("X-Payload-Length", F.col("bytes"))))).alias("headers"),
         F.when(~revisit, F.col("payload")).alias("payload"),
     )
 
