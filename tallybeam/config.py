@@ -37,6 +37,9 @@ class Bank:
     f_lower: float = 20.0
     quick: bool = False
     cap: int = 256
+    #: Spins of a grid bank; the path of a stored bank.
+    spins: list[float] = field(default_factory=list)
+    path: str | None = None
 
 
 @dataclass
@@ -47,6 +50,11 @@ class Background:
     excise_above: float = 12.0
     excise_s: float = 4.0
     same_template: bool = True
+    #: Windows of pairs of sensors, as "H1,L1": seconds; others get window_s.
+    pair_windows_s: dict[str, float] = field(default_factory=dict)
+    #: Slides of the second and third sensor in a search for triples.
+    strategy: str = "diagonal"
+    fraction: float = 0.1
 
 
 @dataclass
@@ -58,6 +66,17 @@ class Runtime:
     block_s: float = 512.0
     dedup_s: float = 1.0
     tolerance_s: float = 1.0
+    #: pairs of all sensors, or triples of the first three.
+    network: str = "pairs"
+    start_mode: str = "latest"
+    start_s: float | None = None
+    lookback_s: float = 7 * 86_400.0
+    direction: str = "forward"
+    backward_stop_s: float | None = None
+    follow: bool = False
+    poll_s: float = 60.0
+    stop_file: str | None = None
+    templates_per_task: int = 16
 
 
 @dataclass

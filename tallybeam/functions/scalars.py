@@ -81,6 +81,13 @@ def poisson_p(far: Column, observed_s: Column) -> Column:
     return 1.0 - F.exp(-observed_s * far)
 
 
+def mean_rchisq(per_sensor: Column) -> Column:
+    """Mean of a map from sensors to reduced chi-squares; a sensor without one counts as 1, no sensors as 1."""
+    values = F.map_values(per_sensor)
+    total = F.aggregate(values, F.lit(0.0), lambda acc, x: acc + F.coalesce(x, F.lit(1.0)))
+    return F.coalesce(F.try_divide(total, F.size(values)), F.lit(1.0))
+
+
 def detchar_rank(stat: Column, mean_rchisq: Column) -> Column:
     """Down-weighted by the mean reduced chi-square; 1 where there is none."""
     return stat / (1.0 + F.coalesce(mean_rchisq, F.lit(1.0)))
@@ -139,6 +146,28 @@ def escape_html(text: Column) -> Column:
     return F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
 
+def colour_log(line: Column) -> Column:
+    """A log line, escaped, in a span of its level's class."""
+    level = F.lit("INFO")
+    for name in ("DEBUG", "WARNING", "ERROR"):
+        level = F.when(line.contains(f" {name} "), name).otherwise(level)
+    return F.concat(F.lit('<span class="log-'), level, F.lit('">'), escape_html(line), F.lit("</span>"))
+
+
+def join_ifos(ifos: Column) -> Column:
+    return F.array_join(ifos, ",")
+
+
+def split_ifos(text: Column) -> Column:
+    """Names of sensors; null gives one empty name."""
+    return F.split(F.coalesce(text, F.lit("")), ",")
+
+
+def parse_json_or_text(text: Column) -> Column:
+    """A variant: the parsed JSON, or the text itself where it is none."""
+    return F.coalesce(F.try_parse_json(text), text.cast("variant"))
+
+
 def error_kind(message: Column) -> Column:
     """gap for messages about missing data, else error."""
     m = F.lower(message)

@@ -81,6 +81,16 @@ def slid_triples(triggers: DataFrame, ifos: tuple[str, str, str], pairs: DataFra
     return three.select("offset_1", "offset_2", "event_id_a", "event_id_b", "event_id_c", network_stat(F.col("new_snr_a"), F.col("new_snr_b"), F.col("new_snr_c")).alias("network_stat"))
 
 
+def append(slid: DataFrame, path: str, batch: str) -> None:
+    """Add a batch's background to the table at path; a batch that is written again replaces what it wrote before."""
+    slid.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+
+def appended(spark: SparkSession, path: str) -> DataFrame:
+    """The backgrounds of all batches, with batch."""
+    return spark.read.parquet(path)
+
+
 def excise(triggers: DataFrame, loud: DataFrame, half_width_us: int) -> DataFrame:
     """Triggers that are half_width_us or more from all loud times (column loud_us)."""
     return range_join(triggers, loud.select("loud_us").distinct(), "gps_us", "loud_us", half_width_us, strict=True, how="left_anti")

@@ -103,6 +103,37 @@ def stochastic_bank(spark: SparkSession, lo1: float, hi1: float, lo2: float, hi2
     return spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(kept)], "template_id int, mass1 double, mass2 double")
 
 
+def stored(spark: SparkSession, path: str, approximant: str = "IMRPhenomD", f_lower: float = 20.0, keep: list[str] = ()) -> DataFrame:
+    """mass1, mass2, spin1z, spin2z, approximant, f_lower and the columns to keep of a bank in a Parquet table; spins that the table or a row does not have are 0."""
+    rows = spark.read.parquet(path)
+    spin = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) if c in rows.columns else F.lit(0.0).alias(c)
+    return rows.select(F.col("mass1").cast("double").alias("mass1"), F.col("mass2").cast("double").alias("mass2"), spin("spin1z"), spin("spin2z"), F.lit(approximant).alias("approximant"), F.lit(float(f_lower)).alias("f_lower"), *keep)
+
+
+def described(bank: DataFrame, kind: str, **parameters) -> DataFrame:
+    """One row about a bank: kind, n_templates, the least and largest masses, the parameters as JSON and their hash."""
+    bounds = [f(c).alias(f"{name}_{c}") for c in ("mass1", "mass2") for f, name in ((F.min, "least"), (F.max, "largest"))]
+    known = F.lit(json.dumps(parameters, sort_keys=True))
+    return bank.agg(F.count(F.lit(1)).alias("n_templates"), *bounds).select(F.lit(kind).alias("kind"), "*", known.alias("parameters"), F.lit(content_hash({"kind": kind, **parameters})).alias("hash"))
+
+
+def build(spark: SparkSession, method: str, mass1: tuple[float, float], mass2: tuple[float, float], min_match: float = 0.97, mismatch: float = 0.03, f_lower: float = 20.0, quick: bool = False, cap: int = 256, spins: list[float] | None = None, path: str | None = None) -> DataFrame:
+    """The bank of a method: stochastic, grid, targeted, moderate, multi_event or stored."""
+    if method == "stochastic":
+        return stochastic_bank(spark, *mass1, *mass2, min_match)
+    if method == "grid":
+        return grid_bank(spark, *mass1, *mass2, mismatch, f_lower=f_lower, spins=spins or None, quick=quick, cap=cap)
+    if method == "targeted":
+        return targeted_bank(spark)
+    if method == "moderate":
+        return moderate_bank(spark, min(mass1[0], mass2[0]), max(mass1[1], mass2[1]))
+    if method == "multi_event":
+        return multi_event_bank(spark)
+    if method == "stored" and path:
+        return stored(spark, path, f_lower=f_lower)
+    raise ValueError(f"unknown bank method: {method}")
+
+
 def content_hash(parameters: dict) -> str:
     """SHA-256 of the parameters as sorted compact JSON: the key of a cached bank or a configuration."""
     return hashlib.sha256(json.dumps(parameters, sort_keys=True, separators=(",", ":")).encode()).hexdigest()

@@ -72,3 +72,17 @@ def triples(triggers: DataFrame, ifos: tuple[str, str, str], windows_us: tuple[i
         "event_id_c",
         network_stat(F.col("new_snr_a"), F.col("new_snr_b"), F.col("new_snr_c")).alias("network_stat"),
     )
+
+
+def find(triggers: DataFrame, ifos: list[str], windows_us: dict[tuple[str, str], int], same_template: bool = True) -> DataFrame:
+    """Coincidences of all given sensors, by their number: none for fewer than two, pairs for two, triples (of one template) for three."""
+    ifos = sorted(ifos)
+    widest = max(windows_us.values())
+    window = lambda a, b: windows_us.get((a, b), windows_us.get((b, a), widest))
+    if len(ifos) < 2:
+        return pairs(triggers.limit(0), "", "", widest)
+    if len(ifos) == 2:
+        return pairs(triggers, *ifos, window(*ifos), same_template, drop_broken=True)
+    if len(ifos) == 3:
+        return triples(triggers, tuple(ifos), (window(ifos[0], ifos[1]), window(ifos[0], ifos[2]), window(ifos[1], ifos[2])))
+    raise ValueError(f"{len(ifos)} sensors: two or three can be searched together")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,11 +9,9 @@ from tallybeam.functions import scalars as S
 from tallybeam.operators import arrays, background, bank, candidates, coincidence, ranking, signal
 from tallybeam.operators.intervals import clip, nearest, range_join, within_segments
 from tallybeam.plans import views as V
+from tallybeam.plans.catalogue import oracle_sql, queries, query
 from tallybeam.sources import frames, state
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
 SAME_TEMPLATE, ANY_TEMPLATE = V.HOUR, 10 * V.MINUTE
 WINDOWS = {("H1", "L1"): V.HOUR, ("H1", "V1"): 90 * V.MINUTE, ("L1", "V1"): 90 * V.MINUTE}
 SLIDES, SPACING = 10, 2 * V.HOUR
@@ -23,25 +19,6 @@ TRIALS_S = 2.0 * SLIDES * 30 * 86_400
 DEDUP, TOLERANCE = V.MINUTE, 10 * V.MINUTE
 
 
-def query(sql: str | None = None, views: bool = True) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            body = sql.strip()
-            SQL[f.__name__] = (f"WITH RECURSIVE {V.SQL}, {body[5:]}" if body.startswith("WITH ") else f"WITH RECURSIVE {V.SQL} {body}") if views else body
-        return f
-
-    return add
-
-
-def queries() -> dict[str, Query]:
-    return dict(QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
-
-
 def r6(c, name: str):
     return F.round(c, 6).alias(name)
 
@@ -674,3 +651,6 @@ def r04_event_blocks(spark, sf_dir):
     e = V.read(spark, sf_dir, "events").withColumn("t", F.col("ts").cast("timestamp"))
     b = e.groupBy(F.window("t", "6 hours"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
     return b.select(F.unix_micros("window.start").alias("block_start_us"), "event_type", "n", "total")
+
+
+from tallybeam.plans import discovery, run_state  # noqa: E402, F401  they add their queries

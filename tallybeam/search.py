@@ -1,11 +1,13 @@
 """The whole search as one call: series in, ranked candidates and run state out.
 
-Blocks are rows, so all blocks of a call are conditioned, matched, joined and ranked together; only the kernels leave the JVM.
+Blocks are rows, so all blocks of a call are conditioned, matched, joined and ranked together; only the kernels leave the JVM. search_blocks()
+calls it block by block, forward or backward over gaps, until it is asked to stop.
 """
 
 from __future__ import annotations
 
 import time
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,90 +16,231 @@ from tallybeam.config import Config
 from tallybeam.functions import scalars as S
 from tallybeam.operators import background, bank, candidates, coincidence, ranking, signal
 from tallybeam.operators.intervals import nearest
+from tallybeam.scratch import materialise
 from tallybeam.sources.state import TABLES, State, write_candidates
 
 
+def micros(s: float) -> int:
+    return int(round(s * 1e6))
+
+
 def templates(spark: SparkSession, cfg: Config) -> list[signal.Template]:
     """The configured bank: a parameter list."""
     b = cfg.bank
-    if b.method == "stochastic":
-        rows = bank.stochastic_bank(spark, *b.mass1, *b.mass2, b.min_match).collect()
-    elif b.method == "grid":
-        rows = bank.grid_bank(spark, *b.mass1, *b.mass2, b.mismatch, quick=b.quick, cap=b.cap).collect()
-    elif b.method == "targeted":
-        rows = bank.targeted_bank(spark).collect()
-    else:
-        raise ValueError(f"unknown bank method: {b.method}")
-    return [signal.Template(i, r.mass1, r.mass2, b.f_lower) for i, r in enumerate(rows)]
+    rows = bank.build(spark, b.method, b.mass1, b.mass2, b.min_match, b.mismatch, b.f_lower, b.quick, b.cap, b.spins, b.path)
+    spins = [c for c in ("spin1z", "spin2z") if c in rows.columns]
+    return [signal.Template(i, r.mass1, r.mass2, b.f_lower, *(r[c] for c in spins)) for i, r in enumerate(rows.collect())]
+
 
+def conditioned(series: DataFrame, cfg: Config) -> DataFrame:
+    """Gated and conditioned series rows (series_id, ifo, t0_us), as signal.condition() returns them."""
+    c, g = cfg.conditioning, cfg.gating
+    clean = signal.condition(series, c.rate, c.highpass, int(c.segment_s * c.rate), c.notches, skip_s=c.skip_s, gate=(g.threshold, g.pad_s, g.longest_s))
+    return clean.join(series.select("series_id", "t0_us"), "series_id")
 
-def find_triggers(series: DataFrame, cfg: Config, waves: list[signal.Template]) -> DataFrame:
-    """Triggers of series rows (series_id, ifo, t0_us, arr) with their times."""
+
+def find_triggers(clean: DataFrame, cfg: Config, waves: list[signal.Template]) -> DataFrame:
+    """Triggers of conditioned series with their times."""
     c, r = cfg.conditioning, cfg.runtime
-    clean = signal.condition(series.select("series_id", "ifo", "arr"), c.rate, c.highpass, int(c.segment_s * c.rate), c.notches, skip_s=c.skip_s).filter("not is_gap")
-    found = signal.triggers(clean.select("series_id", "ifo", "arr"), waves, c.rate, r.threshold, r.chisq_from, r.cluster_s, segment=int(c.segment_s * c.rate))
-    starts = series.select("series_id", "t0_us")
-    timed = found.join(starts, "series_id").withColumn("gps_us", F.col("t0_us") + F.round(F.col("i") * (1e6 / c.rate)).cast("long"))
+    usable = clean.filter("not is_gap")
+    found = signal.triggers(usable, waves, c.rate, r.threshold, r.chisq_from, r.cluster_s, segment=int(c.segment_s * c.rate), per_task=r.templates_per_task)
+    timed = found.join(usable.select("series_id", "t0_us", "n_gates"), "series_id").withColumn("gps_us", F.col("t0_us") + F.round(F.col("i") * (1e6 / c.rate)).cast("long"))
     number = F.xxhash64("series_id", "template_id", "i")
-    return timed.select("ifo", "gps_us", "new_snr", "rchisq", F.col("template_id").cast("string").alias("template_id"), number.alias("event_id"))
+    lasts = S.template_duration_s(F.lit(cfg.bank.f_lower))
+    return timed.select("ifo", "gps_us", "snr", "chisq", "new_snr", "rchisq", F.col("template_id").cast("string").alias("template_id"), lasts.alias("duration_s"), "n_gates", number.alias("event_id"))
+
+
+def windows(cfg: Config) -> dict[tuple[str, str], int]:
+    """The window of each pair of sensors."""
+    ifos, b = cfg.runtime.ifos, cfg.background
+    own = {frozenset(k.split(",")): v for k, v in b.pair_windows_s.items()}
+    found = {(x, y): micros(own.get(frozenset((x, y)), b.window_s)) for i, x in enumerate(ifos) for y in ifos[i + 1 :]}
+    return found or {("", ""): micros(b.window_s)}
+
+
+def block_states(clean: DataFrame, ifos: list[str]) -> DataFrame:
+    """t0_us, status, error: gap where a sensor has no series at all, skipped where all are gaps, else done."""
+    seen = clean.groupBy("t0_us").agg(F.collect_set("ifo").alias("seen"), F.bool_and("is_gap").alias("all_gaps"))
+    missing = F.array_except(F.array(*map(F.lit, ifos)), "seen")
+    status = F.when(F.size(missing) > 0, "gap").when(F.col("all_gaps"), "skipped").otherwise("done")
+    error = F.when(F.size(missing) > 0, F.concat(F.lit("no data: "), F.array_join(F.array_sort(missing), ","))).when(F.col("all_gaps"), "data gap")
+    return seen.select("t0_us", status.alias("status"), error.alias("error"))
 
 
 def run_search(spark: SparkSession, series: DataFrame, cfg: Config, root: str, catalogue: DataFrame | None = None) -> DataFrame:
     """Candidates, de-duplicated and ranked; state tables and outputs are written under root.
 
-    series has one row per sensor and block (series_id, ifo, t0_us, arr), catalogue has (name, cat_us). The first two sensors make the background.
+    series has one row per sensor and block (series_id, ifo, t0_us, arr), catalogue has (name, cat_us). A block that lacks a sensor is recorded as a gap, one of
+    gaps only as skipped, and neither is searched; a failure is recorded for the blocks at work before it is raised. A search for pairs takes all pairs of
+    sensors, and the first two make the background; one for triples slides the second and third.
     """
     state, now = State(spark, f"{root}/state"), time.time()
     run_id = int(now * 1000)
     state.append("runs", spark.createDataFrame([(run_id, now, cfg.hash(), None)], TABLES["runs"]))
-    ifos, b, r = list(cfg.runtime.ifos), cfg.background, cfg.runtime
-    micros = lambda s: int(round(s * 1e6))
-    blocks = series.groupBy("t0_us").agg(F.array_join(F.array_sort(F.collect_set("ifo")), ",").alias("ifos"))
+    ifos, r = list(cfg.runtime.ifos), cfg.runtime
     start = F.col("t0_us") / 1e6
-    log = lambda status: blocks.select(
-        F.xxhash64("t0_us", F.lit(status), F.lit(run_id)).alias("id"), F.lit(run_id).alias("run_id"), "ifos", start.alias("gps_start"), (start + r.block_s).alias("gps_end"),
-        F.lit(status).alias("status"), F.lit(None).cast("string").alias("error"), F.lit(time.time()).alias("created_at"),
-    )
-    state.append("blocks", log("processing"))
-    path = f"{root}/triggers/run={run_id}"
-    find_triggers(series, cfg, templates(spark, cfg)).write.parquet(path)  # the kernels run once
-    triggers = spark.read.parquet(path)
-
-    pairs = coincidence.all_pairs(triggers, ifos, {(ifos[0], ifos[-1]): micros(b.window_s)}, same_template=b.same_template)
+
+    def log(blocks: DataFrame, status, error) -> None:
+        state.append("blocks", blocks.select(
+            state.number("t0_us").alias("id"), F.lit(run_id).alias("run_id"), F.lit(",".join(ifos)).alias("ifos"), start.alias("gps_start"), (start + r.block_s).alias("gps_end"),
+            status.alias("status"), error.cast("string").alias("error"), F.lit(time.time()).alias("created_at"),
+        ))
+
+    blocks = materialise(series.select("t0_us").distinct(), "blocks")
+    log(blocks, F.lit("processing"), F.lit(None))
+    state.progress(run_id, "init", 0.0)
+    try:
+        clean = materialise(conditioned(series, cfg), "conditioned")
+        states = materialise(block_states(clean, ifos), "block-states")
+        state.progress(run_id, "conditioned", 0.2)
+        best = _candidates(spark, clean.join(states.filter("status = 'done'").select("t0_us"), "t0_us", "left_semi"), cfg, root, run_id, states, state, catalogue)
+    except Exception as e:
+        log(blocks, F.lit("error"), F.lit(str(e)[:4000]))
+        state.progress(run_id, "error", 1.0, str(e)[:4000])
+        raise
+    log(states, F.col("status"), F.col("error"))
+    state.progress(run_id, "done", 1.0)
+    return best
+
+
+def _candidates(spark: SparkSession, clean: DataFrame, cfg: Config, root: str, run_id: int, states: DataFrame, state: State, catalogue: DataFrame | None) -> DataFrame:
+    ifos, b, r = list(cfg.runtime.ifos), cfg.background, cfg.runtime
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{root}/{name}/run={run_id}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}/run={run_id}")
+
+    triggers = kept(find_triggers(clean, cfg, templates(spark, cfg)), "triggers")  # the kernels run once
+    state.progress(run_id, "triggers", 0.7)
+    near = windows(cfg)
+    pairs = coincidence.all_pairs(triggers, ifos, near, same_template=b.same_template)
     loud = pairs.filter(F.col("network_stat") > b.excise_above).select(F.col("gps_us").alias("loud_us"))
     quiet = background.excise(triggers, loud, micros(b.excise_s))
-    second = ifos[1] if len(ifos) > 1 else ""
-    slid = background.slid_pairs(quiet, ifos[0], second, background.offsets(spark, b.slides, micros(b.spacing_s)), micros(b.window_s), b.same_template)
-    span_s = r.block_s * max(1, blocks.count())
-    slid.write.parquet(f"{root}/background/run={run_id}")
-    slid = spark.read.parquet(f"{root}/background/run={run_id}")
-
-    found = ranking.with_far(pairs, slid, 2.0 * b.slides * span_s)
-    best = candidates.deduplicate(found, micros(r.dedup_s)).withColumn("id", F.xxhash64("event_id_a", "event_id_b"))
+    slides = background.offsets(spark, b.slides, micros(b.spacing_s))
+    span_s = r.block_s * max(1, states.filter("status = 'done'").count())
+    if r.network == "triples" and len(ifos) == 3:
+        found = coincidence.find(triggers, ifos, near).withColumn("ifos", F.lit(",".join(sorted(ifos))))
+        ends = triggers.select("event_id", F.col("rchisq")).dropDuplicates(["event_id"])
+        for x in "abc":
+            found = found.join(ends.toDF(f"event_id_{x}", f"rchisq_{x}"), f"event_id_{x}")
+        offsets = background.offset_pairs(slides, b.strategy, b.fraction)
+        order = sorted(ifos)
+        of = lambda x, y: near.get((x, y), near.get((y, x)))
+        slid = background.slid_triples(quiet, tuple(order), offsets, (of(order[0], order[1]), of(order[0], order[2]), of(order[1], order[2])))
+        n_slides = offsets.count()
+    elif r.network in ("pairs", "triples"):
+        found = pairs
+        slid = background.slid_pairs(quiet, ifos[0], ifos[1] if len(ifos) > 1 else "", slides, near.get(tuple(ifos[:2]), micros(b.window_s)), b.same_template)
+        n_slides = 2 * b.slides
+    else:
+        raise ValueError(f"unknown network: {r.network}")
+    slid = kept(slid, "background")
+    ranked = ranking.with_far(found, slid, float(n_slides * span_s))
+    sides = [c.removeprefix("event_id_") for c in found.columns if c.startswith("event_id_")]
+    best = candidates.deduplicate(ranked, micros(r.dedup_s)).withColumn("id", F.xxhash64(*(f"event_id_{x}" for x in sides)))
     if catalogue is not None:
         best = nearest(best, catalogue, "gps_us", "cat_us", "name", micros(r.tolerance_s)).withColumnRenamed("name", "known_event").drop("match_gap")
     else:
         best = best.withColumn("known_event", F.lit(None).cast("string"))
-    best = best.withColumn("detchar_rank", S.detchar_rank(F.col("network_stat"), (F.col("rchisq_a") + F.col("rchisq_b")) / 2)).withColumn("config_hash", F.lit(cfg.hash()))
-    best.write.parquet(f"{root}/candidates/run={run_id}")
-    best = spark.read.parquet(f"{root}/candidates/run={run_id}")
+    quality = S.mean_rchisq(F.create_map(*(c for x in sides for c in (F.lit(x), F.col(f"rchisq_{x}")))))
+    best = kept(best.withColumn("detchar_rank", S.detchar_rank(F.col("network_stat"), quality)).withColumn("config_hash", F.lit(cfg.hash())), "candidates")
+    state.progress(run_id, "background", 0.8)
 
     write_candidates(best, f"{root}/output", cfg.to_json())
     seconds = (F.col("gps_us") / 1e6).alias("gps")
     payload = F.to_json(F.struct(*best.columns)).alias("payload")
     state.append("candidates", best.select("id", F.lit(run_id).alias("run_id"), seconds, "ifos", "template_id", "network_stat", F.col("far_hz").alias("far"), "ifar_days", payload, F.lit(time.time()).alias("created_at")))
-    rate = ranking.rate(slid, b.slides, span_s)
+    rate = ranking.rate(slid, n_slides / 2, span_s)
     state.append("background", rate.select(F.lit(run_id).alias("id"), F.lit(run_id).alias("run_id"), F.lit(b.spacing_s).alias("slide"), F.col("far_hz").alias("far"), F.to_json(F.struct("*")).alias("payload"), F.lit(time.time()).alias("created_at")))
-    state.append("blocks", log("done"))
     return best
 
 
-def resume_from(state: State, latest_s: float, lookback_s: float, mode: str = "latest", given_s: float | None = None) -> float:
-    """Where a search starts: after the last finished block of any run, at a given time, or a look-back before the latest data."""
-    if mode == "gps" and given_s is not None:
-        return given_s
+def whole_background(spark: SparkSession, root: str) -> DataFrame:
+    """The slid coincidences of all runs under root, with the run: batches add up."""
+    return spark.read.option("mergeSchema", "true").parquet(f"{root}/background")
+
+
+def resume_from(state: State, latest_s: float | None, lookback_s: float, mode: str = "latest", given_s: float | None = None, direction: str = "forward", now_s: float | None = None) -> float:
+    """Where a search starts, in seconds.
+
+    resume: after the last finished block of any run, or before the first one if the search goes backward; gps: at the given time, unless that is none or 0; latest: at the latest
+    data, a look-back before it if the search goes forward. Where a mode has nothing to start from, a look-back before now.
+    """
+    backward = direction == "backward"
     if mode == "resume":
-        last = state.read("blocks").filter(F.col("status").isin("done", "gap")).agg(F.max("gps_end")).first()[0]
-        if last is not None:
-            return last
-    return latest_s - lookback_s
+        found = state.read("blocks").filter(F.col("status").isin("done", "gap")).agg(F.min("gps_start"), F.max("gps_end")).first()
+        if (end := found[0] if backward else found[1]) is not None:
+            return end
+    if mode == "gps" and given_s:
+        return given_s
+    if latest_s is not None and mode != "gps":
+        return latest_s if backward else latest_s - lookback_s
+    return (time.time() if now_s is None else now_s) - lookback_s
+
+
+def blocks_to_search(
+    start_s: float, block_s: float, has_data: Callable[[float, float], bool], direction: str = "forward", previous_end: Callable[[float], float | None] = lambda t: None,
+    previous_run_end: Callable[[float], float | None] = lambda t: None, stop_s: float | None = None, end_s: float | None = None, follow: bool = False, wait: Callable[[], None] = lambda: None, stop: Callable[[], bool] = lambda: False,
+) -> Iterator[tuple[float, float, str]]:
+    """block_start, block_end, status (data or gap) of one block after the other, while the caller works on each.
+
+    Forward: from the start to end_s, or, if it follows, waiting where there is no data yet. Backward: down to stop_s; at a gap it jumps to the latest data
+    before (if that lies more than a block away), else to the end of the run before, and ends where there is none. It ends when asked to stop.
+    """
+    now = start_s
+    while not stop():
+        if direction == "backward":
+            block = now - block_s, now
+            if stop_s and block[0] < stop_s:
+                return
+            if has_data(*block):
+                yield *block, "data"
+                now = block[0]
+                continue
+            yield *block, "gap"
+            found = previous_end(block[0])
+            if found is None or found >= block[0] - block_s:
+                found = previous_run_end(block[0])
+            if found is None:
+                return
+            now = found
+        else:
+            block = now, now + block_s
+            if end_s is not None and now >= end_s:
+                return
+            if has_data(*block):
+                yield *block, "data"
+                now = block[1]
+            elif follow:
+                wait()
+            else:
+                yield *block, "gap"
+                now = block[1]
+
+
+def search_blocks(spark: SparkSession, blocks: Iterator[tuple[float, float, str]], series_of: Callable[[float, float], DataFrame], cfg: Config, root: str, catalogue: DataFrame | None = None) -> int:
+    """run_search() over the series of each block with data; gaps are recorded. Returns the number of blocks searched."""
+    state, searched = State(spark, f"{root}/state"), 0
+    for start, end, status in blocks:
+        if status == "data":
+            run_search(spark, series_of(start, end), cfg, root, catalogue)
+            searched += 1
+        else:
+            row = (time.time_ns(), 0, ",".join(cfg.runtime.ifos), start, end, "gap", "no data", time.time())
+            state.append("blocks", spark.createDataFrame([row], TABLES["blocks"]))
+    return searched
+
+
+def estimate_background(triggers: DataFrame, cfg: Config, kind: str = "pairs") -> dict:
+    """A summary of the background of pairs or triples: n, loudest, median, trials_s, far_hz."""
+    spark, ifos, b, near = triggers.sparkSession, list(cfg.runtime.ifos), cfg.background, windows(cfg)
+    slides = background.offsets(spark, b.slides, micros(b.spacing_s))
+    if kind == "pairs":
+        slid, n = background.slid_pairs(triggers, ifos[0], ifos[1], slides, near[tuple(ifos[:2])], b.same_template), 2 * b.slides
+    elif kind == "triples":
+        offsets = background.offset_pairs(slides, b.strategy, b.fraction)
+        slid, n = background.slid_triples(triggers, tuple(ifos[:3]), offsets, (near[ifos[0], ifos[1]], near[ifos[0], ifos[2]], near[ifos[1], ifos[2]])), offsets.count()
+    else:
+        raise ValueError(f"unknown kind: {kind}")
+    row, seconds = ranking.summary(slid).first(), ranking.observing_time(triggers, True).first()[0]
+    return {"n": row.n, "loudest": row.loudest, "median": row.median, "trials_s": n * seconds, "far_hz": row.n / (n * seconds) if row.n and seconds else None, "kind": kind}

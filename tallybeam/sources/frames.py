@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybeam.operators.intervals import range_join
 
 PAD_S, LEAST_S, MOST_S, FILE_S = 32, 64, 6000, 4096
+#: Seconds that a discovered end stays fresh, and the time that stands in where nothing is known.
+CACHE_S, KNOWN_S = 1800.0, 1126259462.4
 NAME = r"-([0-9]+)-([0-9]+)\.(gwf|hdf5)$"
 #: Observing runs (name, start, end) in GPS seconds.
 RUNS = [
@@ -55,6 +57,98 @@ def overlapping_runs(blocks: DataFrame, runs: DataFrame) -> DataFrame:
     return blocks.join(F.broadcast(runs), (F.col("run_start") < F.col("block_end")) & (F.col("run_end") > F.col("block_start")))
 
 
+def resolved(blocks: DataFrame, files: DataFrame, runs: DataFrame) -> DataFrame:
+    """block_start, block_end, run, file: the first file (by name) that holds the block whole, from the first run (by start) that has one.
+
+    `files` has (run, file, file_start, file_end). A block looks in the runs that hold its start or end, or in all runs if none does; runs are a literal relation.
+    """
+    listed = runs.select(F.col("run").alias("_run"), "run_start", "run_end")
+    inside = ((F.col("block_start") >= F.col("run_start")) & (F.col("block_start") < F.col("run_end"))) | ((F.col("block_end") > F.col("run_start")) & (F.col("block_end") <= F.col("run_end")))
+    tried = blocks.join(F.broadcast(listed), inside, "left").select("block_start", "block_end", "_run")
+    a = tried.withColumn("_bin", F.floor(F.col("block_start") / FILE_S))
+    b = files.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("file_start") / FILE_S), F.floor((F.col("file_end") - 1) / FILE_S))))
+    hit = a.join(b, "_bin").filter("file_start <= block_start and block_end <= file_end and (_run is null or _run = run)")
+    hit = hit.join(F.broadcast(listed.select(F.col("_run").alias("run"), "run_start")), "run")
+    best = F.min(F.struct("run_start", "run", "file")).alias("best")
+    return hit.groupBy("block_start", "block_end").agg(best).select("block_start", "block_end", "best.run", "best.file")
+
+
+def first_of(blocks: DataFrame, sources: list[DataFrame]) -> DataFrame:
+    """block_start, block_end, source (its number), file: containing() from the first source that has a file; null where none has."""
+    every = None
+    for i, files in enumerate(sources):
+        found = containing(blocks, files).withColumn("source", F.lit(i))
+        every = found if every is None else every.unionByName(found)
+    best = every.groupBy("block_start", "block_end").agg(F.min(F.struct("source", "file")).alias("best"))
+    return blocks.select("block_start", "block_end").distinct().join(best, ["block_start", "block_end"], "left").select("block_start", "block_end", "best.source", "best.file")
+
+
+def fetched(blocks: DataFrame, cache: DataFrame, listed: DataFrame, ifos: list[str]) -> DataFrame:
+    """block_start, block_end, ifo, file, is_cached, error: for each block and sensor a cached file that holds it, else a listed one, else an error text.
+
+    cache and listed have (ifo, file, file_start, file_end). The sensor is a key of the join, so all are resolved at once.
+    """
+    asked = blocks.select("block_start", "block_end").distinct().withColumn("ifo", F.explode(F.array(*map(F.lit, ifos))))
+    both = cache.withColumn("_listed", F.lit(0)).unionByName(listed.withColumn("_listed", F.lit(1)))
+    b = both.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("file_start") / FILE_S), F.floor((F.col("file_end") - 1) / FILE_S))))
+    hit = asked.withColumn("_bin", F.floor(F.col("block_start") / FILE_S)).join(b, ["ifo", "_bin"]).filter("file_start <= block_start and block_end <= file_end")
+    best = hit.groupBy("block_start", "block_end", "ifo").agg(F.min(F.struct("_listed", "file")).alias("best"))
+    out = asked.join(best, ["block_start", "block_end", "ifo"], "left")
+    none = F.concat(F.lit("no files found for "), F.col("ifo"), F.lit(" "), F.col("block_start").cast("string"), F.lit("-"), F.col("block_end").cast("string"))
+    return out.select("block_start", "block_end", "ifo", "best.file", (F.col("best._listed") == 0).alias("is_cached"), F.when(F.col("best").isNull(), none).alias("error"))
+
+
+def listed_end(files: DataFrame, name: str = "file") -> DataFrame:
+    """One row, latest: the largest end of a listing's file names; null if none fits."""
+    return files.agg(F.max(coverage(F.col(name))[1]).alias("latest"))
+
+
+def latest_end(cached: Column, cached_at: Column, listed: Column, of_runs: Column, now: Column, lookback_s: float) -> Column:
+    """Where data end: a cached value that is fresh and not too far ahead, else the listing's end, the runs' or a known time, none later than now and the look-back."""
+    fresh = (now - cached_at < CACHE_S) & (cached <= now + 1.5 * lookback_s)
+    return F.coalesce(F.when(fresh, cached.cast("double")), F.least(F.coalesce(listed.cast("double"), of_runs.cast("double"), F.lit(KNOWN_S)), now + lookback_s))
+
+
+def has_new_data(latest: Column, current: Column) -> Column:
+    return latest > current + 1.0
+
+
+def run_segments(runs: DataFrame, overrides: DataFrame) -> DataFrame:
+    """run, run_start, run_end of `runs`, each from `overrides` (same columns) where that has the run with both times."""
+    known = overrides.filter("run_start is not null and run_end is not null").groupBy("run").agg(F.max(F.struct("run_start", "run_end")).alias("_own"))
+    own = lambda c: F.coalesce(F.col(f"_own.{c}"), F.col(c)).alias(c)
+    return runs.join(known, "run", "left").select("run", own("run_start"), own("run_end"))
+
+
+def previous_run_end(runs: DataFrame, before: float) -> DataFrame:
+    """One row, previous: the greatest end of a run strictly before a time; null if there is none."""
+    return runs.agg(F.max(F.when(F.col("run_end") < before, F.col("run_end"))).alias("previous"))
+
+
+def listing(spark: SparkSession, path: str) -> DataFrame:
+    """page, detector, gps_start, url of a listing kept as one JSON document a page and line ({"page", "num_pages", "results": [...]}); pages beyond the first page's number of pages and broken ones don't count."""
+    kind = "page int, num_pages int, results array<struct<detector: string, gps_start: double, hdf5_url: string>>"
+    pages = spark.read.schema(kind).option("mode", "PERMISSIVE").json(path).filter("page is not null")
+    most = pages.filter("page = 1").agg(F.max("num_pages").alias("most"))
+    kept = pages.join(F.broadcast(most), F.col("page") <= F.coalesce(F.col("most"), F.lit(1)))
+    return kept.select("page", F.explode("results").alias("r")).select("page", "r.detector", "r.gps_start", F.col("r.hdf5_url").alias("url")).filter("gps_start is not null")
+
+
+def listed_starts(listed: DataFrame, detector: str, start: float, end: float) -> DataFrame:
+    """gps_start of a listing's files of a sensor in [start, end), in order."""
+    return listed.filter((F.col("detector") == detector) & (F.col("gps_start") >= start) & (F.col("gps_start") < end)).select("gps_start").orderBy("gps_start")
+
+
+def science_segments(spark: SparkSession, path: str, ifo: str, start: float, end: float) -> DataFrame:
+    """seg_start, seg_end of a sensor's segments that overlap [start, end), cut to it; a table that can't be read has none."""
+    try:
+        rows = spark.read.parquet(path).select("ifo", "seg_start", "seg_end")
+    except Exception:  # no science segments is a defined state of a search
+        return spark.createDataFrame([], "seg_start double, seg_end double")
+    inside = rows.filter((F.col("ifo") == ifo) & (F.col("seg_start") < end) & (F.col("seg_end") > start))
+    return inside.select(F.greatest("seg_start", F.lit(start)).cast("double").alias("seg_start"), F.least("seg_end", F.lit(end)).cast("double").alias("seg_end"))
+
+
 def resolve_pages(pages: DataFrame) -> DataFrame:
     """name, gps of a paged listing (page, name, gps): of repeated names the last page wins."""
     return pages.groupBy("name").agg(F.max_by("gps", F.struct("page", "gps")).alias("gps"))

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import time
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybeam.functions import scalars as S
+
 #: The tables' columns.
 TABLES = {
     "runs": "id long, started_at double, config_hash string, notes string",
@@ -31,10 +36,16 @@ class State:
             return self.spark.createDataFrame([], TABLES[table])
         return self.spark.read.schema(TABLES[table]).parquet(f"{self.root}/{table}")
 
+    def number(self, *columns: str) -> Column:
+        """Ids for rows that are appended now: they rise with the clock, so a block's latest row has its largest id; a hash of the columns tells rows of one moment apart."""
+        return F.lit(time.time_ns() // 1_000 << 10) + F.pmod(F.xxhash64(*columns), F.lit(1 << 10))
+
     def set_value(self, k: str, v: str) -> None:
-        """Upsert as an append; the highest sequence number wins."""
-        last = self.read("kv").filter(F.col("k") == k).agg(F.max("seq")).first()[0]
-        self.append("kv", self.spark.createDataFrame([(k, v, (last or 0) + 1)], TABLES["kv"]))
+        """Upsert as an append. Nothing is read: the clock in nanoseconds is the sequence number, so the later writer wins; of two at the same nanosecond the larger value does."""
+        self.append("kv", self.spark.createDataFrame([(k, v, time.time_ns())], TABLES["kv"]))
+
+    def progress(self, run_id: int, stage: str, share: float, message: str | None = None) -> None:
+        self.set_value("progress", json.dumps({"run_id": run_id, "stage": stage, "pct": share, "ts": time.time(), "msg": message}))
 
     def get_value(self, k: str) -> str | None:
         row = latest_values(self.read("kv").filter(F.col("k") == k)).first()
@@ -42,7 +53,7 @@ class State:
 
 
 def latest_values(kv: DataFrame) -> DataFrame:
-    return kv.groupBy("k").agg(F.max_by("v", "seq").alias("v"))
+    return kv.groupBy("k").agg(F.max(F.struct("seq", "v"))["v"].alias("v"))
 
 
 def last_block_end(blocks: DataFrame, run_id: int | None = None) -> DataFrame:
@@ -68,6 +79,30 @@ def status_counts(blocks: DataFrame) -> DataFrame:
     )
 
 
+def status(runs: DataFrame, blocks: DataFrame, candidates: DataFrame, background: DataFrame) -> DataFrame:
+    """One row about the latest run: its id, start and configuration, blocks by status, candidates, backgrounds and latest times; zeros and nulls without a run."""
+    latest = runs.agg(F.max(F.struct("started_at", "id", "config_hash")).alias("r")).select(F.col("r.id").alias("latest_run_id"), F.col("r.started_at").alias("latest_run_started_at"), F.col("r.config_hash").alias("latest_run_config_hash"))
+    of = lambda s: F.count_if(F.col("status") == s)
+    parts = (
+        blocks.groupBy("run_id").agg(F.count(F.lit(1)).alias("block_count"), *(of(s).alias(f"block_{s}") for s in ("done", "error", "processing")), F.max("created_at").alias("last_block_created_at")),
+        candidates.groupBy("run_id").agg(F.count(F.lit(1)).alias("candidate_count"), F.max("created_at").alias("last_candidate_created_at")),
+        background.groupBy("run_id").agg(F.count(F.lit(1)).alias("background_count")),
+    )
+    for part in parts:
+        latest = latest.join(part, F.col("latest_run_id") == F.col("run_id"), "left").drop("run_id")
+    return latest.na.fill(0, [c for c in latest.columns if c.endswith("_count") or c.startswith("block_")])
+
+
+def recent_candidates(candidates: DataFrame, k: int = 20) -> DataFrame:
+    """The k latest candidates, sensors as an array (null: one empty name)."""
+    return recent(candidates, k).select("run_id", "gps", S.split_ifos(F.col("ifos")).alias("ifos"), "network_stat", "far", "ifar_days", "template_id", "created_at")
+
+
+def recent_background(background: DataFrame, k: int = 50) -> DataFrame:
+    """The k latest backgrounds with `parsed`: the payload as a variant, or its text as one where it is no JSON."""
+    return recent(background, k).select("slide", "far", S.parse_json_or_text(F.col("payload")).alias("parsed"), "payload", "created_at")
+
+
 def recent(table: DataFrame, k: int = 20, by: str = "created_at", tie: str = "id") -> DataFrame:
     """The k latest rows."""
     return table.orderBy(F.desc(by), F.desc(tie)).limit(k)

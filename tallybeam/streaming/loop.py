@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +52,23 @@ def run(df: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str,
     return (writer.trigger(processingTime=poll) if poll else writer.trigger(availableNow=True)).start()
 
 
+def stop_requested(spark: SparkSession, stop_file: str) -> bool:
+    """Whether the file exists, in any store that Spark reaches."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stop_file)
+    return bool(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where))
+
+
+def run_until(query: StreamingQuery, stop: Callable[[], bool], poll_s: float = 1.0) -> bool:
+    """Wait for a query, and stop it between batches once it is asked to. Returns whether it was; raises the query's error."""
+    while not query.awaitTermination(poll_s):
+        if stop():
+            while query.isActive and query.status["isTriggerActive"]:
+                time.sleep(min(poll_s, 0.05))
+            query.stop()
+            return True
+    return False
+
+
 def block_times(spark: SparkSession, start_us: int, end_us: int, duration_us: int, backward: bool = False) -> DataFrame:
     """block_start_us, block_end_us: forward from start while the start lies before the end, or backward from the end while the start does not pass `start_us`."""
     n = max(0, -(-(end_us - start_us) // duration_us)) if not backward else max(0, (end_us - start_us) // duration_us)

@@ -1,12 +1,14 @@
 """The whole search on two sensors with a signal in both."""
 
+import json
+
 import numpy as np
 import pytest
 
 from tallybeam.config import Config
 from tallybeam.operators import signal
-from tallybeam.search import resume_from, run_search
-from tallybeam.sources.state import State
+from tallybeam.search import blocks_to_search, conditioned, estimate_background, resume_from, run_search, search_blocks, whole_background, windows
+from tallybeam.sources.state import State, current_blocks
 
 
 def test_config():
@@ -39,7 +41,85 @@ def test_search_finds_the_common_signal(spark, tmp_path):
     assert abs(best.gps_us - at / rate * 1e6) < 50_000 and best.known_event == "known" and best.ifar_days > 0
     state = State(spark, f"{root}/state")
     assert state.read("candidates").count() == len(found)
-    assert sorted(r.status for r in state.read("blocks").collect()) == ["done"] * 3 + ["processing"] * 3
-    assert resume_from(state, 1000.0, 10.0, "resume") == 48.0
+    assert sorted(r.status for r in state.read("blocks").collect()) == ["done"] * 2 + ["gap"] + ["processing"] * 3
+    assert resume_from(state, 1000.0, 10.0, "resume") == 48.0 and resume_from(state, 1000.0, 10.0, "resume", direction="backward") == 0.0
     assert resume_from(state, 1000.0, 10.0) == 990.0 and resume_from(state, 1000.0, 10.0, "gps", 5.0) == 5.0
     assert spark.read.json(f"{root}/output/candidates.jsonl").count() == len(found)
+
+
+def planted(rng, ifos, n, rate, at, blocks, scale=7.0):
+    """Noise of all sensors in each block, with one signal in the first block."""
+    h = signal.taylor_f2(120.0, 100.0, n, rate, 10.0)
+    wave = np.fft.irfft(h * np.exp(-2j * np.pi * np.fft.rfftfreq(n, 1 / rate) * at / rate), n)
+    return [(100 * k + i, ifo, block, (rng.normal(size=n) + (k == 0) * scale * wave / np.abs(wave).max()).tolist()) for k, block in enumerate(blocks) for i, ifo in enumerate(ifos)]
+
+
+SERIES = "series_id long, ifo string, t0_us long, arr array<double>"
+
+
+def test_three_sensors_with_gaps_and_gates(spark, tmp_path):
+    rate, n, at = 256.0, 4096, 2000
+    rng = np.random.default_rng(21)
+    rows = planted(rng, ("H1", "L1", "V1"), n, rate, at, (0, 16_000_000))
+    rows[3][3][1000:1010] = [400.0] * 10  # a glitch that the gates take
+    rows += [(300 + i, ifo, 32_000_000, [0.0] * n) for i, ifo in enumerate(("H1", "L1", "V1"))]  # all sensors off
+    rows += [(400, "H1", 48_000_000, rng.normal(size=n).tolist())]  # no data of two sensors
+    rows += [(500 + i, ifo, 64_000_000, rng.normal(size=n).tolist() if i else [0.0] * n) for i, ifo in enumerate(("H1", "L1", "V1"))]  # one sensor off
+    cfg = Config.of({
+        "conditioning": {"rate": rate, "highpass": 8.0, "segment_s": 2.0}, "gating": {"threshold": 12.0, "pad_s": 0.1, "longest_s": 0.5},
+        "bank": {"method": "grid", "mass1": [118.0, 122.0], "mass2": [98.0, 102.0], "mismatch": 0.2, "f_lower": 10.0},
+        "background": {"slides": 4, "spacing_s": 0.5, "window_s": 0.05, "excise_above": 40.0, "pair_windows_s": {"V1,H1": 0.06}, "strategy": "diagonal"},
+        "runtime": {"ifos": ["H1", "L1", "V1"], "threshold": 4.0, "chisq_from": 5.0, "cluster_s": 0.5, "block_s": 16.0, "network": "triples", "templates_per_task": 2},
+    })
+    assert windows(cfg) == {("H1", "L1"): 50_000, ("H1", "V1"): 60_000, ("L1", "V1"): 50_000}
+    series = spark.createDataFrame(rows, SERIES)
+    gates = {r.series_id: r.n_gates for r in conditioned(series, cfg).collect()}
+    assert gates[100] >= 1 and gates[101] == 0
+    root = f"file://{tmp_path}"
+    found = run_search(spark, series, cfg, root).collect()
+    best = max(found, key=lambda r: r.network_stat)
+    assert best.ifos == "H1,L1,V1" and abs(best.gps_us - at / rate * 1e6) < 50_000 and best.event_id_c is not None
+    assert best.detchar_rank == pytest.approx(best.network_stat / (1 + (best.rchisq_a + best.rchisq_b + best.rchisq_c) / 3))
+    state = State(spark, f"{root}/state")
+    last = {r.gps_start: r.status for r in current_blocks(state.read("blocks")).collect()}
+    assert last == {0.0: "done", 16.0: "done", 32.0: "skipped", 48.0: "gap", 64.0: "done"}
+    errors = {r.gps_start: r.error for r in state.read("blocks").collect() if r.error}
+    assert errors == {32.0: "data gap", 48.0: "no data: L1,V1"}
+    assert '"stage": "done"' in state.get_value("progress")
+    slid = whole_background(spark, root)
+    assert "event_id_c" in slid.columns and {"offset_1", "offset_2"} <= set(slid.columns)
+    pairs = run_search(spark, series, Config.of({**json.loads(cfg.to_json()), "runtime": {**json.loads(cfg.to_json())["runtime"], "network": "pairs"}}), root + "/pairs")
+    assert {r.ifos for r in pairs.collect()} <= {"H1,L1", "H1,V1", "L1,V1"} and pairs.count() > 0
+    triggers = spark.read.parquet(f"{root}/triggers")
+    assert {"snr", "chisq", "duration_s", "n_gates"} <= set(triggers.columns)
+    for kind in ("pairs", "triples"):
+        got = estimate_background(triggers, cfg, kind)
+        assert got["n"] >= 0 and (got["far_hz"] is None) == (got["n"] == 0)
+
+
+def test_errors_are_recorded_and_raised(spark, tmp_path):
+    cfg = Config.of({"bank": {"method": "nothing"}, "conditioning": {"rate": 256.0, "segment_s": 2.0}})
+    series = spark.createDataFrame(planted(np.random.default_rng(1), ("H1", "L1"), 1024, 256.0, 500, (0,)), SERIES)
+    with pytest.raises(ValueError, match="nothing"):
+        run_search(spark, series, cfg, f"file://{tmp_path}")
+    state = State(spark, f"file://{tmp_path}/state")
+    rows = {r.status: r.error for r in state.read("blocks").collect()}
+    assert rows == {"processing": None, "error": "unknown bank method: nothing"} and '"stage": "error"' in state.get_value("progress")
+
+
+def test_search_block_by_block(spark, tmp_path):
+    rate, n = 256.0, 2048
+    cfg = Config.of({
+        "conditioning": {"rate": rate, "highpass": 8.0, "segment_s": 2.0}, "bank": {"method": "grid", "mass1": [118.0, 122.0], "mass2": [98.0, 102.0], "mismatch": 0.2, "f_lower": 10.0},
+        "background": {"slides": 2, "spacing_s": 0.5, "window_s": 0.05}, "runtime": {"threshold": 4.5, "block_s": 8.0, "cluster_s": 0.5},
+    })
+    rng = np.random.default_rng(3)
+    series_of = lambda a, b: spark.createDataFrame([(int(a) * 10 + i, ifo, int(a * 1e6), rng.normal(size=n).tolist()) for i, ifo in enumerate(("H1", "L1"))], SERIES)
+    root = f"file://{tmp_path}"
+    blocks = blocks_to_search(32.0, 8.0, lambda a, b: a in (24.0, 0.0), "backward", lambda t: None, lambda t: 8.0 if t > 8 else None)
+    assert search_blocks(spark, blocks, series_of, cfg, root) == 2
+    state = State(spark, f"{root}/state")
+    assert {(r.gps_start, r.status) for r in current_blocks(state.read("blocks")).collect()} >= {(24.0, "done"), (16.0, "gap"), (0.0, "done")}
+    assert resume_from(state, None, 10.0, "resume", direction="backward") == -8.0  # the gap before the first data was looked at too
+    assert resume_from(State(spark, f"{root}/none"), None, 10.0, "resume", now_s=100.0) == 90.0
+    assert resume_from(state, None, 10.0, "gps", 0.0, now_s=100.0) == 90.0 and resume_from(state, 50.0, 10.0, direction="backward") == 50.0
