@@ -52,20 +52,28 @@ def inner(a: Column, b: Column) -> Column:
     return total(F.zip_with(a, b, lambda x, y: x * y))
 
 
+def unit(a: Column, psd: Column | None = None, kmin: int = 0) -> Column:
+    """The array from bin kmin on, weighted by 1 / sqrt(psd) and of norm 1; zeros for a zero norm."""
+    cut = lambda x: F.slice(x, kmin + 1, F.greatest(F.lit(0), F.size(x) - kmin)) if kmin else x
+    a = cut(a) if psd is None else F.zip_with(cut(a), cut(psd), lambda v, p: v / F.sqrt(p))
+    over = lambda x: let(F.sqrt(inner(x, x)), lambda n: F.transform(x, lambda v: F.when(n == 0, 0.0).otherwise(v / n)))
+    return let(a, over)
+
+
 def match(a: Column, b: Column, psd: Column | None = None, kmin: int = 0) -> Column:
     """Absolute normalised inner product, weighted by 1 / psd and from bin kmin on: 0 to 1; 0 for a zero norm."""
-    cut = lambda x: F.slice(x, kmin + 1, F.greatest(F.lit(0), F.size(x) - kmin)) if kmin else x
-    a, b = cut(a), cut(b)
-    if psd is not None:
-        a, b = (F.zip_with(x, cut(psd), lambda v, p: v / F.sqrt(p)) for x in (a, b))
-    norm = F.sqrt(inner(a, a) * inner(b, b))
-    return F.when(norm == 0, 0.0).otherwise(F.least(F.lit(1.0), F.abs(F.try_divide(inner(a, b), norm))))
+    return F.least(F.lit(1.0), F.abs(inner(unit(a, psd, kmin), unit(b, psd, kmin))))
+
 
+def matches(series: DataFrame, bank: DataFrame, psd: Column | None = None, kmin: int = 0, blocks: int = 8) -> DataFrame:
+    """series columns but arr, bank columns but arr, match: each series row against each row of the bank (names but arr must differ).
 
-def against(series: DataFrame, bank: DataFrame, blocks: int = 8) -> DataFrame:
-    """Each series row with each row of the bank, in blocks: the bank is dealt to `blocks` keys, series are repeated to each, and an equality join on the key meets them, so the bank is broadcast only if Spark finds it small."""
-    keyed = series.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    return keyed.join(bank.withColumn("_block", F.pmod(F.xxhash64(bank.columns[0]), F.lit(blocks)).cast("int")), "_block").drop("_block")
+    Both are weighted and normalised once. They meet in blocks: the bank is dealt to `blocks` keys, series are repeated to each, and an equality join on the key
+    meets them, so the bank is broadcast only if Spark finds it small.
+    """
+    a = series.withColumn("arr", unit(F.col("arr"), psd, kmin)).withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    b = bank.withColumn("_unit", unit(F.col("arr"), psd, kmin)).drop("arr").withColumn("_block", F.pmod(F.xxhash64("_unit"), F.lit(blocks)).cast("int"))
+    return a.join(b, "_block").withColumn("match", F.least(F.lit(1.0), F.abs(inner(F.col("arr"), F.col("_unit"))))).drop("arr", "_unit", "_block")
 
 
 def crop(a: Column, rate: float, seconds: float = 4.0) -> Column:

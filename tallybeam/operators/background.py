@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallybeam.functions.scalars import network_stat
 from tallybeam.operators.coincidence import side
 from tallybeam.operators.intervals import range_join
-from tallybeam.scratch import running
+from tallybeam.scratch import materialise, running
 
 
 #: Pairs of a subset at least.
@@ -99,16 +99,16 @@ def excise(triggers: DataFrame, loud: DataFrame, half_width_us: int) -> DataFram
 def count_louder(foreground: DataFrame, background: DataFrame, stat: str = "network_stat") -> DataFrame:
     """foreground with n_louder (background rows of a statistic >= its own) and n_background.
 
-    Equal background values count once with their number. Both sides are laid on one line of falling statistics and summed by
-    ranges of it (running()), so neither is broadcast or gathered in one task, and each is evaluated once. Null and NaN background values are louder than
+    Both sides are evaluated and written once, laid on one line of falling statistics, and summed by ranges of it (running()), so neither is broadcast or
+    gathered in one task; rows of one value spread by their numbers. Null and NaN background values are louder than
     nothing but belong to n_background; a null or NaN foreground value has n_louder 0.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in foreground.columns])
     value = F.when(F.isnan(stat), None).otherwise(F.col(stat)).cast("double")
-    line = background.select(value.alias("_s")).groupBy("_s").agg(F.count(F.lit(1)).alias("_n")).withColumn("_fg", F.lit(0))
-    line = line.unionByName(foreground.select(value.alias("_s"), F.lit(0).cast("long").alias("_n"), F.lit(1).alias("_fg"), row.alias("_row")), allowMissingColumns=True)
-    # At equal values background comes first; foreground rows of one value spread by their hash.
-    line = running(line, [F.col("_s").desc_nulls_last(), F.col("_fg"), F.xxhash64("_row")], {"_louder": "_n"})
-    total = line.agg(F.sum("_n")).first()[0] or 0
-    counted = line.filter("_fg = 1")
-    return counted.select("_row.*", F.when(F.col("_s").isNull(), 0).otherwise(F.col("_louder")).cast("long").alias("n_louder"), F.lit(total).cast("long").alias("n_background"))
+    line = background.select(value.alias("_s"), F.lit(1).alias("_n"))
+    line = line.unionByName(foreground.select(value.alias("_s"), F.lit(0).alias("_n"), row.alias("_row")), allowMissingColumns=True)
+    line = materialise(line.withColumn("_i", F.monotonically_increasing_id()), "line")
+    # At equal values background comes first.
+    line = running(line, [F.col("_s").desc_nulls_last(), F.col("_n").desc(), F.col("_i")], {"_louder": "_n"}, totals={"n_background": "_n"})
+    counted = line.filter("_n = 0")
+    return counted.select("_row.*", F.when(F.col("_s").isNull(), 0).otherwise(F.col("_louder")).cast("long").alias("n_louder"), F.col("n_background").cast("long").alias("n_background"))

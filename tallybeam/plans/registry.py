@@ -560,9 +560,9 @@ _KMIN = 4
 def v20_j13_template_matches(spark, sf_dir):
     """Each series against the query set (ids divisible by 100), weighted by a spectrum that rises with frequency, above a lower cut-off."""
     s = V.series(spark, sf_dir)
-    bank_rows = s.filter("series_id % 100 = 0").select(F.col("series_id").alias("template_id"), F.col("arr").alias("template"))
+    bank_rows = s.filter("series_id % 100 = 0").select(F.col("series_id").alias("template_id"), "arr")
     psd = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda k: 1 + k / 16.0)
-    return arrays.against(s, bank_rows).select("series_id", "template_id", r6(arrays.match(F.col("arr"), F.col("template"), psd, _KMIN), "match"))
+    return arrays.matches(s, bank_rows, psd, _KMIN).select("series_id", "template_id", r6("match", "match"))
 
 
 _PEAKS = "p AS (SELECT series_id, unnest(range(len(arr))) AS i, abs(unnest(arr)) AS v FROM v_series), t AS (SELECT * FROM p WHERE v >= 0.15)"

@@ -63,16 +63,19 @@ def release(df: DataFrame) -> None:
     delete(df.sparkSession, df._tallybeam_path)
 
 
-def running(rows: DataFrame, order: list[Column], sums: dict[str, str], by: list[str] = ()) -> DataFrame:
-    """rows with, for each name: column of `sums`, the column's sum over all rows before in a total order, for each group of `by` columns (not null) apart.
+def running(rows: DataFrame, order: list[Column], sums: dict[str, str], by: list[str] = (), totals: dict[str, str] | None = None) -> DataFrame:
+    """rows with, for each name: column of `sums`, the column's sum over all rows before in a total order, for each group of `by` columns (not null) apart; and for each of `totals`, the sum over all of the group's rows.
 
     Ranges of the order are summed by themselves and moved by the sums of the ranges before, so a range is all that a task holds, and a large
     group is as many ranges as its rows need. Only one row a range and group passes a window over all ranges.
     """
+    totals = totals or {}
     dealt = materialise(rows.repartitionByRange(*map(F.col, by), *order).withColumn("_part", F.spark_partition_id()), "ranges")
-    parts = dealt.groupBy("_part", *by).agg(*(F.sum(c).alias(f"_{name}") for name, c in sums.items()))
+    parts = dealt.groupBy("_part", *by).agg(*(F.sum(c).alias(f"_{name}") for name, c in (sums | totals).items()))
     before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("_part", *by, *(F.coalesce(F.sum(f"_{name}").over(before), F.lit(0)).alias(f"_{name}") for name in sums))
+    every = Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    nothing = F.lit(0)
+    parts = parts.select("_part", *by, *(F.coalesce(F.sum(f"_{n}").over(before), nothing).alias(f"_{n}") for n in sums), *(F.coalesce(F.sum(f"_{n}").over(every), nothing).alias(n) for n in totals))
     inside = Window.partitionBy("_part", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    counted = dealt.select("*", *(F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"_in_{name}") for name, c in sums.items()))
-    return counted.join(parts, ["_part", *by]).select(*[F.col(f"`{c}`") for c in rows.columns], *((F.col(f"_in_{name}") + F.col(f"_{name}")).alias(name) for name in sums))
+    counted = dealt.select("*", *(F.coalesce(F.sum(c).over(inside), nothing).alias(f"_in_{name}") for name, c in sums.items()))
+    return counted.join(parts, ["_part", *by]).select(*[F.col(f"`{c}`") for c in rows.columns], *((F.col(f"_in_{name}") + F.col(f"_{name}")).alias(name) for name in sums), *totals)
