@@ -40,6 +40,8 @@ class Bank:
     #: Spins of a grid bank; the path of a stored bank.
     spins: list[float] = field(default_factory=list)
     path: str | None = None
+    #: A folder that keeps built banks by their parameters.
+    cache: str | None = None
 
 
 @dataclass

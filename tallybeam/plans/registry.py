@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybeam.functions import scalars as S
 from tallybeam.operators import arrays, background, bank, candidates, coincidence, ranking, signal
 from tallybeam.operators.intervals import clip, nearest, range_join, within_segments
 from tallybeam.plans import views as V
-from tallybeam.plans.catalogue import oracle_sql, queries, query
+from tallybeam.plans.catalogue import oracle_sql, queries, query  # noqa: F401
 from tallybeam.sources import frames, state
 
 SAME_TEMPLATE, ANY_TEMPLATE = V.HOUR, 10 * V.MINUTE

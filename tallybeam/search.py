@@ -6,7 +6,9 @@ calls it block by block, forward or backward over gaps, until it is asked to sto
 
 from __future__ import annotations
 
+import dataclasses
 import time
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +19,10 @@ from tallybeam.functions import scalars as S
 from tallybeam.operators import background, bank, candidates, coincidence, ranking, signal
 from tallybeam.operators.intervals import nearest
 from tallybeam.scratch import materialise
+from tallybeam.sources import series as series_files
+from tallybeam.sources.frames import RUNS
 from tallybeam.sources.state import TABLES, State, write_candidates
+from tallybeam.streaming.loop import stop_requested
 
 
 def micros(s: float) -> int:
@@ -27,16 +32,18 @@ def micros(s: float) -> int:
 def templates(spark: SparkSession, cfg: Config) -> list[signal.Template]:
     """The configured bank: a parameter list."""
     b = cfg.bank
-    rows = bank.build(spark, b.method, b.mass1, b.mass2, b.min_match, b.mismatch, b.f_lower, b.quick, b.cap, b.spins, b.path)
+    build = lambda: bank.build(spark, b.method, b.mass1, b.mass2, b.min_match, b.mismatch, b.f_lower, b.quick, b.cap, b.spins, b.path)
+    rows = bank.cached(spark, b.cache, {k: v for k, v in dataclasses.asdict(b).items() if k != "cache"}, build) if b.cache else build()
+    rows = rows.orderBy(*(c for c in ("template_id", "gen", "centre", "mass1", "mass2") if c in rows.columns))
     spins = [c for c in ("spin1z", "spin2z") if c in rows.columns]
     return [signal.Template(i, r.mass1, r.mass2, b.f_lower, *(r[c] for c in spins)) for i, r in enumerate(rows.collect())]
 
 
 def conditioned(series: DataFrame, cfg: Config) -> DataFrame:
-    """Gated and conditioned series rows (series_id, ifo, t0_us), as signal.condition() returns them."""
+    """Gated and conditioned series rows, as signal.condition() returns them, with the other columns of `series`."""
     c, g = cfg.conditioning, cfg.gating
     clean = signal.condition(series, c.rate, c.highpass, int(c.segment_s * c.rate), c.notches, skip_s=c.skip_s, gate=(g.threshold, g.pad_s, g.longest_s))
-    return clean.join(series.select("series_id", "t0_us"), "series_id")
+    return clean.join(series.drop("ifo", "arr"), "series_id")
 
 
 def find_triggers(clean: DataFrame, cfg: Config, waves: list[signal.Template]) -> DataFrame:
@@ -59,18 +66,18 @@ def windows(cfg: Config) -> dict[tuple[str, str], int]:
 
 
 def block_states(clean: DataFrame, ifos: list[str]) -> DataFrame:
-    """t0_us, status, error: gap where a sensor has no series at all, skipped where all are gaps, else done."""
-    seen = clean.groupBy("t0_us").agg(F.collect_set("ifo").alias("seen"), F.bool_and("is_gap").alias("all_gaps"))
+    """block_us, status, error: gap where a sensor has no series at all, skipped where all are gaps, else done."""
+    seen = clean.groupBy("block_us").agg(F.collect_set("ifo").alias("seen"), F.bool_and("is_gap").alias("all_gaps"))
     missing = F.array_except(F.array(*map(F.lit, ifos)), "seen")
     status = F.when(F.size(missing) > 0, "gap").when(F.col("all_gaps"), "skipped").otherwise("done")
     error = F.when(F.size(missing) > 0, F.concat(F.lit("no data: "), F.array_join(F.array_sort(missing), ","))).when(F.col("all_gaps"), "data gap")
-    return seen.select("t0_us", status.alias("status"), error.alias("error"))
+    return seen.select("block_us", status.alias("status"), error.alias("error"))
 
 
 def run_search(spark: SparkSession, series: DataFrame, cfg: Config, root: str, catalogue: DataFrame | None = None) -> DataFrame:
     """Candidates, de-duplicated and ranked; state tables and outputs are written under root.
 
-    series has one row per sensor and block (series_id, ifo, t0_us, arr), catalogue has (name, cat_us). A block that lacks a sensor is recorded as a gap, one of
+    series has one row per sensor and block (series_id, ifo, t0_us, arr, and block_us where padded series start before their block), catalogue has (name, cat_us). A block that lacks a sensor is recorded as a gap, one of
     gaps only as skipped, and neither is searched; a failure is recorded for the blocks at work before it is raised. A search for pairs takes all pairs of
     sensors, and the first two make the background; one for triples slides the second and third.
     """
@@ -78,22 +85,24 @@ def run_search(spark: SparkSession, series: DataFrame, cfg: Config, root: str, c
     run_id = int(now * 1000)
     state.append("runs", spark.createDataFrame([(run_id, now, cfg.hash(), None)], TABLES["runs"]))
     ifos, r = list(cfg.runtime.ifos), cfg.runtime
-    start = F.col("t0_us") / 1e6
+    if "block_us" not in series.columns:
+        series = series.withColumn("block_us", F.col("t0_us"))
+    start = F.col("block_us") / 1e6
 
     def log(blocks: DataFrame, status, error) -> None:
         state.append("blocks", blocks.select(
-            state.number("t0_us").alias("id"), F.lit(run_id).alias("run_id"), F.lit(",".join(ifos)).alias("ifos"), start.alias("gps_start"), (start + r.block_s).alias("gps_end"),
+            state.number("block_us").alias("id"), F.lit(run_id).alias("run_id"), F.lit(",".join(ifos)).alias("ifos"), start.alias("gps_start"), (start + r.block_s).alias("gps_end"),
             status.alias("status"), error.cast("string").alias("error"), F.lit(time.time()).alias("created_at"),
         ))
 
-    blocks = materialise(series.select("t0_us").distinct(), "blocks")
+    blocks = materialise(series.select("block_us").distinct(), "blocks")
     log(blocks, F.lit("processing"), F.lit(None))
     state.progress(run_id, "init", 0.0)
     try:
         clean = materialise(conditioned(series, cfg), "conditioned")
         states = materialise(block_states(clean, ifos), "block-states")
         state.progress(run_id, "conditioned", 0.2)
-        best = _candidates(spark, clean.join(states.filter("status = 'done'").select("t0_us"), "t0_us", "left_semi"), cfg, root, run_id, states, state, catalogue)
+        best = _candidates(spark, clean.join(states.filter("status = 'done'").select("block_us"), "block_us", "left_semi"), cfg, root, run_id, states, state, catalogue)
     except Exception as e:
         log(blocks, F.lit("error"), F.lit(str(e)[:4000]))
         state.progress(run_id, "error", 1.0, str(e)[:4000])
@@ -231,6 +240,45 @@ def search_blocks(spark: SparkSession, blocks: Iterator[tuple[float, float, str]
     return searched
 
 
+def search_folder(spark: SparkSession, folder: str, cfg: Config, root: str, catalogue: DataFrame | None = None, wait: Callable[[float], None] = time.sleep) -> int:
+    """The search over a folder of series files, as the configuration says: where to start, forward or backward, following new files or not, until the stop file is there. Returns the number of blocks searched.
+
+    Forward without following it takes one block. The listing, a row a file, is the control loop's and is read again when it waits.
+    """
+    r, state, ifos = cfg.runtime, State(spark, f"{root}/state"), list(cfg.runtime.ifos)
+    block_s = int(r.block_s)
+
+    def listing() -> dict[str, list[tuple[int, int]]]:
+        found = series_files.files(folder)
+        return {ifo: [(a, b) for _, x, a, b in found if x == ifo] for ifo in ifos}
+
+    held = listing()
+
+    def has_data(start: float, end: float) -> bool:
+        return all(any(a <= start and end <= b for a, b in held[ifo][: bisect_left(held[ifo], (start + 1,))]) for ifo in ifos)
+
+    def previous_end(before: float) -> float | None:
+        both = (b for a, b in held[ifos[0]] if a < before and all(any(c < b and a < d for c, d in held[ifo]) for ifo in ifos[1:]))
+        return max(both, default=None)
+
+    def refresh() -> None:
+        wait(r.poll_s)
+        held.update(listing())
+
+    latest = max((b for _, b in held[ifos[0]]), default=None)
+    start = resume_from(state, latest, r.lookback_s, r.start_mode, r.start_s, r.direction)
+    stop = lambda: bool(r.stop_file) and stop_requested(spark, r.stop_file)
+    run_end = lambda t: max((e for _, _, e in RUNS if e < t), default=None)
+    end = None if r.follow else start + r.block_s
+    blocks = blocks_to_search(start, r.block_s, has_data, r.direction, previous_end, run_end, r.backward_stop_s, end, r.follow, refresh, stop)
+
+    def series_of(a: float, b: float) -> DataFrame:
+        found = series_files.read(spark, folder, block_s, start=int(a)).filter(F.col("ifo").isin(*ifos))
+        return found.select(F.xxhash64("file", "block_start").alias("series_id"), "ifo", (F.col("read_start") * 1_000_000).alias("t0_us"), (F.col("block_start") * 1_000_000).alias("block_us"), "arr")
+
+    return search_blocks(spark, blocks, series_of, cfg, root, catalogue)
+
+
 def estimate_background(triggers: DataFrame, cfg: Config, kind: str = "pairs") -> dict:
     """A summary of the background of pairs or triples: n, loudest, median, trials_s, far_hz."""
     spark, ifos, b, near = triggers.sparkSession, list(cfg.runtime.ifos), cfg.background, windows(cfg)

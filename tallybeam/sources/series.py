@@ -74,6 +74,7 @@ class SeriesReader(DataSourceReader):
     def __init__(self, options: dict[str, str], schema: StructType):
         self.path, self.columns = options["path"], schema.names
         self.block_s, self.strict = int(options.get("block_s", BLOCK_S)), options.get("errors", "raise") == "raise"
+        self.start = int(options["start"]) if "start" in options else None
         self.tests: list[tuple[str, str, object]] = []
 
     def pushFilters(self, filters: list[Filter]):
@@ -99,7 +100,8 @@ class SeriesReader(DataSourceReader):
             if info.type != pafs.FileType.File or not m or not self.wanted(ifo=m[1]):
                 continue
             start, end = int(m[2]), int(m[2]) + int(m[3])
-            blocks = [b for b in range(start, end, self.block_s) if self.wanted(block_start=b, block_end=min(b + self.block_s, end))]
+            asked = range(start, end, self.block_s) if self.start is None else [self.start] if start <= self.start and self.start + self.block_s <= end else []
+            blocks = [b for b in asked if self.wanted(block_start=b, block_end=min(b + self.block_s, end))]
             while blocks:
                 n = 1
                 while n < len(blocks) and blocks[n] == blocks[0] + n * self.block_s and n * self.block_s < SPLIT_S:
@@ -136,7 +138,7 @@ class SeriesReader(DataSourceReader):
 
 
 class SeriesSource(DataSource):
-    """spark.read.format("series").load(folder); options block_s, and errors ("raise" or "null")."""
+    """spark.read.format("series").load(folder); options block_s, start (only the block that begins there, of each file that holds it whole), and errors ("raise" or "null")."""
 
     @classmethod
     def name(cls) -> str:
@@ -149,11 +151,19 @@ class SeriesSource(DataSource):
         return SeriesReader(dict(self.options), schema)
 
 
-def read(spark: SparkSession, folder: str, block_s: int = BLOCK_S, errors: str = "raise", schema: str = SCHEMA) -> DataFrame:
-    """Blocks of the series files in a folder (a URI). spark.sql.python.filterPushdown.enabled is set, so that predicates reach the source."""
+def files(folder: str) -> list[tuple[str, str, int, int]]:
+    """(file, sensor, start, end) of the series files in a folder (a URI), in order of start."""
+    fs, path = pafs.FileSystem.from_uri(folder)
+    found = [(m, posixpath.basename(i.path)) for i in fs.get_file_info(pafs.FileSelector(path, recursive=True)) if (m := NAME.match(posixpath.basename(i.path)))]
+    return sorted(((name, m[1], int(m[2]), int(m[2]) + int(m[3])) for m, name in found), key=lambda f: (f[2], f[0]))
+
+
+def read(spark: SparkSession, folder: str, block_s: int = BLOCK_S, errors: str = "raise", schema: str = SCHEMA, start: int | None = None) -> DataFrame:
+    """Blocks of the series files in a folder (a URI), or the one that begins at `start` of each sensor. spark.sql.python.filterPushdown.enabled is set, so that predicates reach the source."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(SeriesSource)
-    return spark.read.format("series").schema(schema).option("block_s", block_s).option("errors", errors).load(folder)
+    rows = spark.read.format("series").schema(schema).option("block_s", block_s).option("errors", errors)
+    return (rows if start is None else rows.option("start", start)).load(folder)
 
 
 def write(rows: DataFrame, folder: str) -> DataFrame:

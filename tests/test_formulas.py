@@ -314,3 +314,12 @@ def test_bank_methods(spark, tmp_path):
     assert row.n_templates == 87 and row.least_mass1 < row.largest_mass1 and len(row.hash) == 64
     with pytest.raises(ValueError):
         bank.build(spark, "lattice", (1, 2), (1, 2))
+
+
+def test_sensors_beyond_three_are_refused(spark, sf):
+    from tallybeam.operators import coincidence
+
+    t = V.triggers(spark, sf)
+    with pytest.raises(ValueError, match="4 sensors"):
+        coincidence.find(t, ["H1", "L1", "V1", "K1"], {("H1", "L1"): 10})
+    assert coincidence.find(t, ["H1"], {("H1", "L1"): 10}).count() == 0

@@ -7,7 +7,7 @@ import pytest
 
 from tallybeam.config import Config
 from tallybeam.operators import signal
-from tallybeam.search import blocks_to_search, conditioned, estimate_background, resume_from, run_search, search_blocks, whole_background, windows
+from tallybeam.search import blocks_to_search, conditioned, estimate_background, resume_from, run_search, search_blocks, search_folder, whole_background, windows
 from tallybeam.sources.state import State, current_blocks
 
 
@@ -123,3 +123,32 @@ def test_search_block_by_block(spark, tmp_path):
     assert resume_from(state, None, 10.0, "resume", direction="backward") == -8.0  # the gap before the first data was looked at too
     assert resume_from(State(spark, f"{root}/none"), None, 10.0, "resume", now_s=100.0) == 90.0
     assert resume_from(state, None, 10.0, "gps", 0.0, now_s=100.0) == 90.0 and resume_from(state, 50.0, 10.0, direction="backward") == 50.0
+
+
+def test_search_of_a_folder(spark, tmp_path):
+    from tallybeam.sources import series as files
+
+    rate, rng = 64.0, np.random.default_rng(8)
+    (tmp_path / "in").mkdir()
+    spans = {"H1": [(1000, 512), (2000, 256)], "L1": [(1000, 512), (1900, 356)]}
+    for ifo, parts in spans.items():
+        for start, duration in parts:
+            np.savez(tmp_path / "in" / files.file_name(ifo, "GWOSC_4KHZ_R1", start, duration), **{f"{ifo}:GWOSC-4KHZ_R1_STRAIN": rng.normal(size=int(duration * rate))})
+    folder, root = f"file://{tmp_path}/in", f"file://{tmp_path}/out"
+    base = {
+        "conditioning": {"rate": rate, "highpass": 4.0, "segment_s": 4.0}, "bank": {"method": "grid", "mass1": [118.0, 122.0], "mass2": [98.0, 102.0], "mismatch": 0.4, "f_lower": 8.0, "cache": f"file://{tmp_path}/banks"},
+        "background": {"slides": 2, "spacing_s": 0.5, "window_s": 0.05},
+    }
+    runtime = {"threshold": 5.0, "block_s": 128.0, "cluster_s": 0.5, "direction": "backward", "backward_stop_s": 1200.0, "stop_file": f"file://{tmp_path}/STOP"}
+    cfg = Config.of({**base, "runtime": runtime})
+    assert search_folder(spark, folder, cfg, root) == 4
+    state = State(spark, f"{root}/state")
+    seen = {r.gps_start: r.status for r in current_blocks(state.read("blocks")).collect()}
+    assert seen == {2128.0: "done", 2000.0: "done", 1872.0: "gap", 1384.0: "done", 1256.0: "done"}
+    again = Config.of({**base, "runtime": {**runtime, "start_mode": "resume", "backward_stop_s": 1100.0}})
+    assert search_folder(spark, folder, again, root) == 1 and search_folder(spark, folder, Config.of({**base, "runtime": {**runtime, "direction": "forward", "start_mode": "gps", "start_s": 2000.0}}), root) == 1
+    (tmp_path / "STOP").write_text("")
+    assert search_folder(spark, folder, cfg, root) == 0
+    triggers = spark.read.parquet(f"{root}/triggers")
+    assert triggers.count() == 0 or triggers.agg({"gps_us": "min"}).first()[0] >= 1_000_000_000
+    assert len([*(tmp_path / "banks").iterdir()]) == 1
