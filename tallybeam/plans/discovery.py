@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallybeam import search
 from tallybeam.operators import bank
+from tallybeam.operators.intervals import range_join
 from tallybeam.plans import views as V
 from tallybeam.plans.catalogue import query
 from tallybeam.scratch import materialise, new_path
@@ -125,11 +126,19 @@ def a25_previous_run_end(spark, sf_dir):
 
 @query()
 def r03_backward_blocks(spark, sf_dir):
-    """Blocks of a backward search over the files of two sensors, with its jumps over gaps, else to ends of runs of 8192 s; the tests hold it against a plain loop."""
+    """Blocks of a backward search over all files of two sensors, from the latest end down, with its jumps over gaps, else to ends of runs of 8192 s; the tests hold it against a plain loop.
+
+    The listing, a row for each start of a sensor's files, is the control loop's, as in search_folder().
+    """
     files, _ = _files(spark, sf_dir)
-    held = {ifo: [(r.file_start, r.file_end) for r in files.filter((F.col("ifo") == ifo) & (F.col("file_start") >= 400_000) & (F.col("file_start") < 900_000)).orderBy("file_start").collect()] for ifo in ("H1", "L1")}  # a run of a control loop
-    has = lambda a, b: all(any(s <= a and b <= e for s, e in held[ifo]) for ifo in held)
-    both = [s for s, _ in held["H1"] if any(abs(s - o) < 4096 for o, _ in held["L1"])]
-    previous = lambda t: max((s + 4096.0 for s in both if s < t), default=None)
-    rows = [*search.blocks_to_search(880_640.0, 512.0, has, "backward", previous, lambda t: (math.ceil(t / 8192) - 1) * 8192.0, stop_s=500_000.0)]
+    listed = files.groupBy("ifo", "file_start").agg(F.max("file_end").alias("file_end"))
+    held = {ifo: frames.Ranges((r.file_start, r.file_end) for r in listed.filter(F.col("ifo") == ifo).collect()) for ifo in ("H1", "L1")}
+    starts = lambda ifo, name: files.filter(F.col("ifo") == ifo).select(F.col("file_start").alias(name)).distinct()
+    both = range_join(starts("H1", "s"), starts("L1", "o"), "s", "o", frames.FILE_S, strict=True, how="left_semi")
+    joint = frames.Ranges((r.s, r.s + float(frames.FILE_S)) for r in both.collect())
+    latest = held["H1"].latest_end(math.inf)
+    if latest is None:
+        return spark.createDataFrame([], "block_start double, block_end double, status string")
+    has = lambda a, b: all(r.holds(a, b) for r in held.values())
+    rows = [*search.blocks_to_search(float(latest), 512.0, has, "backward", joint.latest_end, lambda t: (math.ceil(t / 8192) - 1) * 8192.0, stop_s=512.0)]
     return spark.createDataFrame(rows, "block_start double, block_end double, status string")

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import dataclasses
 import time
-from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +19,7 @@ from tallybeam.operators import background, bank, candidates, coincidence, ranki
 from tallybeam.operators.intervals import nearest
 from tallybeam.scratch import materialise
 from tallybeam.sources import series as series_files
-from tallybeam.sources.frames import RUNS
+from tallybeam.sources.frames import RUNS, Ranges
 from tallybeam.sources.state import TABLES, State, write_candidates
 from tallybeam.streaming.loop import stop_requested
 
@@ -248,24 +247,27 @@ def search_folder(spark: SparkSession, folder: str, cfg: Config, root: str, cata
     r, state, ifos = cfg.runtime, State(spark, f"{root}/state"), list(cfg.runtime.ifos)
     block_s = int(r.block_s)
 
-    def listing() -> dict[str, list[tuple[int, int]]]:
+    def listing() -> tuple[dict[str, Ranges], Ranges]:
+        """Each sensor's ranges, and those of the first sensor that overlap one of every other."""
         found = series_files.files(folder)
-        return {ifo: [(a, b) for _, x, a, b in found if x == ifo] for ifo in ifos}
+        every = {ifo: Ranges((a, b) for _, x, a, b in found if x == ifo) for ifo in ifos}
+        first = ((a, b) for _, x, a, b in found if x == ifos[0])
+        return every, Ranges(f for f in first if all(every[ifo].meets(*f) for ifo in ifos[1:]))
 
-    held = listing()
+    held, joint = listing()
 
     def has_data(start: float, end: float) -> bool:
-        return all(any(a <= start and end <= b for a, b in held[ifo][: bisect_left(held[ifo], (start + 1,))]) for ifo in ifos)
+        return all(held[ifo].holds(start, end) for ifo in ifos)
 
     def previous_end(before: float) -> float | None:
-        both = (b for a, b in held[ifos[0]] if a < before and all(any(c < b and a < d for c, d in held[ifo]) for ifo in ifos[1:]))
-        return max(both, default=None)
+        return joint.latest_end(before)
 
     def refresh() -> None:
+        nonlocal held, joint
         wait(r.poll_s)
-        held.update(listing())
+        held, joint = listing()
 
-    latest = max((b for _, b in held[ifos[0]]), default=None)
+    latest = held[ifos[0]].latest_end(float("inf"))
     start = resume_from(state, latest, r.lookback_s, r.start_mode, r.start_s, r.direction)
     stop = lambda: bool(r.stop_file) and stop_requested(spark, r.stop_file)
     run_end = lambda t: max((e for _, _, e in RUNS if e < t), default=None)

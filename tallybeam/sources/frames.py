@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +24,30 @@ RUNS = [
 DETECTORS = [("H1", 46.45515, -119.40835, 142.554), ("L1", 30.56290, -90.77420, -6.574), ("V1", 43.63124, 10.50494, 51.884)]
 
 
+class Ranges:
+    """Time ranges of a listing for a control loop, which asks by binary search: the starts in order, and the latest end of all ranges up to each."""
+
+    def __init__(self, ranges: Iterable[tuple[float, float]]):
+        ordered = sorted(ranges)
+        self.starts = [a for a, _ in ordered]
+        self.ends = [*accumulate((b for _, b in ordered), max)]
+
+    def holds(self, start: float, end: float) -> bool:
+        """One range has all of start to end."""
+        i = bisect_right(self.starts, start)
+        return i > 0 and self.ends[i - 1] >= end
+
+    def meets(self, start: float, end: float) -> bool:
+        """One range overlaps [start, end)."""
+        i = bisect_left(self.starts, end)
+        return i > 0 and self.ends[i - 1] > start
+
+    def latest_end(self, before: float) -> float | None:
+        """The latest end of the ranges that start before a time; None if none does."""
+        i = bisect_left(self.starts, before)
+        return self.ends[i - 1] if i else None
+
+
 def coverage(name: Column) -> tuple[Column, Column]:
     """Start and end from a file name; null if it does not fit."""
     start = F.nullif(F.regexp_extract(name, NAME, 1), F.lit("")).cast("long")

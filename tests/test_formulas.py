@@ -205,20 +205,34 @@ def test_backward_blocks_by_a_plain_loop(spark, sf):
     from tallybeam.plans import discovery
 
     files = [tuple(r) for r in discovery._files(spark, sf)[0].select("ifo", "file_start", "file_end").collect()]
-    held = {ifo: [(s, e) for x, s, e in files if x == ifo and 400_000 <= s < 900_000] for ifo in ("H1", "L1")}
-    now, want = 880_640.0, []
-    while now - 512 >= 500_000:
+    held = {ifo: [(s, e) for x, s, e in files if x == ifo] for ifo in ("H1", "L1")}
+    both = [s for s, _ in held["H1"] if any(abs(s - o) < 4096 for o, _ in held["L1"])]
+    now, want = float(max(e for _, e in held["H1"])), []
+    while now - 512 >= 512:
         a, b = now - 512, now
         if all(any(s <= a and b <= e for s, e in held[x]) for x in held):
             want.append((a, b, "data"))
             now = a
             continue
         want.append((a, b, "gap"))
-        ends = [s + 4096.0 for s, _ in held["H1"] if s < a and any(abs(s - o) < 4096 for o, _ in held["L1"])]
+        ends = [s + 4096.0 for s in both if s < a]
         now = max(ends) if ends and max(ends) < a - 512 else (math.ceil(a / 8192) - 1) * 8192.0
     assert [tuple(r) for r in registry.queries()["r03_backward_blocks"](spark, sf).collect()] == want and {s for *_, s in want} == {"data", "gap"}
 
 
+def test_ranges_answer_like_plain_searches():
+    rng = random.Random(4)
+    for n in (0, 1, 7, 40):
+        held = [(a, a + rng.randrange(1, 30)) for a in (rng.randrange(200) for _ in range(n))]
+        ranges = frames.Ranges(held)
+        for _ in range(200):
+            a = rng.randrange(-10, 220)
+            b = a + rng.randrange(1, 25)
+            assert ranges.holds(a, b) == any(s <= a and b <= e for s, e in held)
+            assert ranges.meets(a, b) == any(s < b and a < e for s, e in held)
+            assert ranges.latest_end(a) == max((e for s, e in held if s < a), default=None)
+
+
 def test_forward_blocks_wait_and_stop():
     seen = []
     blocks = blocks_to_search(0.0, 10.0, lambda a, b: b <= 30 + 10 * len(seen), follow=True, wait=lambda: seen.append(1), stop=lambda: len(seen) >= 3)
