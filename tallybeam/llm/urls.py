@@ -29,8 +29,6 @@ from tallybeam.llm.common import bound_batches, materialise, slices, texts
 #: Fixed values: (verdict, host, path) of the rules.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 ORDER = 5
-#: No context is too rare for a model.
-CONTEXT_SHARE = float("inf")
 HOT = 4_096
 #: Bytes of URLs that are cut into runs at once; each takes about a hundred bytes of memory.
 PIECE = 1 << 20

@@ -108,7 +108,7 @@ def test_urls_equal_brute_force(spark, sf):
         assert next(r.score for i, r in rows.items() if known[i] == u) == pytest.approx(want, abs=1e-9)
 
 
-def naive_model(urls_of_kind, url, order=urls.ORDER, share=urls.CONTEXT_SHARE):
+def naive_model(urls_of_kind, url, order=urls.ORDER):
     """Log-probability by dictionaries of counts."""
     from collections import Counter, defaultdict
 
@@ -119,8 +119,7 @@ def naive_model(urls_of_kind, url, order=urls.ORDER, share=urls.CONTEXT_SHARE):
             for i in range(order, len(padded)):
                 for k in range(order + 1):
                     table[padded[i - k : i]][padded[i]] += 1
-        positions = sum(map(len, urls_of_kind))
-        naive_model.seen = (len(urls_of_kind), urls_of_kind[:1]), {c: x for c, x in table.items() if sum(x.values()) * share >= positions}
+        naive_model.seen = (len(urls_of_kind), urls_of_kind[:1]), table
     table = naive_model.seen[1]
     padded, out = bytes(order) + url, 0.0
     for i in range(order, len(padded)):
@@ -598,7 +597,7 @@ def test_rare_contexts_stay_in_the_url_models(spark):
     train = [(u.encode(), naive_rule(u)[2]) for u in known if zlib.crc32(u.encode()) % 5]
     for i in [*range(5), *range(400, 405), *range(810, 840)]:
         u = known[i].encode()
-        accepted, rejected = (naive_model([x for x, k in train if k == kind], u, share=float("inf")) for kind in ("allow", "block"))
+        accepted, rejected = (naive_model([x for x, k in train if k == kind], u) for kind in ("allow", "block"))
         assert rows[i].score == pytest.approx((accepted - rejected) / len(u), abs=1e-9)
 
 
