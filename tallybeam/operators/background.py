@@ -64,7 +64,7 @@ def slid_pairs(triggers: DataFrame, ifo_a: str, ifo_b: str, slides: DataFrame, w
     b = side(triggers, ifo_b, "b", ("gps_us", "new_snr", "template_id", "event_id")).crossJoin(F.broadcast(slides))  # the offsets are parameters
     b = b.withColumn("gps_us_b", F.col("gps_us_b") + F.col("offset_us"))
     on = [("template_id_a", "template_id_b")] if same_template else []
-    joined = range_join(a, b, "gps_us_a", "gps_us_b", window_us, on, strict)
+    joined = range_join(a, b, "gps_us_a", "gps_us_b", window_us, on, strict, both_grow=True)
     return joined.select("slide", "offset_us", F.col("template_id_a").alias("template_id"), "event_id_a", "event_id_b", network_stat(F.col("new_snr_a"), F.col("new_snr_b")).alias("network_stat"))
 
 
@@ -75,8 +75,8 @@ def slid_triples(triggers: DataFrame, ifos: tuple[str, str, str], pairs: DataFra
     first = pairs.select("offset_1").distinct()
     b = b.crossJoin(F.broadcast(first)).withColumn("gps_us_b", F.col("gps_us_b") + F.col("offset_1"))
     c = c.crossJoin(F.broadcast(pairs.select(F.col("offset_1").alias("o1"), "offset_2"))).withColumn("gps_us_c", F.col("gps_us_c") + F.col("offset_2"))
-    two = range_join(a, b, "gps_us_a", "gps_us_b", windows_us[0], [("template_id_a", "template_id_b")])
-    three = range_join(two, c, "gps_us_a", "gps_us_c", windows_us[1], [("template_id_a", "template_id_c"), ("offset_1", "o1")])
+    two = range_join(a, b, "gps_us_a", "gps_us_b", windows_us[0], [("template_id_a", "template_id_b")], both_grow=True)
+    three = range_join(two, c, "gps_us_a", "gps_us_c", windows_us[1], [("template_id_a", "template_id_c"), ("offset_1", "o1")], both_grow=True)
     three = three.filter(F.abs(F.col("gps_us_b") - F.col("gps_us_c")) <= windows_us[2])
     return three.select("offset_1", "offset_2", "event_id_a", "event_id_b", "event_id_c", network_stat(F.col("new_snr_a"), F.col("new_snr_b"), F.col("new_snr_c")).alias("network_stat"))
 

@@ -25,7 +25,7 @@ def pairs(triggers: DataFrame, ifo_a: str, ifo_b: str, window_us: int, same_temp
     if drop_broken:
         a, b = a.filter(finite(F.col("new_snr_a"))), b.filter(finite(F.col("new_snr_b")))
     on = [("template_id_a", "template_id_b")] if same_template else []
-    joined = range_join(a, b, "gps_us_a", "gps_us_b", window_us, on, strict)
+    joined = range_join(a, b, "gps_us_a", "gps_us_b", window_us, on, strict, both_grow=True)
     return joined.select(
         F.concat(F.lit(ifo_a), F.lit(","), F.lit(ifo_b)).alias("ifos"),
         F.floor((F.col("gps_us_a") + F.col("gps_us_b")) / 2).cast("long").alias("gps_us"),
@@ -58,8 +58,8 @@ def triples(triggers: DataFrame, ifos: tuple[str, str, str], windows_us: tuple[i
     """Same template in three sensors, all three pairs within their own windows (0-1, 0-2, 1-2); broken ratios drop the row."""
     keep = ("gps_us", "new_snr", "template_id", "event_id")
     a, b, c = (side(triggers, ifo, s, keep).filter(finite(F.col(f"new_snr_{s}"))) for ifo, s in zip(ifos, "abc", strict=True))
-    two = range_join(a, b, "gps_us_a", "gps_us_b", windows_us[0], [("template_id_a", "template_id_b")])
-    three = range_join(two, c, "gps_us_a", "gps_us_c", windows_us[1], [("template_id_a", "template_id_c")])
+    two = range_join(a, b, "gps_us_a", "gps_us_b", windows_us[0], [("template_id_a", "template_id_b")], both_grow=True)
+    three = range_join(two, c, "gps_us_a", "gps_us_c", windows_us[1], [("template_id_a", "template_id_c")], both_grow=True)
     three = three.filter(F.abs(F.col("gps_us_b") - F.col("gps_us_c")) <= windows_us[2])
     return three.select(
         F.floor((F.col("gps_us_a") + F.col("gps_us_b") + F.col("gps_us_c")) / 3).cast("long").alias("gps_us"),

@@ -16,10 +16,11 @@ def time_bin(t: Column, width: int) -> Column:
     return F.floor(t / F.lit(max(1, int(width)))).cast("long")
 
 
-def range_join(left: DataFrame, right: DataFrame, left_time: str, right_time: str, window: int, on: list[tuple[str, str]] = (), strict: bool = False, how: str = "inner") -> DataFrame:
+def range_join(left: DataFrame, right: DataFrame, left_time: str, right_time: str, window: int, on: list[tuple[str, str]] = (), strict: bool = False, how: str = "inner", both_grow: bool = False) -> DataFrame:
     """Rows with |left - right| <= window (< if strict) and equal `on` columns; names of both sides must differ.
 
-    how: inner, left, left_semi or left_anti. Null times or keys never match.
+    how: inner, left, left_semi or left_anti. Null times or keys never match. both_grow: the right side is as large as the left one, so both are shuffled
+    at every size: many rows come of few here, and a broadcast would leave them to as few tasks as the left side's scan has.
     """
     width = max(1, int(window))
     a = left.withColumn("_bin_a", time_bin(F.col(left_time), width))
@@ -28,7 +29,7 @@ def range_join(left: DataFrame, right: DataFrame, left_time: str, right_time: st
     condition = (F.col("_bin_a") == F.col("_bin_b")) & ((gap < window) if strict else (gap <= window))
     for x, y in on:
         condition &= F.col(x) == F.col(y)
-    return a.join(b, condition, how).drop("_bin_a", "_bin_b")
+    return a.join(b.hint("merge") if both_grow else b, condition, how).drop("_bin_a", "_bin_b")
 
 
 def nearest(left: DataFrame, right: DataFrame, left_time: str, right_time: str, name: str, tolerance: int) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallybeam.functions import scalars as S
 from tallybeam.operators.background import count_louder
-from tallybeam.scratch import running
+from tallybeam.scratch import materialise, running
 
 
 def summary(background: DataFrame, stat: str = "network_stat") -> DataFrame:
@@ -18,7 +18,7 @@ def summary(background: DataFrame, stat: str = "network_stat") -> DataFrame:
 def distribution(background: DataFrame, stat: str = "network_stat") -> DataFrame:
     """stat, place: all finite statistics, loudest first, numbered from 0."""
     values = background.filter(S.finite(F.col(stat))).select(F.col(stat), F.lit(1).alias("_one"), F.monotonically_increasing_id().alias("_row"))
-    return running(values, [F.col(stat).desc(), F.col("_row")], {"place": "_one"}).select(stat, F.col("place").cast("long").alias("place"))
+    return running(materialise(values, "statistics"), [F.col(stat).desc(), F.col("_row")], {"place": "_one"}).select(stat, F.col("place").cast("long").alias("place"))
 
 
 def rate(background: DataFrame, slides: int, duration_s: float) -> DataFrame:
