@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybeam.llm import bpe, exact_dedup, licenses, mixing, quality, sharding, simhash, topk, urls, warc
+from tallybeam.llm import bpe, exact_dedup, fim, licenses, mixing, quality, sharding, simhash, topk, urls, warc
 from tallybeam.llm.common import table
 
 
@@ -51,7 +51,11 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search_embeddings(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = (op1_license_scan, op2_url_filter, op3_sharding, op4_exact_dedup, op5_quality_classifier, op6_warc, op7_bpe, op8_source_mix, op9_simhash, op10_exact_top_k)
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(table(spark, sf_dir, "documents"))
+
+
+QUERIES = (op1_license_scan, op2_url_filter, op3_sharding, op4_exact_dedup, op5_quality_classifier, op6_warc, op7_bpe, op8_source_mix, op9_simhash, op10_exact_top_k, op11_fill_in_middle)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -120,4 +124,14 @@ def oracle_sql() -> dict[str, str]:
                   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
             r AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank FROM s)
             SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+        "op11_fill_in_middle": """
+            WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || coalesce(doc_id::VARCHAR, 'null')) AS x FROM documents),
+            h AS (SELECT *, len(u)::BIGINT AS n, list_transform(range(4), lambda i: ('0x' || substr(x, (8 * i + 1)::INT, 8))::BIGINT) AS h FROM d),
+            f AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+                         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90 THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+            p AS (SELECT doc_id, n, form, text, array_to_string(u[1 : a], '') AS prefix, array_to_string(u[a + 1 : b], '') AS middle, array_to_string(u[b + 1 : n], '') AS suffix FROM f)
+            SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+                   sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+                   sha256(text) AS restored_sha256
+            FROM p""",
     }
