@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybeam.llm import bpe, exact_dedup, fim, licenses, mixing, quality, sharding, simhash, topk, urls, warc
+from tallybeam.llm import bpe, exact_dedup, fim, licenses, mixing, quality, rank_bpe, sharding, simhash, topk, urls, warc
 from tallybeam.llm.common import table
 
 
@@ -55,7 +55,11 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = (op1_license_scan, op2_url_filter, op3_sharding, op4_exact_dedup, op5_quality_classifier, op6_warc, op7_bpe, op8_source_mix, op9_simhash, op10_exact_top_k, op11_fill_in_middle)
+def op12_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_bpe.digests(table(spark, sf_dir, "documents"))
+
+
+QUERIES = (op1_license_scan, op2_url_filter, op3_sharding, op4_exact_dedup, op5_quality_classifier, op6_warc, op7_bpe, op8_source_mix, op9_simhash, op10_exact_top_k, op11_fill_in_middle, op12_rank_bpe)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
