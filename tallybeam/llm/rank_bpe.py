@@ -86,20 +86,19 @@ class Codec:
         self.db.unregister("_given")
 
     def merge_all(self, words: list[bytes]) -> list[list[int]]:
-        """The ids of words of one byte or more."""
-        out: list[list[int]] = []
-        long = [len(w) > LONG for w in words]
-        if any(long) and not all(long):
-            short = iter(self.merge_all([w for w, x in zip(words, long, strict=True) if not x]))
-            rest = iter(self.merge_all([w for w, x in zip(words, long, strict=True) if x]))
-            return [next(rest) if x else next(short) for x in long]
-        for part in _parts(words):
+        """The ids of words of one byte or more. Words of like length share a query, so that all take about as many rounds."""
+        out: list[list[int]] = [[]] * len(words)
+        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        for numbers in _parts(order, [len(words[i]) for i in order]):
+            part = [words[i] for i in numbers]
             n = np.fromiter(map(len, part), np.int64, len(part))
             place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             rows = {"word": np.repeat(np.arange(len(part), dtype=np.int32), n), "place": place.astype(np.int32), "token": self.byte_tokens[np.frombuffer(b"".join(part), np.uint8)]}
             self.db.register("bytes", pa.table(rows))
-            out += self.db.sql(_contract(together=long[0])).to_arrow_table().column(0).to_pylist()
+            found = self.db.sql(_contract(together=len(part[0]) > LONG)).to_arrow_table().column(0).to_pylist()
             self.db.unregister("bytes")
+            for i, ids in zip(numbers, found, strict=True):
+                out[i] = ids
         return out
 
     def encode_all(self, whole: list[str]) -> list[list[int]]:
@@ -139,15 +138,16 @@ class Codec:
         self.known, self.older = {}, {}
 
 
-def _parts(words: list[bytes]) -> Iterator[list[bytes]]:
-    start, size = 0, 0
-    for i, w in enumerate(words):
-        if i > start and (i - start >= WORDS or size + len(w) > WORD_BYTES):
-            yield words[start:i]
-            start, size = i, 0
-        size += len(w)
-    if start < len(words):
-        yield words[start:]
+def _parts(numbers: list[int], sizes: list[int]) -> Iterator[list[int]]:
+    """Runs of words for one query each, in order of rising size; short and long words are never in one."""
+    start, total = 0, 0
+    for i, size in enumerate(sizes):
+        if i > start and (i - start >= WORDS or total + size > WORD_BYTES or sizes[start] <= LONG < size):
+            yield numbers[start:i]
+            start, total = i, 0
+        total += size
+    if start < len(numbers):
+        yield numbers[start:]
 
 
 @lru_cache(maxsize=2)
