@@ -34,7 +34,7 @@ from tallybeam.llm.common import bound_batches, map_batches, texts
 WORDS, WORD_BYTES = 20_000, 1 << 18
 #: Bytes from which on a word's equal pairs are contracted together.
 LONG = 256
-#: Words of SHORT characters at most that a process remembers, in each of two generations.
+#: Words of SHORT characters at most that a process remembers, in each of two generations, from task to task.
 REMEMBERED, SHORT = 1 << 18, 40
 MEMORY = "384MB"
 
@@ -59,7 +59,8 @@ def _contract(together: bool) -> str:
 
 
 class Codec:
-    """One vocabulary in DuckDB: the tables merges (a, b, merged, alone) and vocabulary (id, hexed)."""
+    """One vocabulary in DuckDB: the tables merges (a, b, merged, alone) and vocabulary (id, piece): a byte is the character of its number there,
+    as aggregations join characters only."""
 
     def __init__(self, text: str, pattern: str):
         lines = [line.split() for line in text.splitlines() if line.strip()]
@@ -75,7 +76,7 @@ class Codec:
         self.find = regex.compile(pattern).findall
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
         self._keep("merges", pa.table({"a": a, "b": b, "merged": merged, "alone": alone}))
-        self._keep("vocabulary", pa.table({"id": pa.array(ranks.values(), pa.int32()), "hexed": pa.array([t.hex() for t in ranks], pa.string())}))
+        self._keep("vocabulary", pa.table({"id": pa.array(ranks.values(), pa.int32()), "piece": pa.array([t.decode("latin-1") for t in ranks], pa.string())}))
         self.decimal = {rank: b"%d" % rank for rank in ranks.values()}
         self.known: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
@@ -122,20 +123,16 @@ class Codec:
         self.known.update((w, ids[w]) for w in fresh[:REMEMBERED])
         return [[*chain.from_iterable(map(ids.__getitem__, words))] for words in split]
 
-    def decode_all(self, ids: list[list[int] | None], column: str = "content") -> pa.Array:
-        """The bytes of each list of ids, or a function of them, in order."""
+    def decode_all(self, ids: list[list[int] | None]) -> list[bytes]:
+        """The bytes of each list of ids, in order."""
         flat = pa.array(ids, pa.list_(pa.int32())).flatten()
         n = np.array([len(x or ()) for x in ids], np.int64)
         row, place = np.repeat(np.arange(len(ids), dtype=np.int32), n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         self.db.register("tokens", pa.table({"row": row, "place": place.astype(np.int32), "id": flat}))
-        content = "SELECT row, string_agg(hexed, '' ORDER BY place) AS hexed FROM tokens JOIN vocabulary USING (id) GROUP BY row"
-        found = self.db.sql(f"SELECT {column} FROM (SELECT row, unhex(coalesce(hexed, '')) AS content FROM range({len(ids)}) r(row) LEFT JOIN ({content}) USING (row)) ORDER BY row")
-        out = found.to_arrow_table().column(0).combine_chunks()
+        content = "SELECT row, string_agg(piece, '' ORDER BY place) AS content FROM tokens JOIN vocabulary USING (id) GROUP BY row"
+        found = self.db.sql(f"SELECT content FROM range({len(ids)}) r(row) LEFT JOIN ({content}) USING (row) ORDER BY row").to_arrow_table().column(0).to_pylist()
         self.db.unregister("tokens")
-        return out
-
-    def forget(self) -> None:
-        self.known, self.older = {}, {}
+        return [(x or "").encode("latin-1") for x in found]
 
 
 def _parts(numbers: list[int], sizes: list[int]) -> Iterator[list[int]]:
@@ -176,7 +173,7 @@ def encode(docs: DataFrame, ranks: str | None = None, text: str = "text", key: s
         ids = codec().encode_all([x.decode() for x in texts(batch.column(1))])
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], [key, "ids"])
 
-    return map_batches(docs.select(F.col(key), F.col(text)), work, f"`{key}` {kind}, ids array<int>", text, lambda: codec().forget())
+    return map_batches(docs.select(F.col(key), F.col(text)), work, f"`{key}` {kind}, ids array<int>", text)
 
 
 def decode(encoded: DataFrame, ranks: str | None = None, key: str = "doc_id") -> DataFrame:
@@ -187,7 +184,7 @@ def decode(encoded: DataFrame, ranks: str | None = None, key: str = "doc_id") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             content = codec().decode_all(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), content.cast(pa.binary())], [key, "content"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(content, pa.binary())], [key, "content"])
 
     return encoded.select(F.col(key), F.col("ids").cast("array<int>")).mapInArrow(run, f"`{key}` {kind}, content binary")
 
@@ -199,9 +196,10 @@ def digests(docs: DataFrame, ranks: str | None = None) -> DataFrame:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         c = codec()
         ids = c.encode_all([x.decode() for x in texts(batch.column(1))])
-        of_ids = [hashlib.sha256(b" ".join(map(c.decimal.__getitem__, x))).hexdigest() for x in ids]
-        columns = [batch.column(0), pa.array(map(len, ids), pa.int64()), pa.array(of_ids, pa.string()), c.decode_all(ids, "sha256(content)").cast(pa.string())]
+        sha = lambda x: hashlib.sha256(x).hexdigest()
+        joined = (b" ".join(map(c.decimal.__getitem__, x)) for x in ids)
+        columns = [batch.column(0), pa.array(map(len, ids), pa.int64()), pa.array(map(sha, joined), pa.string()), pa.array(map(sha, c.decode_all(ids)), pa.string())]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), work, schema, "text", lambda: codec().forget())
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), work, schema, "text")
