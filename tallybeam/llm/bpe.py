@@ -6,7 +6,7 @@ lowest rank. A merge updates three leaves, each in logarithmic time, until no pa
 
 Defined results: null and empty texts have no ids and decode to "". The strings of special tokens in a
 text are those tokens, as in the library. Repeated rows are encoded like any other; extra columns are ignored.
-Ids that decode to broken UTF-8 give U+FFFD, as in the library. Decoding an id outside the vocabulary skips it.
+Ids that decode to broken UTF-8 give U+FFFD, as in the library. Decoding an id that is null or outside the vocabulary skips it.
 """
 
 from __future__ import annotations
@@ -263,7 +263,7 @@ def decode(encoded: DataFrame, vocabulary: str | None = None, key: str = "doc_id
     def run(batches):
         c = codec()
         for batch in batches:
-            out = [c.decode(x or []) for x in batch.column(1).to_pylist()]
+            out = [c.decode([i for i in x or [] if i is not None and i >= 0]) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], [key, "text"])
 
     return encoded.select(key, "ids").mapInArrow(run, f"`{key}` {kind}, text string")

@@ -7,14 +7,14 @@ a licence expression, as far as one goes, so the work stays linear in texts of m
 evaluates it to the licences named and to how freely the work may be used: OR (or a slash) takes the freest choice, AND (or a comma) the most restrictive part,
 WITH an exception moves a licence a step towards free.
 
-An operand is a licence only if it is a known identifier (IDENTIFIER) or a LicenseRef-; an expression ends before any other word, so prose after a tag names nothing. Weak tags
+An operand is a licence only if it is a known identifier (IDENTIFIER) or a LicenseRef-; a name beside an upper-case operator is an unknown licence, without a label and of freedom 0.5. An expression ends before any other word, so prose after a tag names nothing. Weak tags
 ("license", as in `License: MIT`, `license = "MIT"` and rel="license") count only if between the tag's word and the licence stand
 no letters and at least one of : = > " ' and an URL after them is read for the licence that its path names. The right side of WITH is an exception and never a label.
 
 score: how freely the text's notices let it be used, 0 (reserved) to 1 (permissive), the least over all findings; 0.5 without a finding.
 
 Defined results: null and empty texts have no words, no labels, null word positions and score 0.5. A broken expression (a dangling
-operator or bracket) gives the licences read so far, each with a verdict of its own; a tag without a licence after it gives nothing. Overlapping and repeated phrases all count. Extra columns are ignored.
+operator or bracket) gives the licences read so far, each with a verdict of its own; a tag without a licence after it gives nothing. Overlapping and repeated base phrases all count; of the method's own phrases, one inside a longer one does not. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,12 +41,29 @@ NOTICES = {
     "general public license version 2": "gpl-2.0", "general public license version 3": "gpl-3.0", "lesser general public license": "lgpl",
     "affero general public license": "agpl", "mozilla public license": "mpl", "eclipse public license": "epl",
     "cc by sa": "cc-by-sa", "cc by nc": "cc-by-nc", "cc by nd": "cc-by-nd", "cc by nc sa": "cc-by-nc-sa", "cc by nc nd": "cc-by-nc-nd", "cc0": "cc0",
-    "creative commons attribution": "cc-by", "creative commons zero": "cc0", "public domain": "public-domain", "unlicense": "unlicense",
+    "creative commons zero": "cc0", "public domain": "public-domain", "unlicense": "unlicense",
     "no part of this publication may be reproduced": "reserved", "proprietary and confidential": "reserved",
 }
+#: How the conditions of the spelt-out Creative Commons licences are written.
+NON_COMMERCIAL = ("", "noncommercial", "non commercial")
+CONDITIONS = {"": "", "sharealike": "-sa", "share alike": "-sa", "noderivatives": "-nd", "noderivs": "-nd", "no derivatives": "-nd", "no derivs": "-nd"}
+
+
+def spelt_out() -> dict[str, str]:
+    """Phrases of the six licences in words; the bare name of the freest one counts only with its maker's or its version's."""
+    out = {}
+    for nc in NON_COMMERCIAL:
+        for condition, ending in CONDITIONS.items():
+            phrase, label = " ".join(filter(None, ("attribution", nc, condition))), "cc-by" + ("-nc" if nc else "") + ending
+            out[f"creative commons {phrase}"] = label
+            bare = [phrase] if phrase != "attribution" else [f"attribution {v} 0 {scope}" for v, scope in ((4, "international"), (3, "unported"))]
+            out |= dict.fromkeys(bare, label)
+    return out
+
+
 #: Phrases that a licence expression follows, and whether they are weak: common words that need a sign after them.
 TAGS = {"spdx license identifier": False, "licensed under": False, "licensed under the": False, "license": True, "licence": True, "licenses": True, "license type": True, "licenses type": True, "license expression": True}
-#: Identifiers of licences, lower-case, by family; versions and variants follow the family's name. Words beyond 200 characters are none.
+#: Identifiers of licences, lower-case, by family; versions and variants follow the family's name. Only names of a LicenseRef- may have more than 200 characters.
 IDENTIFIER = re.compile(
     r"""(?:mit(?:-0|-cmu|-modern-variant)?|x11|isc|0bsd|zlib|unlicense|wtfpl|ncsa|curl|libpng|openssl|postgresql|python-2\.0(?:\.1)?|psf-2\.0|ruby|vim|w3c|icu|bsl-1\.0|blueoak-1\.0\.0|hpnd|json|beerware
     |bsd(?:-[1-4]-clause(?:-[a-z-]+)?)?|apache(?:-(?:1\.0|1\.1|2(?:\.0)?))?|artistic-[12]\.0|afl-[123]\.[0-2]|ms-(?:pl|rl)|ecl-[12]\.0|unicode-(?:3\.0|dfs-201[56]|tou)|ftl|ijg|upl-1\.0|zpl-[12]\.[01]
@@ -68,7 +85,12 @@ FREEDOM = [
 #: ASCII bytes that are no word characters become spaces; A-Z become a-z.
 WORD_TABLE = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 0x30 or 0x3A <= c <= 0x60 or 0x7B <= c <= 0x7F else c for c in range(256))
 RAW_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
-EXPRESSION_TOKEN = re.compile(r"[^\S\n]*(?:(\(|\)|/|,)|([A-Za-z0-9][A-Za-z0-9.+:-]{0,199})(?![A-Za-z0-9.+:-]))")
+EXPRESSION_TOKEN = re.compile(r"[^\S\n]*(?:(\(|\)|/|,)|((?i:(?:documentref-[a-z0-9.-]++:)?licenseref-[a-z0-9.-]++)|[A-Za-z0-9][A-Za-z0-9.+:-]{0,199}(?![A-Za-z0-9.+:-])))")
+#: A version that stands after a family's name as a word of its own, and identifiers that are common words: they need the expression to end or go on after them.
+VERSION, NEXT_WORD = re.compile(r"[^\S\n]+(?:version[^\S\n]+|v\.?[^\S\n]*)?([0-9](?:\.[0-9])?)(?![A-Za-z0-9.+-]*[A-Za-z0-9+-])", re.IGNORECASE), re.compile(r"[^\S\n]+(?!(?:or|and|with)\b)[A-Za-z]", re.IGNORECASE)
+COMMON = {"none", "json", "ruby", "vim", "curl", "icu", "x11", "proprietary", "unlicensed", "openssl", "postgresql"}
+#: An operand that is no known identifier but stands beside an upper-case operator and is written like a name.
+UNKNOWN_OPERAND, NAME_LIKE, NEXT_OPERATOR = "?", re.compile(r"[A-Z0-9]|.*[0-9-]"), re.compile(r"[^\S\n]+(?:OR|AND|WITH)(?![A-Za-z0-9.+:-])")
 #: What may stand between a tag and its expression, and what a weak tag needs of it.
 BETWEEN, SIGN = re.compile(r"[\s:=>\"'`*_\[({-]*(?:href\s*=\s*[\"']?)?"), re.compile(r"[:=>\"'`]")
 PRECEDENCE = {"or": 1, "/": 1, "and": 2, ",": 2, "with": 3}
@@ -84,13 +106,13 @@ def freedom(label: str) -> float:
 def postfix(text: str, start: int = 0, stop: int | None = None) -> tuple[list[str], bool, int]:
     """The expression at text[start:stop] in postfix order by the shunting-yard algorithm, whether it is well formed, and where it ends.
 
-    Operands are known identifiers, and any word after WITH. Reading stops where two operands meet or another word or sign stands,
+    Operands are known identifiers (a version may follow as a word of its own), any word after WITH, and names beside an upper-case operator, which are unknown. Reading stops where two operands meet or another word or sign stands,
     as there the expression ends and prose begins; an operator or bracket that prose follows belongs to the prose, unless it is upper-case or a bracket inside.
     """
     out: list[str] = []
     stack: list[str] = []
     operand_next, whole, depth, end, after_with = True, True, 0, start, False
-    pending = None  # an operator that is taken once an operand follows
+    pending, before = None, start  # an operator that is taken once an operand follows, and where it stands
     stop = len(text) if stop is None else stop
     at = start
 
@@ -120,16 +142,29 @@ def postfix(text: str, start: int = 0, stop: int | None = None) -> tuple[list[st
         elif (operator := sign or word) in PRECEDENCE:
             if operand_next:
                 break
-            pending, operand_next, after_with = operator, True, operator == "with"
+            pending, operand_next, after_with, before = operator, True, operator == "with", token.start()
             if sign is None and token[2].isupper():  # AND, OR, WITH are meant even if nothing follows
                 whole, end = False, at
         else:
             word = word.rstrip(".:")
-            if not operand_next or not (after_with or IDENTIFIER.fullmatch(word)):
+            if not operand_next:
                 break
+            last = token.start(2) + len(word)
+            if not after_with:
+                if not IDENTIFIER.fullmatch(word):
+                    beside = (pending and text[before:token.start(2)].strip().isupper()) or NEXT_OPERATOR.match(text, last, stop)
+                    if not beside or not NAME_LIKE.match(token[2]):
+                        break
+                    word = UNKNOWN_OPERAND
+                elif word in COMMON and NEXT_WORD.match(text, last, stop):
+                    break
+                elif version := VERSION.match(text, last, stop):
+                    longer = next((x for x in (f"{word}-{version[1]}.0", f"{word}-{version[1]}") if IDENTIFIER.fullmatch(x)), None)
+                    if longer:
+                        word, last, at = longer, version.end(), version.end()
             push(pending)
             out.append(word)
-            operand_next, after_with, pending, whole, end = False, False, None, True, token.start(2) + len(word)
+            operand_next, after_with, pending, whole, end = False, False, None, True, last
     whole &= bool(out) and not depth
     return out + [t for t in reversed(stack) if t != "("], whole, end
 
@@ -139,7 +174,7 @@ def evaluate(tokens: list[str]) -> tuple[set[str], float]:
     stack: list[tuple[set[str], float]] = []
     for t in tokens:
         if t not in PRECEDENCE:
-            stack.append(({t}, freedom(t)))
+            stack.append((set(), UNKNOWN) if t == UNKNOWN_OPERAND else ({t}, freedom(t)))
             continue
         if len(stack) < 2:  # a broken expression
             continue
@@ -177,7 +212,7 @@ def automaton() -> ahocorasick.Automaton:
     values: dict[str, list] = {}
     for phrase, label in BASE.items():
         values.setdefault(phrase, [None, None, None])[0] = label
-    for phrase, label in NOTICES.items():
+    for phrase, label in (NOTICES | spelt_out()).items():
         values.setdefault(phrase, [None, None, None])[1] = label
     for phrase, weak in TAGS.items():
         values.setdefault(phrase, [None, None, None])[2] = weak
@@ -205,6 +240,7 @@ def scan(raw: bytes) -> Scan:
     words = raw.translate(WORD_TABLE).split()
     joined = b" ".join([b"", *words, b""]).decode()
     starts, base, labels, expressions, scores = [], set(), set(), [], []
+    notices: list[tuple[int, int, str]] = []  # start, minus end, label of the method's own phrases
     spaces: list[int] = []  # where the space before each word stands
     text, ends, line_end = "", [], -1
 
@@ -217,10 +253,11 @@ def scan(raw: bytes) -> Scan:
         if base_label:
             starts.append(end - length)  # the space before the phrase
             base.add(base_label)
-        for label in (base_label, own):
-            if label:
-                labels.add(label)
-                scores.append(freedom(label))
+        if base_label:
+            labels.add(base_label)
+            scores.append(freedom(base_label))
+        if own:
+            notices.append((end - length, -end, own))
         if weak is not None:
             if not ends:
                 text = raw.decode()
@@ -235,6 +272,12 @@ def scan(raw: bytes) -> Scan:
             expressions.append(expression)
             labels |= found
             scores += [value] if value is not None else [freedom(x) for x in found]
+    reach = 0
+    for _, minus_end, own in sorted(notices):  # a notice inside a longer one is the longer one
+        if -minus_end > reach:
+            reach = -minus_end
+            labels.add(own)
+            scores.append(freedom(own))
     first, last = (position(f(starts)) if starts else None for f in (min, max))
     return Scan(len(words), len(starts), first, last, base, labels, expressions, min(scores, default=UNKNOWN))
 

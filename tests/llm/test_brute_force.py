@@ -38,18 +38,41 @@ def random_expression(rng, depth=0):
 def naive_phrases(text):
     """Labels, base places and freedoms of all phrases by comparing words at every place."""
     words = WORD.findall(text.translate(LOWER))
-    labels, base, values = set(), [], []
+    labels, base, values, own = set(), [], [], []
     for i in range(len(words)):
-        for table in (licenses.BASE, licenses.NOTICES):
+        for table in (licenses.BASE, licenses.NOTICES | licenses.spelt_out()):
             for phrase, label in table.items():
-                if words[i : i + len(phrase.split())] == phrase.split():
-                    labels.add(label)
-                    values.append(licenses.freedom(label))
+                n = len(phrase.split())
+                if words[i : i + n] == phrase.split():
                     if table is licenses.BASE:
                         base.append((i, label))
+                        labels.add(label)
+                        values.append(licenses.freedom(label))
+                    else:
+                        own.append((i, i + n, label))
+    for i, j, label in own:
+        if not any((a, b) != (i, j) and a <= i and j <= b for a, b, _ in own):
+            labels.add(label)
+            values.append(licenses.freedom(label))
     return len(words), base, labels, values
 
 
+@pytest.mark.parametrize(
+    ("text", "labels", "score"),
+    [
+        ("Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International", {"cc-by-nc-sa"}, 0.3), ("Creative Commons Attribution-Non-Commercial-NoDerivs 3.0 Unported", {"cc-by-nc-nd"}, 0.3),
+        ("Attribution-NonCommercial 4.0 International", {"cc-by-nc"}, 0.3), ("Creative Commons Attribution-ShareAlike", {"cc-by-sa"}, 0.6), ("Creative Commons Attribution No Derivatives", {"cc-by-nd"}, 0.3),
+        ("Creative Commons Attribution 4.0", {"cc-by"}, 1.0), ("Attribution 4.0 International", {"cc-by"}, 1.0), ("attribution is due", set(), 0.5), ("cc by nc sa", {"cc-by", "cc-by-nc-sa"}, 0.3),
+        ("License: Sleepycat OR MIT", {"mit"}, 1.0), ("SPDX-License-Identifier: MIT AND Sleepycat AND GPL-3.0-only", {"mit", "gpl-3.0-only"}, 0.5), ("License: GPL v3", {"gpl-3.0"}, 0.6), ("License: Apache 2.0", {"apache-2.0"}, 1.0),
+        ("License: LGPL version 2.1 or MIT", {"lgpl-2.1", "mit"}, 1.0), ("license: none of the above", set(), 0.5), ("license: json file", set(), 0.5), ("license: none", {"none"}, 0.0), ("License: JSON OR MIT", {"json", "mit"}, 1.0),
+        ("license: that or MIT", set(), 0.5), ("SPDX-License-Identifier: LicenseRef-" + "x" * 300 + " OR MIT", {"licenseref-" + "x" * 300, "mit"}, 1.0), ("License: MIT 2 files", {"mit"}, 1.0), ("License: MIT OR see below", {"mit"}, 1.0),
+    ],
+)
+def test_labels_and_score_of_notices(text, labels, score):
+    found = licenses.scan(text.encode())
+    assert found.labels == labels and found.score == pytest.approx(score)
+
+
 def test_licence_scan_of_generated_texts():
     rng = random.Random(11)
     prose = ["some words here", "All Rights Reserved", "cc by", "the license is good", "MIT License", "public domain", "CC-BY-SA", "GNU General Public License, version 3", "É ü 中文", "License agreement", "see the license"]

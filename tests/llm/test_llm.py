@@ -365,6 +365,11 @@ def test_bpe_columns(spark):
 # --- 8 ---
 
 
+def test_bpe_decodes_unknown_ids_to_nothing(spark):
+    rows = spark.createDataFrame([(1, [-1, 0, None, 10**6]), (2, None)], "doc_id long, ids array<int>")
+    assert {r.doc_id: r.text for r in bpe.decode(rows).collect()} == {1: "!", 2: ""}
+
+
 def naive_targets(sizes, weights=mixing.WEIGHTS, epochs=mixing.EPOCHS):
     """Clamp, reshare, repeat."""
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
