@@ -23,6 +23,7 @@ from itertools import chain
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,28 +35,27 @@ from tallybeam.llm.common import bound_batches, map_batches, texts
 WORDS, WORD_BYTES = 20_000, 1 << 18
 #: Bytes from which on a word's equal pairs are contracted together.
 LONG = 256
-#: Words of SHORT characters at most that a process remembers, in each of two generations, from task to task.
-REMEMBERED, SHORT = 1 << 18, 40
+#: Words that a process remembers, from task to task; when they are too many, it begins anew with those of the batch at hand.
+REMEMBERED = 1 << 19
 MEMORY = "384MB"
 
-#: Rows of unfinished words with their neighbours, and the pairs that can be merged; {order} numbers a word's rows where that is needed.
+#: A row's key is its word's number above 32 bits and its place in the word below. Rows with their neighbours, and the pairs that can be merged; {order} numbers the rows where that is needed.
 _PAIRS = """
-    near AS (SELECT r.word, r.place, r.token, lead(r.token) OVER w AS next_token, lead(r.place) OVER w AS next_place {order}
-             FROM recurring.symbols r WHERE r.token IS NOT NULL AND r.word IN (SELECT word FROM symbols) WINDOW w AS (PARTITION BY r.word ORDER BY r.place)),
-    pairs AS (SELECT n.*, m.merged, m.alone FROM near n JOIN merges m ON m.a = n.token AND m.b = n.next_token)"""
+    near AS (SELECT key, token, lead(key) OVER w AS next_key, lead(token) OVER w AS next_token {order} FROM recurring.symbols WHERE token IS NOT NULL WINDOW w AS (ORDER BY key)),
+    pairs AS (SELECT key >> 32 AS word, n.*, m.merged, m.alone FROM near n JOIN merges m ON m.a = n.token AND m.b = n.next_token WHERE next_key >> 32 = key >> 32)"""
 _LEFTMOST = """
-    chosen AS (SELECT word, min(merged::BIGINT << 32 | place) AS least, arg_min(next_place, merged::BIGINT << 32 | place) AS next_place FROM pairs GROUP BY word)
-    SELECT word, (least & 4294967295)::INT, (least >> 32)::INT FROM chosen UNION ALL SELECT word, next_place, NULL FROM chosen"""
+    least AS (SELECT word, min((merged::BIGINT << 32) | (key & 4294967295)) AS pair, arg_min(next_key, (merged::BIGINT << 32) | (key & 4294967295)) AS next_key FROM pairs GROUP BY word),
+    chosen AS (SELECT (word << 32) | (pair & 4294967295) AS key, next_key, (pair >> 32)::INT AS merged FROM least)"""
 _TOGETHER = """
-    least AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY place) AS j FROM (SELECT *, min(merged) OVER (PARTITION BY word) AS best FROM pairs) WHERE merged = best),
-    chosen AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY word, i - j ORDER BY place) AS k FROM least) WHERE CASE WHEN alone THEN j = 1 ELSE k % 2 = 1 END)
-    SELECT word, place, merged FROM chosen UNION ALL SELECT word, next_place, NULL FROM chosen"""
+    least AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY key) AS j FROM (SELECT *, min(merged) OVER (PARTITION BY word) AS best FROM pairs) WHERE merged = best),
+    chosen AS (SELECT key, next_key, merged FROM (SELECT *, row_number() OVER (PARTITION BY word, i - j ORDER BY key) AS k FROM least) WHERE CASE WHEN alone THEN j = 1 ELSE k % 2 = 1 END)"""
 
 
 def _contract(together: bool) -> str:
     pairs = _PAIRS.format(order=", row_number() OVER w AS i" if together else "")
-    return f"""WITH RECURSIVE symbols(word, place, token) USING KEY (word, place) AS (SELECT word, place, token FROM bytes UNION (WITH {pairs}, {_TOGETHER if together else _LEFTMOST}))
-    SELECT list(token ORDER BY place) FROM symbols WHERE token IS NOT NULL GROUP BY word ORDER BY word"""
+    return f"""WITH RECURSIVE symbols(key, token) USING KEY (key) AS (SELECT key, token FROM bytes UNION (
+        WITH {pairs}, {_TOGETHER if together else _LEFTMOST} SELECT key, merged FROM chosen UNION ALL SELECT next_key, NULL FROM chosen))
+    SELECT key, token FROM symbols WHERE token IS NOT NULL ORDER BY key"""
 
 
 class Codec:
@@ -77,64 +77,71 @@ class Codec:
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
         self._keep("merges", pa.table({"a": a, "b": b, "merged": merged, "alone": alone}))
         self._keep("vocabulary", pa.table({"id": pa.array(ranks.values(), pa.int32()), "piece": pa.array([t.decode("latin-1") for t in ranks], pa.string())}))
-        self.decimal = {rank: b"%d" % rank for rank in ranks.values()}
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.decimals = pa.array([str(i) for i in range(max(ranks.values()) + 1)], pa.string())
+        #: The number of each remembered word, and the lists of ids by number; the tokens that are words come first and stay.
+        whole = {t.decode(): rank for t, rank in ranks.items() if _is_text(t)}
+        self.tokens = {word: i for i, word in enumerate(whole)}
+        self.token_ids = pa.ListArray.from_arrays(pa.array(range(len(whole) + 1), pa.int32()), pa.array(whole.values(), pa.int32()))
+        self.known, self.known_ids = dict(self.tokens), self.token_ids
 
     def _keep(self, name: str, rows: pa.Table) -> None:
         self.db.register("_given", rows)
         self.db.execute(f"CREATE TABLE {name} AS FROM _given")
         self.db.unregister("_given")
 
-    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+    def merge_all(self, words: list[bytes]) -> pa.ListArray:
         """The ids of words of one byte or more. Words of like length share a query, so that all take about as many rounds."""
-        out: list[list[int]] = [[]] * len(words)
         order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        out = [pa.array([], pa.list_(pa.int32()))]
         for numbers in _parts(order, [len(words[i]) for i in order]):
             part = [words[i] for i in numbers]
             n = np.fromiter(map(len, part), np.int64, len(part))
-            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            rows = {"word": np.repeat(np.arange(len(part), dtype=np.int32), n), "place": place.astype(np.int32), "token": self.byte_tokens[np.frombuffer(b"".join(part), np.uint8)]}
-            self.db.register("bytes", pa.table(rows))
-            found = self.db.sql(_contract(together=len(part[0]) > LONG)).to_arrow_table().column(0).to_pylist()
+            word = np.repeat(np.arange(len(part)), n)
+            key = word << 32 | np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)
+            self.db.register("bytes", pa.table({"key": key, "token": self.byte_tokens[np.frombuffer(b"".join(part), np.uint8)]}))
+            found = self.db.sql(_contract(together=len(part[0]) > LONG)).to_arrow_table().combine_chunks()
             self.db.unregister("bytes")
-            for i, ids in zip(numbers, found, strict=True):
-                out[i] = ids
-        return out
+            ends = np.searchsorted(found.column(0).to_numpy() >> 32, np.arange(len(part) + 1))
+            out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found.column(1).combine_chunks()))
+        back = np.empty(len(words), np.int64)
+        back[order] = np.arange(len(words))
+        return pa.concat_arrays(out).take(pa.array(back))
 
-    def encode_all(self, whole: list[str]) -> list[list[int]]:
+    def encode_all(self, whole: list[str]) -> pa.ListArray:
         """The ids of many texts; the words that they have in common are merged once and together."""
         split = [self.find(x) for x in whole]
-        ids: dict[str, tuple[int, ...]] = {}
-        new: list[str] = []
-        for word in set(chain.from_iterable(split)):
-            found = self.known.get(word) or self.older.get(word)
-            if found is None:
-                rank = self.ranks.get(word.encode())
-                if rank is None:
-                    new.append(word)
-                    continue
-                found = (rank,)
-            ids[word] = found
-        ids.update(zip(new, map(tuple, self.merge_all([w.encode() for w in new])), strict=True))
-        fresh = [w for w in new if len(w) <= SHORT]
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.older, self.known = self.known, {}
-        self.known.update((w, ids[w]) for w in fresh[:REMEMBERED])
-        return [[*chain.from_iterable(map(ids.__getitem__, words))] for words in split]
-
-    def decode_all(self, ids: list[list[int] | None]) -> list[bytes]:
+        coded = pa.array(chain.from_iterable(split), pa.string()).dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        new = [w for w in words if w not in self.known]
+        if len(self.known) + len(new) > len(self.tokens) + REMEMBERED:
+            self.known, self.known_ids = dict(self.tokens), self.token_ids
+            new = [w for w in words if w not in self.known]
+        self.known.update((w, i) for i, w in enumerate(new, len(self.known)))
+        self.known_ids = pa.concat_arrays([self.known_ids, self.merge_all([w.encode() for w in new])])
+        number = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        ids = self.known_ids.take(pa.array(number[coded.indices.to_numpy()]))
+        starts = np.append(0, np.cumsum(ids.value_lengths().to_numpy()))[np.append(0, np.cumsum([len(x) for x in split])).astype(np.int64)]
+        return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), ids.flatten())
+
+    def decode_all(self, ids: pa.ListArray) -> list[bytes]:
         """The bytes of each list of ids, in order."""
-        flat = pa.array(ids, pa.list_(pa.int32())).flatten()
-        n = np.array([len(x or ()) for x in ids], np.int64)
+        n = ids.value_lengths().fill_null(0).to_numpy()
         row, place = np.repeat(np.arange(len(ids), dtype=np.int32), n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        self.db.register("tokens", pa.table({"row": row, "place": place.astype(np.int32), "id": flat}))
+        self.db.register("tokens", pa.table({"row": row, "place": place.astype(np.int32), "id": ids.flatten()}))
         content = "SELECT row, string_agg(piece, '' ORDER BY place) AS content FROM tokens JOIN vocabulary USING (id) GROUP BY row"
         found = self.db.sql(f"SELECT content FROM range({len(ids)}) r(row) LEFT JOIN ({content}) USING (row) ORDER BY row").to_arrow_table().column(0).to_pylist()
         self.db.unregister("tokens")
         return [(x or "").encode("latin-1") for x in found]
 
 
+def _is_text(token: bytes) -> bool:
+    try:
+        token.decode()
+        return True
+    except UnicodeDecodeError:
+        return False
+
+
 def _parts(numbers: list[int], sizes: list[int]) -> Iterator[list[int]]:
     """Runs of words for one query each, in order of rising size; short and long words are never in one."""
     start, total = 0, 0
@@ -171,7 +178,7 @@ def encode(docs: DataFrame, ranks: str | None = None, text: str = "text", key: s
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids = codec().encode_all([x.decode() for x in texts(batch.column(1))])
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], [key, "ids"])
+        return pa.RecordBatch.from_arrays([batch.column(0), ids], [key, "ids"])
 
     return map_batches(docs.select(F.col(key), F.col(text)), work, f"`{key}` {kind}, ids array<int>", text)
 
@@ -183,7 +190,7 @@ def decode(encoded: DataFrame, ranks: str | None = None, key: str = "doc_id") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            content = codec().decode_all(batch.column(1).to_pylist())
+            content = codec().decode_all(batch.column(1).cast(pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(content, pa.binary())], [key, "content"])
 
     return encoded.select(F.col(key), F.col("ids").cast("array<int>")).mapInArrow(run, f"`{key}` {kind}, content binary")
@@ -197,8 +204,8 @@ def digests(docs: DataFrame, ranks: str | None = None) -> DataFrame:
         c = codec()
         ids = c.encode_all([x.decode() for x in texts(batch.column(1))])
         sha = lambda x: hashlib.sha256(x).hexdigest()
-        joined = (b" ".join(map(c.decimal.__getitem__, x)) for x in ids)
-        columns = [batch.column(0), pa.array(map(len, ids), pa.int64()), pa.array(map(sha, joined), pa.string()), pa.array(map(sha, c.decode_all(ids)), pa.string())]
+        decimals = pc.binary_join(pa.ListArray.from_arrays(ids.offsets, c.decimals.take(ids.values)), " ")
+        columns = [batch.column(0), ids.value_lengths().cast(pa.int64()), pa.array((sha(x.encode()) for x in decimals.to_pylist()), pa.string()), pa.array(map(sha, c.decode_all(ids)), pa.string())]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
