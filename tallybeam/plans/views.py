@@ -24,14 +24,22 @@ def micros(ts):
 
 
 def triggers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read(spark, sf_dir, "events").filter(F.col("event_type").isin(*SENSOR))
+    return triggers_of(read(spark, sf_dir, "events"))
+
+
+def triggers_of(events: DataFrame) -> DataFrame:
+    e = events.filter(F.col("event_type").isin(*SENSOR))
     ifo = F.when(F.col("event_type") == "click", "H1").when(F.col("event_type") == "view", "L1").otherwise("V1")
     chisq = F.regexp_extract("props", "([0-9]+)", 1).cast("double")
     return e.select(ifo.alias("ifo"), micros(F.col("ts")).alias("gps_us"), (F.col("user_id") % 8).cast("string").alias("template_id"), F.col("value").alias("snr"), chisq.alias("chisq"), reduced_chisq(chisq).alias("rchisq"), new_snr(F.col("value"), chisq).alias("new_snr"), "event_id")
 
 
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read(spark, sf_dir, "events").filter("event_type = 'signup'")
+    return catalogue_of(read(spark, sf_dir, "events"))
+
+
+def catalogue_of(events: DataFrame) -> DataFrame:
+    e = events.filter("event_type = 'signup'")
     return e.select(F.concat(F.lit("EV"), F.col("event_id").cast("string")).alias("name"), micros(F.col("ts")).alias("cat_us"))
 
 
