@@ -653,4 +653,4 @@ def r04_event_blocks(spark, sf_dir):
     return b.select(F.unix_micros("window.start").alias("block_start_us"), "event_type", "n", "total")
 
 
-from tallybeam.plans import discovery, run_state  # noqa: E402, F401  they add their queries
+from tallybeam.plans import discovery, live, run_state  # noqa: E402, F401  they add their queries
