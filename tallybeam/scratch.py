@@ -5,11 +5,16 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _scratch: set[tuple[SparkSession, str]] = set()
+#: What the scope() at work has written.
+_inside: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("inside", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,6 +35,8 @@ def new_path(spark: SparkSession, name: str) -> str:
     if not _scratch:
         atexit.register(_delete_all)
     _scratch.add((spark, path))
+    if (own := _inside.get()) is not None:
+        own.append((spark, path))
     return path
 
 
@@ -41,6 +48,20 @@ def delete(spark: SparkSession, path: str) -> None:
     _scratch.discard((spark, path))
 
 
+@contextmanager
+def scope() -> Iterator[None]:
+    """Delete at the end what this thread wrote to new paths inside; nothing that is read later may depend on it."""
+    token = _inside.set([])
+    try:
+        yield
+    finally:
+        own = _inside.get()
+        _inside.reset(token)
+        for spark, path in own:
+            if (spark, path) in _scratch:
+                delete(spark, path)
+
+
 def _delete_all() -> None:
     for spark, path in list(_scratch):
         try:

@@ -7,20 +7,24 @@ calls it block by block, forward or backward over gaps, until it is asked to sto
 from __future__ import annotations
 
 import dataclasses
+import json
 import time
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tallybeam.config import Config
 from tallybeam.functions import scalars as S
 from tallybeam.operators import background, bank, candidates, coincidence, ranking, signal
 from tallybeam.operators.intervals import nearest
-from tallybeam.scratch import materialise
+from tallybeam.scratch import materialise, scope
 from tallybeam.sources import series as series_files
 from tallybeam.sources.frames import RUNS, Ranges
 from tallybeam.sources.state import TABLES, State, write_candidates
+from tallybeam.streaming import loop
 from tallybeam.streaming.loop import stop_requested
 
 
@@ -73,53 +77,85 @@ def block_states(clean: DataFrame, ifos: list[str]) -> DataFrame:
     return seen.select("block_us", status.alias("status"), error.alias("error"))
 
 
-def run_search(spark: SparkSession, series: DataFrame, cfg: Config, root: str, catalogue: DataFrame | None = None) -> DataFrame:
+class Run:
+    """A search of any number of parts (blocks, or batches of a stream): one run in the state, one bank, one place to write to.
+
+    Each part's outputs and states have paths of their own, so a part that is searched again, after a failure, replaces what it wrote before. number: the run that goes on, else a new one.
+    """
+
+    def __init__(self, spark: SparkSession, cfg: Config, root: str, number: int | None = None):
+        self.spark, self.cfg, self.root, self.state, now = spark, cfg, root, State(spark, f"{root}/state"), time.time()
+        self.number = number or int(now * 1000)
+        if number is None:
+            self.state.append("runs", spark.createDataFrame([(self.number, now, cfg.hash(), None)], TABLES["runs"]))
+
+    @cached_property
+    def waves(self) -> list[signal.Template]:
+        return templates(self.spark, self.cfg)
+
+    def kept(self, df: DataFrame, name: str, part: str) -> DataFrame:
+        path = f"{self.root}/{name}/run={self.number}/part={part}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def log(self, blocks: DataFrame, part: str, status: Column, error: Column) -> None:
+        """Rows of block_us as blocks of the part with a status; the kind of status is a path of its own, so that a later one doesn't replace it."""
+        start, number = F.col("block_us") / 1e6, self.state.number("block_us")
+        rows = blocks.select(
+            number.alias("id"), F.lit(self.number).alias("run_id"), F.lit(",".join(self.cfg.runtime.ifos)).alias("ifos"), start.alias("gps_start"), (start + self.cfg.runtime.block_s).alias("gps_end"),
+            status.alias("status"), error.cast("string").alias("error"), F.lit(time.time()).alias("created_at"),
+        )
+        self.state.put("blocks", rows, f"run={self.number}/{part}")
+
+    def gap(self, start_s: float, error: str = "no data") -> None:
+        rows = self.spark.range(1).select(F.lit(micros(start_s)).alias("block_us"))
+        self.log(rows, f"part={micros(start_s)}/end", F.lit("gap"), F.lit(error))
+
+    def finish(self) -> None:
+        """Write the candidates of all parts as JSON lines and CSV."""
+        path = f"{self.root}/candidates/run={self.number}"
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        if where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+            write_candidates(self.spark.read.option("mergeSchema", True).parquet(path).drop("part"), f"{self.root}/output", self.cfg.to_json())
+
+
+def run_search(spark: SparkSession, series: DataFrame, cfg: Config, root: str, catalogue: DataFrame | None = None, run: Run | None = None, part: str = "all") -> DataFrame:
     """Candidates, de-duplicated and ranked; state tables and outputs are written under root.
 
     series has one row per sensor and block (series_id, ifo, t0_us, arr, and block_us where padded series start before their block), catalogue has (name, cat_us). A block that lacks a sensor is recorded as a gap, one of
     gaps only as skipped, and neither is searched; a failure is recorded for the blocks at work before it is raised. A search for pairs takes all pairs of
-    sensors, and the first two make the background; one for triples slides the second and third.
+    sensors, and the first two make the background; one for triples slides the second and third. run: the search that this is a part of, else one of its own.
     """
-    state, now = State(spark, f"{root}/state"), time.time()
-    run_id = int(now * 1000)
-    state.append("runs", spark.createDataFrame([(run_id, now, cfg.hash(), None)], TABLES["runs"]))
-    ifos, r = list(cfg.runtime.ifos), cfg.runtime
+    whole = run is None
+    run = run or Run(spark, cfg, root)
+    state, ifos = run.state, list(cfg.runtime.ifos)
     if "block_us" not in series.columns:
         series = series.withColumn("block_us", F.col("t0_us"))
-    start = F.col("block_us") / 1e6
-
-    def log(blocks: DataFrame, status, error) -> None:
-        state.append("blocks", blocks.select(
-            state.number("block_us").alias("id"), F.lit(run_id).alias("run_id"), F.lit(",".join(ifos)).alias("ifos"), start.alias("gps_start"), (start + r.block_s).alias("gps_end"),
-            status.alias("status"), error.cast("string").alias("error"), F.lit(time.time()).alias("created_at"),
-        ))
-
-    blocks = materialise(series.select("block_us").distinct(), "blocks")
-    log(blocks, F.lit("processing"), F.lit(None))
-    state.progress(run_id, "init", 0.0)
-    try:
-        clean = materialise(conditioned(series, cfg), "conditioned")
-        states = materialise(block_states(clean, ifos), "block-states")
-        state.progress(run_id, "conditioned", 0.2)
-        best = _candidates(spark, clean.join(states.filter("status = 'done'").select("block_us"), "block_us", "left_semi"), cfg, root, run_id, states, state, catalogue)
-    except Exception as e:
-        log(blocks, F.lit("error"), F.lit(str(e)[:4000]))
-        state.progress(run_id, "error", 1.0, str(e)[:4000])
-        raise
-    log(states, F.col("status"), F.col("error"))
-    state.progress(run_id, "done", 1.0)
+    with scope():
+        blocks = materialise(series.select("block_us").distinct(), "blocks")
+        run.log(blocks, f"part={part}/begin", F.lit("processing"), F.lit(None))
+        state.progress(run.number, "init", 0.0)
+        try:
+            clean = materialise(conditioned(series, cfg), "conditioned")
+            states = materialise(block_states(clean, ifos), "block-states")
+            state.progress(run.number, "conditioned", 0.2)
+            best = _candidates(run, part, clean.join(states.filter("status = 'done'").select("block_us"), "block_us", "left_semi"), states, catalogue)
+        except Exception as e:
+            run.log(blocks, f"part={part}/end", F.lit("error"), F.lit(str(e)[:4000]))
+            state.progress(run.number, "error", 1.0, str(e)[:4000])
+            raise
+        run.log(states, f"part={part}/end", F.col("status"), F.col("error"))
+    state.progress(run.number, "done", 1.0)
+    if whole:
+        run.finish()
     return best
 
 
-def _candidates(spark: SparkSession, clean: DataFrame, cfg: Config, root: str, run_id: int, states: DataFrame, state: State, catalogue: DataFrame | None) -> DataFrame:
+def _candidates(run: Run, part: str, clean: DataFrame, states: DataFrame, catalogue: DataFrame | None) -> DataFrame:
+    spark, cfg, state = run.spark, run.cfg, run.state
     ifos, b, r = list(cfg.runtime.ifos), cfg.background, cfg.runtime
-
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{root}/{name}/run={run_id}")
-        return spark.read.schema(df.schema).parquet(f"{root}/{name}/run={run_id}")
-
-    triggers = kept(find_triggers(clean, cfg, templates(spark, cfg)), "triggers")  # the kernels run once
-    state.progress(run_id, "triggers", 0.7)
+    triggers = run.kept(find_triggers(clean, cfg, run.waves), "triggers", part)  # the kernels run once
+    state.progress(run.number, "triggers", 0.7)
     near = windows(cfg)
     pairs = coincidence.all_pairs(triggers, ifos, near, same_template=b.same_template)
     loud = pairs.filter(F.col("network_stat") > b.excise_above).select(F.col("gps_us").alias("loud_us"))
@@ -142,7 +178,7 @@ def _candidates(spark: SparkSession, clean: DataFrame, cfg: Config, root: str, r
         n_slides = 2 * b.slides
     else:
         raise ValueError(f"unknown network: {r.network}")
-    slid = kept(slid, "background")
+    slid = run.kept(slid, "background", part)
     ranked = ranking.with_far(found, slid, float(n_slides * span_s))
     sides = [c.removeprefix("event_id_") for c in found.columns if c.startswith("event_id_")]
     best = candidates.deduplicate(ranked, micros(r.dedup_s)).withColumn("id", F.xxhash64(*(f"event_id_{x}" for x in sides)))
@@ -151,15 +187,16 @@ def _candidates(spark: SparkSession, clean: DataFrame, cfg: Config, root: str, r
     else:
         best = best.withColumn("known_event", F.lit(None).cast("string"))
     quality = S.mean_rchisq(F.create_map(*(c for x in sides for c in (F.lit(x), F.col(f"rchisq_{x}")))))
-    best = kept(best.withColumn("detchar_rank", S.detchar_rank(F.col("network_stat"), quality)).withColumn("config_hash", F.lit(cfg.hash())), "candidates")
-    state.progress(run_id, "background", 0.8)
-
-    write_candidates(best, f"{root}/output", cfg.to_json())
+    c, g = cfg.conditioning, cfg.gating
+    settings = {"gating": F.to_json(F.struct(*(F.lit(v).alias(k) for k, v in dataclasses.asdict(g).items()))), "conditioning": F.to_json(F.struct(*(F.lit(getattr(c, k)).alias(k) for k in ("rate", "highpass", "low_frequency", "segment_s")))), "notches": F.lit(json.dumps(c.notches))}
+    best = best.withColumn("detchar_rank", S.detchar_rank(F.col("network_stat"), quality)).withColumn("config_hash", F.lit(cfg.hash())).withColumn("bank_hash", F.lit(bank.content_hash([dataclasses.asdict(w) for w in run.waves])))
+    best = run.kept(best.withColumns(settings), "candidates", part)
+    state.progress(run.number, "background", 0.8)
     seconds = (F.col("gps_us") / 1e6).alias("gps")
     payload = F.to_json(F.struct(*best.columns)).alias("payload")
-    state.append("candidates", best.select("id", F.lit(run_id).alias("run_id"), seconds, "ifos", "template_id", "network_stat", F.col("far_hz").alias("far"), "ifar_days", payload, F.lit(time.time()).alias("created_at")))
+    state.put("candidates", best.select("id", F.lit(run.number).alias("run_id"), seconds, "ifos", "template_id", "network_stat", F.col("far_hz").alias("far"), "ifar_days", payload, F.lit(time.time()).alias("created_at")), f"run={run.number}/part={part}")
     rate = ranking.rate(slid, n_slides / 2, span_s)
-    state.append("background", rate.select(F.lit(run_id).alias("id"), F.lit(run_id).alias("run_id"), F.lit(b.spacing_s).alias("slide"), F.col("far_hz").alias("far"), F.to_json(F.struct("*")).alias("payload"), F.lit(time.time()).alias("created_at")))
+    state.put("background", rate.select(F.lit(run.number).alias("id"), F.lit(run.number).alias("run_id"), F.lit(b.spacing_s).alias("slide"), F.col("far_hz").alias("far"), F.to_json(F.struct("*")).alias("payload"), F.lit(time.time()).alias("created_at")), f"run={run.number}/part={part}")
     return best
 
 
@@ -227,34 +264,62 @@ def blocks_to_search(
 
 
 def search_blocks(spark: SparkSession, blocks: Iterator[tuple[float, float, str]], series_of: Callable[[float, float], DataFrame], cfg: Config, root: str, catalogue: DataFrame | None = None) -> int:
-    """run_search() over the series of each block with data; gaps are recorded. Returns the number of blocks searched."""
-    state, searched = State(spark, f"{root}/state"), 0
+    """run_search() over the series of each block with data, all as one run; gaps are recorded. Returns the number of blocks searched."""
+    run, searched = None, 0
     for start, end, status in blocks:
+        run = run or Run(spark, cfg, root)
         if status == "data":
-            run_search(spark, series_of(start, end), cfg, root, catalogue)
+            run_search(spark, series_of(start, end), cfg, root, catalogue, run, str(micros(start)))
             searched += 1
         else:
-            row = (time.time_ns(), 0, ",".join(cfg.runtime.ifos), start, end, "gap", "no data", time.time())
-            state.append("blocks", spark.createDataFrame([row], TABLES["blocks"]))
+            run.gap(start)
+    if run:
+        run.finish()
     return searched
 
 
+def _series_columns(found: DataFrame) -> DataFrame:
+    """Blocks of series files as run_search() takes them."""
+    return found.select(F.xxhash64("file", "block_start").alias("series_id"), "ifo", (F.col("read_start") * 1_000_000).alias("t0_us"), (F.col("block_start") * 1_000_000).alias("block_us"), "arr")
+
+
+def follow(spark: SparkSession, folder: str, cfg: Config, root: str, checkpoint: str, catalogue: DataFrame | None = None, poll: str | None = None) -> StreamingQuery:
+    """The search over a folder of series files as a stream: each micro-batch takes the blocks that all sensors have reached since the one before, and is a part of one run.
+
+    The checkpoint knows the blocks that were searched, and the state the run that belongs to it, so a restart goes on with both; a batch that is searched again replaces what
+    it wrote. Once over what is there, or for ever if `poll` names an interval.
+    """
+    ifos, state = list(cfg.runtime.ifos), State(spark, f"{root}/state")
+    held = state.get_value(f"run of {checkpoint}")
+    run = Run(spark, cfg, root, int(held) if held else None)
+    if not held:
+        state.set_value(f"run of {checkpoint}", str(run.number))
+
+    def each(batch: DataFrame, number: int) -> None:
+        with scope():
+            series = materialise(_series_columns(batch.filter(F.col("ifo").isin(*ifos))), "batch")
+            if not series.isEmpty():
+                run_search(spark, series, cfg, root, catalogue, run, f"batch-{number}")
+
+    return loop.run(series_files.stream(spark, folder, int(cfg.runtime.block_s), ifos), each, checkpoint, poll)
+
+
 def search_folder(spark: SparkSession, folder: str, cfg: Config, root: str, catalogue: DataFrame | None = None, wait: Callable[[float], None] = time.sleep) -> int:
     """The search over a folder of series files, as the configuration says: where to start, forward or backward, following new files or not, until the stop file is there. Returns the number of blocks searched.
 
-    Forward without following it takes one block. The listing, a row a file, is the control loop's and is read again when it waits.
+    A backward search resumes by itself where there is state, and stops at the start of the first run unless told otherwise. Forward without following it takes one block. The listing, a row a file, is the control loop's and is read again when it waits.
     """
     r, state, ifos = cfg.runtime, State(spark, f"{root}/state"), list(cfg.runtime.ifos)
     block_s = int(r.block_s)
 
-    def listing() -> tuple[dict[str, Ranges], Ranges]:
-        """Each sensor's ranges, and those of the first sensor that overlap one of every other."""
-        found = series_files.files(folder)
+    def listing() -> tuple[list, dict[str, Ranges], Ranges]:
+        """The files, each sensor's ranges, and those of the first sensor that overlap one of every other."""
+        found = series_files.files(folder, whole=True)
         every = {ifo: Ranges((a, b) for _, x, a, b in found if x == ifo) for ifo in ifos}
         first = ((a, b) for _, x, a, b in found if x == ifos[0])
-        return every, Ranges(f for f in first if all(every[ifo].meets(*f) for ifo in ifos[1:]))
+        return found, every, Ranges(f for f in first if all(every[ifo].meets(*f) for ifo in ifos[1:]))
 
-    held, joint = listing()
+    listed, held, joint = listing()
 
     def has_data(start: float, end: float) -> bool:
         return all(held[ifo].holds(start, end) for ifo in ifos)
@@ -263,20 +328,23 @@ def search_folder(spark: SparkSession, folder: str, cfg: Config, root: str, cata
         return joint.latest_end(before)
 
     def refresh() -> None:
-        nonlocal held, joint
+        nonlocal listed, held, joint
         wait(r.poll_s)
-        held, joint = listing()
+        listed, held, joint = listing()
 
     latest = held[ifos[0]].latest_end(float("inf"))
-    start = resume_from(state, latest, r.lookback_s, r.start_mode, r.start_s, r.direction)
+    backward = r.direction == "backward"
+    mode = "resume" if backward and r.start_mode == "latest" and state.read("blocks").limit(1).count() else r.start_mode  # a backward search goes on where one was
+    start = resume_from(state, latest, r.lookback_s, mode, r.start_s, r.direction)
+    stop_s = r.backward_stop_s if r.backward_stop_s is not None else min(a for _, a, _ in RUNS)
     stop = lambda: bool(r.stop_file) and stop_requested(spark, r.stop_file)
     run_end = lambda t: max((e for _, _, e in RUNS if e < t), default=None)
     end = None if r.follow else start + r.block_s
-    blocks = blocks_to_search(start, r.block_s, has_data, r.direction, previous_end, run_end, r.backward_stop_s, end, r.follow, refresh, stop)
+    blocks = blocks_to_search(start, r.block_s, has_data, r.direction, previous_end, run_end, stop_s, end, r.follow, refresh, stop)
 
     def series_of(a: float, b: float) -> DataFrame:
-        found = series_files.read(spark, folder, block_s, start=int(a)).filter(F.col("ifo").isin(*ifos))
-        return found.select(F.xxhash64("file", "block_start").alias("series_id"), "ifo", (F.col("read_start") * 1_000_000).alias("t0_us"), (F.col("block_start") * 1_000_000).alias("block_us"), "arr")
+        found = series_files.read(spark, folder, block_s, start=int(a), only=[path for path, x, s, e in listed if x in ifos and s <= a and b <= e])
+        return _series_columns(found.filter(F.col("ifo").isin(*ifos)))
 
     return search_blocks(spark, blocks, series_of, cfg, root, catalogue)
 

@@ -11,17 +11,18 @@ without any is an error, unless errors are to give null series.
 
 from __future__ import annotations
 
+import json
 import posixpath
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual
 from pyspark.sql.types import StructType
 
 from tallybeam.sources.frames import LEAST_S, MOST_S, PAD_S
@@ -75,6 +76,7 @@ class SeriesReader(DataSourceReader):
         self.path, self.columns = options["path"], schema.names
         self.block_s, self.strict = int(options.get("block_s", BLOCK_S)), options.get("errors", "raise") == "raise"
         self.start = int(options["start"]) if "start" in options else None
+        self.only = json.loads(options["only"]) if "only" in options else None
         self.tests: list[tuple[str, str, object]] = []
 
     def pushFilters(self, filters: list[Filter]):
@@ -92,16 +94,24 @@ class SeriesReader(DataSourceReader):
         return all(test[sign](row[c], v) for c, sign, v in self.tests if c in row)
 
     def partitions(self) -> list[Blocks]:
-        fs, path = pafs.FileSystem.from_uri(self.path)
+        def asked(start: int, end: int) -> list[int]:
+            found = range(start, end, self.block_s) if self.start is None else [self.start] if start <= self.start and self.start + self.block_s <= end else []
+            return [b for b in found if self.wanted(block_start=b, block_end=min(b + self.block_s, end))]
+
+        return self.planned(asked)
+
+    def listed(self) -> list[tuple[str, str, int, int]]:
+        """(path, sensor, start, end) of the files, or of those that the option `only` names, without looking for others."""
+        if self.only is None:
+            return [f for f in files(self.path, whole=True) if self.wanted(ifo=f[1])]
+        return [(path, m[1], int(m[2]), int(m[2]) + int(m[3])) for path in self.only if (m := NAME.match(posixpath.basename(path))) and self.wanted(ifo=m[1])]
+
+    def planned(self, asked: Callable[[int, int], list[int]]) -> list[Blocks]:
+        """Runs of neighbouring blocks of each file, of those that asked(file's start, end) names, SPLIT_S seconds a task."""
         out: list[list[tuple]] = []
         room = 0
-        for info in sorted(fs.get_file_info(pafs.FileSelector(path, recursive=True)), key=lambda i: i.path):
-            m = NAME.match(posixpath.basename(info.path))
-            if info.type != pafs.FileType.File or not m or not self.wanted(ifo=m[1]):
-                continue
-            start, end = int(m[2]), int(m[2]) + int(m[3])
-            asked = range(start, end, self.block_s) if self.start is None else [self.start] if start <= self.start and self.start + self.block_s <= end else []
-            blocks = [b for b in asked if self.wanted(block_start=b, block_end=min(b + self.block_s, end))]
+        for path, ifo, start, end in sorted(self.listed()):
+            blocks = asked(start, end)
             while blocks:
                 n = 1
                 while n < len(blocks) and blocks[n] == blocks[0] + n * self.block_s and n * self.block_s < SPLIT_S:
@@ -109,7 +119,7 @@ class SeriesReader(DataSourceReader):
                 if not out or room <= 0:
                     out.append([])
                     room = SPLIT_S
-                out[-1].append((info.path, m[1], start, end, blocks[0], min(blocks[n - 1] + self.block_s, end)))
+                out[-1].append((path, ifo, start, end, blocks[0], min(blocks[n - 1] + self.block_s, end)))
                 room -= n * self.block_s
                 blocks = blocks[n:]
         return [Blocks(runs) for runs in out]
@@ -137,8 +147,37 @@ class SeriesReader(DataSourceReader):
         return pa.RecordBatch.from_arrays([pa.array([row[c]], kinds.get(c, pa.string())) for c in self.columns], self.columns)
 
 
+class SeriesStreamReader(SeriesReader, DataSourceStreamReader):
+    """Blocks as their files arrive. An offset is the time up to which all sensors (the option `sensors`, else all that the folder has) have files; a micro-batch takes the blocks of all sensors that end
+    after the offset before and not after its own.
+
+    The folder is listed once for each micro-batch. Files of a sensor must come in the order of time: a block that ends before an offset that has passed is not read any more.
+    """
+
+    def __init__(self, options: dict[str, str], schema: StructType):
+        SeriesReader.__init__(self, options, schema)
+        self.sensors = [x for x in options.get("sensors", "").split(",") if x]
+
+    def initialOffset(self) -> dict:
+        return {"end": -1}
+
+    def latestOffset(self) -> dict:
+        ends: dict[str, int] = dict.fromkeys(self.sensors, -1)
+        for _, ifo, _, end in self.listed():
+            if not self.sensors or ifo in ends:
+                ends[ifo] = max(ends.get(ifo, -1), end)
+        return {"end": min(ends.values(), default=-1)}
+
+    def partitions(self, start: dict, end: dict) -> list[Blocks]:
+        new = lambda b, stop: start["end"] < min(b + self.block_s, stop) <= end["end"]
+        return self.planned(lambda a, stop: [b for b in range(a, stop, self.block_s) if new(b, stop)])
+
+    def commit(self, end: dict) -> None:
+        pass
+
+
 class SeriesSource(DataSource):
-    """spark.read.format("series").load(folder); options block_s, start (only the block that begins there, of each file that holds it whole), and errors ("raise" or "null")."""
+    """spark.read.format("series").load(folder), or readStream; options block_s, start (only the block that begins there, of each file that holds it whole), only (JSON list of paths of files, so the folder isn't listed), errors ("raise" or "null"), and sensors of a stream."""
 
     @classmethod
     def name(cls) -> str:
@@ -150,22 +189,34 @@ class SeriesSource(DataSource):
     def reader(self, schema: StructType) -> SeriesReader:
         return SeriesReader(dict(self.options), schema)
 
+    def streamReader(self, schema: StructType) -> SeriesStreamReader:
+        return SeriesStreamReader(dict(self.options), schema)
 
-def files(folder: str) -> list[tuple[str, str, int, int]]:
-    """(file, sensor, start, end) of the series files in a folder (a URI), in order of start."""
+
+def files(folder: str, whole: bool = False) -> list[tuple[str, str, int, int]]:
+    """(file, sensor, start, end) of the series files in a folder (a URI), in order of start; whole: with their paths."""
     fs, path = pafs.FileSystem.from_uri(folder)
-    found = [(m, posixpath.basename(i.path)) for i in fs.get_file_info(pafs.FileSelector(path, recursive=True)) if (m := NAME.match(posixpath.basename(i.path)))]
-    return sorted(((name, m[1], int(m[2]), int(m[2]) + int(m[3])) for m, name in found), key=lambda f: (f[2], f[0]))
+    infos = fs.get_file_info(pafs.FileSelector(path, recursive=True))
+    found = [(m, i.path) for i in infos if i.type == pafs.FileType.File and (m := NAME.match(posixpath.basename(i.path)))]
+    return sorted(((place if whole else posixpath.basename(place), m[1], int(m[2]), int(m[2]) + int(m[3])) for m, place in found), key=lambda f: (f[2], f[0]))
 
 
-def read(spark: SparkSession, folder: str, block_s: int = BLOCK_S, errors: str = "raise", schema: str = SCHEMA, start: int | None = None) -> DataFrame:
-    """Blocks of the series files in a folder (a URI), or the one that begins at `start` of each sensor. spark.sql.python.filterPushdown.enabled is set, so that predicates reach the source."""
+def read(spark: SparkSession, folder: str, block_s: int = BLOCK_S, errors: str = "raise", schema: str = SCHEMA, start: int | None = None, only: list[str] | None = None) -> DataFrame:
+    """Blocks of the series files in a folder (a URI), or the one that begins at `start` of each sensor; only: paths of the files to look at. spark.sql.python.filterPushdown.enabled is set, so that predicates reach the source."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(SeriesSource)
     rows = spark.read.format("series").schema(schema).option("block_s", block_s).option("errors", errors)
+    if only is not None:
+        rows = rows.option("only", json.dumps(only))
     return (rows if start is None else rows.option("start", start)).load(folder)
 
 
+def stream(spark: SparkSession, folder: str, block_s: int = BLOCK_S, sensors: Sequence[str] = (), errors: str = "raise") -> DataFrame:
+    """Blocks of the series files in a folder (a URI) as a stream, once all of the sensors have reached them."""
+    spark.dataSource.register(SeriesSource)
+    return spark.readStream.format("series").schema(SCHEMA).option("block_s", block_s).option("errors", errors).option("sensors", ",".join(sensors)).load(folder)
+
+
 def write(rows: DataFrame, folder: str) -> DataFrame:
     """file, bytes: one series file for each row (ifo, tag, start, duration, channel, arr), written whole or not at all (store())."""
     from tallybeam.sources.store import store

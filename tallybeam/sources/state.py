@@ -30,11 +30,16 @@ class State:
         names = [c.split(" ")[0] for c in TABLES[table].split(", ")]
         rows.select(*names).write.mode("append").parquet(f"{self.root}/{table}")
 
+    def put(self, table: str, rows: DataFrame, part: str) -> None:
+        """Rows of one part of a run, such as a block's; written again, they replace what the part wrote before."""
+        names = [c.split(" ")[0] for c in TABLES[table].split(", ")]
+        rows.select(*names).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/{table}/{part}")
+
     def read(self, table: str) -> DataFrame:
         where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
         if not where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
             return self.spark.createDataFrame([], TABLES[table])
-        return self.spark.read.schema(TABLES[table]).parquet(f"{self.root}/{table}")
+        return self.spark.read.schema(TABLES[table]).option("recursiveFileLookup", True).parquet(f"{self.root}/{table}")
 
     def number(self, *columns: str) -> Column:
         """Ids for rows that are appended now: they rise with the clock, so a block's latest row has its largest id; a hash of the columns tells rows of one moment apart."""
@@ -79,6 +84,7 @@ def status_counts(blocks: DataFrame) -> DataFrame:
     )
 
 
+#: The names of the columns of status().
 def status(runs: DataFrame, blocks: DataFrame, candidates: DataFrame, background: DataFrame) -> DataFrame:
     """One row about the latest run: its id, start and configuration, blocks by status, candidates, backgrounds and latest times; zeros and nulls without a run."""
     latest = runs.agg(F.max(F.struct("started_at", "id", "config_hash")).alias("r")).select(F.col("r.id").alias("latest_run_id"), F.col("r.started_at").alias("latest_run_started_at"), F.col("r.config_hash").alias("latest_run_config_hash"))

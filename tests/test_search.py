@@ -152,3 +152,70 @@ def test_search_of_a_folder(spark, tmp_path):
     triggers = spark.read.parquet(f"{root}/triggers")
     assert triggers.count() == 0 or triggers.agg({"gps_us": "min"}).first()[0] >= 1_000_000_000
     assert len([*(tmp_path / "banks").iterdir()]) == 1
+
+
+def test_a_search_that_follows_files_is_one_run(spark, tmp_path):
+    """Files come between batches and restarts: every block is read once, a repeated batch replaces itself, and all parts are one run."""
+    from tallybeam.scratch import _scratch
+    from tallybeam.search import Run, _series_columns, follow
+    from tallybeam.sources import series as files
+
+    rate, rng = 64.0, np.random.default_rng(9)
+    (tmp_path / "in").mkdir()
+    folder, root, checkpoint = (f"file://{tmp_path}/{x}" for x in ("in", "out", "checkpoint"))
+    cfg = Config.of({
+        "conditioning": {"rate": rate, "highpass": 4.0, "segment_s": 4.0}, "bank": {"method": "grid", "mass1": [118.0, 122.0], "mass2": [98.0, 102.0], "mismatch": 0.4, "f_lower": 8.0},
+        "background": {"slides": 2, "spacing_s": 0.5, "window_s": 0.05}, "runtime": {"threshold": 5.0, "block_s": 128.0, "cluster_s": 0.5},
+    })
+
+    def arrive(ifo, start, duration):
+        np.savez(tmp_path / "in" / files.file_name(ifo, "GWOSC_4KHZ_R1", start, duration), **{f"{ifo}:GWOSC-4KHZ_R1_STRAIN": rng.normal(size=int(duration * rate))})
+
+    def go():
+        follow(spark, folder, cfg, root, checkpoint).awaitTermination()
+        state = State(spark, f"{root}/state")
+        return state, {r.gps_start: r.status for r in current_blocks(state.read("blocks")).collect()}
+
+    before = set(_scratch)
+    arrive("H1", 1000, 256)
+    assert go()[1] == {}  # the other sensor has not come yet
+    arrive("L1", 1000, 128)
+    assert go()[1] == {1000.0: "done"}
+    arrive("L1", 1128, 128)
+    arrive("H1", 1512, 128)
+    arrive("L1", 1512, 128)
+    arrive("V1", 5000, 128)
+    want = {1000.0: "done", 1128.0: "done", 1512.0: "done"}
+    assert go()[1] == want and go()[1] == want  # the last one finds nothing new
+    state = State(spark, f"{root}/state")
+    rows = state.read("blocks").collect()
+    assert {r.run_id for r in rows} == {r.id for r in state.read("runs").collect()} and state.read("runs").count() == 1
+    assert sorted(r.status for r in rows) == ["done"] * 3 + ["processing"] * 3
+    # A part that is searched again replaces its rows.
+    run = Run(spark, cfg, root, rows[0].run_id)
+    n = [state.read(t).count() for t in ("blocks", "candidates", "background")]
+    one = files.read(spark, folder, 128, start=1000, only=[p for p, _, s, _ in files.files(folder, whole=True) if s == 1000])
+    parts = sorted(x.name.removeprefix("part=") for x in (tmp_path / "out" / "state" / "blocks" / f"run={run.number}").iterdir())
+    run_search(spark, _series_columns(one), cfg, root, None, run, parts[0])
+    assert [state.read(t).count() for t in ("blocks", "candidates", "background")] == n
+    assert set(_scratch) == before  # nothing is left in the shared folder
+
+
+def test_backward_searches_resume_and_stop_by_themselves(spark, tmp_path):
+    from tallybeam.sources import series as files
+    from tallybeam.sources.frames import RUNS
+
+    rate, first = 64.0, int(min(a for _, a, _ in RUNS))
+    (tmp_path / "in").mkdir()
+    for ifo in ("H1", "L1"):
+        np.savez(tmp_path / "in" / files.file_name(ifo, "GWOSC_4KHZ_R1", first - 128, 384), **{f"{ifo}:GWOSC-4KHZ_R1_STRAIN": np.random.default_rng(4).normal(size=int(384 * rate))})
+    cfg = Config.of({
+        "conditioning": {"rate": rate, "highpass": 4.0, "segment_s": 4.0}, "bank": {"method": "grid", "mass1": [118.0, 122.0], "mass2": [98.0, 102.0], "mismatch": 0.4, "f_lower": 8.0},
+        "background": {"slides": 2, "spacing_s": 0.5, "window_s": 0.05}, "runtime": {"threshold": 5.0, "block_s": 128.0, "cluster_s": 0.5, "direction": "backward"},
+    })
+    folder, root = f"file://{tmp_path}/in", f"file://{tmp_path}/out"
+    assert search_folder(spark, folder, cfg, root) == 2  # down to the start of the first run
+    assert search_folder(spark, folder, cfg, root) == 0  # and no further
+    state = State(spark, f"{root}/state")
+    runs = {r.run_id for r in state.read("blocks").collect()}
+    assert len(runs) == 1 and state.read("runs").count() == 1
