@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybeam.functions.scalars import network_stat
+from tallybeam.operators import ranks
 from tallybeam.operators.coincidence import side
 from tallybeam.operators.intervals import range_join
-from tallybeam.scratch import materialise, running
+from tallybeam.scratch import materialise
 
 
 #: Pairs of a subset at least.
@@ -99,16 +100,18 @@ def excise(triggers: DataFrame, loud: DataFrame, half_width_us: int) -> DataFram
 def count_louder(foreground: DataFrame, background: DataFrame, stat: str = "network_stat") -> DataFrame:
     """foreground with n_louder (background rows of a statistic >= its own) and n_background.
 
-    Both sides are evaluated and written once, laid on one line of falling statistics, and summed by ranges of it (running()), so neither is broadcast or
-    gathered in one task; rows of one value spread by their numbers. Null and NaN background values are louder than
-    nothing but belong to n_background; a null or NaN foreground value has n_louder 0.
+    The foreground's rows are written once. If they have few different values (ranks.MOST_ASKED at most), the background passes by a sorted array of them and leaves
+    counts only; otherwise its values are counted and written, and both meet range by range (operators.ranks). Either way rows get their ranks by an
+    equality join, and equal values need no order. Null and NaN background values are louder than nothing but belong to n_background; a null or NaN foreground value has n_louder 0.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in foreground.columns])
     value = F.when(F.isnan(stat), None).otherwise(F.col(stat)).cast("double")
-    line = background.select(value.alias("_s"), F.lit(1).alias("_n"))
-    line = line.unionByName(foreground.select(value.alias("_s"), F.lit(0).alias("_n"), row.alias("_row")), allowMissingColumns=True)
-    line = materialise(line.withColumn("_i", F.monotonically_increasing_id()), "line")
-    # At equal values background comes first.
-    line = running(line, [F.col("_s").desc_nulls_last(), F.col("_n").desc(), F.col("_i")], {"_louder": "_n"}, totals={"n_background": "_n"})
-    counted = line.filter("_n = 0")
-    return counted.select("_row.*", F.when(F.col("_s").isNull(), 0).otherwise(F.col("_louder")).cast("long").alias("n_louder"), F.col("n_background").cast("long").alias("n_background"))
+    rows = materialise(foreground.select(F.struct(*[F.col(f"`{c}`") for c in foreground.columns]).alias("_row"), value.alias("_v")), "foreground")
+    asked = rows.select(F.col("_v").alias("v")).filter("v is not null").distinct()
+    few = asked.count() <= ranks.MOST_ASKED
+    heard = background.select(value.alias("v"))
+    counts = materialise(ranks.slots(heard, asked) if few else heard.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "louder")
+    n_background = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    numbers = counts.filter("v is not null")
+    found = ranks.at_least(numbers, asked, ranks.bounds(numbers))
+    out = rows.join(found, F.col("_v") == F.col("v"), "left")
+    return out.select("_row.*", F.coalesce("louder", F.lit(0)).cast("long").alias("n_louder"), F.lit(n_background).cast("long").alias("n_background"))

@@ -6,13 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybeam.functions import scalars as S
+from tallybeam.operators import ranks
 from tallybeam.operators.background import count_louder
-from tallybeam.scratch import materialise, running
+from tallybeam.scratch import materialise, release, running
 
 
 def summary(background: DataFrame, stat: str = "network_stat") -> DataFrame:
-    """One row: n, loudest (0 if none), median."""
-    return background.agg(F.count(stat).alias("n"), F.coalesce(F.max(stat), F.lit(0.0)).alias("loudest"), F.median(stat).alias("median"))
+    """One row: n of the statistics that are numbers, loudest (0 if none), median; exact, by the ranges of the two middle places."""
+    values = materialise(ranks.counted(background, F.col(stat)), "statistics")
+    n, loudest = values.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("v"), F.lit(0.0))).first()
+    middle = ranks.at_places(values, [(n - 1) // 2, n // 2] if n else [], ranks.bounds(values))
+    median = (middle[(n - 1) // 2] + middle[n // 2]) / 2 if n else None
+    release(values)
+    return background.sparkSession.range(1).select(F.lit(n).cast("long").alias("n"), F.lit(loudest).alias("loudest"), F.lit(median).cast("double").alias("median"))
 
 
 def distribution(background: DataFrame, stat: str = "network_stat") -> DataFrame:
@@ -64,9 +70,13 @@ def observing_time(triggers: DataFrame, per_sensor: bool) -> DataFrame:
 
 
 def threshold_for(background: DataFrame, far_per_year: float, years: float, stat: str = "network_stat") -> DataFrame:
-    """One row: the n-th loudest statistic, n = max(1, int(far * years)); the least one if there are fewer, 0 if none.
+    """One row: the n-th loudest statistic that is a number, n = max(1, int(far * years)); the least one if there are fewer, 0 if none.
 
-    A top-k with k from the parameters, so only k rows leave each task.
+    Exact for any n: only the range of values that holds the place is sorted.
     """
-    n = max(1, int(far_per_year * years))
-    return background.select(stat).orderBy(F.desc(stat)).limit(n).agg(F.coalesce(F.min(stat), F.lit(0.0)).alias("threshold"))
+    values = materialise(ranks.counted(background, F.col(stat)), "statistics")
+    total = values.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    place = min(max(1, int(far_per_year * years)), total) - 1
+    found = ranks.at_places(values, [place] if total else [], ranks.bounds(values))
+    release(values)
+    return background.sparkSession.range(1).select(F.lit(found.get(place, 0.0)).cast("double").alias("threshold"))

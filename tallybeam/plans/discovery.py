@@ -15,18 +15,17 @@ from tallybeam.scratch import materialise, new_path
 from tallybeam.sources import frames, series
 
 
-@query("""WITH a AS (SELECT series_id // 8 AS f, series_id % 8 AS b, arr FROM v_series), p AS (SELECT f, b, unnest(range(64)) AS i, unnest(arr) AS v FROM a WHERE len(arr) = 64),
-    n AS (SELECT f, 64 * count(DISTINCT b) AS n FROM p GROUP BY f),
-    k AS (SELECT p.f, q.b, p.v FROM p JOIN (SELECT DISTINCT f, b FROM p) q ON p.f = q.f AND p.b * 64 + p.i >= greatest(q.b * 64 - 32, 0) AND p.b * 64 + p.i < q.b * 64 + 96)
-    SELECT f * 100000 + b * 64 AS block_start, f * 100000 + greatest(b * 64 - 32, 0) AS read_start, count(*)::INT AS n, round(sum(v), 6) AS total FROM k GROUP BY f, b HAVING f * 100000 + b * 64 >= 100000""")
+@query("""WITH a AS (SELECT series_id // 8 AS f, flatten(list(arr ORDER BY series_id % 8, arr)) AS arr FROM v_series GROUP BY 1), p AS (SELECT f, len(arr) AS size, unnest(range(len(arr))) AS i, unnest(arr) AS v FROM a),
+    b AS (SELECT f, size, unnest(range(0, size, 64)) AS b FROM (SELECT f, len(arr) AS size FROM a)), r AS (SELECT *, greatest(b - 32, 0) AS lo, least(least(b + 64, size) + 32, size) AS hi FROM b)
+    SELECT r.f * 100000 + b AS block_start, r.f * 100000 + lo AS read_start, count(*)::INT AS n, round(sum(v), 6) AS total FROM r JOIN p ON p.f = r.f AND i >= lo AND i < hi WHERE hi - lo >= 64 GROUP BY r.f, b, lo""")
 def s01_s02_series_scan(spark, sf_dir):
-    """Eight series make a file of 512 s; the files are written, and blocks of 64 s read back padded, from the second file on (pushed to the source)."""
-    s = V.series(spark, sf_dir).filter("size(arr) = 64")
+    """Eight series make a file of a second for each sample; the files are written, and all their blocks of 64 s read back padded."""
+    s = V.series(spark, sf_dir)
     files = s.groupBy(F.floor(F.col("series_id") / 8).alias("f")).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(F.col("series_id") % 8, "arr"))), lambda x: x["arr"])).alias("arr"))
     rows = files.select(F.lit("H1").alias("ifo"), F.lit("GWOSC_4KHZ_R1").alias("tag"), (F.col("f") * 100_000).alias("start"), F.size("arr").alias("duration"), F.lit("H1:GWOSC-4KHZ_R1_STRAIN").alias("channel"), "arr")
     folder = new_path(spark, "series")
     materialise(series.write(rows, folder), "series-files")
-    found = series.read(spark, folder, block_s=64).filter("block_start >= 100000 and ifo = 'H1'")
+    found = series.read(spark, folder, block_s=64).filter("ifo = 'H1'")
     return found.select("block_start", "read_start", F.size("arr").alias("n"), F.round(F.aggregate("arr", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
 
 
@@ -98,16 +97,18 @@ def s14_s15_files_of_all_sensors(spark, sf_dir):
     return frames.fetched(blocks, files.filter("cached").select(*listed.columns), files.filter("not cached").select(*listed.columns), ["H1", "L1", "V1"])
 
 
-@query("""SELECT o_orderkey * 4096.0::DOUBLE AS gps_start FROM orders WHERE o_custkey % 2 = 0 AND o_orderkey // 100 + 1 <= 40 AND o_orderkey * 4096 >= 409600 AND o_orderkey * 4096 < 12288000""", views=False)
+@query("""SELECT o_orderkey * 4096.0::DOUBLE AS gps_start FROM orders WHERE o_custkey % 2 = 0""", views=False)
 def s12_paged_listing(spark, sf_dir):
-    """Pages of 100 files, of which the first page says that there are 40; a broken page and the later ones don't count."""
+    """All files of the table as a listing in pages of 100, of which the first page tells the number, beside a broken page and one beyond the last; all starts of a sensor."""
     o = V.read(spark, sf_dir, "orders").withColumn("page", (F.floor(F.col("o_orderkey") / 100) + 1).cast("int"))
     item = F.struct(F.when(F.col("o_custkey") % 2 == 0, "H1").otherwise("L1").alias("detector"), (F.col("o_orderkey") * 4096.0).alias("gps_start"), F.concat(F.lit("u"), F.col("o_orderkey").cast("string")).alias("hdf5_url"))
-    pages = o.groupBy("page").agg(F.collect_list(item).alias("results")).withColumn("num_pages", F.lit(40))
+    most, first, last = o.agg(F.max("page"), F.min(F.col("o_orderkey") * 4096.0), F.max(F.col("o_orderkey") * 4096.0)).first()
+    pages = o.groupBy("page").agg(F.collect_list(item).alias("results"))  # a hundred files each
+    pages = pages.unionByName(pages.orderBy("page").limit(1).withColumn("page", F.lit((most or 0) + 1))).withColumn("num_pages", F.lit(most))
     lines = pages.select(F.to_json(F.struct("page", "num_pages", "results")).alias("value")).unionByName(spark.createDataFrame([('{"page": 1, "num_pa',)], "value string"))
     path = new_path(spark, "listing")
     lines.write.text(path)
-    return frames.listed_starts(frames.listing(spark, path), "H1", 409_600.0, 12_288_000.0)
+    return frames.listed_starts(frames.listing(spark, path), "H1", first or 0.0, (last or 0.0) + 1)
 
 
 @query("""SELECT p_partkey % 50 AS bucket, round(sum(p_retailprice / 20), 4) AS mass1, round(sum(p_size + 1.0), 4) AS mass2, round(sum(CASE WHEN p_partkey % 3 > 0 THEN p_size / 100.0 ELSE 0 END), 4) AS spin1z, 0.0 AS spin2z, count(*) AS n FROM part GROUP BY 1""", views=False)
@@ -119,9 +120,11 @@ def s22_stored_bank(spark, sf_dir):
     return bank.stored(spark, path, keep=["bucket"]).groupBy(F.col("bucket").cast("long").alias("bucket")).agg(*sums, F.count(F.lit(1)).alias("n"))
 
 
-@query("""SELECT max(run_end) FILTER (run_end < 1389456018.0) AS previous FROM (VALUES (1137254417.0::DOUBLE), (1187733618.0), (1253977218.0), (1269363618.0), (1389456018.0), (1412726784.0)) r(run_end)""", views=False)
+@query(f"""SELECT max(run_end) AS previous FROM (VALUES {", ".join(f"({b}::DOUBLE)" for _, _, b in frames.RUNS)}) r(run_end) WHERE run_end < (SELECT 1126000000 + 20000 * max(o_orderkey) FROM orders)""", views=False)
 def a25_previous_run_end(spark, sf_dir):
-    return frames.previous_run_end(spark.createDataFrame(frames.RUNS, "run string, run_start double, run_end double"), 1389456018.0)
+    """The end of the last run before the latest order, taken as a time."""
+    latest = V.read(spark, sf_dir, "orders").agg(F.max(F.lit(1_126_000_000.0) + F.col("o_orderkey") * 20_000)).first()[0]
+    return frames.previous_run_end(spark.createDataFrame(frames.RUNS, "run string, run_start double, run_end double"), latest or 0.0)
 
 
 @query()

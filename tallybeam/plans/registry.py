@@ -35,6 +35,34 @@ def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.with_far(_coincidences(spark, sf_dir), _slid(spark, sf_dir), TRIALS_S)
 
 
+#: The SQL of a bank's query with the parts in each template's cell.
+def with_parts(sql: str) -> str:
+    return f"""WITH bank AS ({sql}), p AS (SELECT floor(round(p_retailprice / 20, 6)) AS a, floor(round(p_size + 1.0::DOUBLE, 6)) AS b, count(*) AS n FROM part GROUP BY 1, 2)
+    SELECT bank.*, coalesce(n, 0) AS n_parts FROM bank LEFT JOIN p ON floor(round(mass1, 6)) = a AND floor(round(mass2, 6)) = b"""
+
+
+def _with_parts(rows: DataFrame, sf_dir: str) -> DataFrame:
+    """A bank with n_parts: how many rows of the part table, taken as templates, lie in the cell of whole masses of each template."""
+    cell = lambda c: F.floor(F.round(c, 6))
+    parts = V.read(rows.sparkSession, sf_dir, "part").groupBy(cell(F.col("p_retailprice") / 20).alias("a"), cell(F.col("p_size") + 1.0).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.join(parts, (cell(F.col("mass1")) == F.col("a")) & (cell(F.col("mass2")) == F.col("b")), "left").select(*rows.columns, F.coalesce("n", F.lit(0)).alias("n_parts"))
+
+
+def _pairs_by_offset(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """How many coincidences the background of two sensors has at each offset."""
+    return _slid(spark, sf_dir).groupBy(F.col("offset_us").alias(f"offset_{name}")).agg(F.count(F.lit(1)).alias(f"n_{name}"))
+
+
+def offset_counts(pairs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pairs of offsets with the number of coincidences of two sensors at each of both."""
+    for name in "12":
+        pairs = pairs.join(_pairs_by_offset(pairs.sparkSession, sf_dir, name), f"offset_{name}", "left").na.fill(0, [f"n_{name}"])
+    return pairs
+
+
+OFFSET_COUNTS = "n AS (SELECT offset_us, count(event_id_a) AS n FROM slides LEFT JOIN bg USING (slide) GROUP BY 1)"
+
+
 # --- the flagship ---
 
 
@@ -147,11 +175,11 @@ def j15_clipped_segments(spark, sf_dir):
 _RUNS_SQL = ", ".join(f"('{n}', {a:.0f}.0::DOUBLE, {b:.0f}.0::DOUBLE)" for n, a, b in frames.RUNS)
 
 
-@query(f"""WITH r(run, run_start, run_end) AS (VALUES {_RUNS_SQL}), b AS (SELECT 1126000000 + i * 10000000 AS block_start, 1126000000 + i * 10000000 + 5000000 AS block_end FROM range(30) r(i))
+@query(f"""WITH r(run, run_start, run_end) AS (VALUES {_RUNS_SQL}), b AS (SELECT 1126000000 + o_orderkey * 20000 AS block_start, 1126000000 + o_orderkey * 20000 + 5000000 AS block_end FROM orders)
     SELECT block_start, block_end, run FROM b JOIN r ON run_start < block_end AND run_end > block_start""", views=False)
 def j17_runs_of_blocks(spark, sf_dir):
     runs = spark.createDataFrame(frames.RUNS, "run string, run_start double, run_end double")
-    blocks = spark.range(30).select((F.lit(1_126_000_000) + F.col("id") * 10_000_000).alias("block_start")).withColumn("block_end", F.col("block_start") + 5_000_000)
+    blocks = V.read(spark, sf_dir, "orders").select((F.lit(1_126_000_000) + F.col("o_orderkey") * 20_000).alias("block_start")).withColumn("block_end", F.col("block_start") + 5_000_000)
     return frames.overlapping_runs(blocks, runs).select("block_start", "block_end", "run")
 
 
@@ -321,10 +349,14 @@ def a23_joint_end(spark, sf_dir):
     return near.agg((F.max("gps_us") + 4_096_000_000).alias("joint_end"))
 
 
-@query(f"""WITH r(run, run_start, run_end) AS (VALUES {_RUNS_SQL}) SELECT max(run_end) AS latest, max(run_end) FILTER (run_end < 1389456018.0) AS previous FROM r""", views=False)
+@query(f"""WITH r(run, run_start, run_end) AS (VALUES {_RUNS_SQL}) , o AS (SELECT o_orderkey, 1126000000 + o_orderkey * 20000 AS gps FROM orders)
+    SELECT o_orderkey, (SELECT max(run_end) FROM r) AS latest, max(run_end) FILTER (run_end < gps) AS previous FROM o, r GROUP BY 1""", views=False)
 def s10_a25_run_ends(spark, sf_dir):
-    runs = spark.createDataFrame(frames.RUNS, "run string, run_start double, run_end double")
-    return runs.agg(F.max("run_end").alias("latest"), F.max(F.when(F.col("run_end") < 1389456018.0, F.col("run_end"))).alias("previous"))
+    """For the time of each order: the end of the latest run of all, and of the last run before it; the runs are a literal array, so no row meets another."""
+    ends = sorted(b for _, _, b in frames.RUNS)
+    gps = F.lit(1_126_000_000) + F.col("o_orderkey") * 20_000
+    before = F.array_max(F.filter(F.array(*map(F.lit, ends)), lambda e: e < gps))
+    return V.read(spark, sf_dir, "orders").select("o_orderkey", F.lit(ends[-1]).alias("latest"), before.alias("previous"))
 
 
 _DAY = 24 * V.HOUR
@@ -332,17 +364,17 @@ _SHORT_RUNS = [("R1", V.MONTH_START, V.MONTH_START + 9 * _DAY), ("R2", V.MONTH_S
 _SHORT_RUNS_SQL = ", ".join(f"('{n}', {a}, {b}, {i})" for i, (n, a, b) in enumerate(_SHORT_RUNS))
 
 
-@query(f"""WITH r(run, run_start, run_end, n) AS (VALUES {_SHORT_RUNS_SQL}), q AS (SELECT {V.MONTH_START} + i * {_DAY // 2} AS before_us FROM range(60) g(i)), w(days) AS (VALUES (1), (7), (30), (90)),
-    f AS (SELECT * FROM v_triggers WHERE snr > 150),
+@query(f"""WITH r(run, run_start, run_end, n) AS (VALUES {_SHORT_RUNS_SQL}), q AS (SELECT DISTINCT epoch_us(ts) // {_DAY // 2} * {_DAY // 2} AS before_us FROM events), w(days) AS (VALUES (1), (7), (30), (90)),
+    f AS (SELECT * FROM v_triggers),
     t AS (SELECT before_us, run, n, days, greatest(run_start, before_us - days * {_DAY}) AS lo, least(run_end, before_us) AS hi FROM q, r, w WHERE run_end >= before_us - {5 * 365 * _DAY}),
     h AS (SELECT before_us, run, n, days, max(a.gps_us) + 4096000000 AS end_us FROM t JOIN f a ON a.ifo = 'H1' AND a.gps_us >= lo AND a.gps_us < hi
         AND EXISTS (SELECT 1 FROM f b WHERE b.ifo = 'L1' AND b.gps_us >= lo AND b.gps_us < hi AND abs(a.gps_us - b.gps_us) < 4096000000)
         AND EXISTS (SELECT 1 FROM f b WHERE b.ifo = 'V1' AND b.gps_us >= lo AND b.gps_us < hi AND abs(a.gps_us - b.gps_us) < 4096000000) GROUP BY 1, 2, 3, 4)
     SELECT before_us, run, days::INT AS days, end_us FROM h QUALIFY row_number() OVER (PARTITION BY before_us ORDER BY n DESC, days) = 1""")
 def a24_previous_available_end(spark, sf_dir):
-    """For each of 60 times the end of the latest data of all sensors before it: runs newest first, windows of 1, 7, 30 and 90 days in each."""
-    starts = V.triggers(spark, sf_dir).filter("snr > 150").select("ifo", F.col("gps_us").alias("start_us"))
-    asked = spark.range(60).select((F.lit(V.MONTH_START) + F.col("id") * (_DAY // 2)).alias("before_us"))
+    """For each half day of the events the end of the latest data of all sensors before it: runs newest first, windows of 1, 7, 30 and 90 days in each."""
+    starts = V.triggers(spark, sf_dir).select("ifo", F.col("gps_us").alias("start_us"))
+    asked = V.read(spark, sf_dir, "events").select((F.floor(V.micros(F.col("ts")) / (_DAY // 2)) * (_DAY // 2)).alias("before_us")).distinct()
     runs = spark.createDataFrame(_SHORT_RUNS, "run string, run_start long, run_end long")
     return frames.previous_available_end(asked, starts, runs, ["H1", "L1", "V1"])
 
@@ -411,13 +443,17 @@ def f05_f06_masses(spark, sf_dir):
 _DETECTORS_SQL = ", ".join(f"('{n}', {a}::DOUBLE, {b}::DOUBLE)" for n, a, b, _ in frames.DETECTORS)
 
 
-@query(f"""WITH d(name, lat, lon) AS (VALUES {_DETECTORS_SQL}), g AS (SELECT p.name AS a, q.name AS b, 2 * 6371000.0 * asin(sqrt(pow(sin(radians(q.lat - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(q.lat)) * pow(sin(radians(q.lon - p.lon) / 2), 2))) AS m FROM d p JOIN d q ON p.name < q.name)
-    SELECT a, b, round(m / 1000, 3) AS km, round(m / 299792458.0 * 1000, 6) AS light_ms FROM g""", views=False)
+@query(f"""WITH d(name, lat, lon) AS (VALUES {_DETECTORS_SQL}), g AS (SELECT p.name AS a, q.name AS b, 2 * 6371000.0 * asin(sqrt(pow(sin(radians(q.lat - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(q.lat)) * pow(sin(radians(q.lon - p.lon) / 2), 2))) AS m FROM d p JOIN d q ON p.name < q.name),
+    c AS (SELECT a.ifo AS a, b.ifo AS b, count(*) AS n FROM v_triggers a JOIN v_triggers b ON a.ifo < b.ifo AND a.template_id = b.template_id AND abs(a.gps_us - b.gps_us) <= 1800000000 GROUP BY 1, 2)
+    SELECT a, b, round(m / 1000, 3) AS km, round(m / 299792458.0 * 1000, 6) AS light_ms, coalesce(n, 0) AS n_coincidences FROM g LEFT JOIN c USING (a, b)""")
 def f08_f09_detector_distances(spark, sf_dir):
+    """Distances of the detectors, and how many coincidences each pair has."""
     d = spark.createDataFrame(frames.DETECTORS, "name string, lat double, lon double, elevation double")
     p, q = d.select(F.col("name").alias("a"), F.col("lat").alias("la"), F.col("lon").alias("lo")), d.select(F.col("name").alias("b"), F.col("lat").alias("lb"), F.col("lon").alias("ob"))
     m = S.great_circle_m(F.col("la"), F.col("lo"), F.col("lb"), F.col("ob"))
-    return p.join(F.broadcast(q), F.col("a") < F.col("b")).select("a", "b", F.round(m / 1000, 3).alias("km"), r6(m / S.LIGHT_M_S * 1000, "light_ms"))
+    far = p.join(F.broadcast(q), F.col("a") < F.col("b")).select("a", "b", F.round(m / 1000, 3).alias("km"), r6(m / S.LIGHT_M_S * 1000, "light_ms"))
+    found = j07_pairs_uniform_window(spark, sf_dir).select(F.substring_index("ifos", ",", 1).alias("a"), F.substring_index("ifos", ",", -1).alias("b"), "n")
+    return far.join(found, ["a", "b"], "left").select(*far.columns, F.coalesce("n", F.lit(0)).alias("n_coincidences"))
 
 
 @query("""SELECT o_orderkey, CASE WHEN d > 365 THEN printf('%.1f yr', d / 365) WHEN d > 30 THEN printf('%.1f days', d) WHEN d > 1 THEN printf('%.2f days', d) ELSE printf('%.2f hr', d * 24) END AS ifar_text,
@@ -481,19 +517,23 @@ def s26_s27_latest_values(spark, sf_dir):
     return state.latest_values(V.read(spark, sf_dir, "events").select(F.col("event_type").alias("k"), F.col("props").alias("v"), F.col("event_id").alias("seq")))
 
 
-@query("SELECT block_start_us, block_end_us FROM v_blocks")
+@query("SELECT block_start_us, block_end_us, count(event_id) AS n FROM v_blocks LEFT JOIN v_triggers ON gps_us >= block_start_us AND gps_us < block_end_us GROUP BY 1, 2")
 def g16_blocks(spark, sf_dir):
-    return V.blocks(spark)
+    """Blocks of a search and how many triggers each has: blocks tile time evenly, so a trigger's block is a number."""
+    size = 6 * V.HOUR
+    number = lambda c: F.floor((c - V.MONTH_START) / size)
+    found = V.triggers(spark, sf_dir).groupBy(number(F.col("gps_us")).alias("block")).agg(F.count(F.lit(1)).alias("n"))
+    return V.blocks(spark).withColumn("block", number(F.col("block_start_us"))).join(found, "block", "left").select("block_start_us", "block_end_us", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 # --- banks ---
 
 
-@query("""WITH m AS (SELECT i, round(2 + i * 0.8660254037844386::DOUBLE, 3) AS m FROM range(21) r(i)), s(i, s) AS (VALUES (0, -0.5::DOUBLE), (1, 0.0::DOUBLE), (2, 0.5::DOUBLE))
+@query(with_parts("""WITH m AS (SELECT i, round(2 + i * 0.8660254037844386::DOUBLE, 3) AS m FROM range(21) r(i)), s(i, s) AS (VALUES (0, -0.5::DOUBLE), (1, 0.0::DOUBLE), (2, 0.5::DOUBLE))
     SELECT ((a.i * 1000000 + b.i) * 9 + p.i * 3 + q.i)::BIGINT AS gen, greatest(a.m, b.m) AS mass1, least(a.m, b.m) AS mass2, p.s AS spin1z, q.s AS spin2z, 'SEOBNRv4' AS approximant, 30.0::DOUBLE AS f_lower
-    FROM m a, m b, s p, s q WHERE greatest(a.m, b.m) + least(a.m, b.m) >= 4""", views=False)
+    FROM m a, m b, s p, s q WHERE greatest(a.m, b.m) + least(a.m, b.m) >= 4"""), views=False)
 def g01_g02_g03_grid_bank(spark, sf_dir):
-    return bank.grid_bank(spark, 2, 20, 2, 20, spins=[-0.5, 0.0, 0.5])
+    return _with_parts(bank.grid_bank(spark, 2, 20, 2, 20, spins=[-0.5, 0.0, 0.5]), sf_dir)
 
 
 def _square_sql(events, n, margin):
@@ -501,39 +541,45 @@ def _square_sql(events, n, margin):
     g AS (SELECT centre, c1 * {1 - margin}::DOUBLE + i * ((c1 * {1 + margin}::DOUBLE - c1 * {1 - margin}::DOUBLE) / {n - 1}) AS mass1, c2 * {1 - margin}::DOUBLE + j * ((c2 * {1 + margin}::DOUBLE - c2 * {1 - margin}::DOUBLE) / {n - 1}) AS mass2 FROM e, range({n}) p(i), range({n}) q(j))"""
 
 
-@query(_square_sql([(36.2, 29.1)], 15, 0.2) + " SELECT round(mass1, 6) AS mass1, round(mass2, 6) AS mass2, 'IMRPhenomD' AS approximant, 15.0::DOUBLE AS f_lower FROM g WHERE mass1 >= mass2", views=False)
+@query(with_parts(_square_sql([(36.2, 29.1)], 15, 0.2) + " SELECT round(mass1, 6) AS mass1, round(mass2, 6) AS mass2, 'IMRPhenomD' AS approximant, 15.0::DOUBLE AS f_lower FROM g WHERE mass1 >= mass2"), views=False)
 def g04_targeted_bank(spark, sf_dir):
-    return bank.targeted_bank(spark, 15).select(r6("mass1", "mass1"), r6("mass2", "mass2"), "approximant", "f_lower")
+    return _with_parts(bank.targeted_bank(spark, 15).select(r6("mass1", "mass1"), r6("mass2", "mass2"), "approximant", "f_lower"), sf_dir)
 
 
-@query("SELECT round(a, 6) AS mass1, round(b, 6) AS mass2 FROM (SELECT 5.0::DOUBLE + i * ((80.0::DOUBLE - 5.0) / 30) AS a, 5.0::DOUBLE + j * ((80.0::DOUBLE - 5.0) / 30) AS b FROM range(31) p(i), range(31) q(j)) WHERE a >= b", views=False)
+@query(with_parts("SELECT round(a, 6) AS mass1, round(b, 6) AS mass2 FROM (SELECT 5.0::DOUBLE + i * ((80.0::DOUBLE - 5.0) / 30) AS a, 5.0::DOUBLE + j * ((80.0::DOUBLE - 5.0) / 30) AS b FROM range(31) p(i), range(31) q(j)) WHERE a >= b"), views=False)
 def g05_moderate_bank(spark, sf_dir):
-    return bank.moderate_bank(spark, 5.0, 80.0, 500).select(r6("mass1", "mass1"), r6("mass2", "mass2"))
+    return _with_parts(bank.moderate_bank(spark, 5.0, 80.0, 500).select(r6("mass1", "mass1"), r6("mass2", "mass2")), sf_dir)
 
 
-@query(_square_sql(bank.EVENT_MASSES, 8, 0.15) + " SELECT centre, round(mass1, 6) AS mass1, round(mass2, 6) AS mass2, CASE WHEN mass1 + mass2 < 3.0 THEN 'TaylorF2' ELSE 'IMRPhenomD' END AS approximant, CASE WHEN mass1 + mass2 > 3.0 THEN 15.0::DOUBLE ELSE 20.0::DOUBLE END AS f_lower FROM g WHERE mass1 >= mass2", views=False)
+@query(with_parts(_square_sql(bank.EVENT_MASSES, 8, 0.15) + " SELECT centre, round(mass1, 6) AS mass1, round(mass2, 6) AS mass2, CASE WHEN mass1 + mass2 < 3.0 THEN 'TaylorF2' ELSE 'IMRPhenomD' END AS approximant, CASE WHEN mass1 + mass2 > 3.0 THEN 15.0::DOUBLE ELSE 20.0::DOUBLE END AS f_lower FROM g WHERE mass1 >= mass2"), views=False)
 def g06_multi_event_bank(spark, sf_dir):
-    return bank.multi_event_bank(spark).select("centre", r6("mass1", "mass1"), r6("mass2", "mass2"), "approximant", "f_lower")
+    return _with_parts(bank.multi_event_bank(spark).select("centre", r6("mass1", "mass1"), r6("mass2", "mass2"), "approximant", "f_lower"), sf_dir)
 
 
 @query()
 def g07_stochastic_bank(spark, sf_dir):
-    return bank.stochastic_bank(spark, 10, 80, 10, 80)
+    return _with_parts(bank.stochastic_bank(spark, 10, 80, 10, 80), sf_dir)
 
 
-@query("SELECT slide, offset_us FROM slides")
+@query("SELECT slides.slide, offset_us, count(event_id_a) AS n FROM slides LEFT JOIN bg ON bg.slide = slides.slide GROUP BY 1, 2")
 def g11_slide_offsets(spark, sf_dir):
-    return background.offsets(spark, SLIDES, SPACING)
+    """Offsets, and how many coincidences the background has at each."""
+    found = _pairs_by_offset(spark, sf_dir, "us")
+    return background.offsets(spark, SLIDES, SPACING).join(found, "offset_us", "left").select("slide", "offset_us", F.coalesce("n_us", F.lit(0)).alias("n"))
 
 
-@query(f"WITH {_SUBSET} SELECT slide, offset_us FROM s")
+@query(f"""WITH {_SUBSET}, f AS (SELECT s.slide, count(*) AS n FROM s JOIN v_triggers a ON a.ifo = 'H1' JOIN v_triggers b ON b.ifo = 'L1' AND a.template_id = b.template_id AND abs(a.gps_us - b.gps_us - s.offset_us) <= 3600000000 GROUP BY 1)
+    SELECT slide, offset_us, coalesce(n, 0) AS n FROM s LEFT JOIN f USING (slide)""")
 def g12_slide_subset(spark, sf_dir):
-    return background.offsets_subset(spark, 30 * V.MINUTE, 24 * V.HOUR, 20)
+    """Offsets thinned by evenly spaced index, and how many coincidences the background has at each."""
+    slides = background.offsets_subset(spark, 30 * V.MINUTE, 24 * V.HOUR, 20)
+    found = background.slid_pairs(V.triggers(spark, sf_dir), "H1", "L1", slides, SAME_TEMPLATE, strict=False).groupBy("slide").agg(F.count(F.lit(1)).alias("n"))
+    return slides.join(found, "slide", "left").na.fill(0, ["n"])
 
 
-@query("SELECT a.offset_us AS offset_1, b.offset_us AS offset_2 FROM slides a, slides b")
+@query(f"WITH {OFFSET_COUNTS} SELECT a.offset_us AS offset_1, b.offset_us AS offset_2, a.n AS n_1, b.n AS n_2 FROM n a, n b")
 def g13_slide_grid(spark, sf_dir):
-    return background.offset_pairs(background.offsets(spark, SLIDES, SPACING), "full_grid")
+    return offset_counts(background.offset_pairs(background.offsets(spark, SLIDES, SPACING), "full_grid"), sf_dir)
 
 
 # --- arrays and windows ---

@@ -3,14 +3,14 @@
 import json
 import math
 import random
-from statistics import NormalDist
+from statistics import NormalDist, median
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tallybeam.functions import scalars as S
-from tallybeam.operators import arrays, background, bank, candidates, coincidence, ranking, signal
+from tallybeam.operators import arrays, background, bank, candidates, coincidence, ranking, ranks, signal
 from tallybeam.operators.intervals import clip, islands, nearest, range_join, within_segments
 from tallybeam.plans import views as V
 from tallybeam.sources import frames, state
@@ -299,3 +299,31 @@ def test_stochastic_bank_takes_all_proposals(spark):
 
     assert bank.stochastic_bank(spark, 10, 80, 10, 80, iterations=20_000).count() == 116
     assert bank.stochastic_bank(spark, 10, 80, 10, 80).count() == 122
+
+
+@pytest.mark.parametrize("range_rows", [3, 50, 10_000])
+def test_ranks_by_ranges(spark, monkeypatch, range_rows):
+    """Counts and order statistics with ties, infinities, broken values and few or many ranges, against sorted lists."""
+    monkeypatch.setattr(ranks, "RANGE_ROWS", range_rows)
+    rng = random.Random(range_rows)
+    values = [rng.choice([1.5, 1.5, rng.uniform(0, 9), float(rng.randrange(9)), -0.0, 0.0]) for _ in range(700)] + [float("inf"), float("-inf"), float("nan"), None]
+    asked = [*rng.sample(values[:700], 60), 1.5, 100.0, -100.0, float("inf"), float("nan"), None, 1.5]
+    bg = spark.createDataFrame([(v,) for v in values], "network_stat double").repartition(5)
+    fg = spark.createDataFrame(list(enumerate(asked)), "v long, network_stat double")
+    good = [v for v in values if v is not None and not math.isnan(v)]
+    for most in (0, 1 << 20):  # by ranges, and by one array
+        monkeypatch.setattr(ranks, "MOST_ASKED", most)
+        got = {r.v: (r.n_louder, r.n_background) for r in background.count_louder(fg, bg).collect()}
+        assert got == {i: (0 if v is None or math.isnan(v) else sum(x >= v for x in good), len(values)) for i, v in enumerate(asked)}
+    row = ranking.summary(bg).first()
+    assert (row.n, row.loudest, row.median) == (len(good), float("inf"), median(good))
+    falling = sorted(good, reverse=True)
+    for n in (1, 2, 350, len(good), 10**6):
+        assert ranking.threshold_for(bg, n, 1.0).first().threshold == falling[min(n, len(good)) - 1]
+    counts = ranks.counted(bg, F.col("network_stat"))
+    inner = ranks.bounds(counts)
+    sizes = [r["count"] for r in counts.groupBy(ranks.range_of(F.col("v"), inner).alias("r")).count().collect()]
+    assert max(sizes) <= 2 * range_rows + 1 and (len(inner) > 0) == (range_rows < 600)
+    nothing = bg.limit(0)
+    assert ranking.summary(nothing).first().asDict() == {"n": 0, "loudest": 0.0, "median": None} and ranking.threshold_for(nothing, 3, 1.0).first().threshold == 0.0
+    assert {r.n_louder for r in background.count_louder(fg, nothing).collect()} == {0}
