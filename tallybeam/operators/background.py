@@ -6,6 +6,7 @@ so there is no loop over slides and every slide is spread over the cluster.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -45,8 +46,6 @@ def offset_pairs(single: DataFrame, strategy: str, fraction: float = 0.1, seed:
         listed = single.agg(F.sort_array(F.collect_list("offset_us")).alias("all"))  # a parameter list, not data
         return listed.select(F.explode("all").alias("offset_1"), "all").select("offset_1", F.explode("all").alias("offset_2"))
     if strategy == "subset":
-        import numpy as np
-
         listed = sorted(r[0] for r in single.select("offset_us").collect())  # a parameter list, not data
         total = len(listed) ** 2
         drawn = np.random.RandomState(seed).choice(total, size=min(total, max(LEAST_PAIRS, int(total * fraction))), replace=False)
@@ -107,11 +106,15 @@ def count_louder(foreground: DataFrame, background: DataFrame, stat: str = "netw
     value = F.when(F.isnan(stat), None).otherwise(F.col(stat)).cast("double")
     rows = materialise(foreground.select(F.struct(*[F.col(f"`{c}`") for c in foreground.columns]).alias("_row"), value.alias("_v")), "foreground")
     asked = rows.select(F.col("_v").alias("v")).filter("v is not null").distinct()
-    few = asked.count() <= ranks.MOST_ASKED
     heard = background.select(value.alias("v"))
-    counts = materialise(ranks.slots(heard, asked) if few else heard.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "louder")
-    n_background = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    numbers = counts.filter("v is not null")
-    found = ranks.at_least(numbers, asked, ranks.bounds(numbers))
+    known = np.sort(asked.limit(ranks.MOST_ASKED + 1).toArrow().column(0).to_numpy())
+    if len(known) <= ranks.MOST_ASKED:
+        n_background, louder = ranks.at_least_of_few(heard, known)
+        found = background.sparkSession.createDataFrame(louder, "v double, louder long")
+    else:
+        counts = materialise(heard.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "louder")
+        n_background = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        numbers = counts.filter("v is not null")
+        found = ranks.at_least(numbers, asked, ranks.bounds(numbers))
     out = rows.join(found, F.col("_v") == F.col("v"), "left")
     return out.select("_row.*", F.coalesce("louder", F.lit(0)).cast("long").alias("n_louder"), F.lit(n_background).cast("long").alias("n_background"))
