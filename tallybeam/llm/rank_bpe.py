@@ -36,7 +36,7 @@ WORDS, WORD_BYTES = 20_000, 1 << 18
 #: Bytes from which on a word's equal pairs are contracted together.
 LONG = 256
 #: Words that a process remembers, from task to task; when they are too many, it begins anew with those of the batch at hand.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 20
 MEMORY = "384MB"
 
 #: A row's key is its word's number above 32 bits and its place in the word below. Rows with their neighbours, and the pairs that can be merged; {order} numbers the rows where that is needed.
