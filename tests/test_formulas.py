@@ -196,8 +196,11 @@ def test_subset_of_slides_is_the_seeded_draw(spark, sf):
     listed = sorted(s * k * 7_200_000_000 for k in range(1, 11) for s in (1, -1))
     pairs = [(a, b) for a in listed for b in listed]
     want = [pairs[i] for i in np.random.RandomState(42).choice(400, size=120, replace=False)]
-    got = [tuple(r) for r in registry.queries()["g13_subset_of_slides"](spark, sf).collect()]
+    rows = registry.queries()["g13_subset_of_slides"](spark, sf).collect()
+    got = [(r.offset_1, r.offset_2) for r in rows]
     assert sorted(got) == sorted(want) and len(set(got)) == 120
+    n = {r.offset_us: r.n for r in registry.queries()["g11_slide_offsets"](spark, sf).collect()}
+    assert all((r.n_1, r.n_2) == (n[r.offset_1], n[r.offset_2]) for r in rows)
     assert background.offset_pairs(background.offsets(spark, 10, 1), "subset", 0.01).count() == 100
 
 
