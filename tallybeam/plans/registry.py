@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybeam.functions import scalars as S
-from tallybeam.operators import arrays, background, bank, candidates, coincidence, ranking, signal
+from tallybeam.operators import arrays, background, bank, candidates, coincidence, long_series, ranking, signal
 from tallybeam.operators.intervals import clip, nearest, range_join, within_segments
 from tallybeam.plans import views as V
 from tallybeam.plans.catalogue import oracle_sql, queries, query  # noqa: F401
@@ -644,6 +644,23 @@ def v17_w01_v18_matched_filter(spark, sf_dir):
     return signal.triggers(V.series(spark, sf_dir).select("series_id", "ifo", "arr"), signal.demo_bank(), rate=64.0, threshold=1.5, chisq_from=2.0)
 
 
+#: Samples of a piece, and of a template's filter on either side.
+HOP, REACH = 512, 128
+
+
+def samples(triggers):
+    """Each sensor's values, summed by ten minutes from the start of the month, as samples of a long series."""
+    sensor = F.when(F.col("ifo") == "H1", 1).when(F.col("ifo") == "L1", 2).otherwise(3).cast("long")
+    return triggers.select(sensor.alias("series_id"), "ifo", F.floor((F.col("gps_us") - V.MONTH_START) / (10 * V.MINUTE)).alias("i"), F.col("snr").alias("v"))
+
+
+@query()
+def v17_g17_filter_in_pieces(spark, sf_dir):
+    """Triggers of series a month long, filtered in pieces that overlap."""
+    pieces = long_series.gathered(samples(V.triggers(spark, sf_dir)), HOP)
+    return long_series.triggers(pieces, signal.demo_bank(), 64.0, 2.0, 4.0, HOP, REACH)
+
+
 @query()
 def v05_v07_conditioned_series(spark, sf_dir):
     """High-passed series and their power spectra."""
