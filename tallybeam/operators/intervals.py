@@ -36,8 +36,8 @@ def nearest(left: DataFrame, right: DataFrame, left_time: str, right_time: str,
     """Each left row with `name` of the right row nearest in time within the tolerance and match_gap (ties: earlier, then smaller name), else null in both.
 
     Both sides are laid on one line of time, in bins some tolerances wide; right rows near an edge are repeated into the bin beyond.
-    Windows over a bin carry the last right row before and the first one after each left row, so left rows are evaluated once, none is
-    repeated or merged whatever its keys, and a dense right side costs its size only. Left rows without a time have no match.
+    Windows over a bin, one forward and one backward, carry the last right row before and the first one after each left row, so left rows are evaluated once, none is
+    repeated or merged whatever its keys, and a burst on either side costs its sorting only. Left rows without a time have no match.
     """
     width = 16 * max(1, int(tolerance))
     row = F.struct(*[F.col(f"`{c}`") for c in left.columns])
@@ -46,10 +46,10 @@ def nearest(left: DataFrame, right: DataFrame, left_time: str, right_time: str,
     b = right.select(F.col(right_time).cast("long").alias("_t"), F.col(name).cast("string").alias("_name")).filter("_t is not null").groupBy("_t").agg(F.min("_name").alias("_name"))
     bins = F.array_distinct(F.array(*(time_bin(F.col("_t") + d, width) for d in (-tolerance, 0, tolerance))))
     line = a.unionByName(b.select("_t", F.lit(0).alias("_side"), "_name", F.explode(bins).alias("_bin")), allowMissingColumns=True)
-    order = Window.partitionBy("_bin").orderBy("_t", "_side")
+    upto = lambda *order: Window.partitionBy("_bin").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     hit = F.when(F.col("_side") == 0, F.struct(F.col("_t").alias("t"), F.col("_name").alias("name")))
-    before = F.last(hit, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(hit, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    before = F.last(hit, ignorenulls=True).over(upto("_t", "_side"))
+    after = F.last(hit, ignorenulls=True).over(upto(F.desc("_t"), F.desc("_side")))  # a frame that ends at the bin's end would pass it again for each row
     met = line.withColumn("_before", before).withColumn("_after", after).filter("_side = 1")
     near = lambda x: F.when(F.abs(F.col("_t") - F.col(x)["t"]) <= tolerance, F.struct(F.abs(F.col("_t") - F.col(x)["t"]).alias("gap"), F.col(x)["t"].alias("t"), F.col(x)["name"].alias("name")))
     found = met.withColumn("_best", F.least(near("_before"), near("_after")))  # skips nulls

@@ -9,7 +9,8 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallybeam.operators.intervals import range_join
+from tallybeam.operators.intervals import range_join, time_bin
+from tallybeam.scratch import materialise
 
 PAD_S, LEAST_S, MOST_S, FILE_S = 32, 64, 6000, 4096
 #: Seconds that a discovered end stays fresh, and the time that stands in where nothing is known.
@@ -185,20 +186,37 @@ def resolve_pages(pages: DataFrame) -> DataFrame:
 def previous_available_end(asked: DataFrame, starts: DataFrame, runs: DataFrame, ifos: list[str], file_us: int = FILE_S * 1_000_000, days: tuple[int, ...] = (1, 7, 30, 90), years: int = 5) -> DataFrame:
     """before_us, run, days, end_us of `asked` (before_us): the end of the latest file before that time whose like exists for all sensors.
 
-    Runs (run, run_start, run_end) are searched newest first, each in windows that widen; the first window that finds one decides. `starts` has (ifo, start_us); a file
-    of the first sensor counts if one of every other sensor in the same run and window starts less than a file's length away. Neighbours are found once for each
-    file by a range join (a file has few), whatever is asked; asked, runs and windows are literal relations.
+    Runs (run, run_start, run_end; a handful, known to the driver) are searched newest first, each in windows that widen; the first window that finds one decides. `starts` has (ifo, start_us); a file
+    of the first sensor counts if one of every other sensor in the same run and window starts less than a file's length away. Neighbours are found once for each file by a range join (a file has few).
+    A window's ends alone can part a file from its neighbours, so only files in the days of its ends are compared with it; of all days before, the latest file with neighbours is
+    looked up by day. Each asked time thus meets the files of some days, however long the windows.
     """
     day = 86_400_000_000
-    listed = runs.select("run", "run_start", "run_end", F.row_number().over(Window.orderBy(F.desc("run_start"))).alias("turn"))  # a literal relation
-    tries = asked.crossJoin(F.broadcast(listed)).filter(F.col("run_end") >= F.col("before_us") - years * 365 * day)
+    width = max(day, file_us)
+    listed = runs.select("run", "run_start", "run_end").orderBy(F.desc("run_start")).collect()  # a literal relation
+    every = F.array(*(F.struct(F.lit(i + 1).alias("turn"), F.lit(r.run).alias("run"), F.lit(r.run_start).cast("long").alias("run_start"), F.lit(r.run_end).cast("long").alias("run_end")) for i, r in enumerate(listed)))
+    if not listed:
+        return asked.select("before_us", F.lit(None).cast("string").alias("run"), F.lit(None).cast("int").alias("days"), F.lit(None).cast("long").alias("end_us")).limit(0)
+    tries = asked.select("before_us", F.explode(every).alias("r")).select("before_us", "r.*").filter(F.col("run_end") >= F.col("before_us") - years * 365 * day)
     tries = tries.withColumn("days", F.explode(F.array(*map(F.lit, days)))).withColumn("lo", F.greatest("run_start", F.col("before_us") - F.col("days") * day)).withColumn("hi", F.least("run_end", "before_us"))
-    ranges = tries.filter("lo < hi")
+    ranges = tries.filter("lo < hi").select("before_us", "turn", "run", "days", "lo", "hi")
     of = lambda ifo, name: starts.filter(F.col("ifo") == ifo).select(F.col("start_us").alias(name)).distinct()
-    found = of(ifos[0], "start_us").join(F.broadcast(ranges), (F.col("start_us") >= F.col("lo")) & (F.col("start_us") < F.col("hi")))
-    for other in ifos[1:]:
-        near = range_join(of(ifos[0], "s"), of(other, "o"), "s", "o", file_us, strict=True).groupBy("s").agg(F.sort_array(F.collect_set("o")).alias("near"))
-        found = found.join(near, F.col("start_us") == F.col("s")).filter(F.exists("near", lambda o: (o >= F.col("lo")) & (o < F.col("hi")))).drop("s", "near")
-    best = found.groupBy("before_us", "turn", "run", "days").agg((F.max("start_us") + file_us).alias("end_us"))
+    joint = of(ifos[0], "s")
+    for k, other in enumerate(ifos[1:]):
+        near = range_join(of(ifos[0], "s"), of(other, "o"), "s", "o", file_us, strict=True).groupBy("s").agg(F.sort_array(F.collect_set("o")).alias(f"near_{k}"))
+        joint = joint.join(near, "s")
+    joint = materialise(joint.withColumn("_day", time_bin(F.col("s"), width)), "joint-files")
+    inner = F.col("hi") - file_us  # files up to here have their neighbours before hi, and those from lo + file_us - 1 on have them after lo
+    ends = F.array_distinct(F.array(*(time_bin(t, width) for t in (F.col("lo"), F.col("lo") + file_us, inner, F.col("hi")))))
+    inside = lambda t: (t >= F.col("lo")) & (t < F.col("hi"))
+    found = ranges.withColumn("_day", F.explode(ends)).join(joint, "_day").filter(inside(F.col("s")))
+    for k in range(len(ifos) - 1):
+        found = found.filter(F.exists(f"near_{k}", inside))
+    asked_days = ranges.withColumn("_day", time_bin(inner, width))
+    calendar = joint.select("_day", "s").unionByName(asked_days.select("_day", F.lit(None).cast("long").alias("s"))).groupBy("_day").agg(F.max("s").alias("s"))
+    calendar = calendar.select("_day", F.last("s", ignorenulls=True).over(Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)).alias("s"))  # one row a day
+    earlier = asked_days.join(calendar, "_day").filter(F.col("s") >= F.col("lo") + file_us - 1)
+    key = ["before_us", "turn", "run", "days"]
+    best = found.select(*key, "s").unionByName(earlier.select(*key, "s")).groupBy(*key).agg((F.max("s") + file_us).alias("end_us"))
     first = F.min(F.struct("turn", "days", "run", "end_us")).alias("first")
     return best.groupBy("before_us").agg(first).select("before_us", "first.run", "first.days", "first.end_us")

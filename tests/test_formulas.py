@@ -285,6 +285,33 @@ def test_tasks_of_deduplication_stay_bounded_at_ten_times_the_density(spark, mon
     assert kept == naive_greedy(rows, 10)
 
 
+def test_tasks_of_deduplication_stay_bounded_in_a_burst(spark, monkeypatch):
+    """Half of all rows lie in a burst, many at one time, and half are spread: the burst is cut by count, so no chunk holds more than some times what was asked for."""
+    rng = random.Random(8)
+    burst = [rng.randrange(500_000, 540_000) for _ in range(4_000)] + [520_000] * 1_000
+    rows = [(1.0, rng.random(), t, "t", i, i) for i, t in enumerate(burst + [rng.randrange(0, 500_000_000) for _ in range(5_000)])]
+    whole = candidates.greedy
+
+    def counted(time, place, state, own, window):
+        assert len(time) < 4 * 1_000
+        return whole(time, place, state, own, window)
+
+    monkeypatch.setattr(candidates, "greedy", counted)
+    frame = spark.createDataFrame(rows, CANDIDATE)
+    for window in (10, 3_000):  # the second is longer than a chunk of the burst
+        kept = sorted(r.event_id_a for r in candidates.deduplicate(frame, window, 800 if window == 10 else 300).collect())
+        assert kept == naive_greedy(rows, window)
+    assert candidates.deduplicate(frame, 0, 800).count() == len(rows)
+
+
+def test_nearest_in_a_burst(spark):
+    """A bin of many rows on both sides is sorted, not passed again for each row."""
+    left = spark.range(200_000).selectExpr("id", "id * 7 % 100003 as t")
+    right = spark.range(100_000).selectExpr("id * 3 as u", "cast(id as string) as name")
+    rows = nearest(left, right, "t", "u", "name", 50_000)
+    assert rows.filter("match_gap = (case when t % 3 = 2 then 1 else t % 3 end) and cast(name as long) = (case when t % 3 = 2 then t div 3 + 1 else t div 3 end)").count() == 200_000
+
+
 def test_places_number_all_rows(spark):
     rows = [(random.Random(i).choice([None, 1.0]), float(i % 5), i, "t", i, i) for i in range(300)]
     got = {r.event_id_a: r.place for r in candidates.placed(spark.createDataFrame(rows, CANDIDATE)).collect()}
