@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybeam import search
+from tallybeam.config import Config
 from tallybeam.functions import scalars as S
 from tallybeam.operators import arrays, background, bank, candidates, coincidence, long_series, ranking, signal
 from tallybeam.operators.intervals import clip, nearest, range_join, within_segments
@@ -286,6 +288,20 @@ def a11_slide_count_estimate(spark, sf_dir):
     return n.crossJoin(b).select(F.greatest(F.lit(1), F.floor(F.col("b") / F.greatest(F.lit(1), F.col("t")))).cast("long").alias("n_slides"))  # one row each
 
 
+_ESTIMATE = Config.of({"runtime": {"ifos": ["H1", "L1"]}, "background": {"slides": SLIDES, "spacing_s": SPACING / 1e6, "window_s": SAME_TEMPLATE / 1e6, "pair_windows_s": {}}})
+_OBSERVED_S = (V.MONTH_END - V.MONTH_START) // 1_000_000
+
+
+@query(f"""WITH s AS (SELECT greatest(1, (SELECT count(*) FROM bg) // greatest(1, count(*))) AS n_slides FROM v_triggers WHERE ifo IN ('H1', 'L1')), v AS (SELECT network_stat AS x FROM bg WHERE NOT isnan(network_stat)),
+    t AS (SELECT n_slides * {_OBSERVED_S}::DOUBLE AS trials, (SELECT count(*) FROM v) AS n FROM s), l AS (SELECT c.*, (SELECT count(*) FROM v WHERE x >= c.network_stat) AS louder FROM coinc c WHERE isfinite(network_stat))
+    SELECT event_id_a, event_id_b, louder::BIGINT AS n_louder, round((louder + 1) / trials * 31557600, 6) AS far_per_year, round(trials / (louder + 1) / 31557600, 6) AS ifar_years,
+    round(1 - exp(-(trials / n) * (louder + 1) / trials), 6) AS p_value FROM l, t""")
+def c05_native_estimate(spark, sf_dir):
+    """All coincidences ranked by the estimator that takes the number of slides from the background itself."""
+    _, found = search.ranked_by_background(V.triggers(spark, sf_dir), _coincidences(spark, sf_dir), _ESTIMATE, "native", _OBSERVED_S)
+    return found.select("event_id_a", "event_id_b", "n_louder", r6("far_per_year", "far_per_year"), r6("ifar_years", "ifar_years"), r6("p_value", "p_value"))
+
+
 @query("""SELECT b.block_start_us, ifo, round(sum(greatest(0, least(seg_end_us, block_end_us) - greatest(seg_start_us, block_start_us))) / 1e6, 3) AS overlap_s,
     round(sum(greatest(0, least(seg_end_us, block_end_us) - greatest(seg_start_us, block_start_us))) / 21600000000, 6) AS duty_cycle
     FROM v_blocks b JOIN v_segments s ON seg_start_us < block_end_us AND seg_end_us > block_start_us GROUP BY 1, 2""")

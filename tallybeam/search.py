@@ -349,16 +349,44 @@ def search_folder(spark: SparkSession, folder: str, cfg: Config, root: str, cata
     return search_blocks(spark, blocks, series_of, cfg, root, catalogue)
 
 
-def estimate_background(triggers: DataFrame, cfg: Config, kind: str = "pairs") -> dict:
-    """A summary of the background of pairs or triples: n, loudest, median, trials_s, far_hz."""
+def _slid(triggers: DataFrame, cfg: Config, kind: str) -> tuple[DataFrame, int]:
+    """The slid coincidences that an estimator takes, and the number of slides."""
     spark, ifos, b, near = triggers.sparkSession, list(cfg.runtime.ifos), cfg.background, windows(cfg)
     slides = background.offsets(spark, b.slides, micros(b.spacing_s))
-    if kind == "pairs":
-        slid, n = background.slid_pairs(triggers, ifos[0], ifos[1], slides, near[tuple(ifos[:2])], b.same_template), 2 * b.slides
-    elif kind == "triples":
+    if kind in ("pairs", "native"):
+        return background.slid_pairs(triggers, ifos[0], ifos[1], slides, near[tuple(ifos[:2])], b.same_template), 2 * b.slides
+    if kind == "triples":
         offsets = background.offset_pairs(slides, b.strategy, b.fraction)
-        slid, n = background.slid_triples(triggers, tuple(ifos[:3]), offsets, (near[ifos[0], ifos[1]], near[ifos[0], ifos[2]], near[ifos[1], ifos[2]])), offsets.count()
-    else:
-        raise ValueError(f"unknown kind: {kind}")
-    row, seconds = ranking.summary(slid).first(), ranking.observing_time(triggers, True).first()[0]
-    return {"n": row.n, "loudest": row.loudest, "median": row.median, "trials_s": n * seconds, "far_hz": row.n / (n * seconds) if row.n and seconds else None, "kind": kind}
+        return background.slid_triples(triggers, tuple(ifos[:3]), offsets, (near[ifos[0], ifos[1]], near[ifos[0], ifos[2]], near[ifos[1], ifos[2]])), offsets.count()
+    raise ValueError(f"unknown kind: {kind}")
+
+
+def _summary(triggers: DataFrame, slid: DataFrame, n_slides: int, cfg: Config, kind: str, observing_s: float | None) -> dict:
+    row = ranking.summary(slid).first()
+    seconds = ranking.observing_time(triggers, True).first()[0] if observing_s is None else float(observing_s)
+    if kind == "native":
+        n_slides = max(1, row.n // max(1, triggers.filter(F.col("ifo").isin(*cfg.runtime.ifos)).count()))
+    trials = n_slides * seconds
+    return {"n": row.n, "loudest": row.loudest, "median": row.median, "n_slides": n_slides, "trials_s": trials, "far_hz": row.n / trials if row.n and seconds else None, "kind": kind}
+
+
+def estimate_background(triggers: DataFrame, cfg: Config, kind: str = "pairs", observing_s: float | None = None) -> dict:
+    """A summary of the background of pairs or triples: n, loudest, median, n_slides, trials_s, far_hz.
+
+    kind: pairs, triples, or native: pairs whose number of slides is not the configured one but the background's rows for each trigger of the searched sensors, at least 1. observing_s: the time that one slide stands
+    for; where it isn't given, the least span of a sensor's triggers.
+    """
+    slid, n_slides = _slid(triggers, cfg, kind)
+    return _summary(triggers, slid, n_slides, cfg, kind, observing_s)
+
+
+def ranked_by_background(triggers: DataFrame, found: DataFrame, cfg: Config, kind: str = "native", observing_s: float | None = None) -> tuple[dict, DataFrame]:
+    """The summary, and `found` (network_stat) with n_louder, far_hz, far_per_year, ifar_years, p_value and sigma against that background, most significant first (then loudest).
+
+    The background is made and written once. P-values are those of the trials shared by the background's rows; without any background rates are infinite and nothing is significant.
+    """
+    slid, n_slides = _slid(triggers, cfg, kind)
+    slid = materialise(slid.select("network_stat"), "estimated-background")
+    summary = _summary(triggers, slid, n_slides, cfg, kind, observing_s)
+    out = ranking.ranked(found, slid, summary["trials_s"], n_slides, "search").withColumn("far_per_year", F.col("far_hz") * S.YEAR_S)
+    return summary, out.orderBy(F.desc("sigma"), F.desc("network_stat"))

@@ -1,13 +1,14 @@
 """The whole search on two sensors with a signal in both."""
 
 import json
+from statistics import NormalDist
 
 import numpy as np
 import pytest
 
 from tallybeam.config import Config
 from tallybeam.operators import signal
-from tallybeam.search import blocks_to_search, conditioned, estimate_background, resume_from, run_search, search_blocks, search_folder, whole_background, windows
+from tallybeam.search import blocks_to_search, conditioned, estimate_background, ranked_by_background, resume_from, run_search, search_blocks, search_folder, whole_background, windows
 from tallybeam.sources.state import State, current_blocks
 
 
@@ -97,6 +98,31 @@ def test_three_sensors_with_gaps_and_gates(spark, tmp_path):
         assert got["n"] >= 0 and (got["far_hz"] is None) == (got["n"] == 0)
 
 
+def test_native_estimator_by_a_plain_loop(spark):
+    rng = np.random.default_rng(4)
+    rows = [(ifo, int(rng.integers(0, 60_000_000)), float(rng.uniform(4, 9)), "t", 100 * k + i) for k, ifo in enumerate(("H1", "L1", "V1")) for i in range(60)]
+    triggers = spark.createDataFrame(rows, "ifo string, gps_us long, new_snr double, template_id string, event_id long")
+    cfg = Config.of({"runtime": {"ifos": ["H1", "L1"]}, "background": {"slides": 40, "spacing_s": 0.7, "window_s": 0.5, "pair_windows_s": {}}})
+    of = lambda ifo: [r for r in rows if r[0] == ifo]
+    slid = [(a[2] ** 2 + b[2] ** 2) ** 0.5 for s in range(-40, 41) if s for a in of("H1") for b in of("L1") if abs(a[1] - b[1] - s * 700_000) < 500_000]
+    found = spark.createDataFrame([(i, x) for i, x in enumerate((3.0, 9.0, 11.5, 99.0, float("nan")))], "id int, network_stat double")
+    got, ranked = ranked_by_background(triggers, found, cfg, observing_s=60)
+    n_slides = max(1, len(slid) // 120)
+    assert n_slides > 1 and (got["n"], got["n_slides"], got["trials_s"]) == (len(slid), n_slides, 60.0 * n_slides)
+    assert got["loudest"] == pytest.approx(max(slid)) and got["median"] == pytest.approx(float(np.median(slid)))
+    assert estimate_background(triggers, cfg, "native", 60) == got and estimate_background(triggers, cfg)["n_slides"] == 80
+    out = ranked.collect()
+    p = {i: 1 - np.exp(-(sum(v >= x for v in slid) + 1) / len(slid)) for i, x in enumerate((3.0, 9.0, 11.5, 99.0))}
+    assert [r.id for r in out] == sorted(p, key=lambda i: -abs(NormalDist().inv_cdf(p[i])))  # sigma is without a sign
+    for r in out:
+        far = (sum(x >= r.network_stat for x in slid) + 1) / (60.0 * n_slides)
+        assert (r.far_hz, r.far_per_year, r.ifar_years) == pytest.approx((far, far * 365.25 * 86400, 1 / (far * 365.25 * 86400)))
+        assert r.p_value == pytest.approx(1 - np.exp(-far * 60.0 * n_slides / len(slid)))
+    none, ranked = ranked_by_background(triggers.filter("ifo = 'H1'"), found, cfg, observing_s=60)
+    assert (none["n"], none["n_slides"], none["far_hz"]) == (0, 1, None)
+    assert {(r.far_hz, r.ifar_years, r.p_value, r.sigma) for r in ranked.collect()} == {(float("inf"), 0.0, 1.0, 0.0)}
+
+
 def test_errors_are_recorded_and_raised(spark, tmp_path):
     cfg = Config.of({"bank": {"method": "nothing"}, "conditioning": {"rate": 256.0, "segment_s": 2.0}})
     series = spark.createDataFrame(planted(np.random.default_rng(1), ("H1", "L1"), 1024, 256.0, 500, (0,)), SERIES)
