@@ -1,7 +1,10 @@
 """Counts over coincidences that are not listed, against the listed ones."""
 
+import dataclasses
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallybeam.operators import background, coincidence, ranking, tallies
 from tallybeam.plans import views as V
@@ -44,3 +47,21 @@ def test_statistics_between_bounds_equal_the_filtered_ones():
     for lo, hi in ((-np.inf, np.inf), (0.4, 0.7), (-np.inf, 0.5), (0.9, np.inf)):
         found = np.sort(np.concatenate([*tallies.statistics_between(unit, b, lo, hi)]))
         assert found.tolist() == every[(every > lo) & (every <= hi)].tolist()
+
+
+def test_summary_and_thresholds_equal_those_of_the_listed_background(both):
+    _, listed, unlisted = both
+    assert ranking.summary(unlisted).collect() == ranking.summary(listed).collect()
+    for place in (1, 7, 10**9):
+        assert ranking.threshold_for(unlisted, float(place), 1.0).collect() == ranking.threshold_for(listed, float(place), 1.0).collect()
+    none = dataclasses.replace(unlisted, ifo_b="none")
+    assert ranking.summary(none).first().asDict() == {"n": 0, "loudest": 0.0, "median": None}
+    assert ranking.threshold_for(none, 1.0, 1.0).first()[0] == 0.0
+
+
+def test_counts_and_loudest_by_offset(both):
+    _, listed, unlisted = both
+    want = listed.groupBy("slide", "offset_us").agg(F.count(F.lit(1)).alias("n"), F.max("network_stat").alias("loudest"))
+    assert sorted(tallies.by_offset(unlisted).collect()) == sorted(want.collect())
+    plan = tallies.by_offset(unlisted)._jdf.queryExecution().toString()
+    assert "SortMergeJoin" not in plan
