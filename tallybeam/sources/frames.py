@@ -183,11 +183,25 @@ def resolve_pages(pages: DataFrame) -> DataFrame:
     return pages.groupBy("name").agg(F.max_by("gps", F.struct("page", "gps")).alias("gps"))
 
 
+def _neighbours(files: DataFrame, others: DataFrame, file_us: int) -> DataFrame:
+    """s, near of files (s) with any of `others` (o) less than file_us away: the last such one up to s and the first one from s on. Both sides pass days once forward and once backward."""
+    width = max(86_400_000_000, file_us)
+    bins = F.array_distinct(F.array(*(time_bin(F.col("o") + d, width) for d in (-file_us, 0, file_us))))
+    line = files.select(time_bin(F.col("s"), width).alias("_bin"), F.col("s").alias("t"), F.lit(None).cast("long").alias("o")).unionByName(others.select(F.explode(bins).alias("_bin"), F.col("o").alias("t"), "o"))
+    upto = lambda *order: Window.partitionBy("_bin").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = F.last("o", ignorenulls=True).over(upto("t", F.col("o").desc()))  # nulls last: others of a file's own time come before it
+    after = F.last("o", ignorenulls=True).over(upto(F.desc("t"), F.col("o").desc()))
+    met = line.withColumn("before", before).withColumn("after", after).filter("o is null")
+    near = F.filter(F.array("before", "after"), lambda o: F.abs(o - F.col("t")) < file_us)
+    return met.select(F.col("t").alias("s"), near.alias("near")).filter(F.size("near") > 0)
+
+
 def previous_available_end(asked: DataFrame, starts: DataFrame, runs: DataFrame, ifos: list[str], file_us: int = FILE_S * 1_000_000, days: tuple[int, ...] = (1, 7, 30, 90), years: int = 5) -> DataFrame:
     """before_us, run, days, end_us of `asked` (before_us): the end of the latest file before that time whose like exists for all sensors.
 
     Runs (run, run_start, run_end; a handful, known to the driver) are searched newest first, each in windows that widen; the first window that finds one decides. `starts` has (ifo, start_us); a file
-    of the first sensor counts if one of every other sensor in the same run and window starts less than a file's length away. Neighbours are found once for each file by a range join (a file has few).
+    of the first sensor counts if one of every other sensor in the same run and window starts less than a file's length away. Only the nearest neighbours before and after a file can decide that,
+    as they lie in every window that holds the file and any other neighbour of that side; they are found once for each file.
     A window's ends alone can part a file from its neighbours, so only files in the days of its ends are compared with it; of all days before, the latest file with neighbours is
     looked up by day. Each asked time thus meets the files of some days, however long the windows.
     """
@@ -203,8 +217,7 @@ def previous_available_end(asked: DataFrame, starts: DataFrame, runs: DataFrame,
     of = lambda ifo, name: starts.filter(F.col("ifo") == ifo).select(F.col("start_us").alias(name)).distinct()
     joint = of(ifos[0], "s")
     for k, other in enumerate(ifos[1:]):
-        near = range_join(of(ifos[0], "s"), of(other, "o"), "s", "o", file_us, strict=True).groupBy("s").agg(F.sort_array(F.collect_set("o")).alias(f"near_{k}"))
-        joint = joint.join(near, "s")
+        joint = joint.join(_neighbours(of(ifos[0], "s"), of(other, "o"), file_us).withColumnRenamed("near", f"near_{k}"), "s")
     joint = materialise(joint.withColumn("_day", time_bin(F.col("s"), width)), "joint-files")
     inner = F.col("hi") - file_us  # files up to here have their neighbours before hi, and those from lo + file_us - 1 on have them after lo
     ends = F.array_distinct(F.array(*(time_bin(t, width) for t in (F.col("lo"), F.col("lo") + file_us, inner, F.col("hi")))))

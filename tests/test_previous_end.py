@@ -46,3 +46,12 @@ def test_previous_end_by_a_plain_loop(spark, file_us, n):
 def test_no_pair_of_rows_is_compared_by_range_alone(spark, sf):
     plan = registry.queries()["a24_previous_available_end"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_a_file_keeps_two_neighbours_at_most_of_a_crowd(spark):
+    rng = random.Random(5)
+    files, others = [(rng.randrange(-300, 3_000),) for _ in range(60)], [(rng.randrange(-300, 3_000),) for _ in range(400)]
+    found = frames._neighbours(spark.createDataFrame(files, "s long").distinct(), spark.createDataFrame(others, "o long").distinct(), 100).collect()
+    times = [o for (o,) in others]
+    want = {s: (max((o for o in times if s - 100 < o <= s), default=None), min((o for o in times if s <= o < s + 100), default=None)) for (s,) in files}
+    assert {r.s: r.near for r in found} == {s: [o for o in x if o is not None] for s, x in want.items() if x != (None, None)}
