@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallybeam.config import Config
 from tallybeam.functions import scalars as S
-from tallybeam.operators import background, bank, candidates, coincidence, ranking, signal
+from tallybeam.operators import background, bank, candidates, coincidence, ranking, signal, tallies
 from tallybeam.operators.intervals import nearest
 from tallybeam.scratch import materialise, scope
 from tallybeam.sources import series as series_files
@@ -349,19 +349,19 @@ def search_folder(spark: SparkSession, folder: str, cfg: Config, root: str, cata
     return search_blocks(spark, blocks, series_of, cfg, root, catalogue)
 
 
-def _slid(triggers: DataFrame, cfg: Config, kind: str) -> tuple[DataFrame, int]:
-    """The slid coincidences that an estimator takes, and the number of slides."""
+def _slid(triggers: DataFrame, cfg: Config, kind: str) -> tuple[DataFrame | tallies.Slid, int]:
+    """The slid coincidences that an estimator takes, those of pairs not listed, and the number of slides."""
     spark, ifos, b, near = triggers.sparkSession, list(cfg.runtime.ifos), cfg.background, windows(cfg)
     slides = background.offsets(spark, b.slides, micros(b.spacing_s))
     if kind in ("pairs", "native"):
-        return background.slid_pairs(triggers, ifos[0], ifos[1], slides, near[tuple(ifos[:2])], b.same_template), 2 * b.slides
+        return tallies.slid(triggers, ifos[0], ifos[1], slides, near[tuple(ifos[:2])], b.same_template), 2 * b.slides
     if kind == "triples":
         offsets = background.offset_pairs(slides, b.strategy, b.fraction)
         return background.slid_triples(triggers, tuple(ifos[:3]), offsets, (near[ifos[0], ifos[1]], near[ifos[0], ifos[2]], near[ifos[1], ifos[2]])), offsets.count()
     raise ValueError(f"unknown kind: {kind}")
 
 
-def _summary(triggers: DataFrame, slid: DataFrame, n_slides: int, cfg: Config, kind: str, observing_s: float | None) -> dict:
+def _summary(triggers: DataFrame, slid: DataFrame | tallies.Slid, n_slides: int, cfg: Config, kind: str, observing_s: float | None) -> dict:
     row = ranking.summary(slid).first()
     seconds = ranking.observing_time(triggers, True).first()[0] if observing_s is None else float(observing_s)
     if kind == "native":
@@ -380,13 +380,14 @@ def estimate_background(triggers: DataFrame, cfg: Config, kind: str = "pairs", o
     return _summary(triggers, slid, n_slides, cfg, kind, observing_s)
 
 
-def ranked_by_background(triggers: DataFrame, found: DataFrame, cfg: Config, kind: str = "native", observing_s: float | None = None) -> tuple[dict, DataFrame]:
-    """The summary, and `found` (network_stat) with n_louder, far_hz, far_per_year, ifar_years, p_value and sigma against that background, most significant first (then loudest).
+def ranked_by_background(triggers: DataFrame, found: DataFrame, cfg: Config, kind: str = "native", observing_s: float | None = None, ordered: bool = True) -> tuple[dict, DataFrame]:
+    """The summary, and `found` (network_stat) with n_louder, far_hz, far_per_year, ifar_years, p_value and sigma against that background, most significant first (then loudest) if ordered.
 
-    The background is made and written once. P-values are those of the trials shared by the background's rows; without any background rates are infinite and nothing is significant.
+    A background of triples is made and written once, one of pairs is counted and never written. P-values are those of the trials shared by the background's rows; without any background rates are infinite and nothing is significant.
     """
     slid, n_slides = _slid(triggers, cfg, kind)
-    slid = materialise(slid.select("network_stat"), "estimated-background")
+    if isinstance(slid, DataFrame):
+        slid = materialise(slid.select("network_stat"), "estimated-background")
     summary = _summary(triggers, slid, n_slides, cfg, kind, observing_s)
     out = ranking.ranked(found, slid, summary["trials_s"], n_slides, "search").withColumn("far_per_year", F.col("far_hz") * S.YEAR_S)
-    return summary, out.orderBy(F.desc("sigma"), F.desc("network_stat"))
+    return summary, out.orderBy(F.desc("sigma"), F.desc("network_stat")) if ordered else out

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallybeam.operators import background, coincidence, ranking, tallies
+from tallybeam.operators import background, candidates, coincidence, ranking, tallies
 from tallybeam.plans import views as V
 
 
@@ -65,3 +65,14 @@ def test_counts_and_loudest_by_offset(both):
     assert sorted(tallies.by_offset(unlisted).collect()) == sorted(want.collect())
     plan = tallies.by_offset(unlisted)._jdf.queryExecution().toString()
     assert "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("looks", [1, 4])
+def test_loudest_first_deduplication_equals_the_general_one(spark, looks):
+    rng = np.random.default_rng(looks)
+    times = np.concatenate([rng.integers(-5_000, 5_000, 300), rng.integers(100, 160, 200)]).tolist()
+    rows = [(float(s), t, "1", i, -i) for i, (s, t) in enumerate(zip(rng.integers(0, 40, 500).tolist(), times, strict=True))] + [(1.0, None, "1", 900, 1), (2.0, None, "1", 901, 1), (float("nan"), 3, "1", 902, 1)]
+    given = spark.createDataFrame(rows, "network_stat double, gps_us long, template_id string, event_id_a long, event_id_b long")
+    ids = lambda df: sorted(r.event_id_a for r in df.collect())
+    want = ids(candidates.deduplicate(given.filter("not isnan(network_stat)").withColumn("far_hz", F.lit(None).cast("double")), 50))
+    assert ids(candidates.deduplicate_loudest(given, 50, looks)) == want
