@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallybeam.functions import scalars
 from tallybeam.operators import arrays, background, bank, candidates, ranking, signal
 from tallybeam.operators.intervals import nearest
 from tallybeam.plans import registry
@@ -367,3 +368,10 @@ def test_sensors_beyond_three_are_refused(spark, sf):
     with pytest.raises(ValueError, match="4 sensors"):
         coincidence.find(t, ["H1", "L1", "V1", "K1"], {("H1", "L1"): 10})
     assert coincidence.find(t, ["H1"], {("H1", "L1"): 10}).count() == 0
+
+
+def test_fixed_digits_round_as_printf_does(spark):
+    rng = random.Random(9)
+    xs = [k * 0.31371 for k in range(1, 3000, 7)] + [k / 8 for k in range(1, 400)] + [0.25, 0.125, 1.005, 0.995, 0.001, 2.675, 1e14, 0.0, 99.95, 999.995, 35183.25] + [rng.random() * 10 ** rng.randrange(-3, 7) for _ in range(500)] + [k / 200 for k in range(1, 2000)]
+    rows = spark.createDataFrame([(x,) for x in xs], "x double").select("x", scalars.fixed(F.col("x"), 1).alias("one"), scalars.fixed(F.col("x"), 2).alias("two")).collect()
+    assert [(r.x, r.one, r.two) for r in rows] == [(x, f"{x:.1f}", f"{x:.2f}") for x in xs]
