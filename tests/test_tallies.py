@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallybeam.operators import background, candidates, coincidence, ranking, tallies
+from tallybeam.plans import registry
 from tallybeam.plans import views as V
 
 
@@ -76,3 +77,10 @@ def test_loudest_first_deduplication_equals_the_general_one(spark, looks):
     ids = lambda df: sorted(r.event_id_a for r in df.collect())
     want = ids(candidates.deduplicate(given.filter("not isnan(network_stat)").withColumn("far_hz", F.lit(None).cast("double")), 50))
     assert ids(candidates.deduplicate_loudest(given, 50, looks)) == want
+
+
+def test_places_of_candidates_are_made_without_a_background(spark, sf, monkeypatch):
+    want = sorted(tuple(r) for r in candidates.placed(registry._candidates(spark, sf)).select("event_id_a", "event_id_b", "place").collect())
+    monkeypatch.setattr(registry, "_slid", None)
+    monkeypatch.setattr(registry, "_unlisted", None)
+    assert sorted(tuple(r) for r in registry.a21_ordered_candidates(spark, sf).collect()) == want
