@@ -84,3 +84,10 @@ def test_places_of_candidates_are_made_without_a_background(spark, sf, monkeypat
     monkeypatch.setattr(registry, "_slid", None)
     monkeypatch.setattr(registry, "_unlisted", None)
     assert sorted(tuple(r) for r in registry.a21_ordered_candidates(spark, sf).collect()) == want
+
+
+def test_batches_of_a_background_are_appended_without_its_pairs(spark, sf, monkeypatch):
+    from tallybeam.plans import run_state
+
+    monkeypatch.setattr(background, "slid_pairs", None)
+    assert sum(r.n for r in run_state.r11_background_in_batches(spark, sf).collect()) > 0
