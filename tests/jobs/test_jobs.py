@@ -158,3 +158,12 @@ def test_query_equals_its_sql(spark, sf, name):
     want = sorted((tuple(plain(r[names.index(c)]) for c in sorted(names)) for r in rows.fetchall()), key=repr)
     assert sorted((tuple(plain(r[c]) for c in sorted(names)) for r in df.collect()), key=repr) == want
     assert before is None or dict(spark.conf.getAll) == before
+
+
+def test_candidate_catalogue_counts_its_background_and_lists_it_on_demand(spark, sf, tmp_path, monkeypatch):
+    whole, output = candidate_catalogue.run(spark, f"{sf}/events.parquet", f"file://{tmp_path}/a", {"list_background": True}), f"file://{tmp_path}/b"
+    listed = spark.read.parquet(f"file://{tmp_path}/a/slid").groupBy("slide").agg(F.count(F.lit(1)).alias("n"), F.max("network_stat").alias("loudest"))
+    monkeypatch.setattr(candidate_catalogue.background, "slid_pairs", None)
+    found = candidate_catalogue.run(spark, f"{sf}/events.parquet", output)
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+    assert sorted(map(tuple, spark.read.parquet(f"{output}/background").select("slide", "n", "loudest").collect())) == sorted(map(tuple, listed.collect()))
