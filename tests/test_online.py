@@ -88,3 +88,16 @@ def test_groups_are_searched_apart(rocks, tmp_path):
     drain(spark, stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
     got = spark.read.schema(FOUND).parquet(f"{tmp_path}/out").collect()
     assert sorted((r.ifos, r.event_id_a) for r in got) == [("H1,L1", 2), ("H1,V1", 2)]
+
+
+def test_a_run_over_many_stretches_is_no_single_group(rocks, tmp_path):
+    """Candidates without a gap hang on one another from end to end; each group is a stretch of time, and the rows are those of the batch form."""
+    rng = random.Random(3)
+    spark, rows = rocks, [("H1,L1", rng.randrange(90_000_000), "x", rng.random(), None, i, i, None) for i in range(3_000)]
+    source = f"{tmp_path}/source"
+    spark.createDataFrame([*rows, ("H1,L1", 10**9, "x", 8.0, None, -1, -2, None)], FOUND).write.parquet(source)
+    stream = online.deduplicate(spark.readStream.schema(FOUND).parquet(source), 1_000_000, "1 second")
+    assert "stretch" in stream._jdf.queryExecution().analyzed().toString()
+    drain(spark, stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    got, want = (sorted(r.event_id_a for r in df.collect()) for df in (spark.read.schema(FOUND).parquet(f"{tmp_path}/out"), candidates.deduplicate(spark.createDataFrame(rows, FOUND), 1_000_000)))
+    assert got == want and 50 < len(want) < 100
