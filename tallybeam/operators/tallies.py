@@ -27,7 +27,7 @@ MOST_RANKED, LEAST_RANKED = 12_000_000, 500_000
 #: Bits of a double (it is not negative) that the first look at the pairs sorts by, and each later one.
 FIRST, NEXT = 22, 14
 
-_UNIT = "ta binary, xa binary, tb binary, yb binary"
+_UNIT = "bin long, ta binary, xa binary, tb binary, yb binary"
 
 
 @dataclass(frozen=True)
@@ -49,6 +49,11 @@ def slid(triggers: DataFrame, ifo_a: str, ifo_b: str, slides: DataFrame, window_
     return Slid(triggers, ifo_a, ifo_b, tuple(sorted((r.slide, r.offset_us) for r in slides.collect())), window_us, same_template, strict)
 
 
+def coincident(triggers: DataFrame, ifo_a: str, ifo_b: str, window_us: int, same_template: bool = True) -> Slid:
+    """What coincidence.pairs() lists."""
+    return Slid(triggers, ifo_a, ifo_b, ((0, 0),), window_us, same_template, False)
+
+
 def squares(s: np.ndarray, drop_broken: bool) -> tuple[np.ndarray, np.ndarray]:
     """Squares of ratios, broken ones counting as 0, and which of them count at all."""
     good = np.isfinite(s)
@@ -60,7 +65,7 @@ def _packed(drop_broken: bool) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
         side, t, s = (table.column(c).to_numpy() for c in ("side", "t", "s"))
         x, stays = squares(s, drop_broken)
-        out = {}
+        out = {"bin": table.column("bin").combine_chunks()[:1]}
         for number, names in ((0, ("ta", "xa")), (1, ("tb", "yb"))):
             mine = np.flatnonzero((side == number) & stays)
             mine = mine[np.argsort(t[mine], kind="stable")]
@@ -354,3 +359,116 @@ class Largest:
             mine = np.flatnonzero(level == k)
             out[mine] = np.maximum(self.levels[k][lo[mine]], self.levels[k][hi[mine] - (1 << k)])
         return out
+
+
+class AtLeast:
+    """How many values between two places of an array have a rank of at least so much, by the sorted ranks of all stretches of 1, 2, 4 ... values; levels are made when they are asked for."""
+
+    def __init__(self, ranks: np.ndarray):
+        self.ranks, self.levels = ranks, []
+
+    def between(self, lo: np.ndarray, hi: np.ndarray, least: np.ndarray) -> np.ndarray:
+        out, lo, hi, k = np.zeros(len(lo), np.int64), lo.copy(), hi.copy(), 0
+        while (lo < hi).any():
+            odd = np.flatnonzero((lo < hi) & (lo & 1 == 1))
+            out[odd] += self._in(k, lo[odd], least[odd])
+            lo[odd] += 1
+            odd = np.flatnonzero((lo < hi) & (hi & 1 == 1))
+            hi[odd] -= 1
+            out[odd] += self._in(k, hi[odd], least[odd])
+            lo, hi, k = lo >> 1, hi >> 1, k + 1
+        return out
+
+    def _in(self, k: int, stretch: np.ndarray, least: np.ndarray) -> np.ndarray:
+        n = len(self.ranks)
+        while len(self.levels) <= k:
+            self.levels.append(np.sort((np.arange(n) >> len(self.levels)) * n + self.ranks))
+        return np.minimum((stretch + 1) << k, n) - np.searchsorted(self.levels[k], stretch * n + least, "left")
+
+
+def _merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Intervals of integers, both ends included, that neither touch nor overlap."""
+    order = np.argsort(lo, kind="stable")
+    lo, upto = lo[order], np.maximum.accumulate(hi[order])
+    opens = np.flatnonzero(np.append(True, lo[1:] > upto[:-1] + 1)) if len(lo) else np.zeros(0, np.int64)
+    return lo[opens], np.append(upto[opens[1:] - 1], upto[-1:])
+
+
+def _counted(unit: list[np.ndarray], met: tuple[np.ndarray, np.ndarray], lo: np.ndarray, hi: np.ndarray, loud: float, largest: Largest, louder: AtLeast, rising: np.ndarray) -> tuple[int, int, float]:
+    """Number, number of a statistic above `loud`, and largest square of a unit's pairs whose mean time (floored) lies in one of the intervals: for each trigger these are a few stretches of the second sensor's."""
+    (ta, xa, tb, _), (begin, end) = unit, met
+    rows = np.flatnonzero(end > begin)
+    first, last = ta[rows] + tb[begin[rows]], ta[rows] + tb[end[rows] - 1]
+    n, n_loud, most = 0, 0, -1.0
+    for i, k in expanded(np.searchsorted(2 * hi + 1, first, "left"), np.searchsorted(2 * lo, last, "right")):
+        i = rows[i]
+        p, q = np.maximum(begin[i], np.searchsorted(tb, 2 * lo[k] - ta[i], "left")), np.minimum(end[i], np.searchsorted(tb, 2 * hi[k] + 1 - ta[i], "right"))
+        good = np.flatnonzero(q > p)
+        if len(good):
+            i, p, q = i[good], p[good], q[good]
+            n += int((q - p).sum())
+            most = max(most, float((xa[i] + largest.between(p, q)).max()))
+            below, above = np.zeros(len(i), np.int64), np.full(len(i), len(rising))
+            while (below < above).any():  # the first of the rising squares that is loud with this trigger's
+                middle = np.minimum((below + above) // 2, len(rising) - 1)
+                yes = np.sqrt(xa[i] + rising[middle]) > loud
+                above, below = np.where((below < above) & yes, middle, above), np.where((below < above) & ~yes, middle + 1, below)
+            n_loud += int(louder.between(p, q, below).sum())
+    return n, n_loud, most
+
+
+def known_and_new(b: Slid, catalogue: DataFrame, time: str, tolerance: int, loud: float) -> DataFrame:
+    """known, n, n_loud, loudest of the pairs of a finite statistic by whether their mean time (floored) lies within the tolerance of a catalogue time, both ends included; groups without pairs have no row.
+
+    Of a cell as wide as the tolerance only the first and the last catalogue time count, as those between reach no further. Pairs are not made: the work grows with the triggers and the catalogue, by a few searches each.
+    """
+    width, bare = max(b.window_us, 1), _bare(b)
+    number = lambda c: F.floor(c / F.lit(width)).cast("long")
+    t = F.col(time).cast("long")
+    cells = catalogue.filter(t.isNotNull()).groupBy(F.floor(t / F.lit(max(1, tolerance))).alias("cell")).agg(F.min(t).alias("lo"), F.max(t).alias("hi")).select((F.col("lo") - tolerance).alias("lo"), (F.col("hi") + tolerance).alias("hi"))
+    by_bin = cells.withColumn("bin", F.explode(F.sequence(number(F.col("lo") - width), number(F.col("hi") + width)))).groupBy("bin").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("c"))
+    met = units(b).join(by_bin.select("bin", F.col("c.lo").alias("lo"), F.col("c.hi").alias("hi")), "bin", "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = {True: [0, 0, -1.0], False: [0, 0, -1.0]}
+        for batch in batches:
+            for r in range(batch.num_rows):
+                unit = ta, xa, tb, yb = _opened(batch, r)
+                lo, hi = (np.array(batch.column(c)[r].as_py() or [], np.int64) for c in ("lo", "hi"))
+                lo, hi = _merged(lo, hi)
+                far = np.int64(1 << 61)
+                sides = {True: (lo, hi), False: (np.append(-far, hi + 1), np.append(lo - 1, far))}
+                for _, offset in bare.offsets:
+                    reached = reach(ta, tb + offset, 0, bare.window_us, bare.strict)
+                    if np.isfinite(xa.max() + yb.max()):
+                        order = np.argsort(yb, kind="stable")
+                        place = np.empty(len(yb), np.int64)
+                        place[order] = np.arange(len(yb))
+                        largest, louder = Largest(yb), AtLeast(place)
+                        counts = {k: _counted([ta, xa, tb + offset, yb], reached, *v, loud, largest, louder, yb[order]) for k, v in sides.items()}
+                    else:
+                        counts = _by_pairs(unit, offset, reached, lo, hi, loud)
+                    for k, (n, n_loud, most) in counts.items():
+                        found[k] = [found[k][0] + n, found[k][1] + n_loud, max(found[k][2], most)]
+        held = [(k, n, n_loud, float(np.sqrt(most))) for k, (n, n_loud, most) in found.items() if n]
+        yield pa.RecordBatch.from_arrays([pa.array([h[i] for h in held], kind) for i, kind in enumerate((pa.bool_(), pa.int64(), pa.int64(), pa.float64()))], ["known", "n", "n_loud", "loudest"])
+
+    out = dealt(met).mapInArrow(run, "known boolean, n long, n_loud long, loudest double")
+    return out.groupBy("known").agg(F.sum("n").alias("n"), F.sum("n_loud").alias("n_loud"), F.max("loudest").alias("loudest"))
+
+
+def _by_pairs(unit: list[np.ndarray], offset: int, reached: tuple[np.ndarray, np.ndarray], lo: np.ndarray, hi: np.ndarray, loud: float) -> dict[bool, tuple[int, int, float]]:
+    """What _counted() gives for both kinds, pair by pair, as sums that overflow take no part."""
+    ta, xa, tb, yb = unit
+    found = {True: (0, 0, -1.0), False: (0, 0, -1.0)}
+    for i, j in expanded(*reached):
+        with np.errstate(over="ignore"):
+            x = xa[i] + yb[j]
+        middle = (ta[i] + tb[j] + offset) >> 1
+        k = np.searchsorted(hi, middle, "left")
+        known = np.append(lo, np.iinfo(np.int64).max)[k] <= middle
+        for kind in found:
+            v = x[np.isfinite(x) & (known == kind)]
+            n, n_loud, most = found[kind]
+            found[kind] = (n + len(v), n_loud + int((np.sqrt(v) > loud).sum()), max(most, float(v.max(initial=-1.0))))
+    return found

@@ -91,3 +91,28 @@ def test_batches_of_a_background_are_appended_without_its_pairs(spark, sf, monke
 
     monkeypatch.setattr(background, "slid_pairs", None)
     assert sum(r.n for r in run_state.r11_background_in_batches(spark, sf).collect()) > 0
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e153])
+def test_known_and_new_pairs_are_counted_without_listing_them(spark, scale, monkeypatch):
+    """Against the listed pairs: windows that cross stretches, negative and equal times, ends of tolerances, and squares that overflow."""
+    rng = np.random.default_rng(4)
+    rows = [("HL"[i % 2], int(t), "xy"[i % 3 % 2], scale * float(s), i) for i, (t, s) in enumerate(zip(rng.integers(-3_000, 3_000, 900), rng.integers(3, 15, 900), strict=True))]
+    t = spark.createDataFrame([*rows, ("H", None, "x", 1.0, -1), ("L", 5, "x", None, -2)], "ifo string, gps_us long, template_id string, new_snr double, event_id long").withColumn("rchisq", F.lit(0.0))
+    times = [*rng.integers(-4_000, 4_000, 60).tolist(), 100, 100, 107, None]
+    catalogue = spark.createDataFrame([("e", x) for x in times], "name string, cat_us long")
+    listed = coincidence.pairs(t, "H", "L", 70)
+    near = F.lit(False)
+    for x in times:
+        near = near | (F.abs(F.col("gps_us") - x) <= 9) if x is not None else near
+    kept = listed.filter(F.col("network_stat") < float("inf")).withColumn("known", near)
+    want = kept.groupBy("known").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("network_stat") > 14 * scale).alias("n_loud"), F.max("network_stat").alias("loudest")).collect()
+    monkeypatch.setattr(coincidence, "pairs", None)
+    got = tallies.known_and_new(tallies.coincident(t, "H", "L", 70), catalogue, "cat_us", 9, 14 * scale).collect()
+    assert sorted(got) == sorted(want) and len(want) == 2
+    assert scale > 1 or min(r.n_loud for r in want) > 0
+
+
+def test_p07_makes_no_pairs(spark, sf, monkeypatch):
+    monkeypatch.setattr(registry, "_coincidences", None)
+    assert sum(r.n for r in registry.p07_p09_p12_known_and_new(spark, sf).collect()) > 0
