@@ -116,3 +116,17 @@ def test_known_and_new_pairs_are_counted_without_listing_them(spark, scale, monk
 def test_p07_makes_no_pairs(spark, sf, monkeypatch):
     monkeypatch.setattr(registry, "_coincidences", None)
     assert sum(r.n for r in registry.p07_p09_p12_known_and_new(spark, sf).collect()) > 0
+
+
+@pytest.mark.parametrize("block", [1 << 20, 50])
+def test_distribution_is_numbered_without_writing_the_pairs(spark, monkeypatch, block):
+    rng = np.random.default_rng(5)
+    rows = [("HL"[i % 2], int(t), "x", float(s), i) for i, (t, s) in enumerate(zip(rng.integers(0, 3_000, 300), [*rng.integers(1, 5, 200), *rng.random(99), 1e200], strict=True))]
+    t = spark.createDataFrame(rows, "ifo string, gps_us long, template_id string, new_snr double, event_id long")
+    slides = spark.createDataFrame([(1, 500), (-1, -500)], "slide long, offset_us long")
+    want = [(r.place, r.network_stat) for r in ranking.distribution(background.slid_pairs(t, "H", "L", slides, 100)).orderBy("place").collect()]
+    monkeypatch.setattr(tallies, "BLOCK", block)
+    monkeypatch.setattr(ranking, "materialise", None)
+    monkeypatch.setattr(ranking, "running", None)
+    got = [(r.place, r.network_stat) for r in ranking.distribution(tallies.slid(t, "H", "L", slides, 100)).orderBy("place").collect()]
+    assert got == want and len(want) > 1_000
