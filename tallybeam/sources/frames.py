@@ -74,6 +74,22 @@ def containing(blocks: DataFrame, files: DataFrame) -> DataFrame:
     return hit.groupBy("block_start", "block_end").agg(F.min("file").alias("file"))
 
 
+def containing_tiles(files: DataFrame, size: int) -> DataFrame:
+    """containing() for all blocks of a grid, [k * size, (k + 1) * size) for whole k: block_start, block_end, file of those that a file holds.
+
+    Files alone are shuffled, by bin; a bin's blocks are made beside its files, so they are neither joined nor sorted nor grouped. A task holds the files of one bin at once.
+    """
+    bins = F.sequence(F.floor(F.col("file_start") / FILE_S), F.floor((F.col("file_end") - 1) / FILE_S))
+    held = files.filter(F.col("file_end") - F.col("file_start") >= size).withColumn("_bin", F.explode(bins))
+    held = held.groupBy("_bin").agg(F.collect_list(F.struct("file", "file_start", "file_end")).alias("_files"))
+    first, last = F.ceil(F.col("_bin") * FILE_S / size), F.ceil((F.col("_bin") + 1) * FILE_S / size) - 1
+    tiles = held.withColumn("_first", first).withColumn("_last", last).filter("_first <= _last").select("_files", F.explode(F.sequence("_first", "_last")).alias("_k"))
+    start, end = (F.col("_k") * size).cast("long"), (F.col("_k") * size + size).cast("long")
+    hit = F.filter("_files", lambda f: (f["file_start"] <= start) & (end <= f["file_end"]))
+    found = tiles.select(start.alias("block_start"), end.alias("block_end"), F.transform(hit, lambda f: f["file"]).alias("_names")).filter(F.size("_names") > 0)
+    return found.select("block_start", "block_end", F.array_min("_names").alias("file"))
+
+
 def cached(blocks: DataFrame, files: DataFrame, least_bytes: int = 1024) -> DataFrame:
     """containing() over whole cached files (file, size, with the range in the name); stubs of least_bytes or less don't count."""
     start, end = coverage(F.col("file"))

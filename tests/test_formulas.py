@@ -375,3 +375,16 @@ def test_fixed_digits_round_as_printf_does(spark):
     xs = [k * 0.31371 for k in range(1, 3000, 7)] + [k / 8 for k in range(1, 400)] + [0.25, 0.125, 1.005, 0.995, 0.001, 2.675, 1e14, 0.0, 99.95, 999.995, 35183.25] + [rng.random() * 10 ** rng.randrange(-3, 7) for _ in range(500)] + [k / 200 for k in range(1, 2000)]
     rows = spark.createDataFrame([(x,) for x in xs], "x double").select("x", scalars.fixed(F.col("x"), 1).alias("one"), scalars.fixed(F.col("x"), 2).alias("two")).collect()
     assert [(r.x, r.one, r.two) for r in rows] == [(x, f"{x:.1f}", f"{x:.2f}") for x in xs]
+
+
+@pytest.mark.parametrize("size", [512, 1000, 6000])
+def test_tiles_in_files_are_those_of_the_join_and_only_files_are_shuffled(spark, size):
+    rng = random.Random(size)
+    rows = [(f"f{i}", s := rng.randrange(-40_000, 40_000), s + rng.choice([0, 500, 4096, 4097, 20_000])) for i in range(150)] + [(None, 0, 9_000), ("none", None, 9_000)]
+    files = spark.createDataFrame(rows, "file string, file_start long, file_end long")
+    blocks = spark.range(-100, 150).select((F.col("id") * size).alias("block_start"), (F.col("id") * size + size).alias("block_end"))
+    want = sorted(map(tuple, frames.containing(blocks, files).collect()), key=repr)
+    found = frames.containing_tiles(files, size)
+    assert sorted(map(tuple, found.collect()), key=repr) == want and len(want) > 10
+    plan = found._jdf.queryExecution().toString()
+    assert "Join" not in plan and "min(file" not in plan
