@@ -1,9 +1,16 @@
-"""Operators on a series held as an array column: higher-order functions only, so they stay in the JVM."""
+"""Operators on a series held as an array column: higher-order functions, so they stay in the JVM; only products of many arrays with many are matrices in tasks."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallybeam.functions.scalars import finite
 
@@ -65,15 +72,78 @@ def match(a: Column, b: Column, psd: Column | None = None, kmin: int = 0) -> Col
     return F.least(F.lit(1.0), F.abs(inner(unit(a, psd, kmin), unit(b, psd, kmin))))
 
 
+#: Rows of a chunk that meet as one matrix, and of the pairs that leave a task at once, about.
+CHUNK, BLOCK = 1024, 1 << 18
+
+
+def _chunked(fields: pa.Schema):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (row, arr) as chunks (rows, lengths, values); an array that is null has length -1, a null element is NaN."""
+        for batch in batches:
+            for s in range(0, batch.num_rows, CHUNK):
+                part = batch.slice(s, CHUNK)
+                arr = part.column(1)
+                lengths = pc.fill_null(pc.list_value_length(arr), -1).to_numpy(zero_copy_only=False).astype(np.int32)
+                values = pc.fill_null(arr.flatten().cast(pa.float64()), np.nan).to_numpy(zero_copy_only=False)
+                rows = pa.ListArray.from_arrays([0, part.num_rows], part.column(0)).cast(fields.field(0).type)
+                yield pa.RecordBatch.from_arrays([rows, pa.array([lengths.tobytes()]), pa.array([values.tobytes()])], schema=fields)
+
+    return run
+
+
+def _chunks_of(rows: DataFrame, arr: Column) -> DataFrame:
+    kept = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != "arr"]).alias("row"), arr.alias("arr"))
+    out = kept.select(F.array("row").alias("rows"), F.lit(b"").alias("lengths"), F.lit(b"").alias("values")).schema
+    return kept.mapInArrow(_chunked(to_arrow_schema(out)), out)
+
+
+def _by_length(lengths: np.ndarray, values: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Which rows have each length, and their matrix."""
+    ends = np.cumsum(np.maximum(lengths, 0))
+    found = {}
+    for n in np.unique(lengths[lengths >= 0]).tolist():
+        mine = np.flatnonzero(lengths == n)
+        found[n] = mine, values[(ends[mine] - n)[:, None] + np.arange(n)]
+    return found
+
+
+def _met(fields: pa.Schema):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                (rows_a, n_a, v_a), (rows_b, n_b, v_b) = ((batch.column(i)[r].values, *(np.frombuffer(batch.column(i + k)[r].as_buffer(), t) for k, t in ((1, np.int32), (2, np.float64)))) for i in (0, 3))
+                # As least() has it, what has no number (other lengths, null arrays or elements) is 1.
+                found, other = np.ones((len(n_a), len(n_b))), _by_length(n_b, v_b)
+                for n, (i, a) in _by_length(n_a, v_a).items():
+                    if n in other:
+                        j, b = other[n]
+                        found[np.ix_(i, j)] = np.fmin(1.0, np.abs(a @ b.T))
+                step = max(1, BLOCK // max(1, len(n_b)))
+                for s in range(0, len(n_a), step):
+                    e = min(s + step, len(n_a))
+                    i, j = pa.array(np.repeat(np.arange(s, e), len(n_b))), pa.array(np.tile(np.arange(len(n_b)), e - s))
+                    columns = [f.take(at) for rows, at in ((rows_a, i), (rows_b, j)) for f in rows.flatten()]
+                    columns.append(pa.array(found[s:e].ravel()))
+                    yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, fields, strict=True)], schema=fields)
+
+    return run
+
+
 def matches(series: DataFrame, bank: DataFrame, psd: Column | None = None, kmin: int = 0, blocks: int = 8) -> DataFrame:
     """series columns but arr, bank columns but arr, match: each series row against each row of the bank (names but arr must differ).
 
-    Both are weighted and normalised once. They meet in blocks: the bank is dealt to `blocks` keys, series are repeated to each, and an equality join on the key
-    meets them, so the bank is broadcast only if Spark finds it small.
+    Both are weighted and normalised once and packed into chunks of rows, which meet as matrices. The bank's chunks are dealt to `blocks` keys and repeated for as many shares of the series, the series'
+    chunks are repeated to each key, and an equality join on both meets them, so a task holds a chunk of each and the bank is broadcast only if Spark finds it small.
     """
-    a = series.withColumn("arr", unit(F.col("arr"), psd, kmin)).withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    b = bank.withColumn("_unit", unit(F.col("arr"), psd, kmin)).drop("arr").withColumn("_block", F.pmod(F.xxhash64("_unit"), F.lit(blocks)).cast("int"))
-    return a.join(b, "_block").withColumn("match", F.least(F.lit(1.0), F.abs(inner(F.col("arr"), F.col("_unit"))))).drop("arr", "_unit", "_block")
+    shares = 4 * series.sparkSession.sparkContext.defaultParallelism
+    a = _chunks_of(series.repartition(shares), unit(F.col("arr"), psd, kmin)).withColumn("_share", F.pmod(F.xxhash64("values"), F.lit(shares)))
+    a = a.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    b = _chunks_of(bank, unit(F.col("arr"), psd, kmin)).select(F.col("rows").alias("rows_b"), F.col("lengths").alias("lengths_b"), F.col("values").alias("values_b"))
+    b = b.withColumn("_block", F.pmod(F.xxhash64("values_b"), F.lit(blocks)).cast("int")).withColumn("_share", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))))
+    met = a.join(b, ["_block", "_share"]).select("rows", "lengths", "values", "rows_b", "lengths_b", "values_b")
+    fields = [f for df in (series, bank) for f in df.schema.fields if f.name != "arr"]
+    out = StructType([*fields, StructField("match", DoubleType())])
+    return met.mapInArrow(_met(to_arrow_schema(out)), out)
 
 
 def crop(a: Column, rate: float, seconds: float = 4.0) -> Column:

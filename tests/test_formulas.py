@@ -388,3 +388,19 @@ def test_tiles_in_files_are_those_of_the_join_and_only_files_are_shuffled(spark,
     assert sorted(map(tuple, found.collect()), key=repr) == want and len(want) > 10
     plan = found._jdf.queryExecution().toString()
     assert "Join" not in plan and "min(file" not in plan
+
+
+def test_matches_are_matrix_products_of_chunks(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, "ab"[i % 2], rng.normal(size=12).tolist()) for i in range(90)] + [(900, "z", [0.0] * 12), (901, None, [1.0, 2.0, 3.0]), (902, "n", None), (903, "n", [1.0, None, *[2.0] * 10]), (904, "n", []), (905, "n", [float("nan")] * 12)]
+    s = spark.createDataFrame(rows, "series_id long, ifo string, arr array<double>")
+    b = s.filter("series_id % 10 = 0 or series_id > 899").select(F.col("series_id").alias("template_id"), "arr")
+    psd = F.transform(F.sequence(F.lit(0), F.lit(11)), lambda k: 1 + k / 16.0)
+    for p, k in ((None, 0), (psd, 4)):
+        a, t = s.withColumn("u", arrays.unit(F.col("arr"), p, k)), b.withColumn("v", arrays.unit(F.col("arr"), p, k)).drop("arr")
+        whole = a.crossJoin(t).select("series_id", "ifo", "template_id", F.least(F.lit(1.0), F.abs(arrays.inner(F.col("u"), F.col("v")))).alias("match"))
+        found = arrays.matches(s, b, p, k)
+        assert found.columns == whole.columns
+        got, want = (sorted(((r.series_id, str(r.ifo), r.template_id, round(r.match, 9)) for r in df.collect())) for df in (found, whole))
+        assert got == want and len(got) == 96 * 15
+        assert "MapInArrow" in found._jdf.queryExecution().toString()
