@@ -62,6 +62,15 @@ def test_range_join_equals_nested_loops(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_joins_that_make_many_rows_keep_their_number_of_tasks(spark):
+    """Few bytes make many rows, so the joins' tasks are as many as the session asks for, however few bytes each of them reads."""
+    t = spark.range(3000).select(F.when(F.col("id") % 2 == 0, "H1").otherwise("L1").alias("ifo"), (F.col("id") * 1000).alias("gps_us"), F.lit(5.0).alias("new_snr"), F.lit(1.0).alias("rchisq"), (F.col("id") % 3).cast("string").alias("template_id"), F.col("id").alias("event_id"))
+    slides = spark.createDataFrame([(1, 7000), (-1, -7000)], "slide long, offset_us long")
+    for found in (coincidence.pairs(t, "H1", "L1", 4000), background.slid_pairs(t, "H1", "L1", slides, 4000)):
+        assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+        assert found.groupBy(F.spark_partition_id()).count().count() > 4  # of 8; adaptive execution made one or two of them
+
+
 def test_nearest_ties_and_misses(spark):
     left = spark.createDataFrame([(1, 100), (2, 500)], "id int, t long")
     right = spark.createDataFrame([(90, "b"), (110, "a"), (400, "c")], "u long, name string")
