@@ -104,6 +104,22 @@ def test_new_snr(spark):
         assert g == pytest.approx(want)
 
 
+def test_rounding_of_pairs_equals_the_sql(spark):
+    """Halves away from zero by doubles, broken values left alone; in the plan no decimal rounding is left where pairs are made."""
+    import duckdb
+
+    rng = random.Random(4)
+    values = [0.5e-6, 1.5e-6, 2.5e-6, -2.5e-6, -1.5e-6, 0.0, 1.0, 131.0000005, 131.0000015, math.inf, 2.0**53, *(rng.random() * 200 for _ in range(3000)), *((k + 0.5) * 1e-6 for k in range(0, 2_000_000, 999))]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "x double").select(S.rounded(F.col("x"), 6)).collect()]
+    db = duckdb.connect()
+    assert got == [db.execute("select round(?::double, 6)", [v]).fetchone()[0] for v in values]
+    assert spark.createDataFrame([(math.nan,), (None,)], "x double").select(S.rounded(F.col("x"), 6)).collect()[1][0] is None
+    from tallybeam.plans import registry
+
+    for name in ("j01_pairs_same_template", "j02_pairs_any_template", "j03_pairs_of_all_sensors", "j04_triples", "j08_slides_same_template"):
+        assert " round(" not in registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_sigma_and_texts(spark):
     ps = [0.5, 0.1, 0.9, 1e-6, 1e-20]
     got = [r[0] for r in spark.createDataFrame([(p,) for p in ps], "p double").select(S.sigma(F.col("p"))).collect()]
