@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,6 +56,30 @@ def test_online_background_equals_the_batch_form(rocks, tmp_path, sizes, strict)
     assert got == want and len(want) > 50
 
 
+@pytest.mark.parametrize("sizes", [(), (40, 1, 90)])
+def test_unlisted_online_background_gives_the_same_pairs(rocks, tmp_path, sizes):
+    """The stream writes singles, a row for each stretch and batch, and reading makes each pair once."""
+    spark, rows = rocks, triggers(1, 260, 120_000_000)
+    slides = [(1, 2_000_000), (-1, -2_000_000), (2, 4_000_000), (-2, -4_000_000)]
+    source, out, checkpoint = (f"{tmp_path}/{x}" for x in ("source", "out", "checkpoint"))
+    for part in cut(rows, sizes):
+        spark.createDataFrame(part, TRIGGERS).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(TRIGGERS).parquet(source)
+        drain(spark, online.slid_pairs(stream, "H1", "L1", slides, 1_500_000, "10 seconds", unlisted=True), out, checkpoint)
+    columns = ["slide", "offset_us", "template_id", "event_id_a", "event_id_b", F.round("network_stat", 9)]
+    whole = background.slid_pairs(spark.createDataFrame(rows, TRIGGERS), "H1", "L1", spark.createDataFrame(slides, "slide long, offset_us long"), 1_500_000)
+    met = spark.read.schema(online.MET).parquet(out)
+    got, want = (sorted(map(tuple, df.select(*columns).collect())) for df in (online.pairs_of(met, slides, 1_500_000), whole))
+    assert got == want and len(want) > 50 and met.count() < len(want)
+
+
+def test_pairs_of_a_burst_come_in_blocks():
+    """A stretch with 4 million pairs of a slide yields them block by block."""
+    singles = (np.arange(2000), np.ones(2000), np.arange(2000), np.ones(2000, bool))
+    sizes = [len(block) for block in online.listed(singles, singles, [(1, 0), (2, 5)], 10_000, True)]
+    assert sum(sizes) == 8_000_000 and max(sizes) <= 1 << 20
+
+
 FOUND = "ifos string, gps_us long, template_id string, network_stat double, far_hz double, event_id_a long, event_id_b long, note string"
 
 
