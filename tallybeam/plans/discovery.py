@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
 from tallybeam import search
@@ -131,17 +129,14 @@ def a25_previous_run_end(spark, sf_dir):
 def r03_backward_blocks(spark, sf_dir):
     """Blocks of a backward search over all files of two sensors, from the latest end down, with its jumps over gaps, else to ends of runs of 8192 s; the tests hold it against a plain loop.
 
-    The listing, a row for each start of a sensor's files, is the control loop's, as in search_folder().
+    The search goes by stretches of time, each a group of its own; the driver holds a few ways through each stretch and no file or block.
     """
     files, _ = _files(spark, sf_dir)
-    listed = files.groupBy("ifo", "file_start").agg(F.max("file_end").alias("file_end"))
-    held = {ifo: frames.Ranges((r.file_start, r.file_end) for r in listed.filter(F.col("ifo") == ifo).collect()) for ifo in ("H1", "L1")}
+    listed = files.select("ifo", F.col("file_start").cast("double").alias("s"), F.col("file_end").cast("double").alias("e"))
     starts = lambda ifo, name: files.filter(F.col("ifo") == ifo).select(F.col("file_start").alias(name)).distinct()
     both = range_join(starts("H1", "s"), starts("L1", "o"), "s", "o", frames.FILE_S, strict=True, how="left_semi")
-    joint = frames.Ranges((r.s, r.s + float(frames.FILE_S)) for r in both.collect())
-    latest = held["H1"].latest_end(math.inf)
+    joint = both.select(F.col("s").cast("double").alias("s"))
+    latest = listed.filter("ifo = 'H1'").agg(F.max("e")).first()[0]
     if latest is None:
         return spark.createDataFrame([], "block_start double, block_end double, status string")
-    has = lambda a, b: all(r.holds(a, b) for r in held.values())
-    rows = [*search.blocks_to_search(float(latest), 512.0, has, "backward", joint.latest_end, lambda t: (math.ceil(t / 8192) - 1) * 8192.0, stop_s=512.0)]
-    return spark.createDataFrame(rows, "block_start double, block_end double, status string")
+    return search.backward_blocks(listed, ["H1", "L1"], joint, float(frames.FILE_S), latest, 512.0, 8192.0, stop_s=512.0)

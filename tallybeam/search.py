@@ -8,10 +8,13 @@ from __future__ import annotations
 
 import dataclasses
 import json
+import math
 import time
 from collections.abc import Callable, Iterator
 from functools import cached_property
+from itertools import takewhile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -263,6 +266,83 @@ def blocks_to_search(
                 now = block[1]
 
 
+#: Time of a stretch of a backward search, in ends of runs: some ten thousand files of 4096 s at most for each sensor.
+STRETCH_RUNS = 1 << 13
+#: Ways into a stretch from the block above, at most: one for each second of a block, and more.
+MOST_RESTS = 4_096
+
+
+def backward_blocks(files: DataFrame, ifos: list[str], joint: DataFrame, joint_s: float, start_s: float, block_s: float, run_s: float, stop_s: float, stretch_runs: int | None = None) -> DataFrame:
+    """block_start, block_end, status, latest first: what blocks_to_search() gives backward from start_s over files (ifo, s, e), with jumps to the ends of joint ranges (s, each joint_s long, a block at least), else to the multiples of run_s.
+
+    Time is cut into stretches, at multiples of run_s. A search comes into a stretch in a few ways only: on from the block above (by what is left of the cut modulo a block), at the stretch's last joint end, or at its last
+    multiples of run_s. Each stretch, a group of its own, follows all of them to where they leave it; the driver goes from stretch to stretch by these, and a second pass lists the blocks of the way that is taken.
+    """
+    stretch_runs = stretch_runs or STRETCH_RUNS
+    spark, size = files.sparkSession, float(run_s * stretch_runs)
+    if run_s % block_s or not block_s <= joint_s <= size or stretch_runs < 2:
+        raise ValueError(f"blocks of {block_s} s, joint ranges of {joint_s} s, runs of {run_s} s and stretches of {stretch_runs} runs don't fit each other")
+    number = lambda t: F.ceil(t / F.lit(size)).cast("long") - 1  # noqa: E731  (a stretch has its end, not its start)
+    of = lambda t: math.ceil(t / size) - 1
+    ends = joint.select((F.col("s") + joint_s).alias("e"))
+    last = dict(ends.groupBy(number(F.col("e")).alias("k")).agg(F.max("e")).collect())  # one row a stretch, as are all that come to the driver here
+    rests = {0.0, (-start_s) % block_s} | {r[0] for r in ends.select(F.pmod(-F.col("e"), F.lit(block_s)).alias("r")).distinct().limit(MOST_RESTS + 1).collect()}
+    if len(rests) > MOST_RESTS:
+        raise ValueError("joint ranges end at too many different places of a block")
+    top, bottom = of(start_s), of(stop_s) - 1
+    below, most = {}, max((e for k, e in last.items() if k < bottom), default=None)
+    for k in range(bottom, top + 1):
+        below[k], most = most, last.get(k, most)
+    touched = F.explode(F.sequence(F.greatest(number(F.col("s")), F.lit(bottom)), F.least(number(F.col("e") + block_s), F.lit(top))))
+    rows = files.filter(F.col("ifo").isin(*ifos) & (F.col("s") <= start_s) & (F.col("e") > F.lit(bottom * size))).select("ifo", "s", "e", touched.alias("k"))
+    rows = rows.unionByName(joint.select(F.lit("").alias("ifo"), "s", (F.col("s") + joint_s).alias("e"), F.explode(F.array_distinct(F.array(number(F.col("s")), number(F.col("s") + joint_s)))).alias("k")).filter(F.col("k").between(bottom, top)))
+    rows = rows.unionByName(spark.range(bottom, top + 1).select(F.lit(None).cast("string").alias("ifo"), F.lit(None).cast("double").alias("s"), F.lit(None).cast("double").alias("e"), F.col("id").alias("k")))
+
+    def opened(table: pa.Table):
+        """The stretch's number, its start, and its blocks from a time on."""
+        k = table.column("k")[0].as_py()
+        ifo, s, e = (table.column(c).to_pylist() for c in ("ifo", "s", "e"))
+        held = {x: Ranges((a, b) for i, a, b in zip(ifo, s, e, strict=True) if i == x) for x in [*ifos, ""]}
+        before = below[k]
+
+        def previous_end(t: float) -> float | None:
+            found = held[""].latest_end(t)
+            return before if found is None else found if before is None else max(found, before)
+
+        has = lambda a, b: all(held[x].holds(a, b) for x in ifos)
+        return k, k * size, lambda now: blocks_to_search(now, block_s, has, "backward", previous_end, lambda t: (math.ceil(t / run_s) - 1) * run_s, stop_s=stop_s)
+
+    def ways(table: pa.Table) -> pa.Table:
+        """For each time at which a search may come in, the one at which it is out; null where it ends."""
+        k, start, search = opened(table)
+        into = {start + size - r for r in rests} | {start + size - run_s} | ({last[k]} if k in last else set()) | ({start_s} if k == top else set())
+        known: dict[float, float | None] = {}
+        for now in sorted(into, reverse=True):
+            passed, out = [], None
+            for _, b, _ in search(now):
+                if b in known:
+                    out = known[b]
+                    break
+                if b <= start:
+                    out = b
+                    break
+                passed.append(b)
+            known |= dict.fromkeys([*passed, now], out)
+        return pa.table({"now": pa.array(sorted(into), pa.float64()), "out": pa.array([known[t] for t in sorted(into)], pa.float64())})
+
+    found = dict(rows.groupBy("k").applyInArrow(ways, "now double, out double").collect())
+    taken, now = {}, start_s
+    while now is not None:
+        taken[of(now)], now = now, found[now]
+
+    def blocks(table: pa.Table) -> pa.Table:
+        k, start, search = opened(table)
+        listed = [x for x in takewhile(lambda x: x[1] > start, search(taken[k]))] if k in taken else []
+        return pa.table({n: pa.array([x[i] for x in listed], kind) for i, (n, kind) in enumerate((("block_start", pa.float64()), ("block_end", pa.float64()), ("status", pa.string())))})
+
+    return rows.groupBy("k").applyInArrow(blocks, "block_start double, block_end double, status string").orderBy(F.desc("block_start"))
+
+
 def search_blocks(spark: SparkSession, blocks: Iterator[tuple[float, float, str]], series_of: Callable[[float, float], DataFrame], cfg: Config, root: str, catalogue: DataFrame | None = None) -> int:
     """run_search() over the series of each block with data, all as one run; gaps are recorded. Returns the number of blocks searched."""
     run, searched = None, 0

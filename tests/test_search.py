@@ -1,14 +1,19 @@
 """The whole search on two sensors with a signal in both."""
 
 import json
+import math
+import random
 from statistics import NormalDist
 
 import numpy as np
 import pytest
 
+from tallybeam import search
 from tallybeam.config import Config
 from tallybeam.operators import signal
+from tallybeam.plans import registry
 from tallybeam.search import blocks_to_search, conditioned, estimate_background, ranked_by_background, resume_from, run_search, search_blocks, search_folder, whole_background, windows
+from tallybeam.sources.frames import Ranges
 from tallybeam.sources.state import State, current_blocks
 
 
@@ -245,3 +250,28 @@ def test_backward_searches_resume_and_stop_by_themselves(spark, tmp_path):
     state = State(spark, f"{root}/state")
     runs = {r.run_id for r in state.read("blocks").collect()}
     assert len(runs) == 1 and state.read("runs").count() == 1
+
+
+@pytest.mark.parametrize("step, seed", [(64, 1), (1, 2), (64, 3), (37, 4)])
+def test_backward_blocks_by_stretches_equal_those_of_one_loop(spark, step, seed):
+    """Files of any place, length and overlap, also across stretches of two runs, with gaps that jumps take."""
+    rng = random.Random(seed)
+    at = sorted(rng.sample(range(10, 8_000), 150))
+    files = [(x, float(step * t), float(step * (t + rng.randrange(4, 90)))) for t in at for x in ("H1", "L1", "V1") if rng.random() < 0.8]
+    joint = sorted({s for x, s, _ in files if x == "H1" and rng.random() < 0.7})
+    start, held = max(e for x, _, e in files if x == "H1"), {x: Ranges((s, e) for y, s, e in files if y == x) for x in ("H1", "L1")}
+    ends = Ranges((s, s + 48.0 * step) for s in joint)
+    block, run = 8.0 * step, 64.0 * step
+    want = [*search.blocks_to_search(start, block, lambda a, b: all(r.holds(a, b) for r in held.values()), "backward", ends.latest_end, lambda t: (math.ceil(t / run) - 1) * run, stop_s=block)]
+    rows = spark.createDataFrame(files, "ifo string, s double, e double")
+    got = search.backward_blocks(rows, ["H1", "L1"], spark.createDataFrame([(s,) for s in joint], "s double"), 48.0 * step, start, block, run, block, stretch_runs=2)
+    assert [tuple(r) for r in got.collect()] == want and {s for *_, s in want} == {"data", "gap"}
+
+
+def test_the_driver_lists_no_blocks_of_a_backward_search(spark, sf, monkeypatch):
+    monkeypatch.setattr(search, "STRETCH_RUNS", 64)
+    seen = []
+    keep = type(spark.range(1)).collect
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda df: seen.append(rows := keep(df)) or rows)
+    n = registry.queries()["r03_backward_blocks"](spark, sf).count()
+    assert n > 500 and max(map(len, seen)) < n
