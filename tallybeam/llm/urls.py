@@ -128,7 +128,8 @@ def positions(rows: DataFrame, order: int = ORDER) -> DataFrame:
 def gram_scores(grams: DataFrame, ngrams: DataFrame, order: int = ORDER) -> DataFrame:
     """gram, d: log P_accepted - log P_rejected of the last byte after those before it, in PARTs, for different grams.
 
-    Each order's runs are joined with their counts, their context's counts and the next lower order's probabilities; a key has 256 rows at most.
+    Each order's runs are joined with their counts, their context's counts and the next lower order's probabilities; a key has 256 rows at most. All of these grow with the different runs,
+    so they are merged at every size: dozens of broadcasts just below Spark's limit would meet in the driver.
     """
     lower = None
     n = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("n")).otherwise(0))
@@ -137,11 +138,11 @@ def gram_scores(grams: DataFrame, ngrams: DataFrame, order: int = ORDER) -> Data
         totals = pairs.groupBy("context").agg(F.sum("na").alias("ca"), F.sum("nb").alias("cb"), F.count_if(F.col("na") > 0).alias("fa"), F.count_if(F.col("nb") > 0).alias("fb"))
         pairs = pairs.select((F.shiftleft("context", 8) + F.col("next")).alias("gram"), "na", "nb")
         rows = grams.select(F.col("gram").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("gram")).distinct()
-        rows = rows.join(pairs, "gram", "left").withColumn("context", F.shiftright("gram", 8)).join(totals, "context", "left")
+        rows = rows.join(pairs.hint("merge"), "gram", "left").withColumn("context", F.shiftright("gram", 8)).join(totals.hint("merge"), "context", "left")
         if lower is None:
             rows = rows.withColumn("la", F.lit(1 / 256)).withColumn("lb", F.lit(1 / 256))
         else:
-            rows = rows.withColumn("low", F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1))).join(lower.toDF("low", "la", "lb"), "low")
+            rows = rows.withColumn("low", F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1))).join(lower.toDF("low", "la", "lb").hint("merge"), "low")
         p = lambda x: F.when(F.col(f"c{x}") > 0, (F.coalesce(f"n{x}", F.lit(0)) + F.col(f"f{x}") * F.col(f"l{x}")) / (F.col(f"c{x}") + F.col(f"f{x}"))).otherwise(F.col(f"l{x}"))
         lower = materialise(rows.select("gram", p("a").alias("pa"), p("b").alias("pb")), "url-probabilities")
     return lower.select("gram", F.round((F.log("pa") - F.log("pb")) * PART).cast("long").alias("d"))
@@ -152,12 +153,12 @@ def scored(rows: DataFrame, ngrams: DataFrame, order: int = ORDER) -> DataFrame:
     at = positions(rows, order)
     grams = materialise(at.groupBy("gram").agg(F.count(F.lit(1)).alias("rows")), "url-grams")
     total = grams.agg(F.sum("rows")).first()[0] or 0
-    found = materialise(gram_scores(grams, ngrams, order).join(grams, "gram"), "url-gram-scores")
+    found = materialise(gram_scores(grams, ngrams, order).join(grams.hint("merge"), "gram"), "url-gram-scores")
     hot = F.broadcast(found.filter(F.col("rows") * HOT >= total).select("gram", "d"))
-    rest = at.join(hot, "gram", "left_anti").join(found.filter(F.col("rows") * HOT < total).select("gram", "d"), "gram")
+    rest = at.join(hot, "gram", "left_anti").join(found.filter(F.col("rows") * HOT < total).select("gram", "d").hint("merge"), "gram")
     sums = at.join(hot, "gram").select("row", "n", "d").unionByName(rest.select("row", "n", "d")).groupBy("row").agg(F.sum((F.col("n") * F.col("d")).cast("decimal(38,0)")).cast("double").alias("d"))
     length = F.greatest(F.lit(1), F.octet_length(F.coalesce("url", F.lit(""))))
-    return rows.join(sums, "row", "left").withColumn("score", F.coalesce("d", F.lit(0.0)) / PART / length).drop("d")
+    return rows.join(sums.hint("merge"), "row", "left").withColumn("score", F.coalesce("d", F.lit(0.0)) / PART / length).drop("d")
 
 
 def calibrate(x: np.ndarray, good: np.ndarray, bad: np.ndarray) -> tuple[float, float]:
